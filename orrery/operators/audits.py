@@ -6,6 +6,8 @@ own violations, so there is no shuffle and no pass per rule.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +52,8 @@ def fk_orphans(
     A key with a null part refers to nothing and passes. Child rows are counted per key before
     the join, so a hot key reaches it as a single row.
     """
-    held = child.na.drop(subset=child_key).groupBy(*child_key).agg(F.count("*").alias("n_rows"))
+    refers = reduce(Column.__and__, [F.col(c).isNotNull() for c in child_key])
+    held = child.filter(refers).groupBy(*child_key).agg(F.count("*").alias("n_rows"))
     known = parent.select(*[F.col(p).alias(f"__{c}") for c, p in zip(child_key, parent_key)])
     return held.join(known, [held[c] == known[f"__{c}"] for c in child_key], "left_anti")
 
@@ -72,7 +75,7 @@ def _violations(
             for rule, broken, value in rules
         ]
     )
-    return df.select(F.inline(F.filter(found, lambda violation: violation.isNotNull())))
+    return df.select(F.inline(F.array_compact(found)))
 
 
 def _null(name: str) -> tuple[str, Column, Column]:

@@ -42,7 +42,6 @@ def date_dim_extend(existing: DataFrame, wanted: DataFrame) -> tuple[DataFrame,
 
 def _calendar(span: DataFrame, fiscal_offset: int) -> DataFrame:
     # a calendar is bounded by its years, so one task can list its days
-    days = span.filter(F.col("begin") <= F.col("end")).select(
-        F.explode(F.sequence("begin", "end", F.expr("interval 1 day"))).alias("day")
-    )
+    every_day = F.sequence("begin", "end", F.expr("interval 1 day"))
+    days = span.select(F.explode(F.when(F.col("begin") <= F.col("end"), every_day)).alias("day"))
     return days.select(*day_attributes(F.col("day"), fiscal_offset))

@@ -8,7 +8,7 @@ splits a hot key's partition; ``salts`` splits it without relying on run-time st
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -44,27 +44,22 @@ def unmatched(fact: DataFrame, dims: list[Dim]) -> DataFrame:
     """Fact rows that the inner star join drops, with the dimensions that lack their key.
 
     ``missing`` holds the positions (from 0) of those dimensions. A key reached through another
-    dimension counts as missing too when that dimension has no row.
+    dimension counts as missing too when that dimension has no row. The dimensions' keys must be
+    unique, which ``audits.pk_duplicates`` checks.
     """
     rows = fact
     for n, dim in enumerate(dims):
-        keys = dim.df.dropDuplicates(list(dim.on.values()))
-        rows = _join(rows, _with_flag(dim, keys, n), "left")
-    flags = [f"__found{n}" for n in range(len(dims))]
-    missing = F.filter(
-        F.array(*[F.when(F.col(f).isNull(), F.lit(n)) for n, f in enumerate(flags)]),
-        lambda position: position.isNotNull(),
+        flag = f"__found{n}"
+        flagged = replace(
+            dim, df=dim.df.withColumn(flag, F.lit(True)), keep={**dim.keep, flag: flag}
+        )
+        rows = _join(rows, flagged, "left")
+    missing = F.array_compact(
+        F.array(*[F.when(F.col(f"__found{n}").isNull(), F.lit(n)) for n in range(len(dims))])
     )
     return rows.select(*fact.columns, missing.alias("missing")).filter(F.size("missing") > 0)
 
 
-def _with_flag(dim: Dim, df: DataFrame, n: int) -> Dim:
-    flag = f"__found{n}"
-    return Dim(
-        df.withColumn(flag, F.lit(True)), dim.on, {**dim.keep, flag: flag}, dim.salts, dim.spread_by
-    )
-
-
 def _join(rows: DataFrame, dim: Dim, how: str) -> DataFrame:
     keys = {name: f"__key{n}" for n, name in enumerate(dim.on.values())}
     right = dim.df.select(

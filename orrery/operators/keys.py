@@ -1,8 +1,10 @@
-"""Dense surrogate keys that stay the same when the job runs again."""
+"""Dense surrogate keys: row numbers over many tasks, and keys that survive a rerun."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -12,6 +14,36 @@ from orrery.session import scratch
 _POSITION = (1 << 33) - 1
 
 
+def number_rows(
+    df: DataFrame, key: str, order_by: list[str] | None = None, start: int = 1
+) -> DataFrame:
+    """The rows with a gapless ``key`` from ``start`` on.
+
+    Without ``order_by`` rows are numbered as they arrive: nothing is shuffled, whatever values
+    they hold. With it they are range-sorted first; the columns should identify a row, because
+    equal ones stay together in one task.
+
+    The rows are written once to the shared folder with their partition and position; the first
+    number of a partition follows from the sizes of the partitions before it. Counting and
+    numbering read the same written rows, so a lost executor cannot renumber anything.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, "rows")
+    rows = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by) if order_by else df
+    rows.withColumns({
+        "__part": F.spark_partition_id(),
+        "__position": F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION)),
+    }).write.parquet(path)
+    written = spark.read.parquet(path)
+    # one row per written partition: the window and the broadcast are bounded by their number
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("count").over(earlier), F.lit(0)) + start
+    firsts = written.groupBy("__part").count().select("__part", first.alias("__first"))
+    return written.join(F.broadcast(firsts), "__part").select(
+        (F.col("__first") + F.col("__position")).alias(key), *df.columns
+    )
+
+
 def assign_keys(
     df: DataFrame,
     natural_key: list[str],
@@ -22,37 +54,15 @@ def assign_keys(
     """The natural keys of ``df`` and of ``existing`` with one integer ``key`` each.
 
     Known natural keys keep their number. New ones are numbered without gaps in natural-key order
-    from the highest known number on, or from ``start``. Rows without a natural key get none.
-
-    The new keys are range-sorted over many tasks and written once to the shared folder together
-    with their partition and position; a partition's first number then follows from the sizes of
-    the partitions before it. Counting and numbering read the same written rows, so a lost
-    executor cannot renumber anything.
+    from the highest known number on, or from ``start``. Repeats are combined before the shuffle,
+    so a hot key is one row per task. Rows without a natural key get none.
     """
-    spark = df.sparkSession
-    fresh = df.select(*natural_key).na.drop(subset=natural_key).distinct()
-    if existing is not None:
-        known = existing.select(*natural_key, key)
-        fresh = fresh.join(known, natural_key, "left_anti")
-        highest = known.agg(F.max(key)).first()[0]
-        start = start if highest is None else highest + 1
-
-    path = scratch(spark, "keys")
-    (
-        fresh.repartitionByRange(*natural_key)
-        .sortWithinPartitions(*natural_key)
-        .withColumn("part", F.spark_partition_id())
-        .withColumn("position", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION)))
-        .write.parquet(path)
-    )
-    ranged = spark.read.parquet(path)
-    # one row per written partition: the window and the broadcast are bounded by their number
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = (
-        ranged.groupBy("part").count()
-        .select("part", (F.coalesce(F.sum("count").over(earlier), F.lit(0)) + start).alias("first"))
-    )
-    numbered = ranged.join(F.broadcast(firsts), "part").select(
-        *natural_key, (F.col("first") + F.col("position")).alias(key)
-    )
-    return numbered if existing is None else known.unionByName(numbered)
+    present = reduce(Column.__and__, [F.col(c).isNotNull() for c in natural_key])
+    fresh = df.select(*natural_key).filter(present).distinct()
+    if existing is None:
+        return number_rows(fresh, key, natural_key, start)
+    known = existing.select(key, *natural_key)
+    highest = known.agg(F.max(key)).first()[0]
+    start = start if highest is None else highest + 1
+    fresh = fresh.join(known, natural_key, "left_anti")
+    return known.unionByName(number_rows(fresh, key, natural_key, start))

@@ -11,28 +11,32 @@ from pyspark.sql import functions as F
 from orrery.models.table import Star
 from orrery.operators.conform import dimension
 from orrery.operators.joins import Dim, star_join
-from orrery.operators.keys import assign_keys
+from orrery.operators.keys import number_rows
 from orrery.sinks.catalog import create_database, drop_database, overwrite_table
 from orrery.streaming.medallion import bronze, dims_of, gold, silver
 
 
-def keyed_dimension(df: DataFrame, natural_key: str, key: str) -> DataFrame:
-    """A dimension with a dense surrogate key beside its natural key."""
-    return df.join(assign_keys(df, [natural_key], key), natural_key)
+def keyed_dimension(df: DataFrame, natural_key: list[str], key: str) -> DataFrame:
+    """A dimension, one row per natural key, with a dense surrogate key in natural-key order."""
+    return number_rows(df, key, natural_key)
 
 
 def build_fact(
-    feed: DataFrame, dims: list[Dim], natural_key: list[str], key: str, columns: dict[str, str]
+    feed: DataFrame,
+    dims: list[Dim],
+    key: str,
+    columns: dict[str, str],
+    order_by: list[str] | None = None,
 ) -> DataFrame:
     """Fact rows: a generated key, the dimension keys reached by the joins, and the measures.
 
-    ``columns`` maps a fact column to a column of the joined rows.
+    ``columns`` maps a fact column to a column of the joined rows. The key numbers the rows as
+    they come out of the joins, or in the order of the fact columns ``order_by``.
     """
-    joined = star_join(feed, dims)
-    numbered = assign_keys(joined, natural_key, key)
-    return joined.join(numbered, natural_key).select(
-        key, *[F.col(source).alias(name) for name, source in columns.items()]
+    rows = star_join(feed, dims).select(
+        *[F.col(source).alias(name) for name, source in columns.items()]
     )
+    return number_rows(rows, key, order_by)
 
 
 @dataclass(frozen=True)

@@ -195,7 +195,7 @@ def surrogate_keys_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), r AS (
         SELECT *, row_number() OVER (ORDER BY r_regionkey) AS region_key FROM region
     )
-    SELECT row_number() OVER (ORDER BY o_orderkey) AS fact_key, customer_key, nation_key,
+    SELECT row_number() OVER (ORDER BY o_orderkey) AS fact_key, o_orderkey AS order_key, customer_key, nation_key,
            region_key, cast(o_orderdate AS date) AS order_date, o_totalprice AS total_price
     FROM orders
     JOIN c ON o_custkey = c_custkey
@@ -203,9 +203,9 @@ def surrogate_keys_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     JOIN r ON n_regionkey = r_regionkey
 """)
 def fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = keyed_dimension(load(spark, sf_dir, "customer"), "c_custkey", "customer_key")
-    nation = keyed_dimension(load(spark, sf_dir, "nation"), "n_nationkey", "nation_key")
-    region = keyed_dimension(load(spark, sf_dir, "region"), "r_regionkey", "region_key")
+    customer = keyed_dimension(load(spark, sf_dir, "customer"), ["c_custkey"], "customer_key")
+    nation = keyed_dimension(load(spark, sf_dir, "nation"), ["n_nationkey"], "nation_key")
+    region = keyed_dimension(load(spark, sf_dir, "region"), ["r_regionkey"], "region_key")
     dims = [
         Dim(customer, {"o_custkey": "c_custkey"},
             {"customer_key": "customer_key", "c_nationkey": "c_nationkey"}),
@@ -213,13 +213,14 @@ def fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
             {"nation_key": "nation_key", "n_regionkey": "n_regionkey"}),
         Dim(region, {"n_regionkey": "r_regionkey"}, {"region_key": "region_key"}),
     ]
-    return build_fact(orders_by_day(spark, sf_dir), dims, ["o_orderkey"], "fact_key", {
+    return build_fact(orders_by_day(spark, sf_dir), dims, "fact_key", {
+        "order_key": "o_orderkey",
         "customer_key": "customer_key",
         "nation_key": "nation_key",
         "region_key": "region_key",
         "order_date": "o_orderdate",
         "total_price": "o_totalprice",
-    })
+    }, order_by=["order_key"])
 
 
 @query("""

@@ -59,9 +59,22 @@ def create_table_as(
     )
 
 
-def overwrite_table(rows: DataFrame, table: str, format: str = FORMAT) -> None:
-    """Replace the table, its schema included."""
-    rows.write.format(format).mode("overwrite").saveAsTable(table)
+def overwrite_table(
+    rows: DataFrame,
+    table: str,
+    format: str = FORMAT,
+    bucket_by: tuple[int, str] | None = None,
+) -> None:
+    """Replace the table, its schema included.
+
+    ``bucket_by`` (buckets, key) stores the rows hashed and sorted by a key: two large tables
+    with the same buckets are then joined on it without a shuffle.
+    """
+    writer = rows.write.format(format).mode("overwrite")
+    if bucket_by:
+        buckets, key = bucket_by
+        writer = writer.bucketBy(buckets, key).sortBy(key)
+    writer.saveAsTable(table)
 
 
 def insert_rows(rows: DataFrame, table: str) -> None:
