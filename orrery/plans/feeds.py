@@ -15,21 +15,24 @@ MIN_FILES = 4
 def land_json_arrays(df: DataFrame, folder: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Add ``df`` to ``folder`` as files that hold one array each, a document per line.
 
-    Rows are dealt evenly over the files. The brackets are put around a task's rows as they pass,
-    so a task holds one batch at a time.
+    Rows are dealt evenly over the files, copies included. The brackets are put around a task's
+    rows as they pass, so a task holds one batch at a time.
     """
+
+    # a nested function travels to the executors whole; they need not have this package
+    def bracket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            if batch.empty:
+                continue
+            lines = batch["value"].tolist()
+            ready = ["[" if held is None else f"{held},", *[f"{line}," for line in lines[:-1]]]
+            held = lines[-1]
+            yield pd.DataFrame({"value": ready})
+        yield pd.DataFrame({"value": ["[]"] if held is None else [held, "]"]})
+
     files = max(MIN_FILES, -(-df.count() // rows_per_file))
     documents = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
-    documents.repartition(files).mapInPandas(_bracket, "value string").write.mode("append").text(folder)
-
-
-def _bracket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held: str | None = None
-    for batch in batches:
-        if batch.empty:
-            continue
-        lines = batch["value"].tolist()
-        ready = ["[" if held is None else f"{held},", *[f"{line}," for line in lines[:-1]]]
-        held = lines[-1]
-        yield pd.DataFrame({"value": ready})
-    yield pd.DataFrame({"value": ["[]"] if held is None else [held, "]"]})
+    documents.repartition(files).mapInPandas(bracket, "value string").write.mode("append").text(
+        folder
+    )

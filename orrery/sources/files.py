@@ -32,7 +32,31 @@ def read_json(
     with ``multi_line=False`` (JSON Lines) large files are split too.
     """
     reader = spark.read.option("multiLine", multi_line)
-    return (reader.schema(schema) if schema else reader).json(path)
+    if not multi_line:
+        return (reader.schema(schema) if schema else reader).json(path)
+    schema = schema or reader.json(path).schema
+    return as_declared(reader.schema(loose(schema, T.StringType)).json(path), schema)
+
+
+def loose(schema: T.StructType, kind: type[T.DataType] = T.DataType) -> T.StructType:
+    """The schema with its fields of one kind (by default all) open to any JSON value.
+
+    A multi-line file is read again from its start for every number that a text field holds; a
+    variant field takes any value in passing and loses no digit.
+    """
+    return T.StructType([
+        T.StructField(f.name, T.VariantType() if isinstance(f.dataType, kind) else f.dataType, True)
+        for f in schema.fields
+    ])
+
+
+def as_declared(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Open fields turned into text; other fields as they are."""
+    return df.select(*[
+        F.col(f.name).cast("string").alias(f.name)
+        if isinstance(df.schema[f.name].dataType, T.VariantType) else F.col(f.name)
+        for f in schema.fields
+    ])
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

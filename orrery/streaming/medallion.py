@@ -16,6 +16,7 @@ from orrery.functions.casts import rescued
 from orrery.models.table import Band, Hop
 from orrery.operators.gold import gold_avg_by_group
 from orrery.operators.joins import Dim, star_join, unmatched
+from orrery.sources.files import as_declared, loose
 from orrery.sinks.catalog import FORMAT, create_table, overwrite_table
 
 
@@ -28,14 +29,13 @@ def read_feed(
 ) -> DataFrame:
     """The JSON files of a folder as a stream; each file once, also if it is rewritten later.
 
-    Every field is read as text: with arrays over many lines one value of the wrong type would
-    otherwise turn all documents of its file into corrupt records. ``typed`` casts them.
+    Every field comes as text, whatever its type, so that a wrong value is still there to be
+    kept; ``typed`` casts them.
     """
-    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    reader = spark.readStream.format("json").schema(text).option("multiLine", multi_line)
+    reader = spark.readStream.format("json").schema(loose(schema)).option("multiLine", multi_line)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(folder)
+    return as_declared(reader.load(folder), schema)
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
