@@ -105,6 +105,7 @@ STAR = Star(
         "hire_date": "hire_date",
         "salary": "salary",
     },
+    date="hire_date",
     gold=Band(
         bridge="dim_employees",
         dimension="dim_jobs",

@@ -96,8 +96,14 @@ class Band:
 
 @dataclass(frozen=True)
 class Star:
+    """A feed of facts, its dimensions, the joins and columns of silver, and the gold report.
+
+    ``date`` is silver's date column, whose range the date dimension covers.
+    """
+
     feed: Table
     dimensions: tuple[Dimension, ...]
     hops: tuple[Hop, ...]
     silver: dict[str, str]
+    date: str
     gold: Band

@@ -103,6 +103,7 @@ STAR = Star(
         "order_date": "o_orderdate",
         "total_price": "o_totalprice",
     },
+    date="order_date",
     gold=Band(
         bridge="dim_supplier",
         dimension="dim_nation",

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.functions.casts import misfit
-from orrery.models.table import Table
+from orrery.models.table import TEXT, Table
 
 
 def audit(df: DataFrame, table: Table) -> DataFrame:
@@ -35,7 +35,7 @@ def audit_types(df: DataFrame, table: Table) -> DataFrame:
     return _violations(
         df, table.key,
         [(f"type:{f.name}", misfit(f.name, f.type), F.col(f.name))
-         for f in table.fields if f.name in df.columns],
+         for f in table.fields if f.name in df.columns and f.type != TEXT],
     )
 
 

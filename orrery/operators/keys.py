@@ -10,40 +10,54 @@ from pyspark.sql.window import Window
 
 from orrery.session import scratch
 
+_PART, _POSITION = "__part", "__position"
 # monotonically_increasing_id holds the row's position within its partition in the low 33 bits
-_POSITION = (1 << 33) - 1
+_POSITION_BITS = (1 << 33) - 1
 
 
 def number_rows(
-    df: DataFrame, key: str, order_by: list[str] | None = None, start: int = 1
+    df: DataFrame,
+    key: str,
+    order_by: list[str] | None = None,
+    start: int = 1,
+    unique: bool = False,
 ) -> DataFrame:
     """The rows with a gapless ``key`` from ``start`` on.
 
     Without ``order_by`` rows are numbered as they arrive: nothing is shuffled, whatever values
-    they hold. With it they are range-sorted first; the columns should identify a row, because
-    equal ones stay together in one task.
+    they hold. With it they are range-sorted. Rows that are equal there, perhaps many copies of
+    one, are then told apart by their arrival, so that they too spread over tasks; ``unique``
+    says that there are none and saves noting the arrival.
 
-    The rows are written once to the shared folder with their partition and position; the first
-    number of a partition follows from the sizes of the partitions before it. Counting and
-    numbering read the same written rows, so a lost executor cannot renumber anything.
+    Rows are written to the shared folder with their partition and position, and the first number
+    of a partition follows from the sizes of the partitions before it. Counting and numbering read
+    the same written rows, so a lost executor cannot renumber anything.
     """
-    spark = df.sparkSession
-    path = scratch(spark, "rows")
-    rows = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by) if order_by else df
-    rows.withColumns({
-        "__part": F.spark_partition_id(),
-        "__position": F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION)),
-    }).write.parquet(path)
-    written = spark.read.parquet(path)
+    rows = df
+    if order_by:
+        arrival = [] if unique else [_PART, _POSITION]
+        rows = df if unique else _write_placed(df)
+        order = [*order_by, *arrival]
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop(*arrival)
+    placed = _write_placed(rows)
     # one row per written partition: the window and the broadcast are bounded by their number
-    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     first = F.coalesce(F.sum("count").over(earlier), F.lit(0)) + start
-    firsts = written.groupBy("__part").count().select("__part", first.alias("__first"))
-    return written.join(F.broadcast(firsts), "__part").select(
-        (F.col("__first") + F.col("__position")).alias(key), *df.columns
+    firsts = placed.groupBy(_PART).count().select(_PART, first.alias("__first"))
+    return placed.join(F.broadcast(firsts), _PART).select(
+        (F.col("__first") + F.col(_POSITION)).alias(key), *df.columns
     )
 
 
+def _write_placed(rows: DataFrame) -> DataFrame:
+    """The rows as written once, each with its partition and its position there."""
+    spark = rows.sparkSession
+    path = scratch(spark, "rows")
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS))
+    rows.withColumns({_PART: F.spark_partition_id(), _POSITION: position}).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def assign_keys(
     df: DataFrame,
     natural_key: list[str],
@@ -60,9 +74,9 @@ def assign_keys(
     present = reduce(Column.__and__, [F.col(c).isNotNull() for c in natural_key])
     fresh = df.select(*natural_key).filter(present).distinct()
     if existing is None:
-        return number_rows(fresh, key, natural_key, start)
+        return number_rows(fresh, key, natural_key, start, unique=True)
     known = existing.select(key, *natural_key)
     highest = known.agg(F.max(key)).first()[0]
     start = start if highest is None else highest + 1
     fresh = fresh.join(known, natural_key, "left_anti")
-    return known.unionByName(number_rows(fresh, key, natural_key, start))
+    return known.unionByName(number_rows(fresh, key, natural_key, start, unique=True))

@@ -8,15 +8,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_FILE = 100_000
+FILE_BYTES = 32 << 20
 MIN_FILES = 4
 
 
-def land_json_arrays(df: DataFrame, folder: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Add ``df`` to ``folder`` as files that hold one array each, a document per line.
+def land_json_arrays(df: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> None:
+    """Add ``df`` to ``folder`` as files of about ``file_bytes`` that hold one array each.
 
     Rows are dealt evenly over the files, copies included. The brackets are put around a task's
-    rows as they pass, so a task holds one batch at a time.
+    rows as they pass, so a task holds one batch at a time. An array is read by a single task,
+    hence the bound on its size.
     """
 
     # a nested function travels to the executors whole; they need not have this package
@@ -31,8 +32,9 @@ def land_json_arrays(df: DataFrame, folder: str, rows_per_file: int = ROWS_PER_F
             yield pd.DataFrame({"value": ready})
         yield pd.DataFrame({"value": ["[]"] if held is None else [held, "]"]})
 
-    files = max(MIN_FILES, -(-df.count() // rows_per_file))
     documents = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    total = documents.agg(F.sum(F.octet_length("value") + 2)).first()[0] or 0
+    files = max(MIN_FILES, -(-total // file_bytes))
     documents.repartition(files).mapInPandas(bracket, "value string").write.mode("append").text(
         folder
     )

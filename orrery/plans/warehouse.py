@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from orrery.models.table import Star
 from orrery.operators.conform import dimension
+from orrery.operators.dates import date_dim_extend, date_dim_of
 from orrery.operators.joins import Dim, star_join
 from orrery.operators.keys import number_rows
-from orrery.sinks.catalog import create_database, drop_database, overwrite_table
+from orrery.sinks.catalog import create_database, drop_database, insert_rows, overwrite_table
 from orrery.streaming.medallion import bronze, dims_of, gold, silver
 
 
@@ -79,6 +80,18 @@ def land_dimensions(
     return {spec.name: spark.table(place.table(spec.name)) for spec in star.dimensions}
 
 
+def land_dates(star: Star, place: Lakehouse, fact: DataFrame) -> DataFrame:
+    """The date dimension over the facts' own range, extended when later facts reach further."""
+    spark, table = fact.sparkSession, place.table("dim_date")
+    wanted = date_dim_of(fact, star.date)
+    if not spark.catalog.tableExists(table):
+        overwrite_table(wanted, table)
+    else:
+        added, _ = date_dim_extend(spark.table(table), wanted)
+        insert_rows(added, table)
+    return spark.table(table)
+
+
 def take_in(
     spark: SparkSession,
     star: Star,
@@ -107,8 +120,9 @@ def rebuild(
     feed: str,
     fresh: bool = True,
 ) -> DataFrame:
-    """Dimensions, bronze, silver and gold from their sources; the gold report."""
+    """Dimensions, bronze, silver, dates and gold from their sources; the gold report."""
     place = open_lakehouse(spark, place, fresh=fresh)
     tables = land_dimensions(spark, star, place, sources)
     fact = take_in(spark, star, place, feed, tables)
+    land_dates(star, place, fact)
     return gold(fact, tables, star.gold, place.table("fact_gold"))

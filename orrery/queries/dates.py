@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.functions.calendar import date_key, day_attributes
+from orrery.models import trade
 from orrery.operators.dates import date_dim_extend as extend
 from orrery.operators.dates import date_dim_of
-from orrery.queries.registry import load, query
+from orrery.plans.warehouse import land_dates
+from orrery.queries.registry import load, new_lakehouse, query
 
 
 def _attributes_sql(day: str) -> str:
@@ -73,6 +75,19 @@ def date_dim_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+    SELECT {_attributes_sql('d')}
+    FROM ({_days_sql('orders', 'o_orderdate')} UNION {_days_sql('lineitem', 'l_shipdate')})
+""")
+def date_dim_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored date dimension after facts of two kinds have come in."""
+    place = new_lakehouse(spark, "dates")
+    for table, column in (("orders", "o_orderdate"), ("lineitem", "l_shipdate")):
+        facts = load(spark, sf_dir, table).select(F.to_date(column).alias(trade.STAR.date))
+        land_dates(trade.STAR, place, facts)
+    return spark.table(place.table("dim_date"))
+
+
 @query(f"""
     WITH dates AS (
         SELECT {_attributes_sql('d')} FROM ({_days_sql('orders', 'o_orderdate')})

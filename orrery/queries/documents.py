@@ -57,7 +57,7 @@ def doc_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT event_id, user_id, event_type, value FROM events
     WHERE event_type IN ('click', 'error') AND user_id >= 10
-      AND (value > 20 OR user_id < 40) AND event_id <> 7
+      AND (value > 20 OR user_id < 40) AND props <> '{"k": 69}'
 """)
 def doc_find_filter_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(
@@ -66,7 +66,7 @@ def doc_find_filter_project(spark: SparkSession, sf_dir: str) -> DataFrame:
             "event_type": {"$in": ["click", "error"]},
             "user_id": {"$gte": 10},
             "$or": [{"value": {"$gt": 20}}, {"user_id": {"$lt": 40}}],
-            "event_id": {"$ne": 7},
+            "props": {"$ne": '{"k": 69}'},
             "archived": {"$exists": False},
         },
         {"event_id": 1, "user_id": 1, "event_type": 1, "value": 1},

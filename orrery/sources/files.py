@@ -29,9 +29,10 @@ def read_json(
     """JSON documents: arrays spread over many lines, or one document per line.
 
     A file holding one array cannot be split, so a large collection must come as many files;
-    with ``multi_line=False`` (JSON Lines) large files are split too.
+    with ``multi_line=False`` (JSON Lines) large files are split too. A document that is not
+    JSON or does not fit ``schema`` fails the read rather than being lost.
     """
-    reader = spark.read.option("multiLine", multi_line)
+    reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
     if not multi_line:
         return (reader.schema(schema) if schema else reader).json(path)
     schema = schema or reader.json(path).schema
@@ -50,13 +51,16 @@ def loose(schema: T.StructType, kind: type[T.DataType] = T.DataType) -> T.Struct
     ])
 
 
-def as_declared(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Open fields turned into text; other fields as they are."""
-    return df.select(*[
-        F.col(f.name).cast("string").alias(f.name)
-        if isinstance(df.schema[f.name].dataType, T.VariantType) else F.col(f.name)
-        for f in schema.fields
-    ])
+def as_declared(df: DataFrame, schema: T.StructType, *others: str) -> DataFrame:
+    """The schema's fields, open ones turned into text, and the other columns named."""
+    return df.select(
+        *[
+            F.col(f.name).cast("string").alias(f.name)
+            if isinstance(df.schema[f.name].dataType, T.VariantType) else F.col(f.name)
+            for f in schema.fields
+        ],
+        *others,
+    )
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

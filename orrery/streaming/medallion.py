@@ -30,12 +30,14 @@ def read_feed(
     """The JSON files of a folder as a stream; each file once, also if it is rewritten later.
 
     Every field comes as text, whatever its type, so that a wrong value is still there to be
-    kept; ``typed`` casts them.
+    kept; ``typed`` casts them. ``malformed`` holds the text of what is not JSON at all.
     """
-    reader = spark.readStream.format("json").schema(loose(schema)).option("multiLine", multi_line)
+    whole = loose(schema).add("malformed", "string")
+    reader = spark.readStream.format("json").schema(whole).option("multiLine", multi_line)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return as_declared(reader.load(folder), schema)
+    documents = reader.option("columnNameOfCorruptRecord", "malformed").load(folder)
+    return as_declared(documents, schema, "malformed")
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
@@ -46,10 +48,10 @@ def with_lineage(df: DataFrame) -> DataFrame:
 
 
 def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Fields cast to their types; the text of those that do not fit goes to ``rescued``."""
+    """Fields cast to their types; what is malformed or does not fit goes to ``rescued``."""
     return raw.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
-        rescued(schema).alias("rescued"),
+        F.coalesce("malformed", rescued(schema)).alias("rescued"),
         "ingest_ts",
         "source_file",
     )
@@ -118,7 +120,7 @@ def quarantine(bronze_rows: DataFrame, dims: list[Dim]) -> DataFrame:
 
 
 def replay(
-    bronze_rows: DataFrame,
+    rows: DataFrame,
     dims: list[Dim],
     columns: dict[str, str],
     key: str,
@@ -127,17 +129,18 @@ def replay(
 ) -> DataFrame:
     """Complete silver with rows whose dimension arrived after them; returns all of silver.
 
-    Late rows go to a table of their own, because readers of a streamed table see only what the
-    stream committed to it. Rows already in either table are left out, so a repeat adds nothing.
+    ``rows`` are bronze rows: all of them, or only those that ``quarantine`` found. Rows already
+    in silver are left out before the joins, so a repeat adds nothing. Late rows go to a table of
+    their own, because readers of a streamed table see only what the stream committed to it.
     """
-    spark = bronze_rows.sparkSession
-    ready = silver_rows(bronze_rows, dims, columns)
+    spark = rows.sparkSession
     if not spark.catalog.tableExists(late_table):
-        create_table(spark, late_table, ready)
+        create_table(spark, late_table, silver_rows(rows, dims, columns))
     done = spark.table(silver_table).select(key).unionByName(spark.table(late_table).select(key))
-    late = ready.join(done, key, "left_anti")
+    done = done.withColumnRenamed(key, "__done")
+    waiting = rows.join(done, rows[columns[key]] == done["__done"], "left_anti")
     # the late table is both read and appended to, which an insert into parquet allows
-    late.write.mode("append").insertInto(late_table)
+    silver_rows(waiting, dims, columns).write.insertInto(late_table)
     return spark.table(silver_table).unionByName(spark.table(late_table))
 
 

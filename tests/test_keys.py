@@ -2,7 +2,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from orrery.operators import keys
 from orrery.operators.keys import assign_keys, number_rows
+from orrery.session import scratch
 
 
 def numbers(df, key="k"):
@@ -49,6 +51,21 @@ def test_rows_numbered_as_they_arrive_need_no_shuffle(spark):
     assert numbers(keyed) == list(range(1, 501))
 
 
+def test_many_copies_of_a_row_spread_over_tasks_and_stay_in_order(spark, conf, monkeypatch):
+    paths = []
+    monkeypatch.setattr(keys, "scratch", lambda *a: paths.append(scratch(*a)) or paths[-1])
+    conf(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="6")
+    hot = F.when(F.col("id") % 3 == 0, 50_000).otherwise(F.col("id"))
+    rows = spark.range(0, 60_000, 1, 5).select(hot.alias("n"))
+    keyed = number_rows(rows, "k", ["n"])
+    assert numbers(keyed) == list(range(1, 60_001))
+    in_order = [r.n for r in keyed.orderBy("k").collect()]
+    assert in_order == sorted(in_order)
+    written = spark.read.parquet(paths[-1]).filter("n = 50000")
+    assert written.count() == 20_001
+    assert written.select("__part").distinct().count() > 1
+
+
 def test_numbering_twice_reads_the_same_numbers(spark):
     keyed = number_rows(spark.range(100).withColumn("r", F.rand()).repartition(5), "k")
     first = {r.id: r.k for r in keyed.collect()}

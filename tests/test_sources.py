@@ -57,6 +57,19 @@ def test_json_array_over_many_lines(spark, tmp_path):
     assert sorted(r.id for r in rows) == [1, 2]
 
 
+def test_a_malformed_document_fails_the_read(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"id": 1}, {"id": ')
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        files.read_json(spark, str(tmp_path), T.StructType().add("id", "long")).collect()
+
+
+def test_text_fields_take_numbers_as_text(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"code": "00123"}, {"code": 45}, {"code": null}, {}]')
+    schema = T.StructType().add("code", "string")
+    rows = files.read_json(spark, str(tmp_path), schema).collect()
+    assert [r.code for r in rows] == ["00123", "45", None, None]
+
+
 def test_json_lines_when_asked(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"id": 1}\n{"id": 2}\n')
     assert files.read_json(spark, str(tmp_path), multi_line=False).count() == 2
@@ -90,7 +103,7 @@ def test_listing_does_not_read_contents(spark, tmp_path):
 def test_landed_arrays_are_valid_json_and_complete(spark, tmp_path):
     folder = str(tmp_path / "feed")
     frame = spark.createDataFrame([(i, None if i % 2 else f"a\n\"{i}\"") for i in range(25)], "i int, s string")
-    land_json_arrays(frame, folder, rows_per_file=3)
+    land_json_arrays(frame, folder, file_bytes=100)
     land_json_arrays(frame.limit(1), folder)
     arrays = [json.loads(p.read_text()) for p in (tmp_path / "feed").glob("part-*")]
     assert sum(map(len, arrays)) == 26

@@ -11,7 +11,7 @@ from orrery.models import staff
 from orrery.operators.gold import gold_avg_by_group
 from orrery.operators.preview import preview_stream
 from orrery.plans.feeds import land_json_arrays
-from orrery.plans.warehouse import land_dimensions, rebuild, take_in
+from orrery.plans.warehouse import land_dates, land_dimensions, rebuild, take_in
 from orrery.sinks.catalog import show_tables
 from orrery.streaming.medallion import (
     append_stream, bronze, dims_of, gold_rows, quarantine, read_feed, replay,
@@ -66,6 +66,25 @@ def test_one_bad_value_spoils_neither_its_row_nor_its_file(spark, place, tmp_pat
     assert rows[3].rescued is None and rows[4].email is None
 
 
+def test_a_malformed_file_is_kept_as_text(spark, place, tmp_path):
+    drop(tmp_path / "in", "a.json", person(1))
+    (tmp_path / "in" / "b.json").write_text('[{"employee_id": 2}, {"employee')
+    rows = run_bronze(spark, place, tmp_path / "in").orderBy("employee_id").collect()
+    assert [(r.employee_id, r.rescued) for r in rows] == [
+        (None, '[{"employee_id": 2}, {"employee'), (1, None)
+    ]
+
+
+def test_dates_grow_with_the_facts(spark, place):
+    def facts(*days):
+        return spark.createDataFrame([(date.fromisoformat(d),) for d in days], "hire_date date")
+
+    assert land_dates(STAR, place, facts("1999-12-30", "2000-01-02")).count() == 4
+    dates = land_dates(STAR, place, facts("1999-12-31", "2000-01-05"))
+    assert ids(dates, "date_key")[-1] == 20000105 and dates.count() == 7
+    assert land_dates(STAR, place, facts("2000-01-05")).count() == 7
+
+
 def test_each_file_is_taken_once_even_if_it_is_rewritten(spark, place, tmp_path):
     folder = tmp_path / "in"
     drop(folder, "a.json", person(1))
@@ -155,7 +174,7 @@ def test_rebuild_reports_the_bands_and_leaves_old_tables_behind(spark, place, hr
     names = {r.tableName for r in show_tables(spark, place.database).collect()}
     assert names == {
         "dim_jobs", "dim_employees", "dim_departments", "dim_locations", "fact_bronze",
-        "fact_silver", "fact_gold",
+        "fact_silver", "fact_gold", "dim_date",
     }
 
 
