@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,13 +14,20 @@ def misfit(name: str, target: T.DataType) -> Column:
     return F.col(name).isNotNull() & F.col(name).try_cast(target).isNull()
 
 
-def rescued(schema: T.StructType) -> Column:
-    """The raw text of every misfit field as one JSON object; null where all fields fit."""
-    kept = [
-        F.when(misfit(f.name, f.dataType), F.col(f.name)).alias(f.name)
-        for f in schema.fields
-        if f.dataType != T.StringType()
-    ]
-    if not kept:
-        return F.lit(None).cast("string")
-    return F.nullif(F.to_json(F.struct(*kept)), F.lit("{}"))
+def cast_fields(df: DataFrame, schema: T.StructType, rescued: str) -> DataFrame:
+    """Text fields cast to their types, beside the other columns.
+
+    ``rescued`` holds the text of the fields that did not fit as one JSON object, else null.
+    """
+    cast = [f for f in schema.fields if f.dataType != T.StringType()]
+    raw = {f.name: f"__raw_{f.name}" for f in cast}
+    both = df.withColumnsRenamed(raw).withColumns(
+        {f.name: F.col(raw[f.name]).try_cast(f.dataType) for f in cast}
+    )
+    lost = {n: F.col(r).isNotNull() & F.col(n).isNull() for n, r in raw.items()}
+    texts = [F.when(lost[n], F.col(r)).alias(n) for n, r in raw.items()]
+    kept = F.lit(None).cast("string")
+    if cast:
+        kept = F.when(reduce(Column.__or__, lost.values()), F.to_json(F.struct(*texts)))
+    others = [c for c in df.columns if c not in schema.names]
+    return both.select(*schema.names, *others, kept.alias(rescued))

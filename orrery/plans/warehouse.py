@@ -19,7 +19,7 @@ from orrery.streaming.medallion import bronze, dims_of, gold, silver
 
 def keyed_dimension(df: DataFrame, natural_key: list[str], key: str) -> DataFrame:
     """A dimension, one row per natural key, with a dense surrogate key in natural-key order."""
-    return number_rows(df, key, natural_key)
+    return number_rows(df, key, natural_key, unique=True)
 
 
 def build_fact(
@@ -28,16 +28,18 @@ def build_fact(
     key: str,
     columns: dict[str, str],
     order_by: list[str] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Fact rows: a generated key, the dimension keys reached by the joins, and the measures.
 
     ``columns`` maps a fact column to a column of the joined rows. The key numbers the rows as
-    they come out of the joins, or in the order of the fact columns ``order_by``.
+    they come out of the joins, or in the order of the fact columns ``order_by``, which are
+    ``unique`` if no two rows agree in them.
     """
     rows = star_join(feed, dims).select(
         *[F.col(source).alias(name) for name, source in columns.items()]
     )
-    return number_rows(rows, key, order_by)
+    return number_rows(rows, key, order_by, unique=unique)
 
 
 @dataclass(frozen=True)

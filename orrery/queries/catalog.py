@@ -37,10 +37,10 @@ def create_database(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     catalog.overwrite_table(load(spark, sf_dir, "orders"), f"{database}.orders")
     described = catalog.describe_database(spark, database)
-    counted = described.select(
-        "info_name", "info_value", F.lit(spark.table(f"{database}.orders").count()).alias("n_rows")
+    landed = spark.table(f"{database}.orders").count()
+    return described.filter(F.col("info_name").isin("Comment", "Properties")).select(
+        "info_name", "info_value", F.lit(landed).cast("long").alias("n_rows")
     )
-    return counted.filter(F.col("info_name").isin("Comment", "Properties"))
 
 
 @query("""
@@ -100,7 +100,8 @@ def insert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT o_orderstatus, count(*) AS n_orders, round(avg(o_totalprice), 4) AS avg_price
+    SELECT o_orderstatus, count(*) AS n_orders,
+           cast(sum(cast(o_totalprice AS decimal(18, 2))) AS double) / count(*) AS avg_price
     FROM orders GROUP BY o_orderstatus
 """)
 def temp_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +110,7 @@ def temp_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     conform(load(spark, sf_dir, "orders"), trade.ORDERS).createOrReplaceTempView(view)
     return spark.sql(f"""
         SELECT o_orderstatus, count(*) AS n_orders,
-               round(cast(sum(o_totalprice) AS double) / count(o_totalprice), 4) AS avg_price
+               cast(sum(o_totalprice) AS double) / count(o_totalprice) AS avg_price
         FROM {view} GROUP BY o_orderstatus
     """)
 
@@ -154,4 +155,4 @@ def describe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     described = catalog.describe_table(spark, table)
     return described.filter(
         F.col("col_name").isin(*orders.columns, "Provider", "Type")
-    ).select("col_name", "data_type", F.lit(spark.table(table).count()).alias("n_rows"))
+    ).select("col_name", "data_type", F.lit(spark.table(table).count()).cast("long").alias("n_rows"))

@@ -29,6 +29,14 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def exact_avg(column: str) -> str:
+    """SQL for an average that does not depend on the order of summation.
+
+    Money has two decimals: summed as decimals it is exact, and one division follows.
+    """
+    return f"cast(sum(cast({column} AS decimal(18, 2))) AS double) / count({column})"
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -59,7 +59,8 @@ def schema_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT lang, sum(octet_length(encode(text)) + 1) AS total_bytes FROM documents GROUP BY lang
+    SELECT lang, cast(sum(octet_length(encode(text)) + 1) AS bigint) AS total_bytes
+    FROM documents GROUP BY lang
 """)
 def list_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes of the text files found per language folder: every text and its line end."""

@@ -12,12 +12,12 @@ from orrery.operators.joins import Dim, star_join
 from orrery.operators.keys import assign_keys
 from orrery.operators.preview import preview
 from orrery.plans.warehouse import build_fact, keyed_dimension
-from orrery.queries.registry import load, orders_by_day, query
+from orrery.queries.registry import exact_avg, load, orders_by_day, query
 
 
-@query("""
-    SELECT n_name, round(avg(s_acctbal), 4) AS avg_supplier_balance,
-           round(avg(c_acctbal), 4) AS avg_customer_balance
+@query(f"""
+    SELECT n_name, {exact_avg('s_acctbal')} AS avg_supplier_balance,
+           {exact_avg('c_acctbal')} AS avg_customer_balance
     FROM customer
     JOIN supplier ON c_nationkey = s_nationkey
     JOIN nation ON s_nationkey = n_nationkey
@@ -36,13 +36,13 @@ def gold_avg_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
             "avg_customer_balance": ("fact", "c_acctbal"),
         },
     )
-    return _rounded(averages, "n_name").orderBy("avg_supplier_balance", "n_name")
+    return averages.orderBy("avg_supplier_balance", "n_name")
 
 
-@query("""
-    SELECT p_type, round(avg(p_retailprice), 4) AS avg_retail_price,
-           round(avg(f.l_extendedprice), 4) AS avg_line_price,
-           round(avg(b.l_quantity), 4) AS avg_quantity
+@query(f"""
+    SELECT p_type, {exact_avg('p_retailprice')} AS avg_retail_price,
+           {exact_avg('f.l_extendedprice')} AS avg_line_price,
+           {exact_avg('b.l_quantity')} AS avg_quantity
     FROM lineitem f
     JOIN lineitem b ON f.l_partkey = b.l_partkey
     JOIN part ON b.l_partkey = p_partkey
@@ -64,13 +64,7 @@ def gold_avg_by_shared_title(spark: SparkSession, sf_dir: str) -> DataFrame:
             "avg_quantity": ("bridge", "l_quantity"),
         },
     )
-    return _rounded(averages, "p_type").orderBy("avg_retail_price", "p_type")
-
-
-def _rounded(averages: DataFrame, title: str) -> DataFrame:
-    return averages.select(
-        title, *[F.round(c, 4).alias(c) for c in averages.columns if c != title]
-    )
+    return averages.orderBy("avg_retail_price", "p_type")
 
 
 _STAR_SQL = """

@@ -9,7 +9,7 @@ from orrery.models import trade
 from orrery.operators.preview import preview_stream
 from orrery.plans.feeds import land_json_arrays
 from orrery.plans.warehouse import Lakehouse, land_dimensions, rebuild, take_in
-from orrery.queries.registry import load, new_lakehouse, orders_by_day, query
+from orrery.queries.registry import exact_avg, load, new_lakehouse, orders_by_day, query
 from orrery.session import scratch
 from orrery.sinks.catalog import overwrite_table
 from orrery.streaming.medallion import (
@@ -42,8 +42,8 @@ _SILVER_SQL = """
 """
 
 _GOLD_SQL = f"""
-    SELECT n_name, round(avg(s_acctbal), 4) AS avg_supplier_balance,
-           round(avg(total_price), 4) AS avg_order_price
+    SELECT n_name, {exact_avg('s_acctbal')} AS avg_supplier_balance,
+           {exact_avg('total_price')} AS avg_order_price
     FROM ({_SILVER_SQL}) fact
     JOIN supplier ON nation_key = s_nationkey
     JOIN nation ON s_nationkey = n_nationkey
@@ -52,14 +52,6 @@ _GOLD_SQL = f"""
 """
 
 
-def _report(gold_rows: DataFrame) -> DataFrame:
-    return gold_rows.select(
-        "n_name",
-        F.round("avg_supplier_balance", 4).alias("avg_supplier_balance"),
-        F.round("avg_order_price", 4).alias("avg_order_price"),
-    ).orderBy("avg_supplier_balance", "n_name")
-
-
 @query("""
     SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
            cast(o_orderdate AS date) AS o_orderdate, o_orderpriority,
@@ -109,7 +101,7 @@ def gold_from_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = new_lakehouse(spark, "gold")
     tables = land_dimensions(spark, trade.STAR, place, _sources(spark, sf_dir))
     fact = take_in(spark, trade.STAR, place, _feed(spark, sf_dir), tables)
-    return _report(gold(fact, tables, trade.STAR.gold, place.table("fact_gold")))
+    return gold(fact, tables, trade.STAR.gold, place.table("fact_gold"))
 
 
 @query(_GOLD_SQL)
@@ -117,9 +109,7 @@ def full_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything from its sources; tables and checkpoints of an earlier build are left behind."""
     place = new_lakehouse(spark, "rebuild")
     overwrite_table(load(spark, sf_dir, "nation"), place.table("fact_gold"))
-    return _report(
-        rebuild(spark, trade.STAR, place, _sources(spark, sf_dir), _feed(spark, sf_dir))
-    )
+    return rebuild(spark, trade.STAR, place, _sources(spark, sf_dir), _feed(spark, sf_dir))
 
 
 def _late_customers(

@@ -36,19 +36,21 @@ def read_json(
     if not multi_line:
         return (reader.schema(schema) if schema else reader).json(path)
     schema = schema or reader.json(path).schema
-    return as_declared(reader.schema(loose(schema, T.StringType)).json(path), schema)
+    texts_open = T.StructType([
+        T.StructField(f.name, T.VariantType() if f.dataType == T.StringType() else f.dataType)
+        for f in schema.fields
+    ])
+    return as_declared(reader.schema(texts_open).json(path), schema)
 
 
-def loose(schema: T.StructType, kind: type[T.DataType] = T.DataType) -> T.StructType:
-    """The schema with its fields of one kind (by default all) open to any JSON value.
+def loose(schema: T.StructType, multi_line: bool = True) -> T.StructType:
+    """The schema with all its fields open to any JSON value.
 
-    A multi-line file is read again from its start for every number that a text field holds; a
-    variant field takes any value in passing and loses no digit.
+    A text field takes any value, but a multi-line file is read again from its start for every
+    number met by a text field. There a variant takes any value in passing and loses no digit.
     """
-    return T.StructType([
-        T.StructField(f.name, T.VariantType() if isinstance(f.dataType, kind) else f.dataType, True)
-        for f in schema.fields
-    ])
+    open_type = T.VariantType() if multi_line else T.StringType()
+    return T.StructType([T.StructField(f.name, open_type) for f in schema.fields])
 
 
 def as_declared(df: DataFrame, schema: T.StructType, *others: str) -> DataFrame:

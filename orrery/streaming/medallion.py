@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from orrery.functions.casts import rescued
+from orrery.functions.casts import cast_fields
 from orrery.models.table import Band, Hop
 from orrery.operators.gold import gold_avg_by_group
 from orrery.operators.joins import Dim, star_join, unmatched
@@ -32,7 +32,7 @@ def read_feed(
     Every field comes as text, whatever its type, so that a wrong value is still there to be
     kept; ``typed`` casts them. ``malformed`` holds the text of what is not JSON at all.
     """
-    whole = loose(schema).add("malformed", "string")
+    whole = loose(schema, multi_line).add("malformed", "string")
     reader = spark.readStream.format("json").schema(whole).option("multiLine", multi_line)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -49,11 +49,9 @@ def with_lineage(df: DataFrame) -> DataFrame:
 
 def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Fields cast to their types; what is malformed or does not fit goes to ``rescued``."""
-    return raw.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
-        F.coalesce("malformed", rescued(schema)).alias("rescued"),
-        "ingest_ts",
-        "source_file",
+    rescued = F.coalesce("malformed", "misfits").alias("rescued")
+    return cast_fields(raw, schema, "misfits").select(
+        *schema.names, rescued, "ingest_ts", "source_file"
     )
 
 

@@ -22,6 +22,21 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return db
 
 
+# The type names of the two engines for the same thing.
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+    "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def spark_types(df: DataFrame) -> dict[str, str]:
+    return {name: TYPES.get(kind, kind) for name, kind in df.dtypes}
+
+
+def oracle_types(db: duckdb.DuckDBPyConnection, sql: str) -> dict[str, str]:
+    return {row[0]: row[1] for row in db.execute(f"DESCRIBE {sql}").fetchall()}
+
+
 def spark_rows(df: DataFrame) -> tuple[list[str], list[tuple]]:
     columns = sorted(df.columns)
     return columns, _sorted([tuple(_plain(r[c]) for c in columns) for r in df.collect()])

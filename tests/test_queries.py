@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
-from tests.compare import connect, oracle_rows, spark_rows
+from tests.compare import connect, oracle_rows, oracle_types, spark_rows, spark_types
 
 SF_DIR = contract.SMOKE_DIR
 
@@ -17,7 +17,9 @@ def db():
 
 @pytest.mark.parametrize("name", list(contract.queries()))
 def test_query_equals_sql(spark, db, name):
-    columns, rows = spark_rows(contract.queries()[name](spark, SF_DIR))
+    frame = contract.queries()[name](spark, SF_DIR)
+    assert spark_types(frame) == oracle_types(db, contract.oracle_sql()[name])
+    columns, rows = spark_rows(frame)
     wanted_columns, wanted = oracle_rows(db, contract.oracle_sql()[name])
     assert columns == wanted_columns
     assert wanted, "the check must be able to fail"

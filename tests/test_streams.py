@@ -66,6 +66,19 @@ def test_one_bad_value_spoils_neither_its_row_nor_its_file(spark, place, tmp_pat
     assert rows[3].rescued is None and rows[4].email is None
 
 
+def test_documents_by_line_are_taken_in_alike(spark, place, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lines = [json.dumps(person(1)), json.dumps(person(2, salary="lots", phone_number=5)), "{oops"]
+    (folder / "a.json").write_text("\n".join(lines))
+    rows = run_bronze(spark, place, folder, multi_line=False).orderBy("employee_id").collect()
+    assert [(r.employee_id, r.salary, r.phone_number, r.rescued) for r in rows] == [
+        (None, None, None, "{oops"),
+        (1, Decimal("2500.10"), None, None),
+        (2, None, "5", '{"salary":"lots"}'),
+    ]
+
+
 def test_a_malformed_file_is_kept_as_text(spark, place, tmp_path):
     drop(tmp_path / "in", "a.json", person(1))
     (tmp_path / "in" / "b.json").write_text('[{"employee_id": 2}, {"employee')
