@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from orrery.models import staff
-from orrery.plans.warehouse import Lakehouse, rebuild
+from orrery.plans.warehouse import Lakehouse, rebuild, refresh
 from orrery.sources.files import read_csv, read_json
 from orrery.sources.jdbc import scan_query
 
@@ -33,6 +33,13 @@ def read_sources(spark: SparkSession, sources: Sources) -> dict[str, DataFrame]:
     }
 
 
-def run(spark: SparkSession, place: Lakehouse, sources: Sources, feed: str) -> DataFrame:
-    """Rebuild the lakehouse; the average salary band per job title, lowest first."""
+def build(
+    spark: SparkSession, place: Lakehouse, sources: Sources, feed: str
+) -> tuple[Lakehouse, DataFrame]:
+    """The lakehouse from nothing, and the average salary band per job title, lowest first."""
     return rebuild(spark, staff.STAR, place, read_sources(spark, sources), feed)
+
+
+def update(spark: SparkSession, place: Lakehouse, sources: Sources, feed: str) -> DataFrame:
+    """The same report after the dimensions and whatever came into the feed since."""
+    return refresh(spark, staff.STAR, place, read_sources(spark, sources), feed)

@@ -100,31 +100,48 @@ def take_in(
     place: Lakehouse,
     feed: str,
     tables: dict[str, DataFrame],
-    **options: int,
+    max_files: int | None = None,
 ) -> DataFrame:
-    """Bring what has arrived in ``feed`` through bronze to silver; all of silver."""
+    """Bring what has arrived in ``feed`` through bronze to silver; all of silver.
+
+    ``max_files`` bounds the files per micro-batch of both streams.
+    """
     bronze_table, silver_table = place.table("fact_bronze"), place.table("fact_silver")
     bronze(
-        spark, feed, star.feed.schema, bronze_table, place.checkpoint("bronze"), **options
+        spark, feed, star.feed.schema, bronze_table, place.checkpoint("bronze"),
+        max_files=max_files,
     )
     silver(
         spark, bronze_table, dims_of(star.hops, tables), star.silver, silver_table,
-        place.checkpoint("silver"),
+        place.checkpoint("silver"), max_files=max_files,
     )
     return spark.table(silver_table)
 
 
-def rebuild(
+def refresh(
     spark: SparkSession,
     star: Star,
     place: Lakehouse,
     sources: dict[str, DataFrame],
     feed: str,
-    fresh: bool = True,
 ) -> DataFrame:
-    """Dimensions, bronze, silver, dates and gold from their sources; the gold report."""
-    place = open_lakehouse(spark, place, fresh=fresh)
+    """Replace the dimensions, take in new facts, recompute dates and gold; the gold report."""
     tables = land_dimensions(spark, star, place, sources)
     fact = take_in(spark, star, place, feed, tables)
     land_dates(star, place, fact)
     return gold(fact, tables, star.gold, place.table("fact_gold"))
+
+
+def rebuild(
+    spark: SparkSession,
+    star: Star,
+    place: Lakehouse,
+    sources: dict[str, DataFrame],
+    feed: str,
+) -> tuple[Lakehouse, DataFrame]:
+    """Start over: drop the database, move to an unused folder and refresh everything there.
+
+    Returns where the lakehouse now lives, which later refreshes need, and the gold report.
+    """
+    place = open_lakehouse(spark, place, fresh=True)
+    return place, refresh(spark, star, place, sources, feed)

@@ -109,7 +109,8 @@ def full_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything from its sources; tables and checkpoints of an earlier build are left behind."""
     place = new_lakehouse(spark, "rebuild")
     overwrite_table(load(spark, sf_dir, "nation"), place.table("fact_gold"))
-    return rebuild(spark, trade.STAR, place, _sources(spark, sf_dir), _feed(spark, sf_dir))
+    _, report = rebuild(spark, trade.STAR, place, _sources(spark, sf_dir), _feed(spark, sf_dir))
+    return report
 
 
 def _late_customers(

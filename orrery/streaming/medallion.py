@@ -97,9 +97,16 @@ def silver(
     table: str,
     checkpoint: str,
     available_now: bool = True,
+    max_files: int | None = None,
 ) -> StreamingQuery:
-    """Bronze rows with all their dimension keys. Rows lacking one: see ``quarantine``."""
-    joined = silver_rows(spark.readStream.table(bronze_table), dims, columns)
+    """Bronze rows with all their dimension keys. Rows lacking one: see ``quarantine``.
+
+    ``max_files`` bounds a micro-batch, for a backlog too large to join at once.
+    """
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    joined = silver_rows(reader.table(bronze_table), dims, columns)
     return append_stream(joined, table, checkpoint, available_now)
 
 

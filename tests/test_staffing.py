@@ -31,9 +31,17 @@ def test_the_whole_job(spark, place, sources, tmp_path):
     feed = tmp_path / "feed"
     feed.mkdir()
     (feed / "1.json").write_text((tmp_path / "employees.json").read_text())
-    report = staffing.run(spark, place, sources, str(feed)).collect()
-    assert [r.job_title for r in report] == ["Director", "Clerk"]
-    assert report[1].avg_min_salary == pytest.approx(2200.0)
+    place, report = staffing.build(spark, place, sources, str(feed))
+    rows = report.collect()
+    assert [r.job_title for r in rows] == ["Director", "Clerk"]
+    assert rows[1].avg_min_salary == pytest.approx(2200.0)
     locations = spark.table(place.table("dim_locations"))
     assert locations.filter("location_key = 20").first().postal_code == "00123"
     assert spark.table(place.table("dim_employees")).filter("manager_key = 100").count() == 3
+    more = {"employee_id": 106, "last_name": "Six", "email": "s@example.org",
+            "hire_date": "2003-01-01", "job_id": 2, "salary": 4400, "department_id": 1}
+    (feed / "2.json").write_text(json.dumps([more]))
+    rows = staffing.update(spark, place, sources, str(feed)).collect()
+    assert [r.job_title for r in rows] == ["Director", "Clerk", "Planner"]
+    assert spark.table(place.table("fact_silver")).count() == 5
+    assert spark.table(place.table("dim_date")).agg({"full_date": "max"}).first()[0].year == 2003

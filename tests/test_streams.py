@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from orrery.models import staff
 from orrery.operators.gold import gold_avg_by_group
+from orrery.operators.joins import Dim
 from orrery.operators.preview import preview_stream
 from orrery.plans.feeds import land_json_arrays
 from orrery.plans.warehouse import land_dates, land_dimensions, rebuild, take_in
 from orrery.sinks.catalog import show_tables
 from orrery.streaming.medallion import (
-    append_stream, bronze, dims_of, gold_rows, quarantine, read_feed, replay,
+    append_stream, bronze, dims_of, gold_rows, quarantine, read_feed, replay, silver,
 )
 from tests import staff_rows
 
@@ -177,7 +178,7 @@ def test_a_dimension_row_that_came_late(spark, place, hr, tmp_path):
 
 def test_rebuild_reports_the_bands_and_leaves_old_tables_behind(spark, place, hr, tmp_path):
     spark.range(1).write.saveAsTable(place.table("stale"))
-    report = rebuild(spark, STAR, place, hr, feed_of(hr, tmp_path))
+    place, report = rebuild(spark, STAR, place, hr, feed_of(hr, tmp_path))
     assert report.columns == ["job_title", "avg_min_salary", "avg_max_salary"]
     # two jobs are titled Clerk: job 1 has 2 · 2 joined rows, job 3 has 1 · 1
     assert [tuple(r) for r in report.collect()] == [
@@ -204,6 +205,24 @@ def test_fan_out_of_the_whole_staff(spark, place, hr):
     )
 
 
+def test_a_hot_key_of_the_stream_is_split(spark, place, conf, capsys):
+    """A dimension too large to broadcast is shuffled, and the adaptive join splits the key."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1b",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="16k",
+    )
+    shop = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("shop")
+    spark.range(60_000).select("id", shop).repartition(6).write.saveAsTable(place.table("sales"))
+    dims = [Dim(spark.range(60_000).select(F.col("id").alias("shop")), {"shop": "shop"})]
+    query = silver(spark, place.table("sales"), dims, {"id": "id"}, place.table("out"),
+                   place.checkpoint("out"))
+    query.explain()
+    assert "SortMergeJoin(skew=true)" in capsys.readouterr().out
+    assert spark.table(place.table("out")).count() == 60_000
+
+
 def test_stream_preview_shows_some_rows_of_the_feed(spark, hr, tmp_path):
     feed = read_feed(spark, feed_of(hr, tmp_path), staff.EMPLOYEES.schema)
     assert preview_stream(feed, 4).count() == 4
