@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orrery.session import scratch
+from orrery.session import write_scratch
 
 _PART, _POSITION = "__part", "__position"
 # monotonically_increasing_id holds the row's position within its partition in the low 33 bits
@@ -29,17 +29,22 @@ def number_rows(
     one, are then told apart by their arrival, so that they too spread over tasks; ``unique``
     says that there are none and saves noting the arrival.
 
-    Rows are written to the shared folder with their partition and position, and the first number
+    Rows are written to a scratch table with their partition and position, and the first number
     of a partition follows from the sizes of the partitions before it. Counting and numbering read
-    the same written rows, so a lost executor cannot renumber anything.
+    the same written rows, so a lost executor cannot renumber anything. Store the result, then
+    ``release_scratch``.
     """
-    rows = df
+    spark, rows, arrived = df.sparkSession, df, None
     if order_by:
         arrival = [] if unique else [_PART, _POSITION]
-        rows = df if unique else _write_placed(df)
+        if not unique:
+            arrived = _write_placed(df)
+            rows = spark.table(arrived)
         order = [*order_by, *arrival]
         rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop(*arrival)
-    placed = _write_placed(rows)
+    placed = spark.table(_write_placed(rows))
+    if arrived:
+        spark.sql(f"DROP TABLE {arrived}")
     # one row per written partition: the window and the broadcast are bounded by their number
     earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     first = F.coalesce(F.sum("count").over(earlier), F.lit(0)) + start
@@ -49,13 +54,11 @@ def number_rows(
     )
 
 
-def _write_placed(rows: DataFrame) -> DataFrame:
-    """The rows as written once, each with its partition and its position there."""
-    spark = rows.sparkSession
-    path = scratch(spark, "rows")
+def _write_placed(rows: DataFrame) -> str:
+    """A table of the rows, each with its partition and its position there."""
     position = F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS))
-    rows.withColumns({_PART: F.spark_partition_id(), _POSITION: position}).write.parquet(path)
-    return spark.read.parquet(path)
+    placed = rows.withColumns({_PART: F.spark_partition_id(), _POSITION: position})
+    return write_scratch(placed, "rows")
 
 
 def assign_keys(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from orrery.session import scratch
+from orrery.session import scratch, scratch_table
 
 
 def preview(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
@@ -15,11 +15,11 @@ def preview(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
 def preview_stream(df: DataFrame, n: int = 20) -> DataFrame:
     """Some ``n`` rows of what a stream holds now, through a sink that receives only those."""
     spark = df.sparkSession
-    path = scratch(spark, "preview")
+    table = scratch_table(spark, "preview")
     query = (
         df.limit(n).writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
-        .start(f"{path}/rows")
+        .option("checkpointLocation", scratch(spark, "preview")).trigger(availableNow=True)
+        .toTable(table)
     )
     query.awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{path}/rows")
+    return spark.table(table)

@@ -1,11 +1,11 @@
-"""Session defaults for tests and benchmarks, and the shared scratch folder."""
+"""Session defaults for tests and benchmarks, and scratch space that all executors share."""
 
 from __future__ import annotations
 
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -45,3 +45,29 @@ def shared_root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A path below the shared folder that no other call uses."""
     return f"{shared_root(spark)}/orrery-{purpose}-{uuid4().hex}"
+
+
+def scratch_table(spark: SparkSession, purpose: str) -> str:
+    """The name of a table not used yet, in a database of this application's scratch tables."""
+    database = _scratch_database(spark)
+    spark.sql(
+        f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{shared_root(spark)}/{database}'"
+    )
+    return f"{database}.{purpose}_{uuid4().hex}"
+
+
+def write_scratch(rows: DataFrame, purpose: str) -> str:
+    """Write the rows as a scratch table: later reads do not compute them again."""
+    table = scratch_table(rows.sparkSession, purpose)
+    rows.write.format("parquet").saveAsTable(table)
+    return table
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Drop all scratch tables, once the results that read them are stored elsewhere."""
+    spark.sql(f"DROP DATABASE IF EXISTS {_scratch_database(spark)} CASCADE")
+
+
+def _scratch_database(spark: SparkSession) -> str:
+    application = "".join(c if c.isalnum() else "_" for c in spark.sparkContext.applicationId)
+    return f"orrery_scratch_{application}"

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from orrery.operators import keys
 from orrery.operators.keys import assign_keys, number_rows
-from orrery.session import scratch
+from orrery.session import release_scratch, write_scratch
 
 
 def numbers(df, key="k"):
@@ -52,8 +52,8 @@ def test_rows_numbered_as_they_arrive_need_no_shuffle(spark):
 
 
 def test_many_copies_of_a_row_spread_over_tasks_and_stay_in_order(spark, conf, monkeypatch):
-    paths = []
-    monkeypatch.setattr(keys, "scratch", lambda *a: paths.append(scratch(*a)) or paths[-1])
+    tables = []
+    monkeypatch.setattr(keys, "write_scratch", lambda *a: tables.append(write_scratch(*a)) or tables[-1])
     conf(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="6")
     hot = F.when(F.col("id") % 3 == 0, 50_000).otherwise(F.col("id"))
     rows = spark.range(0, 60_000, 1, 5).select(hot.alias("n"))
@@ -61,7 +61,8 @@ def test_many_copies_of_a_row_spread_over_tasks_and_stay_in_order(spark, conf, m
     assert numbers(keyed) == list(range(1, 60_001))
     in_order = [r.n for r in keyed.orderBy("k").collect()]
     assert in_order == sorted(in_order)
-    written = spark.read.parquet(paths[-1]).filter("n = 50000")
+    assert [spark.catalog.tableExists(t) for t in tables] == [False, True]
+    written = spark.table(tables[-1]).filter("n = 50000")
     assert written.count() == 20_001
     assert written.select("__part").distinct().count() > 1
 
@@ -74,3 +75,12 @@ def test_numbering_twice_reads_the_same_numbers(spark):
 
 def test_nothing_to_number(spark):
     assert assign_keys(spark.range(0).toDF("n"), ["n"], "k").collect() == []
+
+
+def test_scratch_tables_can_be_released(spark):
+    table = write_scratch(spark.range(3), "rows")
+    assert spark.table(table).count() == 3
+    release_scratch(spark)
+    release_scratch(spark)
+    assert not spark.catalog.tableExists(table)
+    assert numbers(number_rows(spark.range(3), "k")) == [1, 2, 3]
