@@ -14,6 +14,13 @@ def misfit(name: str, target: T.DataType) -> Column:
     return F.col(name).isNotNull() & F.col(name).try_cast(target).isNull()
 
 
+def from_text(text: Column, target: T.DataType) -> Column:
+    """The value a text stands for, null if it stands for none; nested values are JSON."""
+    if isinstance(target, T.StructType | T.ArrayType | T.MapType):
+        return F.from_json(text, target.simpleString())
+    return text.try_cast(target)
+
+
 def cast_fields(df: DataFrame, schema: T.StructType, rescued: str) -> DataFrame:
     """Text fields cast to their types, beside the other columns.
 
@@ -22,7 +29,7 @@ def cast_fields(df: DataFrame, schema: T.StructType, rescued: str) -> DataFrame:
     cast = [f for f in schema.fields if f.dataType != T.StringType()]
     raw = {f.name: f"__raw_{f.name}" for f in cast}
     both = df.withColumnsRenamed(raw).withColumns(
-        {f.name: F.col(raw[f.name]).try_cast(f.dataType) for f in cast}
+        {f.name: from_text(F.col(raw[f.name]), f.dataType) for f in cast}
     )
     lost = {n: F.col(r).isNotNull() & F.col(n).isNull() for n, r in raw.items()}
     texts = [F.when(lost[n], F.col(r)).alias(n) for n, r in raw.items()]

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from orrery.models.table import DATE, TEXT, money
 from orrery.plans.feeds import land_json_arrays
-from orrery.queries.registry import load, orders_by_day, query
+from orrery.queries.registry import load, new_lakehouse, orders_by_day, query
 from orrery.session import scratch
-from orrery.sources.files import hinted_schema, list_files, read_csv, read_json
+from orrery.sources.files import hinted_schema, list_files, read_csv
+from orrery.streaming.medallion import bronze
 
 
 @query("""
@@ -43,13 +44,15 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders
 """)
 def schema_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Inferred from all files, retyped by hints, kept, and read back from where it was kept."""
+    """Inferred from all files, retyped by hints, kept; a stream then starts with what was kept."""
     path, kept = scratch(spark, "hints"), scratch(spark, "schema")
     land_json_arrays(orders_by_day(spark, sf_dir), path)
     hints = {"o_totalprice": money(18), "o_orderdate": DATE, "o_comment": TEXT}
     hinted_schema(spark, path, hints, kept)
-    rows = read_json(spark, path, hinted_schema(spark, path, {}, kept))
-    return rows.select(
+    place = new_lakehouse(spark, "hints")
+    table = place.table("fact_bronze")
+    bronze(spark, path, hinted_schema(spark, path, {}, kept), table, place.checkpoint("bronze"))
+    return spark.table(table).select(
         "o_orderkey", "o_custkey", F.col("o_totalprice").cast("double").alias("o_totalprice"),
         "o_orderdate", "o_comment",
         F.typeof("o_orderkey").alias("key_type"),

@@ -189,8 +189,8 @@ def surrogate_keys_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), r AS (
         SELECT *, row_number() OVER (ORDER BY r_regionkey) AS region_key FROM region
     )
-    SELECT row_number() OVER (ORDER BY o_orderkey) AS fact_key, o_orderkey AS order_key, customer_key, nation_key,
-           region_key, cast(o_orderdate AS date) AS order_date, o_totalprice AS total_price
+    SELECT row_number() OVER (ORDER BY o_orderkey) AS fact_key, o_orderkey AS order_key,
+           customer_key, nation_key, region_key, cast(o_orderdate AS date) AS order_date, o_totalprice AS total_price
     FROM orders
     JOIN c ON o_custkey = c_custkey
     JOIN n ON c_nationkey = n_nationkey

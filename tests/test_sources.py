@@ -102,7 +102,8 @@ def test_listing_does_not_read_contents(spark, tmp_path):
 
 def test_landed_arrays_are_valid_json_and_complete(spark, tmp_path):
     folder = str(tmp_path / "feed")
-    frame = spark.createDataFrame([(i, None if i % 2 else f"a\n\"{i}\"") for i in range(25)], "i int, s string")
+    rows = [(i, None if i % 2 else f"a\n\"{i}\"") for i in range(25)]
+    frame = spark.createDataFrame(rows, "i int, s string")
     land_json_arrays(frame, folder, file_bytes=100)
     land_json_arrays(frame.limit(1), folder)
     arrays = [json.loads(p.read_text()) for p in (tmp_path / "feed").glob("part-*")]

@@ -14,6 +14,7 @@ from orrery.operators.preview import preview_stream
 from orrery.plans.feeds import land_json_arrays
 from orrery.plans.warehouse import land_dates, land_dimensions, rebuild, take_in
 from orrery.sinks.catalog import show_tables
+from orrery.sources.files import hinted_schema
 from orrery.streaming.medallion import (
     append_stream, bronze, dims_of, gold_rows, quarantine, read_feed, replay, silver,
 )
@@ -80,6 +81,15 @@ def test_documents_by_line_are_taken_in_alike(spark, place, tmp_path):
     ]
 
 
+def test_nested_fields_of_an_inferred_schema(spark, place, tmp_path):
+    drop(tmp_path / "in", "a.json", {"id": 1, "at": {"x": 1.5, "tags": ["a", "b"]}, "list": [1, 2]})
+    schema = hinted_schema(spark, str(tmp_path / "in"), {}, f"{place.root}/schema")
+    table = place.table("nested")
+    bronze(spark, str(tmp_path / "in"), schema, table, place.checkpoint("nested"))
+    row = spark.table(table).first()
+    assert (row.id, row["at"].x, row["at"].tags, row["list"]) == (1, 1.5, ["a", "b"], [1, 2])
+
+
 def test_a_malformed_file_is_kept_as_text(spark, place, tmp_path):
     drop(tmp_path / "in", "a.json", person(1))
     (tmp_path / "in" / "b.json").write_text('[{"employee_id": 2}, {"employee')
