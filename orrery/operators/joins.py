@@ -22,6 +22,7 @@ class Dim:
     ``on`` maps a column of the rows so far to the dimension's key column, ``keep`` an output
     column to the dimension's column. With ``salts`` above 1 the rows of one key spread over that
     many partitions by a hash of ``spread_by``, and the dimension is repeated once per salt.
+    Rows equal in ``spread_by`` stay together; those only the adaptive join splits.
     """
 
     df: DataFrame

@@ -41,5 +41,8 @@ def build(
 
 
 def update(spark: SparkSession, place: Lakehouse, sources: Sources, feed: str) -> DataFrame:
-    """The same report after the dimensions and whatever came into the feed since."""
-    return refresh(spark, staff.STAR, place, read_sources(spark, sources), feed)
+    """The same report after the dimensions and whatever came into the feed since.
+
+    Earlier employees whose job, department or location was unknown then are tried again.
+    """
+    return refresh(spark, staff.STAR, place, read_sources(spark, sources), feed, late=True)

@@ -14,7 +14,7 @@ from orrery.operators.dates import date_dim_extend, date_dim_of
 from orrery.operators.joins import Dim, star_join
 from orrery.operators.keys import number_rows
 from orrery.sinks.catalog import create_database, drop_database, insert_rows, overwrite_table
-from orrery.streaming.medallion import bronze, dims_of, gold, silver
+from orrery.streaming.medallion import bronze, dims_of, gold, replay, silver
 
 
 def keyed_dimension(df: DataFrame, natural_key: list[str], key: str) -> DataFrame:
@@ -101,21 +101,36 @@ def take_in(
     feed: str,
     tables: dict[str, DataFrame],
     max_files: int | None = None,
+    late: bool = False,
 ) -> DataFrame:
-    """Bring what has arrived in ``feed`` through bronze to silver; all of silver.
+    """Bring what has arrived in ``feed`` through bronze to silver; all facts.
 
-    ``max_files`` bounds the files per micro-batch of both streams.
+    ``max_files`` bounds the files per micro-batch of both streams. ``late`` also tries the bronze
+    rows again that lacked a dimension so far, which reads all of bronze.
     """
     bronze_table, silver_table = place.table("fact_bronze"), place.table("fact_silver")
+    dims = dims_of(star.hops, tables)
     bronze(
         spark, feed, star.feed.schema, bronze_table, place.checkpoint("bronze"),
         max_files=max_files,
     )
     silver(
-        spark, bronze_table, dims_of(star.hops, tables), star.silver, silver_table,
-        place.checkpoint("silver"), max_files=max_files,
+        spark, bronze_table, dims, star.silver, silver_table, place.checkpoint("silver"),
+        max_files=max_files,
     )
-    return spark.table(silver_table)
+    if late:
+        (key,) = [name for name, source in star.silver.items() if source == star.feed.key[0]]
+        replay(
+            spark.table(bronze_table), dims, star.silver, key, silver_table,
+            place.table("fact_silver_late"),
+        )
+    return facts(spark, place)
+
+
+def facts(spark: SparkSession, place: Lakehouse) -> DataFrame:
+    """Silver as streamed, together with the rows that were replayed."""
+    streamed, late = spark.table(place.table("fact_silver")), place.table("fact_silver_late")
+    return streamed.unionByName(spark.table(late)) if spark.catalog.tableExists(late) else streamed
 
 
 def refresh(
@@ -124,10 +139,11 @@ def refresh(
     place: Lakehouse,
     sources: dict[str, DataFrame],
     feed: str,
+    late: bool = False,
 ) -> DataFrame:
     """Replace the dimensions, take in new facts, recompute dates and gold; the gold report."""
     tables = land_dimensions(spark, star, place, sources)
-    fact = take_in(spark, star, place, feed, tables)
+    fact = take_in(spark, star, place, feed, tables, late=late)
     land_dates(star, place, fact)
     return gold(fact, tables, star.gold, place.table("fact_gold"))
 

@@ -12,9 +12,7 @@ from orrery.plans.warehouse import Lakehouse, land_dimensions, rebuild, take_in
 from orrery.queries.registry import exact_avg, load, new_lakehouse, orders_by_day, query
 from orrery.session import scratch
 from orrery.sinks.catalog import overwrite_table
-from orrery.streaming.medallion import (
-    bronze, dims_of, gold, quarantine, read_feed, replay,
-)
+from orrery.streaming.medallion import bronze, dims_of, gold, quarantine, read_feed
 
 
 def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -115,14 +113,14 @@ def full_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _late_customers(
     spark: SparkSession, sf_dir: str
-) -> tuple[Lakehouse, dict[str, DataFrame]]:
+) -> tuple[Lakehouse, str, dict[str, DataFrame]]:
     """Silver built while the customers of one market segment were not yet known."""
-    place = new_lakehouse(spark, "late")
+    place, feed = new_lakehouse(spark, "late"), _feed(spark, sf_dir)
     sources = _sources(spark, sf_dir)
     early = {**sources, "customer": sources["customer"].filter("c_mktsegment <> 'MACHINERY'")}
     tables = land_dimensions(spark, trade.STAR, place, early)
-    take_in(spark, trade.STAR, place, _feed(spark, sf_dir), tables)
-    return place, tables
+    take_in(spark, trade.STAR, place, feed, tables)
+    return place, feed, tables
 
 
 @query("""
@@ -132,7 +130,7 @@ def _late_customers(
 """)
 def silver_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows waiting for a dimension row; without a customer no nation is reached either."""
-    place, tables = _late_customers(spark, sf_dir)
+    place, _, tables = _late_customers(spark, sf_dir)
     waiting = quarantine(
         spark.table(place.table("fact_bronze")), dims_of(trade.STAR.hops, tables)
     )
@@ -147,16 +145,15 @@ def silver_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def silver_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The waiting rows reach silver once their customers are there, and only once."""
-    place, _ = _late_customers(spark, sf_dir)
+    place, feed, _ = _late_customers(spark, sf_dir)
     tables = land_dimensions(spark, trade.STAR, place, _sources(spark, sf_dir))
-    silver_table, late_table = place.table("fact_silver"), place.table("fact_silver_late")
     for _ in range(2):
-        replay(
-            spark.table(place.table("fact_bronze")), dims_of(trade.STAR.hops, tables),
-            trade.STAR.silver, "order_key", silver_table, late_table,
-        )
-    early = spark.table(silver_table).withColumn("came_late", F.lit(False))
-    return _plain(early.unionByName(spark.table(late_table).withColumn("came_late", F.lit(True))))
+        rows = take_in(spark, trade.STAR, place, feed, tables, late=True)
+    replayed = spark.table(place.table("fact_silver_late")).select(
+        F.col("order_key").alias("late_key")
+    )
+    marked = rows.join(replayed, rows["order_key"] == replayed["late_key"], "left")
+    return _plain(marked.withColumn("came_late", F.col("late_key").isNotNull()).drop("late_key"))
 
 
 @query("SELECT 20 AS rows_shown, 20 AS rows_genuine")

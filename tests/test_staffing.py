@@ -7,6 +7,7 @@ import json
 import pytest
 
 from orrery.plans import staffing
+from orrery.plans.warehouse import facts
 from tests import staff_rows
 
 
@@ -41,7 +42,16 @@ def test_the_whole_job(spark, place, sources, tmp_path):
     more = {"employee_id": 106, "last_name": "Six", "email": "s@example.org",
             "hire_date": "2003-01-01", "job_id": 2, "salary": 4400, "department_id": 1}
     (feed / "2.json").write_text(json.dumps([more]))
+    # employee 104's department gets its location only now
+    departments = json.loads((tmp_path / "departments.json").read_text())
+    for row in departments:
+        row["location_id"] = row.get("location_id", 10)
+    (tmp_path / "departments.json").write_text(json.dumps(departments))
     rows = staffing.update(spark, place, sources, str(feed)).collect()
     assert [r.job_title for r in rows] == ["Director", "Clerk", "Planner"]
     assert spark.table(place.table("fact_silver")).count() == 5
+    late = spark.table(place.table("fact_silver_late")).collect()
+    assert [(r.employee_key, r.location_key) for r in late] == [(104, 10)]
+    staffing.update(spark, place, sources, str(feed))
+    assert facts(spark, place).count() == 6
     assert spark.table(place.table("dim_date")).agg({"full_date": "max"}).first()[0].year == 2003
