@@ -100,19 +100,21 @@ def take_in(
     place: Lakehouse,
     feed: str,
     tables: dict[str, DataFrame],
+    multi_line: bool = True,
     max_files: int | None = None,
     late: bool = False,
 ) -> DataFrame:
     """Bring what has arrived in ``feed`` through bronze to silver; all facts.
 
-    ``max_files`` bounds the files per micro-batch of both streams. ``late`` also tries the bronze
+    Documents come as arrays over many lines or, with ``multi_line=False``, one per line, which
+    lets large files be split and is read about twice as fast. ``max_files`` bounds the files per micro-batch of both streams. ``late`` also tries the bronze
     rows again that lacked a dimension so far, which reads all of bronze.
     """
     bronze_table, silver_table = place.table("fact_bronze"), place.table("fact_silver")
     dims = dims_of(star.hops, tables)
     bronze(
         spark, feed, star.feed.schema, bronze_table, place.checkpoint("bronze"),
-        max_files=max_files,
+        multi_line=multi_line, max_files=max_files,
     )
     silver(
         spark, bronze_table, dims, star.silver, silver_table, place.checkpoint("silver"),
@@ -139,11 +141,14 @@ def refresh(
     place: Lakehouse,
     sources: dict[str, DataFrame],
     feed: str,
-    late: bool = False,
+    **intake: bool | int,
 ) -> DataFrame:
-    """Replace the dimensions, take in new facts, recompute dates and gold; the gold report."""
+    """Replace the dimensions, take in new facts, recompute dates and gold; the gold report.
+
+    ``intake`` holds options of ``take_in``.
+    """
     tables = land_dimensions(spark, star, place, sources)
-    fact = take_in(spark, star, place, feed, tables, late=late)
+    fact = take_in(spark, star, place, feed, tables, **intake)
     land_dates(star, place, fact)
     return gold(fact, tables, star.gold, place.table("fact_gold"))
 
@@ -154,10 +159,11 @@ def rebuild(
     place: Lakehouse,
     sources: dict[str, DataFrame],
     feed: str,
+    **intake: bool | int,
 ) -> tuple[Lakehouse, DataFrame]:
     """Start over: drop the database, move to an unused folder and refresh everything there.
 
     Returns where the lakehouse now lives, which later refreshes need, and the gold report.
     """
     place = open_lakehouse(spark, place, fresh=True)
-    return place, refresh(spark, star, place, sources, feed)
+    return place, refresh(spark, star, place, sources, feed, **intake)

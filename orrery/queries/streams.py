@@ -77,6 +77,15 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(take_in(spark, trade.STAR, place, _feed(spark, sf_dir), tables))
 
 
+@query(_SILVER_SQL)
+def stream_silver_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a feed with one document per line, whose files Spark can split."""
+    place, folder = new_lakehouse(spark, "lines"), scratch(spark, "feed")
+    orders_by_day(spark, sf_dir).write.json(folder)
+    tables = land_dimensions(spark, trade.STAR, place, _sources(spark, sf_dir))
+    return _plain(take_in(spark, trade.STAR, place, folder, tables, multi_line=False))
+
+
 @query(f"""
     SELECT *, (SELECT count(*) FROM orders) AS bronze_rows FROM ({_SILVER_SQL})
 """)

@@ -68,7 +68,8 @@ def overwrite_table(
     """Replace the table, its schema included.
 
     ``bucket_by`` (buckets, key) stores the rows hashed and sorted by a key: two large tables
-    with the same buckets are then joined on it without a shuffle.
+    with the same buckets are then joined on it without a shuffle. A bucket is never split, so
+    the key should have no hot value.
     """
     writer = rows.write.format(format).mode("overwrite")
     if bucket_by:
