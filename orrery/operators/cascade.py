@@ -52,28 +52,30 @@ def cascade_update(
 ) -> tuple[dict[str, DataFrame], dict[Reference, DataFrame]]:
     """Replace values of a root key column by ``key_map`` (old, new) there and in its children.
 
-    ``old`` must be unique. Returns the changed tables, and for each blocking reference the rows
-    that hold a key about to change.
+    ``old`` must be unique. A reference of several columns with a null among them refers to
+    nothing and stays. Returns the changed tables, and for each blocking reference the rows that
+    hold a key about to change.
     """
+    moved = key_map.filter("old <> new")
     changed: dict[str, DataFrame] = {}
     blocked: dict[Reference, DataFrame] = {}
-    todo, seen = [(root, column)], set()
+    todo: list[tuple[str, str, list[str]]] = [(root, column, [])]
+    seen = set()
     while todo:
-        name, col = todo.pop(0)
+        name, col, beside = todo.pop(0)
         if (name, col) in seen:
             continue
         seen.add((name, col))
-        changed[name] = _remap(changed.get(name, tables[name]), col, key_map)
+        changed[name] = _remap(changed.get(name, tables[name]), col, beside, moved)
         for r in references:
             if r.parent != name or col not in r.parent_key:
                 continue
             child_col = r.child_key[r.parent_key.index(col)]
+            beside = [c for c in r.child_key if c != child_col]
             if r.cascade:
-                todo.append((r.child, child_col))
+                todo.append((r.child, child_col, beside))
             else:
-                rows = tables[r.child]
-                held = F.col(child_col) == F.col("old")
-                blocked[r] = rows.join(key_map.filter("old <> new").select("old"), held, "left_semi")
+                blocked[r] = _holding(tables[r.child], child_col, beside, moved, "left_semi")
     return changed, blocked
 
 
@@ -113,7 +115,15 @@ def _match(rows: DataFrame, keys: DataFrame, reference: Reference, how: str) ->
     return rows.join(keys, [rows[c] == keys[f"__{c}"] for c in reference.child_key], how)
 
 
-def _remap(rows: DataFrame, column: str, key_map: DataFrame) -> DataFrame:
-    pairs = key_map.select(F.col("old").alias("__old"), F.col("new").alias("__new"))
-    joined = rows.join(pairs, rows[column] == pairs["__old"], "left")
+def _holding(
+    rows: DataFrame, column: str, beside: list[str], moved: DataFrame, how: str
+) -> DataFrame:
+    """The rows joined to the moved key in ``column``, if the columns beside it are not null."""
+    pairs = moved.select(F.col("old").alias("__old"), F.col("new").alias("__new"))
+    condition = [rows[column] == pairs["__old"], *[rows[c].isNotNull() for c in beside]]
+    return rows.join(pairs, condition, how)
+
+
+def _remap(rows: DataFrame, column: str, beside: list[str], moved: DataFrame) -> DataFrame:
+    joined = _holding(rows, column, beside, moved, "left")
     return joined.withColumn(column, F.coalesce("__new", column)).drop("__old", "__new")

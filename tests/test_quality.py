@@ -137,3 +137,18 @@ def test_a_key_that_is_held_blocks_its_change(spark, hr):
     changed, blocked = cascade_update(hr, staff.REFERENCES, "employees", "employee_id", keys)
     assert ids(changed["dependents"], "employee_id") == [101, 900]
     assert ids(blocked[MANAGER], "employee_id") == [101, 104, 105]
+
+
+def test_a_reference_of_two_columns(spark):
+    turns = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "conv int, turn int")
+    notes = spark.createDataFrame(
+        [(10, 1, 1), (11, 1, None), (12, 2, 1), (13, None, 1)], "id int, conv int, turn int"
+    )
+    reference = Reference("notes", ("conv", "turn"), "turns", ("conv", "turn"))
+    tables = {"turns": turns, "notes": notes}
+    left, _ = cascade_delete(tables, (reference,), "turns", "conv = 1")
+    assert ids(left["notes"], "id") == [11, 12, 13]
+    keys = spark.createDataFrame([(1, 5), (2, 1)], "old int, new int")
+    changed, _ = cascade_update(tables, (reference,), "turns", "conv", keys)
+    assert ids(changed["turns"], "conv") == [1, 5, 5]
+    assert {r.id: r.conv for r in changed["notes"].collect()} == {10: 5, 11: 1, 12: 1, 13: None}
