@@ -69,7 +69,7 @@ def test_keys_sharing_a_title_weigh_by_their_fan_out(spark):
 
 
 def test_a_hot_key_is_combined_before_any_exchange(spark):
-    """Ten million joined rows per hot key are never built."""
+    """The 40 billion joined rows of this key are never built."""
     n = 200_000
     fact = spark.range(n).select(F.lit(1).alias("k"), F.lit(2.0).alias("x"))
     bridge = spark.range(n).select(F.lit(1).alias("k"), F.col("id").cast("double").alias("y"))
