@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import language_id, pii, quality_rules, url_filter
+from orrery.llm import fingerprints, language_id, packing, pii, quality_rules, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,6 +67,16 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_language(rows, language_model(docs)).drop("text")
 
 
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"))
+
+
+@query
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(load(spark, sf_dir, "documents"))
+
+
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = [k.name for k in pii.KINDS if k.base]
