@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import fingerprints, language_id, packing, pii, quality_rules, url_filter
+from orrery.llm import (
+    fingerprints, language_id, packing, pii, quality_classifier, quality_rules, source_mixing, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +24,32 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Topics by what a text looks like.
+TOPICS = (
+    ("licensed", "Licensed under"), ("tabular", r" \| "), ("shouting", r"\p{Lu}{3,}!!"), ("marked up", r"[%$&*#]{3}"),
+)
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """Large sources weigh less than their size, languages a little less, topics as they are."""
+    rows = docs.withColumns(
+        {
+            "n_tokens": source_mixing.count_tokens(F.col("text")),
+            "topic": source_mixing.topic_by_rules(F.col("text"), TOPICS, "prose"),
+        }
+    )
+    return source_mixing.mix_sources(
+        rows, by_source=source_mixing.Targets(alpha=0.7), by_language=source_mixing.Targets(alpha=0.9),
+        by_topic=source_mixing.Targets(),
+    )
+
+
+@query
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mixed(docs).drop("text")
+
+
 #: The rules of the task.
 URL_RULES = (
     url_filter.Rule("allow", "org/"),
@@ -40,6 +68,13 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    model = quality_classifier.train_quality_model(docs, load(spark, sf_dir, "labels"))
+    return quality_classifier.classify_quality(docs, model)
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source")
