@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.llm import (
-    fingerprints, language_id, packing, pii, quality_classifier, quality_rules, source_mixing, url_filter,
+    fingerprints, language_id, packing, pii, quality_classifier, quality_rules, source_mixing,
+    substring_dedup, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = substring_dedup.dedup_substrings(load(spark, sf_dir, "documents"))
+    return deduped.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 #: Topics by what a text looks like.
 TOPICS = (
     ("licensed", "Licensed under"), ("tabular", r" \| "), ("shouting", r"\p{Lu}{3,}!!"), ("marked up", r"[%$&*#]{3}"),

@@ -76,8 +76,11 @@ def find_words(texts: pa.Array, lower: bool = False) -> Words:
     offsets = offsets[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     raw = texts.buffers()[2]
     data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
-    data = data[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
+    return split_words(data[offsets[0] : offsets[-1]], offsets - offsets[0], lower)
+
+
+def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
+    """The words of texts that lie in ``data`` one after the other, text ``i`` from ``offsets[i]`` on."""
     if lower:
         data = _LOWER[data]
     inside = ~_IS_SPACE[data]
@@ -90,7 +93,19 @@ def find_words(texts: pa.Array, lower: bool = False) -> Words:
     after[:-1] = ~inside[1:]
     end = np.flatnonzero(inside & (after | edge[1:])) + 1
     row = np.searchsorted(offsets[1:], start, side="right")
-    return Words(data, start, end, row, len(texts))
+    return Words(data, start, end, row, len(offsets) - 1)
+
+
+def join_words(words: Words, chosen: np.ndarray | None = None) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The words (or the chosen ones) with one space after each, and where each begins and ends."""
+    start = words.start if chosen is None else words.start[chosen]
+    size = (words.end if chosen is None else words.end[chosen]) - start
+    begin = np.cumsum(size + 1) - size - 1
+    out = np.full(int((size + 1).sum()), 0x20, np.uint8)
+    shift = np.repeat(start - begin, size)
+    to = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(len(shift))
+    out[to] = words.data[to + shift]
+    return out.tobytes(), begin, begin + size
 
 
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
