@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.llm import (
-    fingerprints, language_id, packing, pii, quality_classifier, quality_rules, source_mixing,
-    substring_dedup, url_filter,
+    fingerprints, language_id, ngram_jaccard, packing, pii, quality_classifier, quality_rules,
+    source_mixing, substring_dedup, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify_quality(docs, model)
 
 
+@query
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.jaccard_components(load(spark, sf_dir, "documents"))
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source")

@@ -27,10 +27,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the odd base modulo 2^64, and their inverses."""
     if not _POWERS or len(_POWERS[0]) <= n:
         size = max(n + 1, 1 << 16)
-        _POWERS[:] = [
-            np.cumprod(np.concatenate([[1], np.full(size, base)]).astype(np.uint64))
-            for base in (_BASE, pow(_BASE, -1, 1 << 64))
-        ]
+        steps = [np.full(size + 1, base, np.uint64) for base in (_BASE, pow(_BASE, -1, 1 << 64))]
+        for step in steps:
+            step[0] = 1
+        _POWERS[:] = [np.cumprod(step, dtype=np.uint64) for step in steps]
     return _POWERS[0], _POWERS[1]
 
 
