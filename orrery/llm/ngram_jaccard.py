@@ -6,18 +6,19 @@ documents share. Only products that can reach the wanted similarity are formed:
 1. Documents with equal sets are one row of the matrix (they are linked; none of their pairs is formed).
 2. The matrix is dealt out by blocks of columns, which count in how many rows each n-gram occurs. A row that shares fewer than
    three quarters of its n-grams with any other row can't reach the bound and is left out.
-3. The first block holds, for each row, so many of its smallest hashes that two rows above the bound must share
-   one. In its columns every row is multiplied with one pivot row; the pivot with the largest sum is checked against the
-   rest of the columns. Most near copies are linked here, with one pair per row.
-4. Rows of different components that still share a column of the first block are multiplied: sums over the block,
-   plus at most the smaller rest, must reach the overlap that the two sizes ask for; the other blocks then give the exact sum.
+3. The first block holds, for each row, so many of its n-grams (frequent ones last) that two rows above the bound
+   must share one. In its columns every row is multiplied with one central row; the one with the largest sum is then checked in
+   all columns. Most near copies are linked here, with one pair per row.
+4. Entries of the first block whose row can't reach the bound with a row of another component are left out, by
+   the sizes and by how much each row shares at all. The other rows form blocks; blocks with a column in common
+   are multiplied, one block of columns after the other, and their sums compared with what the two sizes ask for.
 
 So no link between different components is lost, and pairs within a component are not enumerated. N-grams are held as 64-bit hashes.
 
 Results for odd inputs: a text without words has an empty set, no link and itself as component; a text with
-fewer words than n has one n-gram; rows with equal ids are one document if their texts are equal, and otherwise each is
-linked on its own, a link of one counting for the id; a null id sorts last and its component is null if nothing
-smaller can be reached; an empty table gives no rows; only id and text are read.
+fewer words than n has one n-gram; rows that share an id are one document, so a link of one counts for all, and so are
+rows without an id; a null id sorts last and its component is null if nothing smaller can be reached; an empty
+table gives no rows; only id and text are read.
 """
 
 from __future__ import annotations
@@ -37,6 +38,11 @@ from orrery.llm.text import Words, chunks, find_words, mix, ngram_hashes
 LAST_ID = (1 << 63) - 1
 #: The bits of the table that says which rows may take part; at most so many.
 MOST_BITS = 1 << 26
+#: The most n-grams that a list of frequent ones may hold.
+MOST_FREQUENT = 1 << 20
+#: Rows and columns of a block of the product.
+BLOCK_ROWS = 256
+BLOCK_COLUMNS = 4096
 
 
 def shingle_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +86,13 @@ def _describe(n: int):
     return describe
 
 
-def _deal(n: int, buckets: int):
+def _sieve(part: pa.RecordBatch, size: int, bits: np.ndarray) -> pa.RecordBatch:
+    """The rows whose id may be in the table of bits."""
+    slot = part.column("slot").to_numpy() % size
+    return part.filter(pa.array((bits[slot >> 5] >> (slot & 31)) & 1 == 1))
+
+
+def _deal(n: int, buckets: int, size: int, bits):
     """The columns' entries by bucket: 32 bits of the hash, and the row unless the chunk has the n-gram in several rows.
 
     N-grams in several rows of the chunk are known to be shared; those rows are credited at once. Two n-grams
@@ -91,6 +103,7 @@ def _deal(n: int, buckets: int):
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for part in chunks(batch, "text"):
+                part = _sieve(part, size, bits.value)
                 row, hashed = shingle_sets(find_words(part.column("text"), lower=True), n)
                 ids = part.column("id").to_numpy()
                 order = np.argsort(hashed, kind="stable")
@@ -132,31 +145,57 @@ def _deal(n: int, buckets: int):
     return deal
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """How many n-grams of a bucket each row shares with some other row."""
+def _shared(parts: int):
+    """How many n-grams of a bucket each row shares with some other row, packed by a hash of the row's id."""
+
+    def shared(table: pa.Table) -> pa.Table:
+        unpress, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        lows, owners, known, all_ids, all_n = [], [], [], [], []
+        for blob in table.column("entries").to_pylist():
+            multi, rows, size = struct.unpack_from("<3I", blob)
+            head = unpress.decompress(blob[12 : 12 + size]) if rows else b""
+            ids = np.cumsum(np.frombuffer(head, np.int64, rows))
+            count = np.frombuffer(head, np.uint32, rows, 8 * rows)
+            low = np.frombuffer(blob, np.uint32, -1, 12 + size)
+            lows.append(low)
+            owners.append(np.concatenate([np.zeros(multi, np.int64), np.repeat(ids, count)]))
+            known.append(np.arange(len(low)) >= multi)
+        for blob in table.column("credits").to_pylist():
+            if blob:
+                ids, credit = np.frombuffer(unpress.decompress(blob), np.int64).reshape(2, -1)
+                all_ids.append(ids)
+                all_n.append(credit)
+        low, owner = np.concatenate(lows), np.concatenate(owners)
+        order = np.argsort(low, kind="stable")
+        low, owner = low[order], owner[order]
+        same = low[1:] == low[:-1]
+        hit = (np.append(same, False) | np.append(False, same)) & np.concatenate(known)[order]
+        ids, times = np.unique(owner[hit], return_counts=True)
+        ids, times = np.concatenate([ids, *all_ids]), np.concatenate([times, *all_n]).astype(np.int64)
+        part = (mix(ids.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        ids, times, part = ids[order], times[order], part[order]
+        cuts = np.flatnonzero(np.diff(part, prepend=-1))
+        packed = [
+            press.compress(np.diff(ids[a:b], prepend=0).tobytes() + times[a:b].astype(np.uint32).tobytes())
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)])
+        ]
+        return pa.table(
+            [pa.array(part[cuts], pa.int32()), pa.array(packed, pa.binary())], names=["part", "counts"]
+        )
+
+    return shared
+
+
+def _total(table: pa.Table) -> pa.Table:
+    """The sum of each row's counts over all buckets."""
     unpress = zstandard.ZstdDecompressor()
-    lows, owners, credit_ids, credit_n = [], [], [], []
-    for blob in table.column("entries").to_pylist():
-        multi, rows, size = struct.unpack_from("<3I", blob)
-        head = unpress.decompress(blob[12 : 12 + size]) if rows else b""
-        ids = np.cumsum(np.frombuffer(head, np.int64, rows))
-        count = np.frombuffer(head, np.uint32, rows, 8 * rows)
-        lows.append(np.frombuffer(blob, np.uint32, -1, 12 + size))
-        owners.append(np.concatenate([np.zeros(multi, np.int64), np.repeat(ids, count)]))
-        owners[-1] = np.stack([owners[-1], np.append(np.zeros(multi, np.int64), np.ones(int(count.sum()), np.int64))])
-    for blob in table.column("credits").to_pylist():
-        if blob:
-            both = np.frombuffer(unpress.decompress(blob), np.int64).reshape(2, -1)
-            credit_ids.append(both[0])
-            credit_n.append(both[1])
-    low, owner = np.concatenate(lows), np.concatenate(owners, axis=1)
-    order = np.argsort(low, kind="stable")
-    low, owner = low[order], owner[:, order]
-    same = low[1:] == low[:-1]
-    hit = (np.append(same, False) | np.append(False, same)) & (owner[1] == 1)
-    ids, n = np.unique(owner[0][hit], return_counts=True)
+    raw = [unpress.decompress(b) for b in table.column("counts").to_pylist()]
+    ids = np.concatenate([np.cumsum(np.frombuffer(r, np.int64, len(r) // 12)) for r in raw])
+    times = np.concatenate([np.frombuffer(r, np.uint32, -1, 8 * (len(r) // 12)) for r in raw])
+    ids, where = np.unique(ids, return_inverse=True)
     return pa.table(
-        [pa.array(np.concatenate([ids, *credit_ids])), pa.array(np.concatenate([n, *credit_n]).astype(np.int64))],
+        [pa.array(ids), pa.array(np.bincount(where, times, minlength=len(ids)).astype(np.int64))],
         names=["id", "shared"],
     )
 
@@ -182,9 +221,7 @@ def _sets(n: int, size: int, bits):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
-                slot = part.column("slot").to_numpy() % size
-                passed = (bits.value[slot >> 5] >> (slot & 31)) & 1 == 1
-                part = part.filter(pa.array(passed))
+                part = _sieve(part, size, bits.value)
                 words = find_words(part.column("text"), lower=True)
                 row, hashed = shingle_sets(words, n)
                 cut = np.searchsorted(row, np.arange(words.rows + 1)).astype(np.int32)
@@ -198,6 +235,43 @@ def _sets(n: int, size: int, bits):
     return sets
 
 
+def _frequent(sets: DataFrame) -> np.ndarray:
+    """N-grams in so many rows that at most ``MOST_FREQUENT`` n-grams can be in as many, and in 64 at least."""
+    entries = sets.agg(F.sum("n")).first()[0] or 0
+    least = max(64, -(-entries // MOST_FREQUENT))
+    counted = sets.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("rows"))
+    found = counted.where(F.col("rows") >= least).select("gram").toArrow()
+    return np.sort(found.column("gram").to_numpy())
+
+
+def _first_block(percent: int, frequent):
+    """So many n-grams of each row, in one order for all rows, that two rows above the bound have one in common.
+
+    The order is by hash with frequent n-grams last: what many rows share is no evidence for a pair.
+    """
+
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = batch.column("grams")
+            flat = grams.flatten().to_numpy()
+            size = batch.column("n").to_numpy()
+            row = np.repeat(np.arange(len(size)), size)
+            at = np.minimum(np.searchsorted(frequent.value, flat), max(len(frequent.value) - 1, 0))
+            late = frequent.value[at] == flat if len(frequent.value) else np.zeros(len(flat), bool)
+            order = np.lexsort((flat, late, row))
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+            chosen = order[place < np.repeat(size - -(-percent * size // 100) + 1, size)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c).take(pa.array(row[chosen])) for c in ("id", "n", "shared")),
+                    pa.array(flat[chosen]),
+                ],
+                names=["id", "n", "shared", "gram"],
+            )
+
+    return block
+
+
 def _overlap_needed(a: Column, b: Column, percent: int) -> Column:
     """The smallest overlap with 100 * overlap >= percent * union, by the two sizes."""
     return F.ceil(F.lit(percent) * (a + b) / F.lit(100.0 + percent) - 1e-9)
@@ -213,30 +287,179 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * overlap >= percent * union).select("a", "b")
 
 
+def _within_reach(a: str, b: str, percent: int) -> Column:
+    """No overlap exceeds what either row shares with any other; the sizes ask for at least so much."""
+    needed = _overlap_needed(F.col(f"n_{a}"), F.col(f"n_{b}"), percent)
+    return F.least(f"shared_{a}", f"shared_{b}") >= needed
+
+
 def _stars(block: DataFrame, percent: int) -> DataFrame:
-    """For each row the pivot (smallest id of a column, among rows of about its size) with the largest sum over the block."""
+    """For each row the pivot of its columns with the largest sum over the block.
+
+    A column's pivot, among rows of about one size, is the most central one: whose columns are the fullest
+    on average. Of copies that were each changed a little, that is the one changed least.
+    """
     kind = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).alias("kind")
-    columns = block.select("gram", "id", "label", "n", kind)
-    pivots = columns.groupBy("gram", "kind").agg(F.min(F.struct("label", "id")).alias("pivot"))
-    pairs = columns.join(pivots, ["gram", "kind"]).where("label <> pivot.label")
+    full = store(block.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1"), "columns")
+    held = block.select("gram", "id", "n", "shared", kind).join(full, "gram")
+    # Columns that only one row has count as empty ones.
+    central = F.sum("rows") / _prefix(F.first("n"), percent)
+    central = store(held.groupBy("id").agg(central.alias("central")), "central")
+    columns = store(held.join(central, "id"), "columns")
+    pivots = store(
+        columns.groupBy("gram", "kind").agg(
+            F.max(F.struct("central", (-F.col("id")).alias("id"), "n", "shared")).alias("pivot"), F.count("*").alias("in")
+        ).where(F.col("in") > 1).select(
+            "gram", "kind", (-F.col("pivot.id")).alias("a"), F.col("pivot.n").alias("n_a"),
+            F.col("pivot.shared").alias("shared_a"),
+        ),
+        "pivots",
+    )
+    pairs = columns.select(
+        "gram", "kind", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b")
+    ).join(pivots, ["gram", "kind"]).where((F.col("a") != F.col("b")) & _within_reach("a", "b", percent))
     return (
-        pairs.groupBy("id", F.col("pivot.id").alias("a")).agg(F.count("*").alias("sum"))
-        .groupBy("id").agg(F.max(F.struct("sum", -F.col("a"))).alias("best"))
-        .select((-F.col("best.col2")).alias("a"), F.col("id").alias("b"))
+        pairs.groupBy("b", "a").agg(F.count("*").alias("sum"))
+        .groupBy("b").agg(F.max(F.struct("sum", (-F.col("a")).alias("a"))).alias("best"))
+        .select((-F.col("best.a")).alias("a"), "b")
     )
 
 
-def _across(block: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that pass the bound on their sums over the first block."""
-    left = block.select("gram", F.col("id").alias("a"), F.col("label").alias("label_a"), F.col("n").alias("n_a"))
-    right = block.select("gram", F.col("id").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b"))
-    crossed = left.join(right, "gram").where(
-        (F.col("label_a") < F.col("label_b"))
-        & (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
+def _open(block: DataFrame, percent: int) -> DataFrame:
+    """The entries whose row may reach the bound with a row of another component in the same column.
+
+    A row that shares s n-grams with any other can only be linked to rows up to a certain size; a column tells
+    the smallest size, and the largest size that any row allows, among rows of other components.
+    """
+    most = F.floor(F.col("shared") * (100.0 + percent) / percent - F.col("n") + 1e-9)
+    rows = block.withColumn("most", most)
+    first = store(
+        rows.groupBy("gram").agg(
+            F.min(F.struct("n", "label")).alias("low"), F.max(F.struct("most", "label")).alias("high"),
+            F.min("label").alias("one"), F.max("label").alias("other"),
+        ).where("one < other").drop("one", "other"),
+        "columns",
+    )
+    rows = store(rows.join(first, "gram"), "entries")
+    second = store(
+        rows.groupBy("gram").agg(
+            F.min(F.when(F.col("label") != F.col("low.label"), F.col("n"))).alias("low2"),
+            F.max(F.when(F.col("label") != F.col("high.label"), F.col("most"))).alias("high2"),
+        ),
+        "columns",
+    )
+    low = F.when(F.col("label") == F.col("low.label"), F.col("low2")).otherwise(F.col("low.n"))
+    high = F.when(F.col("label") == F.col("high.label"), F.col("high2")).otherwise(F.col("high.most"))
+    return store(
+        rows.join(second, "gram").where((low <= F.col("most")) & (high >= F.col("n")))
+        .select("gram", "id", "label", "n", "shared"),
+        "entries",
+    )
+
+
+def _blocks(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows dealt into blocks of about ``BLOCK_ROWS``, and the pairs of blocks with a column in common.
+
+    A row lives with the others of its fullest column, so near copies lie in few blocks; a full column is many
+    blocks.
+    """
+    full = store(entries.groupBy("gram").agg(F.count("*").alias("rows")), "columns")
+    homes = store(
+        entries.join(full, "gram").groupBy("id").agg(
+            F.max(F.struct("rows", "gram")).alias("home"), F.first("label").alias("label")
+        ).select("id", "label", F.col("home.gram").alias("home")),
+        "homes",
+    )
+    size = store(homes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("parts")), "homes")
+    blocks = store(
+        homes.join(size, "home").select(
+            "id", "label", F.xxhash64("home", F.pmod(F.xxhash64("id"), F.col("parts"))).alias("block")
+        ),
+        "blocks",
+    )
+    held = store(
+        entries.select("gram", "id", "label").join(blocks.select("id", "block"), "id").groupBy("gram", "block").agg(
+            F.min("label").alias("low"), F.max("label").alias("high")
+        ),
+        "held",
+    )
+    sides = [
+        held.select("gram", F.col("block").alias(b), F.col("low").alias(f"low_{b}"), F.col("high").alias(f"high_{b}"))
+        for b in ("p", "q")
+    ]
+    differ = F.least("low_p", "low_q") < F.greatest("high_p", "high_q")
+    pairs = sides[0].join(sides[1], "gram").where((F.col("p") <= F.col("q")) & differ).select("p", "q").distinct()
+    return blocks, store(pairs, "pairs")
+
+
+def _product(percent: int):
+    """Links between the rows of two blocks, one for each pair of components."""
+
+    def multiply(rows: list[tuple[int, int, bool, np.ndarray]]) -> list[tuple[int, int]]:
+        ids, labels = (np.array([r[k] for r in rows]) for k in range(2))
+        left = np.array([r[2] for r in rows])
+        # Rows of the same block are on both sides.
+        ours = np.flatnonzero(left)
+        theirs = np.flatnonzero(~left) if not left.all() else ours
+        size = np.array([len(r[3]) for r in rows])
+        row = np.repeat(np.arange(len(rows)), size)
+        grams, column, times = np.unique(
+            np.concatenate([r[3] for r in rows]), return_inverse=True, return_counts=True
+        )
+        several = times[column] > 1
+        row, column = row[several], column[several]
+        names, column = np.unique(column, return_inverse=True)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        overlap = np.zeros((len(ours), len(theirs)), np.float32)
+        for first in range(0, len(names), BLOCK_COLUMNS):
+            a, b = np.searchsorted(column, [first, first + BLOCK_COLUMNS])
+            block = np.zeros((len(rows), BLOCK_COLUMNS), np.float32)
+            block[row[a:b], column[a:b] - first] = 1
+            overlap += block[ours] @ block[theirs].T
+        union = size[ours][:, None] + size[theirs][None, :] - overlap
+        x, y = np.nonzero((100 * overlap >= percent * union) & (labels[ours][:, None] != labels[theirs][None, :]))
+        found = {}
+        for i, j in zip(ours[x].tolist(), theirs[y].tolist()):
+            found.setdefault((min(labels[i], labels[j]), max(labels[i], labels[j])), (int(ids[i]), int(ids[j])))
+        return list(found.values())
+
+    def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, out = None, [], []
+        for batch in batches:
+            grams = batch.column("grams")
+            cut, flat = grams.offsets.to_numpy(), grams.values.to_numpy()
+            columns = (batch.column(c).to_pylist() for c in ("p", "q", "id", "label", "left"))
+            for i, (p, q, id_, label, left) in enumerate(zip(*columns)):
+                if (p, q) != key:
+                    out += multiply(rows) if len(rows) > 1 else []
+                    key, rows = (p, q), []
+                rows.append((id_, label, left, flat[cut[i] : cut[i + 1]].copy()))
+            yield _pairs(out)
+            out = []
+        yield _pairs(multiply(rows) if len(rows) > 1 else [])
+
+    return product
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([f[k] for f in found], pa.int64()) for k in range(2)], names=["a", "b"]
+    )
+
+
+def _across(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components among rows that share an open column, from the products of their blocks."""
+    blocks, pairs = _blocks(entries)
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sides = pairs.select("p", "q", F.col("p").alias("block"), F.lit(True).alias("left")).union(
+        pairs.where("p <> q").select("p", "q", F.col("q").alias("block"), F.lit(False).alias("left"))
+    )
+    rows = sides.join(blocks, "block").join(sets.select("id", "grams"), "id")
+    return (
+        rows.select("p", "q", "id", "label", "left", "grams").repartition(parts, "p", "q")
+        .sortWithinPartitions("p", "q").mapInArrow(_product(percent), "a long, b long")
     )
-    sums = crossed.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("sum"))
-    rest = F.least(F.col("n_a") - _prefix(F.col("n_a"), percent), F.col("n_b") - _prefix(F.col("n_b"), percent))
-    return sums.where(F.col("sum") + rest >= _overlap_needed(F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
 def _prefix(n: Column, percent: int) -> Column:
@@ -246,7 +469,7 @@ def _prefix(n: Column, percent: int) -> Column:
 
 def jaccard_components(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", *, n: int = 5, percent: int = 75,
-    buckets: int | None = None, stars: int = 2,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Per row: id, size of its set, and the smallest id reachable by links of at least ``percent`` Jaccard similarity."""
     spark = df.sparkSession
@@ -255,32 +478,33 @@ def jaccard_components(
     described = store(rows.mapInArrow(_describe(n), "id long, n long, sum1 long, sum2 long"), "sizes")
     same = ["n", "sum1", "sum2"]
     classes = store(described.where("n > 0").groupBy(*same).agg(F.min("id").alias("rep")), "classes")
+    slots = rows.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(MOST_BITS)))
+    size, bits = _bits(classes.select(F.col("rep").alias("id")))
+    dealt = slots.mapInArrow(
+        _deal(n, buckets, size, spark.sparkContext.broadcast(bits)), "bucket int, entries binary, credits binary"
+    )
     shared = (
-        rows.mapInArrow(_deal(n, buckets), "bucket int, entries binary, credits binary")
-        .groupBy("bucket").applyInArrow(_shared, "id long, shared long")
-        .groupBy("id").agg(F.sum("shared").alias("shared"))
+        dealt.groupBy("bucket").applyInArrow(_shared(buckets), "part int, counts binary")
+        .groupBy("part").applyInArrow(_total, "id long, shared long")
     )
     able = store(
         classes.join(shared, classes["rep"] == shared["id"]).where(100 * F.col("shared") >= percent * F.col("n"))
-        .select("id"),
+        .groupBy("id").agg(F.max("shared").alias("shared")),
         "able",
     )
     size, bits = _bits(able)
-    slots = rows.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(MOST_BITS)))
     passed = slots.mapInArrow(_sets(n, size, spark.sparkContext.broadcast(bits)), "id long, grams array<long>")
-    sets = store(passed.join(able.distinct(), "id", "left_semi").withColumn("n", F.size("grams").cast("long")), "sets")
-    block = store(
-        sets.select("id", "n", F.explode(F.slice("grams", F.lit(1), _prefix(F.col("n"), percent))).alias("gram")),
-        "block",
+    sized = passed.join(able, "id").withColumn("n", F.size("grams").cast("long"))
+    sets = store(sized.withColumn("shared", F.least("shared", "n")), "sets")
+    frequent = spark.sparkContext.broadcast(_frequent(sets))
+    block = store(sets.mapInArrow(_first_block(percent, frequent), "id long, n long, shared long, gram long"), "block")
+    links = store(_linked(_stars(block, percent), sets, percent), "links")
+    labels = connected_components(links)
+    labelled = block.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    more = _across(_open(labelled, percent), sets, percent)
+    labels = connected_components(
+        store(more.union(labels.select(F.col("id").alias("a"), F.col("label").alias("b"))), "links")
     )
-    links = None
-    labelled = block.withColumn("label", F.col("id"))
-    for _ in range(stars):
-        found = _linked(_stars(labelled, percent), sets, percent)
-        links, labels = _merge(found, links)
-        labelled = _relabel(block, labels)
-    found = _linked(_across(labelled, sets, percent), sets, percent)
-    links, labels = _merge(found, links)
     members = described.join(classes, same, "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
     labels = labels.select(F.col("id").alias("rep"), "label")
     return members.join(labels, "rep", "left").select(
@@ -289,22 +513,6 @@ def jaccard_components(
     )
 
 
-def _merge(found: DataFrame, links: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """All links so far, and the components they form; those of earlier rounds enter as one link per row."""
-    found = store(found if links is None else found.union(links), "links")
-    labels = connected_components(found)
-    return labels.select(F.col("id").alias("a"), F.col("label").alias("b")).where("a <> b"), labels
-
-
-def _relabel(block: DataFrame, labels: DataFrame) -> DataFrame:
-    """The columns of the first block that still hold rows of different components."""
-    named = store(
-        block.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "block"
-    )
-    mixed = named.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    return store(named.join(mixed.select("gram"), "gram", "left_semi"), "block")
-
-
 def keep_representatives(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", *, n: int = 5, percent: int = 75,
 ) -> DataFrame:

@@ -1,0 +1,206 @@
+"""Mixing, packing, fingerprints and the pipeline."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from orrery.llm import fingerprints, packing, source_mixing
+from orrery.llm.queries import QUERIES, load
+from orrery.llm.source_mixing import Targets
+from tests.llm import brute
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def cells(seed: int = 3) -> list[tuple]:
+    rng = random.Random(seed)
+    return [
+        (i, rng.choice(["a", "a", "b", None]), rng.choice(["en", "de", None]), rng.choice("xyz"), rng.randrange(200))
+        for i in range(500)
+    ]
+
+
+def test_marginals_meet_their_targets(spark):
+    frame = spark.createDataFrame(cells(), "doc_id long, source string, lang string, topic string, n_tokens long")
+    wanted = {"a": 0.2, "b": 0.5, None: 0.3}
+    got = source_mixing.mix_sources(
+        frame, by_source=Targets(wanted), by_language=Targets(alpha=0.5), by_topic=Targets({"x": 1, "y": 1, "z": 2})
+    ).collect()
+    assert len(got) == 500 and max(r["probability"] for r in got) <= 1.0 + 1e-9
+    tokens, mass = Counter(), defaultdict(Counter)
+    for r in got:
+        tokens[r["lang"]] += r["n_tokens"]
+        for c in ("source", "lang", "topic"):
+            mass[c][r[c]] += r["weight"] * r["n_tokens"]
+    total = sum(mass["lang"].values())
+    root = {k: v**0.5 for k, v in tokens.items()}
+    for c, want in (("source", wanted), ("topic", {"x": 0.25, "y": 0.25, "z": 0.5}), ("lang", {k: v / sum(root.values()) for k, v in root.items()})):
+        for k, share in want.items():
+            assert mass[c][k] / total == pytest.approx(share, abs=1e-5)
+
+
+def test_raking_equals_plain_iteration(spark):
+    rows = cells(8)
+    frame = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, n_tokens long")
+    got = source_mixing.mix_sources(
+        frame, by_source=Targets(alpha=0.5), by_language=Targets(alpha=0.0), by_topic=Targets(), expected_tokens=5000.0
+    ).collect()
+    keys = [sorted({r[k] for r in rows}, key=str) for k in (1, 2, 3)]
+    t = np.zeros([len(k) for k in keys])
+    for _, s, l, k, n in rows:
+        t[keys[0].index(s), keys[1].index(l), keys[2].index(k)] += n
+    w = t.copy()
+    targets = [t.sum(axis=(1, 2)) ** 0.5, t.sum(axis=(0, 2)) ** 0.0, t.sum(axis=(0, 1))]
+    for _ in range(200):
+        for axis, target in enumerate(targets):
+            others = tuple(a for a in range(3) if a != axis)
+            ratio = target / target.sum() / (w.sum(axis=others) / w.sum())
+            w *= ratio.reshape([-1 if a == axis else 1 for a in range(3)])
+    rate = np.divide(w, t, out=np.zeros_like(w), where=t > 0) * 5000 / w.sum()
+    for r in got:
+        want = rate[keys[0].index(r["source"]), keys[1].index(r["lang"]), keys[2].index(r["topic"])]
+        if want:
+            assert r["weight"] == pytest.approx(want, rel=1e-3)
+
+
+def test_mixing_of_odd_tables(spark):
+    schema = "doc_id long, source string, lang string, topic string, n_tokens long, weight int"
+    frame = spark.createDataFrame([(1, "a", "en", "x", 0, 9), (1, "a", "en", "x", 0, 9), (None, None, None, None, None, None)], schema)
+    mix = lambda f: source_mixing.mix_sources(f, by_source=Targets(), by_language=Targets(), by_topic=Targets())
+    got = mix(frame).collect()
+    assert len(got) == 3 and not any(r["sampled"] for r in got)
+    assert mix(frame.limit(0)).collect() == []
+
+
+def naive_best_fit(counts: dict[int, int], capacity: int) -> list[int]:
+    """Room left in each window when pieces go one by one into the tightest that is large enough."""
+    rooms: list[int] = []
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            open_ = [r for r in rooms if r >= length]
+            if open_:
+                rooms[rooms.index(min(open_))] -= length
+            else:
+                rooms.append(capacity - length)
+    return sorted(rooms)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_equals_best_fit_one_by_one(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([7, 16, 50])
+    counts = {n: rng.randrange(1, 9) for n in rng.sample(range(1, capacity + 1), rng.randrange(1, min(12, capacity)))}
+    plan = packing.best_fit(counts, capacity)
+    used: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    steps = list(zip(plan.length.tolist(), plan.first.tolist(), plan.sequence.tolist(), plan.offset.tolist()))
+    for length, count in counts.items():
+        own = sorted(s for s in steps if s[0] == length)
+        for nth in range(count):
+            _, first, sequence, offset = [s for s in own if s[1] <= nth][-1]
+            used[sequence + nth - first].append((offset, length))
+    for pieces in used.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    assert sorted(used) == list(range(len(used)))
+    assert sorted(capacity - sum(n for _, n in p) for p in used.values()) == naive_best_fit(counts, capacity)
+
+
+def tokens(texts: list[str | None]) -> list[list[int]]:
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    return [e.ids + [1] for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def test_packing_returns_every_token_once(spark):
+    texts = [None, "", "It's  a\tTEST\u00a0e\u0301 日本 <|endoftext|>x", "we'll " * 5000, "Été\n" * 700, "same", "same"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("start", F.lit("x"))
+    ids = tokens(texts)
+    rows = packing.pack(frame).collect()
+    pieces, windows = defaultdict(list), defaultdict(list)
+    for r in rows:
+        own = ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert zlib.crc32(np.array(own, "<u4").tobytes()) == r["ids_crc32"]
+        assert r["doc_tokens"] == len(ids[r["doc_id"]])
+        pieces[r["doc_id"]].append((r["start"], r["length"]))
+        windows[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert {d: sum(n for _, n in p) for d, p in pieces.items()} == {i: len(t) for i, t in enumerate(ids)}
+    for held in windows.values():
+        assert sum(n for _, n in held) <= 2048
+        assert [o for o, _ in sorted(held)] == np.cumsum([0] + [n for _, n in sorted(held)])[:-1].tolist()
+    assert packing.pack(frame.limit(0)).collect() == []
+
+
+def test_little_padding(spark):
+    rows = QUERIES["op8_packing"](spark, SF_DIR).collect()
+    total, windows = sum(r["length"] for r in rows), len({r["sequence_id"] for r in rows})
+    assert total / (2048 * windows) > 0.97
+
+
+def test_fingerprints_of_neighbours(spark):
+    docs = sorted((r["doc_id"], r["text"]) for r in load(spark, SF_DIR, "documents").select("doc_id", "text").collect())
+    got = {r["doc_id"]: r for r in QUERIES["op9_fingerprints"](spark, SF_DIR).collect()}
+    assert len(got) == len(docs)
+    for (doc_id, text), (_, following) in zip(docs, docs[1:] + docs[:1]):
+        edited = fingerprints.edit(text, following)
+        r = got[doc_id]
+        assert r["n_chars"] == len(text)
+        assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert r["fingerprint"] == fingerprints.fingerprint(text)
+        assert r["near_next"] == fingerprints.likeness(r["fingerprint"], fingerprints.fingerprint(following))
+
+
+def test_fingerprints_tell_edits_apart():
+    text = "\n".join(f"Line {i} says something. And {i * 7} more." for i in range(200))
+    tree = fingerprints.fingerprint(text)
+    changed = fingerprints.fingerprint(text.replace("Line 100 says", "Line 100 said"))
+    assert tree.partition(":")[0] != changed.partition(":")[0]
+    assert 0.98 < fingerprints.likeness(tree, changed) < 1
+    assert 1 <= len(fingerprints.differing(tree, changed)) <= 3
+    assert fingerprints.likeness(tree, fingerprints.fingerprint("Something else entirely")) == 0
+    assert fingerprints.likeness(fingerprints.fingerprint(""), fingerprints.fingerprint("")) == 1
+    assert 0.4 < fingerprints.likeness(tree, fingerprints.fingerprint(fingerprints.edit(text, "z" * 9000))) < 0.8
+
+
+def test_fingerprints_of_odd_tables(spark):
+    rows = [(None, "null id"), (3, None), (1, "a. b. c."), (1, "a. b. c."), (2, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("copied", F.lit(5))
+    got = fingerprints.compare_with_next(frame).collect()
+    assert sorted((str(r["doc_id"]), r["n_chars"]) for r in got) == [("1", 8), ("1", 8), ("2", 0), ("3", 0), ("None", 7)]
+    assert sorted(r["near_next"] for r in got if r["doc_id"] == 1) == [0.0, 1.0]
+    assert fingerprints.compare_with_next(frame.limit(0)).collect() == []
+    (alone,) = fingerprints.compare_with_next(frame.where("doc_id = 2")).collect()
+    assert alone["near_next"] == 1.0
+
+
+def test_pipeline_stage_by_stage(spark, tmp_path):
+    before = load(spark, SF_DIR, "documents")
+    extra = spark.createDataFrame([(10_000, "1234 5678", "en", "src0", 9), (10_001, None, None, None, None)], before.schema)
+    docs = before.union(extra)
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF_DIR).write.parquet(f"{tmp_path}/{k}")
+        after = spark.read.parquet(f"{tmp_path}/{k}")
+        ids = lambda f: {r["doc_id"] for r in f.select("doc_id").collect()}
+        if k == 0:
+            assert ids(docs) - ids(after) == {10_000, 10_001}
+        if k == 1:
+            rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+            assert ids(after) == {c for _, c in brute.components(rows).values()}
+        if k == 2:
+            assert ids(after) == ids(docs)
+            assert not any(sum(map(len, brute.pii(r["text"]).values())) for r in after.collect())
+        if k == 3:
+            assert set(after.columns) == set(corpus_pipeline.COLUMNS) and 0 < after.count() < docs.count()
+        docs = after
+    assert docs.agg(F.max("length")).first()[0] <= 2048
