@@ -14,10 +14,10 @@ ORACLE_SQL = None
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or whose best language gets less than half of the likelihood, go."""
+    """Documents without a letter, or of which no language gets a clear share of the likelihood, go."""
     model = queries.language_model(docs)
     judged = language_id.identify_language(docs, model, into="_pred", score="_score")
-    kept = judged.where((F.col("_pred") != language_id.UNKNOWN) & (F.col("_score") >= 0.5))
+    kept = judged.where((F.col("_pred") != language_id.UNKNOWN) & (F.col("_score") >= 0.35))
     return kept.withColumn("lang", F.coalesce("lang", "_pred")).select(*COLUMNS)
 
 
