@@ -35,7 +35,10 @@ RESULT = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
 #: Words whose ids a worker remembers before it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+
+# A run of Latin letters before closing punctuation: the tokenizer splits them there in any case.
+_CLOSED = r"([a-zA-ZÀ-ÖØ-öø-ÿ])([.,!%&*$#]+)([\t\n\v\f\r ]|$)"
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -47,7 +50,8 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 class Encoder:
     """Ids of texts, word by word: words between ASCII spaces are encoded once and remembered.
 
-    This equals encoding whole texts for tokenizers that drop white space and never merge across it.
+    This equals encoding whole texts for tokenizers that fold case, drop white space, never merge across it and
+    keep letters and punctuation apart.
     """
 
     def __init__(self, path: str) -> None:
@@ -66,9 +70,18 @@ class Encoder:
             self.ids[word] = np.array(coded.ids, "<u4").tobytes()
         return [self.ids[w] for w in words]
 
+    def _fewer_words(self, texts: pa.Array) -> pa.Array:
+        """Texts with the same ids but fewer distinct words: A-Z folded, closing punctuation set apart.
+
+        The names of special tokens are told by their case, so texts that may hold one are left as they are.
+        """
+        if pc.any(pc.match_substring(texts, "<|")).as_py():
+            return texts
+        return pc.replace_substring_regex(pc.ascii_lower(texts), _CLOSED, r"\1 \2\3")
+
     def texts(self, texts: pa.Array, closing: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, each text's followed by ``closing``, and where each text ends."""
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        lists = pc.ascii_split_whitespace(self._fewer_words(pc.fill_null(texts, "")))
         rows = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
         coded = pc.list_flatten(lists).dictionary_encode()
         known = self.words(coded.dictionary.to_pylist())
