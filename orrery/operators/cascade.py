@@ -88,7 +88,8 @@ def _children_first_seen(references: tuple[Reference, ...], root: str) -> list[s
     while frontier:
         frontier = {c for p, c in edges if p in frontier} - below
         below |= frontier
-    below.discard(root)
+    if root in below:
+        raise ValueError("the references form a ring through the root")
     order: list[str] = []
     while len(order) < len(below):
         ready = [

@@ -24,7 +24,8 @@ def find(
     out = df.filter(matches(conditions, df.columns)) if conditions else df
     if sort:
         present = [(name, step) for name, step in sort if name.split(".")[0] in df.columns]
-        out = out.orderBy(*[F.asc(n) if step > 0 else F.desc(n) for n, step in present])
+        # Fields that no document has are equal everywhere and order nothing.
+        out = out.orderBy(*[F.asc(n) if step > 0 else F.desc(n) for n, step in present]) if present else out
     return _project(out, projection) if projection else out
 
 

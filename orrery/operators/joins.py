@@ -69,6 +69,8 @@ def _join(rows: DataFrame, dim: Dim, how: str) -> DataFrame:
     )
     condition = [rows[left] == right[keys[name]] for left, name in dim.on.items()]
     if dim.salts > 1:
+        if how not in ("inner", "left", "left_outer", "leftouter", "left_semi", "left_anti"):
+            raise ValueError(f"copies of a salted dimension would each stay unmatched in a {how} join")
         salt = F.pmod(F.xxhash64(*(dim.spread_by or rows.columns)), F.lit(dim.salts))
         rows = rows.withColumn("__salt", salt)
         right = right.withColumn(

@@ -121,7 +121,7 @@ def take_in(
         max_files=max_files,
     )
     if late:
-        (key,) = [name for name, source in star.silver.items() if source == star.feed.key[0]]
+        key = [name for name, source in star.silver.items() if source in star.feed.key]
         replay(
             spark.table(bronze_table), dims, star.silver, key, silver_table,
             place.table("fact_silver_late"),

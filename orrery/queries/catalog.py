@@ -94,7 +94,7 @@ def insert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = conform(load(spark, sf_dir, "orders"), trade.ORDERS)
     catalog.create_table(spark, table, orders)
     catalog.insert_rows(orders.filter("o_orderstatus = 'F'"), table)
-    rest = orders.filter("o_orderstatus <> 'F'")
+    rest = orders.filter("NOT o_orderstatus <=> 'F'")
     catalog.insert_rows(rest.select(*reversed(rest.columns)), table)
     return spark.table(table).withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
 

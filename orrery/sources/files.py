@@ -10,14 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
+) -> DataFrame:
     """CSV with a header and the literal ``NULL`` for missing values.
 
-    Without ``schema`` types are inferred, which costs one more pass over the files.
+    Without ``schema`` types are inferred, which costs one more pass over the files. With it, columns are found
+    by their names in the header, whatever their order, and a value that its type can't hold fails the read.
+    ``multi_line`` allows line breaks within quotes; a file is then not split.
     """
     reader = spark.read.option("header", True).option("nullValue", "NULL").option("escape", '"')
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return reader.csv(path)
+    reader = reader.option("multiLine", multi_line)
+    if not schema:
+        return reader.option("inferSchema", True).csv(path)
+    text = reader.csv(path)
+    return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_json(

@@ -26,14 +26,20 @@ def read_feed(
     schema: T.StructType,
     multi_line: bool = True,
     max_files: int | None = None,
+    max_file_age: str = "36500d",
 ) -> DataFrame:
     """The JSON files of a folder as a stream; each file once, also if it is rewritten later.
 
+    A file older than ``max_file_age``, counted back from the newest one seen, would be skipped, so by default
+    none ages out: copies that keep their times and backfills are taken in. The driver then remembers
+    the path of every file it has seen, some hundred bytes each.
+
     Every field comes as text, whatever its type, so that a wrong value is still there to be
     kept; ``typed`` casts them. ``malformed`` holds the text of what is not JSON at all.
     """
     whole = loose(schema, multi_line).add("malformed", "string")
     reader = spark.readStream.format("json").schema(whole).option("multiLine", multi_line)
+    reader = reader.option("maxFileAge", max_file_age)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     documents = reader.option("columnNameOfCorruptRecord", "malformed").load(folder)
@@ -128,22 +134,25 @@ def replay(
     rows: DataFrame,
     dims: list[Dim],
     columns: dict[str, str],
-    key: str,
+    key: str | list[str],
     silver_table: str,
     late_table: str,
 ) -> DataFrame:
     """Complete silver with rows whose dimension arrived after them; returns all of silver.
 
     ``rows`` are bronze rows: all of them, or only those that ``quarantine`` found. Rows already
-    in silver are left out before the joins, so a repeat adds nothing. Late rows go to a table of
+    in silver are left out before the joins, by all columns of ``key`` and with nulls equal to each other, so a
+    repeat adds nothing. Late rows go to a table of
     their own, because readers of a streamed table see only what the stream committed to it.
     """
     spark = rows.sparkSession
     if not spark.catalog.tableExists(late_table):
         create_table(spark, late_table, silver_rows(rows, dims, columns))
-    done = spark.table(silver_table).select(key).unionByName(spark.table(late_table).select(key))
-    done = done.withColumnRenamed(key, "__done")
-    waiting = rows.join(done, rows[columns[key]] == done["__done"], "left_anti")
+    keys = [key] if isinstance(key, str) else list(key)
+    done = spark.table(silver_table).select(*keys).unionByName(spark.table(late_table).select(*keys))
+    done = done.select(*[F.col(k).alias(f"__done_{k}") for k in keys])
+    known = [rows[columns[k]].eqNullSafe(done[f"__done_{k}"]) for k in keys]
+    waiting = rows.join(done, known, "left_anti")
     # the late table is both read and appended to, which an insert into parquet allows
     silver_rows(waiting, dims, columns).write.insertInto(late_table)
     return spark.table(silver_table).unionByName(spark.table(late_table))

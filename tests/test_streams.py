@@ -252,3 +252,22 @@ def test_gold_ignores_facts_without_a_key(spark):
     other = spark.createDataFrame([(1, "t"), (None, "u")], "k int, title string")
     rows = gold_avg_by_group(fact, other, other, ("k", "k", "k"), "title", {"a": ("fact", "x")})
     assert [tuple(r) for r in rows.collect()] == [("t", 2.0)]
+
+
+def test_old_dated_files_are_taken_in(spark, tmp_path):
+    import os
+    import time
+
+    from pyspark.sql import types as T
+
+    from orrery.streaming.medallion import read_feed
+
+    folder, schema = tmp_path / "feed", T.StructType().add("n", "int")
+    folder.mkdir()
+    for n, days in ((1, 0), (2, 30), (3, 0)):
+        (folder / f"{n}.json").write_text(f'{{"n": {n}}}')
+        os.utime(folder / f"{n}.json", (time.time() - days * 86400 + n,) * 2)
+        stream = read_feed(spark, str(folder), schema, multi_line=False).select("n")
+        query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        query.option("checkpointLocation", str(tmp_path / "at")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r["n"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3]
