@@ -41,7 +41,7 @@ MOST_BITS = 1 << 26
 #: The most n-grams that a list of frequent ones may hold.
 MOST_FREQUENT = 1 << 20
 #: Rows and columns of a block of the product.
-BLOCK_ROWS = 256
+BLOCK_ROWS = 1024
 BLOCK_COLUMNS = 4096
 
 
@@ -357,17 +357,22 @@ def _open(block: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _blocks(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows dealt into blocks of about ``BLOCK_ROWS``, and the pairs of blocks with a column in common.
+def _blocks(entries: DataFrame, families: DataFrame) -> DataFrame:
+    """Rows dealt into blocks of about ``BLOCK_ROWS``, each with the pairs of blocks (p, q) it is needed in:
+    where the other block has a row of another component in one of the row's columns.
 
-    A row lives with the others of its fullest column, so near copies lie in few blocks; a full column is many
-    blocks.
+    A row lives with the rows it was multiplied with in the stars, or else with those of its fullest column, so
+    near copies lie in few blocks; a large family is several blocks.
     """
-    full = store(entries.groupBy("gram").agg(F.count("*").alias("rows")), "columns")
+    known = store(entries.join(families.withColumnRenamed("label", "family"), "id", "left"), "entries")
+    full = store(
+        known.groupBy("gram").agg(F.count("*").alias("rows"), F.min("family").alias("near")), "columns"
+    )
     homes = store(
-        entries.join(full, "gram").groupBy("id").agg(
-            F.max(F.struct("rows", "gram")).alias("home"), F.first("label").alias("label")
-        ).select("id", "label", F.col("home.gram").alias("home")),
+        known.join(full, "gram").groupBy("id").agg(
+            F.first("label").alias("label"), F.first("family").alias("family"),
+            F.max(F.struct("rows", F.coalesce("near", "gram").alias("near"))).alias("fullest"),
+        ).select("id", "label", F.coalesce("family", "fullest.near").alias("home")),
         "homes",
     )
     size = store(homes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("parts")), "homes")
@@ -377,19 +382,21 @@ def _blocks(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
         ),
         "blocks",
     )
+    placed = store(entries.select("gram", "id", "label").join(blocks.select("id", "block"), "id"), "entries")
     held = store(
-        entries.select("gram", "id", "label").join(blocks.select("id", "block"), "id").groupBy("gram", "block").agg(
-            F.min("label").alias("low"), F.max("label").alias("high")
-        ),
+        placed.groupBy("gram", F.col("block").alias("other")).agg(F.min("label").alias("low"), F.max("label").alias("high")),
         "held",
     )
-    sides = [
-        held.select("gram", F.col("block").alias(b), F.col("low").alias(f"low_{b}"), F.col("high").alias(f"high_{b}"))
-        for b in ("p", "q")
-    ]
-    differ = F.least("low_p", "low_q") < F.greatest("high_p", "high_q")
-    pairs = sides[0].join(sides[1], "gram").where((F.col("p") <= F.col("q")) & differ).select("p", "q").distinct()
-    return blocks, store(pairs, "pairs")
+    needed = (
+        placed.join(held, "gram").where("low < high OR low <> label").select("id", "label", "block", "other").distinct()
+    )
+    return store(
+        needed.select(
+            "id", "label", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
+            (F.col("block") <= F.col("other")).alias("left"),
+        ),
+        "needed",
+    )
 
 
 def _product(percent: int):
@@ -448,14 +455,10 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
-def _across(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _across(entries: DataFrame, sets: DataFrame, families: DataFrame, percent: int) -> DataFrame:
     """Links between components among rows that share an open column, from the products of their blocks."""
-    blocks, pairs = _blocks(entries)
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sides = pairs.select("p", "q", F.col("p").alias("block"), F.lit(True).alias("left")).union(
-        pairs.where("p <> q").select("p", "q", F.col("q").alias("block"), F.lit(False).alias("left"))
-    )
-    rows = sides.join(blocks, "block").join(sets.select("id", "grams"), "id")
+    rows = _blocks(entries, families).join(sets.select("id", "grams"), "id")
     return (
         rows.select("p", "q", "id", "label", "left", "grams").repartition(parts, "p", "q")
         .sortWithinPartitions("p", "q").mapInArrow(_product(percent), "a long, b long")
@@ -498,10 +501,11 @@ def jaccard_components(
     sets = store(sized.withColumn("shared", F.least("shared", "n")), "sets")
     frequent = spark.sparkContext.broadcast(_frequent(sets))
     block = store(sets.mapInArrow(_first_block(percent, frequent), "id long, n long, shared long, gram long"), "block")
-    links = store(_linked(_stars(block, percent), sets, percent), "links")
+    stars = store(_stars(block, percent), "stars")
+    links = store(_linked(stars, sets, percent), "links")
     labels = connected_components(links)
     labelled = block.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    more = _across(_open(labelled, percent), sets, percent)
+    more = _across(_open(labelled, percent), sets, connected_components(stars), percent)
     labels = connected_components(
         store(more.union(labels.select(F.col("id").alias("a"), F.col("label").alias("b"))), "links")
     )
