@@ -262,12 +262,12 @@ def test_old_dated_files_are_taken_in(spark, tmp_path):
 
     from orrery.streaming.medallion import read_feed
 
-    folder, schema = tmp_path / "feed", T.StructType().add("n", "int")
+    folder, schema = tmp_path / "feed", T.StructType().add("n", T.IntegerType())
     folder.mkdir()
     for n, days in ((1, 0), (2, 30), (3, 0)):
         (folder / f"{n}.json").write_text(f'{{"n": {n}}}')
         os.utime(folder / f"{n}.json", (time.time() - days * 86400 + n,) * 2)
-        stream = read_feed(spark, str(folder), schema, multi_line=False).select("n")
+        stream = read_feed(spark, str(folder), schema, multi_line=False).select(F.col("n").cast("string"))
         query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out"))
         query.option("checkpointLocation", str(tmp_path / "at")).trigger(availableNow=True).start().awaitTermination()
-    assert sorted(r["n"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3]
+    assert sorted(r["n"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["1", "2", "3"]
