@@ -9,7 +9,8 @@ documents share. Only products that can reach the wanted similarity are formed:
 3. The first block holds, for each row, so many of its n-grams (frequent ones last) that two rows above the bound
    must share one. In its columns every row is multiplied with one central row; the one with the largest sum is then checked in
    all columns. Most near copies are linked here, with one pair per row.
-4. Entries of the first block whose row can't reach the bound with a row of another component are left out, by
+4. Rows are then tried with a central and with a random row of another component, of any size, in the same way.
+5. Entries of the first block whose row can't reach the bound with a row of another component are left out, by
    the sizes and by how much each row shares at all. The other rows form blocks; blocks with a column in common
    are multiplied, one block of columns after the other, and their sums compared with what the two sizes ask for.
 
@@ -42,7 +43,7 @@ MOST_BITS = 1 << 26
 MOST_FREQUENT = 1 << 20
 #: Rows and columns of a block of the product.
 BLOCK_ROWS = 1024
-BLOCK_COLUMNS = 4096
+BLOCK_COLUMNS = 1024
 
 
 def shingle_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -293,21 +294,26 @@ def _within_reach(a: str, b: str, percent: int) -> Column:
     return F.least(f"shared_{a}", f"shared_{b}") >= needed
 
 
-def _stars(block: DataFrame, percent: int) -> DataFrame:
+def _shared_columns(block: DataFrame, percent: int) -> DataFrame:
+    """The entries of columns that several rows have, and how central each row is: how full its columns are on
+    average. Of copies that were each changed a little, the one changed least is the most central."""
+    full = store(block.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1"), "columns")
+    held = store(block.join(full, "gram"), "columns")
+    # Columns that only one row has count as empty ones.
+    central = (F.sum("rows") / _prefix(F.first("n"), percent)).alias("central")
+    rows = store(held.groupBy("id").agg(central), "central")
+    return store(held.drop("rows").join(rows, "id"), "columns")
+
+
+def _stars(columns: DataFrame, percent: int) -> DataFrame:
     """For each row the pivot of its columns with the largest sum over the block.
 
-    A column's pivot, among rows of about one size, is the most central one: whose columns are the fullest
-    on average. Of copies that were each changed a little, that is the one changed least.
+    A column's pivot, among rows of about one size, is the most central one.
     """
     kind = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).alias("kind")
-    full = store(block.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1"), "columns")
-    held = block.select("gram", "id", "n", "shared", kind).join(full, "gram")
-    # Columns that only one row has count as empty ones.
-    central = F.sum("rows") / _prefix(F.first("n"), percent)
-    central = store(held.groupBy("id").agg(central.alias("central")), "central")
-    columns = store(held.join(central, "id"), "columns")
+    rows = columns.select("*", kind)
     pivots = store(
-        columns.groupBy("gram", "kind").agg(
+        rows.groupBy("gram", "kind").agg(
             F.max(F.struct("central", (-F.col("id")).alias("id"), "n", "shared")).alias("pivot"), F.count("*").alias("in")
         ).where(F.col("in") > 1).select(
             "gram", "kind", (-F.col("pivot.id")).alias("a"), F.col("pivot.n").alias("n_a"),
@@ -315,9 +321,14 @@ def _stars(block: DataFrame, percent: int) -> DataFrame:
         ),
         "pivots",
     )
-    pairs = columns.select(
+    pairs = rows.select(
         "gram", "kind", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b")
     ).join(pivots, ["gram", "kind"]).where((F.col("a") != F.col("b")) & _within_reach("a", "b", percent))
+    return _fullest(pairs)
+
+
+def _fullest(pairs: DataFrame) -> DataFrame:
+    """For each row b the row a that it shares the most columns with."""
     return (
         pairs.groupBy("b", "a").agg(F.count("*").alias("sum"))
         .groupBy("b").agg(F.max(F.struct("sum", (-F.col("a")).alias("a"))).alias("best"))
@@ -325,6 +336,31 @@ def _stars(block: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _bridges(entries: DataFrame, order: Column, percent: int) -> DataFrame:
+    """For each row the pivot of another component, of whatever size, with the largest sum over the open columns.
+
+    A column has two pivots: its first row by ``order``, and the first one of any other component.
+    """
+    pivot = F.struct(order.alias("order"), (-F.col("id")).alias("id"), "n", "shared", "label")
+    first = store(entries.groupBy("gram").agg(F.max(pivot).alias("one")), "pivots")
+    second = store(
+        entries.join(first, "gram").groupBy("gram").agg(
+            F.first("one").alias("one"), F.max(F.when(F.col("label") != F.col("one.label"), pivot)).alias("two")
+        ),
+        "pivots",
+    )
+    other = F.when(F.col("label") != F.col("one.label"), F.col("one")).otherwise(F.col("two"))
+    pairs = entries.join(second, "gram").withColumn("other", other).where("other IS NOT NULL").select(
+        (-F.col("other.id")).alias("a"), F.col("other.n").alias("n_a"), F.col("other.shared").alias("shared_a"),
+        F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b"),
+    )
+    return _fullest(pairs.where(_within_reach("a", "b", percent)))
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+
 def _open(block: DataFrame, percent: int) -> DataFrame:
     """The entries whose row may reach the bound with a row of another component in the same column.
 
@@ -352,7 +388,7 @@ def _open(block: DataFrame, percent: int) -> DataFrame:
     high = F.when(F.col("label") == F.col("high.label"), F.col("high2")).otherwise(F.col("high.most"))
     return store(
         rows.join(second, "gram").where((low <= F.col("most")) & (high >= F.col("n")))
-        .select("gram", "id", "label", "n", "shared"),
+        .select("gram", "id", "label", "n", "shared", "central"),
         "entries",
     )
 
@@ -472,22 +508,27 @@ def _prefix(n: Column, percent: int) -> Column:
 
 def jaccard_components(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", *, n: int = 5, percent: int = 75,
-    buckets: int | None = None,
+    bucket_entries: int = 1 << 20, part_rows: int = 1 << 16, random_bridges: int = 1,
 ) -> DataFrame:
-    """Per row: id, size of its set, and the smallest id reachable by links of at least ``percent`` Jaccard similarity."""
+    """Per row: id, size of its set, and the smallest id reachable by links of at least ``percent`` Jaccard similarity.
+
+    ``bucket_entries`` and ``part_rows`` are about what one group holds while columns and then rows are counted;
+    ``random_bridges`` is how often rows are tried with a random row of another component before the blocks.
+    """
     spark = df.sparkSession
-    buckets = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(text).alias("text"))
     described = store(rows.mapInArrow(_describe(n), "id long, n long, sum1 long, sum2 long"), "sizes")
     same = ["n", "sum1", "sum2"]
     classes = store(described.where("n > 0").groupBy(*same).agg(F.min("id").alias("rep")), "classes")
+    matrix = classes.agg(F.count("*").alias("rows"), F.sum("n").alias("entries")).first()
+    buckets, parts = 1 + (matrix["entries"] or 0) // bucket_entries, 1 + matrix["rows"] // part_rows
     slots = rows.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(MOST_BITS)))
     size, bits = _bits(classes.select(F.col("rep").alias("id")))
     dealt = slots.mapInArrow(
         _deal(n, buckets, size, spark.sparkContext.broadcast(bits)), "bucket int, entries binary, credits binary"
     )
     shared = (
-        dealt.groupBy("bucket").applyInArrow(_shared(buckets), "part int, counts binary")
+        dealt.groupBy("bucket").applyInArrow(_shared(parts), "part int, counts binary")
         .groupBy("part").applyInArrow(_total, "id long, shared long")
     )
     able = store(
@@ -501,11 +542,16 @@ def jaccard_components(
     sets = store(sized.withColumn("shared", F.least("shared", "n")), "sets")
     frequent = spark.sparkContext.broadcast(_frequent(sets))
     block = store(sets.mapInArrow(_first_block(percent, frequent), "id long, n long, shared long, gram long"), "block")
-    stars = store(_stars(block, percent), "stars")
-    links = store(_linked(stars, sets, percent), "links")
-    labels = connected_components(links)
-    labelled = block.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    more = _across(_open(labelled, percent), sets, connected_components(stars), percent)
+    columns = _shared_columns(block, percent)
+    stars = store(_stars(columns, percent), "stars")
+    labels = connected_components(store(_linked(stars, sets, percent), "links"))
+    entries = _open(_labelled(columns, labels), percent)
+    for order in (F.col("central"), *(F.xxhash64("id", F.lit(k)).cast("double") for k in range(random_bridges))):
+        bridges = store(_bridges(entries, order, percent), "bridges")
+        found = _linked(bridges, sets, percent).union(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
+        labels = connected_components(store(found, "links"))
+        entries = _open(_labelled(entries.drop("label"), labels), percent)
+    more = _across(entries, sets, connected_components(stars), percent)
     labels = connected_components(
         store(more.union(labels.select(F.col("id").alias("a"), F.col("label").alias("b"))), "links")
     )
