@@ -280,7 +280,9 @@ def _overlap_needed(a: Column, b: Column, percent: int) -> Column:
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose exact overlap reaches the bound."""
-    ours = sets.select(F.col("id").alias("a"), F.col("grams").alias("grams_a"))
+    # Few rows are pivots; the other sets need not travel a second time.
+    pivots = sets.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
+    ours = pivots.select(F.col("id").alias("a"), F.col("grams").alias("grams_a"))
     theirs = sets.select(F.col("id").alias("b"), F.col("grams").alias("grams_b"))
     both = pairs.select("a", "b").join(theirs, "b").join(ours, "a")
     overlap = F.size(F.array_intersect("grams_a", "grams_b"))
