@@ -12,23 +12,39 @@ from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def matches(conditions: dict[str, Any], columns: list[str]) -> Column:
+def has_field(schema: T.StructType, name: str) -> bool:
+    """Whether documents of this schema can hold the field; a dot steps into nested documents or their arrays."""
+    kind: T.DataType = schema
+    for step in name.split("."):
+        while isinstance(kind, T.ArrayType):
+            kind = kind.elementType
+        if isinstance(kind, T.MapType):
+            kind = kind.valueType
+        elif isinstance(kind, T.StructType) and step in kind.names:
+            kind = kind[step].dataType
+        else:
+            return False
+    return True
+
+
+def matches(conditions: dict[str, Any], schema: T.StructType) -> Column:
     """True where a document meets every condition."""
-    return _all([_clause(name, wanted, columns) for name, wanted in conditions.items()])
+    return _all([_clause(name, wanted, schema) for name, wanted in conditions.items()])
 
 
-def _clause(name: str, wanted: Any, columns: list[str]) -> Column:
+def _clause(name: str, wanted: Any, schema: T.StructType) -> Column:
     if name == "$and":
-        return _all([matches(part, columns) for part in wanted])
+        return _all([matches(part, schema) for part in wanted])
     if name == "$or":
         if not wanted:
             raise ValueError("$or needs at least one alternative")
-        return reduce(Column.__or__, [matches(part, columns) for part in wanted])
+        return reduce(Column.__or__, [matches(part, schema) for part in wanted])
     if name.startswith("$"):
         raise ValueError(f"unknown condition {name}")
-    field = F.col(name) if name.split(".")[0] in columns else F.lit(None)
+    field = F.col(name) if has_field(schema, name) else F.lit(None)
     if isinstance(wanted, dict):
         return _all([_compare(field, operator, value) for operator, value in wanted.items()])
     return _equal(field, wanted)

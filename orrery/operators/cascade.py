@@ -52,7 +52,7 @@ def cascade_update(
 ) -> tuple[dict[str, DataFrame], dict[Reference, DataFrame]]:
     """Replace values of a root key column by ``key_map`` (old, new) there and in its children.
 
-    ``old`` must be unique. A reference of several columns with a null among them refers to
+    ``key_conflicts`` says whether the map is fit for it. A reference of several columns with a null among them refers to
     nothing and stays. Returns the changed tables, and for each blocking reference the rows that
     hold a key about to change.
     """
@@ -79,6 +79,23 @@ def cascade_update(
     return changed, blocked
 
 
+def key_conflicts(rows: DataFrame, column: str, key_map: DataFrame) -> DataFrame:
+    """What makes a key map unfit for ``cascade_update``: (key, conflict), to be empty before an update.
+
+    ``repeated``: an old key with several new ones. ``taken``: a new key that several old ones get, or that a
+    row which keeps its key already has.
+    """
+    moved = key_map.filter("old <> new").distinct()
+    repeated = moved.groupBy(F.col("old").alias("key")).agg(F.count("*").alias("n")).filter("n > 1")
+    shared = moved.groupBy(F.col("new").alias("key")).agg(F.count("*").alias("n")).filter("n > 1")
+    staying = rows.select(F.col(column).alias("key")).join(moved.select(F.col("old").alias("key")), "key", "left_anti")
+    held = moved.select(F.col("new").alias("key")).join(staying, "key", "left_semi")
+    taken = shared.select("key").unionByName(held).distinct()
+    return repeated.select("key", F.lit("repeated").alias("conflict")).unionByName(
+        taken.select("key", F.lit("taken").alias("conflict"))
+    )
+
+
 def _children_first_seen(references: tuple[Reference, ...], root: str) -> list[str]:
     """Tables below the root, each after all parents through which the delete can reach it."""
     if any(r.cascade and r.parent == r.child for r in references):

@@ -128,7 +128,7 @@ def show_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = land_dimensions(spark, trade.STAR, place, sources)
     before = spark.catalog.currentDatabase()
     catalog.use_database(spark, place.database)
-    listed = spark.sql("SHOW TABLES").filter("NOT isTemporary").select("tableName")
+    listed = catalog.show_tables(spark, place.database).filter("NOT isTemporary").select("tableName")
     catalog.use_database(spark, before)
     sizes = reduce(
         DataFrame.unionByName,

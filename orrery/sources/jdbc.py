@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 class Split:
     """How a scan is cut into parallel range queries.
 
-    The bounds only place the cuts: rows below, above or null still arrive, in the outer parts.
+    The column is a number, a date or a timestamp. The bounds only place the cuts: rows below, above or null still arrive, in the outer parts.
     """
 
     column: str
-    lower: int | str
-    upper: int | str
+    lower: object
+    upper: object
     parts: int
 
 
@@ -27,9 +27,10 @@ def mysql_url(host: str, port: int, database: str) -> str:
 def as_table(query: str) -> str:
     """A query in the place of a table name: parenthesised and aliased. A bare name stays."""
     text = query.strip().rstrip(";")
-    if text.lower().startswith(("select ", "select\n", "with ")):
+    words = text.split(None, 1)
+    if words and words[0].lower() in ("select", "with"):
         return f"({text}) q"
-    return text
+    return f"{text} q" if text.startswith("(") and text.endswith(")") else text
 
 
 def scan_query(
@@ -50,10 +51,12 @@ def scan_query(
     if predicates:
         return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
     if split:
-        return spark.read.jdbc(
-            url, table, column=split.column, lowerBound=split.lower, upperBound=split.upper,
-            numPartitions=split.parts, properties=properties,
-        )
+        # As options the bounds stay text, so that dates and timestamps pass too.
+        bounds = {
+            "partitionColumn": split.column, "lowerBound": str(split.lower), "upperBound": str(split.upper),
+            "numPartitions": str(split.parts),
+        }
+        return spark.read.format("jdbc").options(**properties, url=url, dbtable=table, **bounds).load()
     return spark.read.jdbc(url, table, properties=properties)
 
 

@@ -80,3 +80,13 @@ def test_conditions_reach_the_file_reader(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(value,5.0)" in text and "EqualTo(event_type,click)" in text
     assert "ReadSchema: struct<event_id:bigint,event_type:string,value:double>" in text
+
+
+def test_nested_fields_present_or_absent(spark):
+    rows = spark.sql("SELECT 1 AS id, named_struct('x', 5, 'y', 6) AS at UNION ALL SELECT 2, named_struct('x', 3, 'y', 4)")
+    assert sorted(ids(find(rows, {"at.z": None}))) == [1, 2]
+    assert ids(find(rows, {"at.z": 1})) == []
+    assert ids(find(rows, sort=[("at.z", 1), ("at.x", 1)])) == [2, 1]
+    assert find(rows, projection={"at.x": 0}).schema["at"].dataType.names == ["y"]
+    assert find(rows, projection={"at.z": 0}).schema == rows.schema
+    assert find(rows, projection=["id", "at.z"]).filter("id = 1").first()[1] is None

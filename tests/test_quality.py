@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orrery.models import staff
 from orrery.models.table import Reference
 from orrery.operators import audits
-from orrery.operators.cascade import cascade_delete, cascade_update
+from orrery.operators.cascade import cascade_delete, cascade_update, key_conflicts
 from tests import staff_rows
 
 MANAGER = staff.REFERENCES[5]
@@ -152,3 +152,21 @@ def test_a_reference_of_two_columns(spark):
     changed, _ = cascade_update(tables, (reference,), "turns", "conv", keys)
     assert ids(changed["turns"], "conv") == [1, 5, 5]
     assert {r.id: r.conv for r in changed["notes"].collect()} == {10: 5, 11: 1, 12: 1, 13: None}
+
+
+def test_unfit_key_maps_are_reported(spark):
+    rows = spark.createDataFrame([(1,), (2,), (3,), (4,), (None,)], "id int")
+
+    def conflicts(*pairs):
+        found = key_conflicts(rows, "id", spark.createDataFrame(pairs, "old int, new int"))
+        return sorted(tuple(r) for r in found.collect())
+
+    assert conflicts((1, 2), (1, 3)) == [(1, "repeated"), (2, "taken"), (3, "taken")]
+    assert conflicts((1, 9), (2, 9)) == [(9, "taken")]
+    assert conflicts((1, 2), (2, 1), (3, 3), (4, 8)) == []
+
+
+def test_a_ring_through_the_root_is_refused(hr):
+    ring = (Reference("a", ("x",), "b", ("x",)), Reference("b", ("x",), "a", ("x",)))
+    with pytest.raises(ValueError, match="ring"):
+        cascade_delete({"a": hr["jobs"], "b": hr["jobs"]}, ring, "a", "true")

@@ -138,6 +138,8 @@ def test_conform_types_orders_and_fills_columns(spark):
 def test_a_query_takes_the_place_of_a_table():
     assert jdbc.as_table("jobs") == "jobs"
     assert jdbc.as_table("hr.v_jobs") == "hr.v_jobs"
+    assert jdbc.as_table("select\t1") == "(select\t1) q"
+    assert jdbc.as_table("(select 1)") == "(select 1) q"
     assert jdbc.as_table("SELECT * FROM jobs;") == "(SELECT * FROM jobs) q"
     assert jdbc.as_table(" with j as (select 1) select * from j") == (
         "(with j as (select 1) select * from j) q"
@@ -150,10 +152,15 @@ def test_jdbc_scan_is_split_where_asked():
     jdbc.scan_query(spark, "jdbc:x", "select 1", properties)
     spark.read.jdbc.assert_called_with("jdbc:x", "(select 1) q", properties=properties)
     jdbc.scan_query(spark, "jdbc:x", "jobs", properties, split=jdbc.Split("id", 1, 9, 4))
-    spark.read.jdbc.assert_called_with(
-        "jdbc:x", "jobs", column="id", lowerBound=1, upperBound=9, numPartitions=4,
-        properties=properties,
+    spark.read.format.assert_called_with("jdbc")
+    spark.read.format.return_value.options.assert_called_with(
+        url="jdbc:x", dbtable="jobs", partitionColumn="id", lowerBound="1", upperBound="9", numPartitions="4",
+        **properties,
     )
+    days = jdbc.Split("hired", date(1999, 1, 31), date(2000, 2, 29), 4)
+    jdbc.scan_query(spark, "jdbc:x", "jobs", properties, split=days)
+    given = spark.read.format.return_value.options.call_args.kwargs
+    assert (given["lowerBound"], given["upperBound"]) == ("1999-01-31", "2000-02-29")
     jdbc.scan_query(spark, "jdbc:x", "jobs", properties, predicates=["id < 5", "id >= 5"])
     spark.read.jdbc.assert_called_with(
         "jdbc:x", "jobs", predicates=["id < 5", "id >= 5"], properties=properties
