@@ -12,7 +12,8 @@ documents share. Only products that can reach the wanted similarity are formed:
 4. Rows are then tried with a central and with a random row of another component, of any size, in the same way.
 5. Entries of the first block whose row can't reach the bound with a row of another component are left out, by
    the sizes and by how much each row shares at all. The other rows form blocks; blocks with a column in common
-   are multiplied, one block of columns after the other, and their sums compared with what the two sizes ask for.
+   are multiplied in the first block's columns, and rows whose sums leave a link possible in all columns, one block of columns
+   after the other; the sums are compared with what the two sizes ask for.
 
 So no link between different components is lost, and pairs within a component are not enumerated. N-grams are held as 64-bit hashes.
 
@@ -437,52 +438,92 @@ def _blocks(entries: DataFrame, families: DataFrame) -> DataFrame:
     )
 
 
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[tuple]]]:
+    """The rows of each pair of blocks, which come one after the other, with their n-grams last."""
+    key, rows = None, []
+    for batch in batches:
+        grams = batch.column("grams")
+        cut, flat = grams.offsets.to_numpy(), grams.values.to_numpy()
+        columns = (batch.column(c).to_pylist() for c in ("p", "q", "id", "label", "left", "n", "shared"))
+        for i, (p, q, *fields) in enumerate(zip(*columns)):
+            if (p, q) != key:
+                if len(rows) > 1:
+                    yield *key, rows
+                key, rows = (p, q), []
+            rows.append((*fields, flat[cut[i] : cut[i + 1]].copy()))
+    if len(rows) > 1:
+        yield *key, rows
+
+
+def _overlaps(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the rows of either side, and how many columns any two of them share."""
+    left = np.array([r[2] for r in rows])
+    # Rows of the same block are on both sides.
+    ours = np.flatnonzero(left)
+    theirs = np.flatnonzero(~left) if not left.all() else ours
+    row = np.repeat(np.arange(len(rows)), [len(r[-1]) for r in rows])
+    column, times = np.unique(np.concatenate([r[-1] for r in rows]), return_inverse=True, return_counts=True)[1:]
+    several = times[column] > 1
+    row, column = row[several], column[several]
+    names, column = np.unique(column, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    overlap = np.zeros((len(ours), len(theirs)), np.float32)
+    for first in range(0, len(names), BLOCK_COLUMNS):
+        a, b = np.searchsorted(column, [first, first + BLOCK_COLUMNS])
+        block = np.zeros((len(rows), BLOCK_COLUMNS), np.float32)
+        block[row[a:b], column[a:b] - first] = 1
+        overlap += block[ours] @ block[theirs].T
+    return ours, theirs, overlap
+
+
+def _hopeful(percent: int):
+    """The rows that share enough of the first block with a row of another component on the other side.
+
+    Two sets above the bound have at least ``needed`` n-grams in common. Of these, at most as many lie outside the
+    first block as the larger set has n-grams there; the others are common columns of the first block.
+    """
+
+    def hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p, q, rows in _block_pairs(batches):
+            ours, theirs, overlap = _overlaps(rows)
+            ids, labels, _, size, shared = (np.array([r[k] for r in rows]) for k in range(5))
+            a, b = size[ours][:, None], size[theirs][None, :]
+            needed = -(-percent * (a + b) // (100 + percent))
+            outside = -(-percent * np.maximum(a, b) // 100) - 1
+            reach = np.minimum(shared[ours][:, None], shared[theirs][None, :])
+            pair = (overlap >= needed - outside) & (reach >= needed)
+            pair &= labels[ours][:, None] != labels[theirs][None, :]
+            some = np.zeros(len(rows), bool)
+            some[ours[pair.any(axis=1)]] = True
+            some[theirs[pair.any(axis=0)]] = True
+            at = np.flatnonzero(some)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(at), p)), pa.array(np.full(len(at), q)), pa.array(ids[at]),
+                    pa.array(labels[at]), pa.array([rows[i][2] for i in at], pa.bool_()),
+                ],
+                names=["p", "q", "id", "label", "left"],
+            )
+
+    return hopeful
+
+
 def _product(percent: int):
     """Links between the rows of two blocks, one for each pair of components."""
 
-    def multiply(rows: list[tuple[int, int, bool, np.ndarray]]) -> list[tuple[int, int]]:
-        ids, labels = (np.array([r[k] for r in rows]) for k in range(2))
-        left = np.array([r[2] for r in rows])
-        # Rows of the same block are on both sides.
-        ours = np.flatnonzero(left)
-        theirs = np.flatnonzero(~left) if not left.all() else ours
-        size = np.array([len(r[3]) for r in rows])
-        row = np.repeat(np.arange(len(rows)), size)
-        grams, column, times = np.unique(
-            np.concatenate([r[3] for r in rows]), return_inverse=True, return_counts=True
-        )
-        several = times[column] > 1
-        row, column = row[several], column[several]
-        names, column = np.unique(column, return_inverse=True)
-        order = np.argsort(column, kind="stable")
-        row, column = row[order], column[order]
-        overlap = np.zeros((len(ours), len(theirs)), np.float32)
-        for first in range(0, len(names), BLOCK_COLUMNS):
-            a, b = np.searchsorted(column, [first, first + BLOCK_COLUMNS])
-            block = np.zeros((len(rows), BLOCK_COLUMNS), np.float32)
-            block[row[a:b], column[a:b] - first] = 1
-            overlap += block[ours] @ block[theirs].T
-        union = size[ours][:, None] + size[theirs][None, :] - overlap
-        x, y = np.nonzero((100 * overlap >= percent * union) & (labels[ours][:, None] != labels[theirs][None, :]))
-        found = {}
-        for i, j in zip(ours[x].tolist(), theirs[y].tolist()):
-            found.setdefault((min(labels[i], labels[j]), max(labels[i], labels[j])), (int(ids[i]), int(ids[j])))
-        return list(found.values())
-
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows, out = None, [], []
-        for batch in batches:
-            grams = batch.column("grams")
-            cut, flat = grams.offsets.to_numpy(), grams.values.to_numpy()
-            columns = (batch.column(c).to_pylist() for c in ("p", "q", "id", "label", "left"))
-            for i, (p, q, id_, label, left) in enumerate(zip(*columns)):
-                if (p, q) != key:
-                    out += multiply(rows) if len(rows) > 1 else []
-                    key, rows = (p, q), []
-                rows.append((id_, label, left, flat[cut[i] : cut[i + 1]].copy()))
-            yield _pairs(out)
-            out = []
-        yield _pairs(multiply(rows) if len(rows) > 1 else [])
+        for _, _, rows in _block_pairs(batches):
+            ours, theirs, overlap = _overlaps(rows)
+            ids, labels, _, size, _ = (np.array([r[k] for r in rows]) for k in range(5))
+            union = size[ours][:, None] + size[theirs][None, :] - overlap
+            x, y = np.nonzero(
+                (100 * overlap >= percent * union) & (labels[ours][:, None] != labels[theirs][None, :])
+            )
+            found = {}
+            for i, j in zip(ours[x].tolist(), theirs[y].tolist()):
+                found.setdefault((min(labels[i], labels[j]), max(labels[i], labels[j])), (int(ids[i]), int(ids[j])))
+            yield _pairs(list(found.values()))
 
     return product
 
@@ -493,14 +534,35 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
-def _across(entries: DataFrame, sets: DataFrame, families: DataFrame, percent: int) -> DataFrame:
-    """Links between components among rows that share an open column, from the products of their blocks."""
+def _across(
+    entries: DataFrame, columns: DataFrame, sets: DataFrame, families: DataFrame, percent: int
+) -> DataFrame:
+    """Links between components among rows that share an open column, from the products of their blocks.
+
+    The blocks are multiplied in the columns of the first block, and then, for the rows that still can have a link, in all.
+    """
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = _blocks(entries, families).join(sets.select("id", "grams"), "id")
-    return (
-        rows.select("p", "q", "id", "label", "left", "grams").repartition(parts, "p", "q")
-        .sortWithinPartitions("p", "q").mapInArrow(_product(percent), "a long, b long")
+    needed = _blocks(entries, families)
+
+    def in_blocks(rows: DataFrame) -> DataFrame:
+        rows = rows.select("p", "q", "id", "label", "left", "n", "shared", "grams")
+        return rows.repartition(parts, "p", "q").sortWithinPartitions("p", "q")
+
+    ids = entries.select("id").distinct()
+    # Columns that only one row has count for no pair and are not among these.
+    prefixes = store(
+        columns.join(ids, "id", "left_semi").groupBy("id").agg(
+            F.first("n").alias("n"), F.first("shared").alias("shared"), F.collect_list("gram").alias("grams")
+        ),
+        "prefixes",
+    )
+    hopeful = store(
+        in_blocks(needed.join(prefixes, "id")).mapInArrow(
+            _hopeful(percent), "p long, q long, id long, label long, left boolean"
+        ),
+        "hopeful",
     )
+    return in_blocks(hopeful.join(sets, "id")).mapInArrow(_product(percent), "a long, b long")
 
 
 def _prefix(n: Column, percent: int) -> Column:
@@ -553,7 +615,7 @@ def jaccard_components(
         found = _linked(bridges, sets, percent).union(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
         labels = connected_components(store(found, "links"))
         entries = _open(_labelled(entries.drop("label"), labels), percent)
-    more = _across(entries, sets, connected_components(stars), percent)
+    more = _across(entries, columns, sets, connected_components(stars), percent)
     labels = connected_components(
         store(more.union(labels.select(F.col("id").alias("a"), F.col("label").alias("b"))), "links")
     )
