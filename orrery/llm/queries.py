@@ -39,8 +39,12 @@ TOPICS = (
 )
 
 
+#: The share of all tokens that a sample is to have.
+SAMPLED = 0.5
+
+
 def mixed(docs: DataFrame) -> DataFrame:
-    """Large sources weigh less than their size, languages a little less, topics as they are."""
+    """Large sources weigh less than their size, languages a little less, topics as they are; half of the tokens are kept."""
     rows = docs.withColumns(
         {
             "n_tokens": source_mixing.count_tokens(F.col("text")),
@@ -49,7 +53,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     )
     return source_mixing.mix_sources(
         rows, by_source=source_mixing.Targets(alpha=0.7), by_language=source_mixing.Targets(alpha=0.9),
-        by_topic=source_mixing.Targets(),
+        by_topic=source_mixing.Targets(), expected_share=SAMPLED,
     )
 
 

@@ -4,8 +4,10 @@ Tokens are counted per source, language and topic. Iterative proportional fittin
 every source, every language and every topic meet their targets. The weight of a cell is its tokens times one factor
 per source, language and topic, so only the factors are kept: those of the (bounded) languages and topics in the driver,
 those of the sources in a table. One step sums, per language and topic, the tokens of all sources times
-their factors; nothing else leaves the tasks. A document's probability is the weight per token of its cell, scaled to the wanted size or,
-by default, to the largest sample in which no probability exceeds one; its draw is a hash of its id.
+their factors; nothing else leaves the tasks. A document's probability is the weight per token of its cell, at most one; its draw
+is a hash of its id. The weights are scaled so that the expected tokens of the sample, with probabilities held at one, are the
+wanted ones: a rare cell that is kept whole takes nothing from the others. Without a wanted size they are scaled to the largest
+sample in which no probability exceeds one, which the rarest cell decides.
 
 Results for odd inputs: null sources, languages and topics are values of their own; a document without
 tokens has its cell's probability; repeated rows share one draw; targets of values without tokens are left out and the others scaled up;
@@ -21,6 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orrery.llm.components import store
 from orrery.session import scratch
 
 RESULTS = ("n_tokens", "weight", "probability", "sampled")
@@ -70,6 +73,9 @@ class Factors:
     language: np.ndarray
     topic: np.ndarray
     largest: float
+    #: Tokens and weight per token of each cell that has both, and the tokens of all cells.
+    cells: DataFrame
+    total: float
     steps: int
     error: float
 
@@ -129,14 +135,16 @@ def rake(
             g *= ratio[:, None] if axis == 1 else ratio[None, :]
     sources = table.select("source", _factor(b, c).alias("factor"))
     pairs = F.array(*[F.lit(float(x)) for x in np.outer(b, c).ravel()]) if grid else F.array(F.lit(0.0))
-    largest = table.select(
-        F.max(
-            _factor(b, c) * F.array_max(F.zip_with("tokens", pairs, lambda t, p: F.when(t > 0, p).otherwise(0.0)))
-        )
-    ).first()[0]
+    weighed = store(
+        table.select(_factor(b, c).alias("f"), F.explode(F.arrays_zip("tokens", pairs.alias("p"))).alias("cell")).select(
+            F.col("cell.tokens").alias("tokens"), (F.col("f") * F.col("cell.p")).alias("weight")
+        ).where("tokens > 0 AND weight > 0"),
+        "cells",
+    )
+    largest = weighed.agg(F.max("weight")).first()[0]
     sources.write.parquet(path + "-factors")
     stored = spark.read.schema(sources.schema).parquet(path + "-factors")
-    return Factors(stored, languages, topics, b, c, largest or 0.0, steps, float(error))
+    return Factors(stored, languages, topics, b, c, largest or 0.0, weighed, float(observed.sum()), steps, float(error))
 
 
 def _source_target(targets: Targets) -> Column:
@@ -162,13 +170,36 @@ def _grid_sums(table: DataFrame, b: np.ndarray, c: np.ndarray, size: int) -> np.
     return np.array([x or 0.0 for x in sums.first()])
 
 
+def _scale(fitted: Factors, expected_tokens: float, max_steps: int = 60) -> float:
+    """The factor of all weights at which the tokens times their probabilities, at most one each, sum to the wanted ones.
+
+    The sum grows with the factor ever more slowly, so Newton's steps from below pass no solution; each is one pass over the
+    cells. If more is wanted than there is, all cells are kept whole.
+    """
+    scale = 0.0
+    for _ in range(max_steps):
+        whole = F.col("weight") * F.lit(scale) >= 1 - 1e-12
+        kept, mass = fitted.cells.agg(
+            F.sum(F.when(whole, F.col("tokens"))), F.sum(F.when(~whole, F.col("tokens") * F.col("weight")))
+        ).first()
+        if not mass:
+            break
+        following = (expected_tokens - (kept or 0.0)) / mass
+        if following <= scale * (1 + 1e-12):
+            break
+        scale = following
+    return scale
+
+
 def mix_sources(
     df: DataFrame, doc_id: str = "doc_id", tokens: str = "n_tokens", source: str = "source",
     language: str = "lang", topic: str = "topic", *, by_source: Targets, by_language: Targets, by_topic: Targets,
-    expected_tokens: float | None = None, seed: int = 0,
+    expected_tokens: float | None = None, expected_share: float | None = None, seed: int = 0,
 ) -> DataFrame:
     """All columns of ``df``, the weight per token, the probability and whether the document is sampled.
 
+    ``expected_tokens``, or ``expected_share`` of all tokens, is the size of the sample.
+
     The table of source factors is joined without a hint: Spark broadcasts it while it is small and
     otherwise shuffles, where the adaptive join splits a large source.
     """
@@ -177,7 +208,12 @@ def mix_sources(
         df, tokens, source, language, topic,
         by_source=by_source, by_language=by_language, by_topic=by_topic,
     )
-    scale = 1 / fitted.largest if fitted.largest else 0.0
+    if expected_share is not None:
+        expected_tokens = expected_share * fitted.total
+    if expected_tokens is not None:
+        scale = _scale(fitted, expected_tokens)
+    else:
+        scale = 1 / fitted.largest if fitted.largest else 0.0
     factors = fitted.sources.select(F.col("source").alias("_orrery_source"), F.col("factor").alias("_orrery_factor"))
 
     def known(values: list[str], factor: np.ndarray, column: str) -> Column:
@@ -196,9 +232,6 @@ def mix_sources(
     rows = rows.withColumn("weight", F.coalesce(weight, F.lit(0.0))).drop(
         "_orrery_key", "_orrery_source", "_orrery_factor"
     )
-    if expected_tokens is not None:
-        mass = rows.agg(F.sum(F.col(tokens) * F.col("weight"))).first()[0]
-        rows = rows.withColumn("weight", F.col("weight") * (expected_tokens / mass if mass else 0.0))
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     return rows.withColumn("probability", F.least(F.col("weight"), F.lit(1.0))).withColumn(
         "sampled", draw < F.col("probability")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from orrery.llm import fingerprints, packing, source_mixing
-from orrery.llm.queries import QUERIES, load
+from orrery.llm.queries import QUERIES, load, mixed
 from orrery.llm.source_mixing import Targets
 from tests.llm import brute
 
@@ -80,6 +80,19 @@ def test_mixing_of_odd_tables(spark):
     assert mix(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("rare", ["tiny", None])
+def test_a_tiny_source_does_not_shrink_the_sample(spark, rare):
+    rows = [(i, "hot" if i % 3 == 0 else f"s{i % 19}", "en", "x" * 3 + " word" * 60) for i in range(1500)]
+    rows.append((9000, rare, "en", "one"))
+    got = mixed(spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")).collect()
+    total = sum(r["n_tokens"] for r in got)
+    assert sum(r["n_tokens"] * r["probability"] for r in got) == pytest.approx(0.5 * total, rel=1e-6)
+    assert [r["probability"] for r in got if r["doc_id"] == 9000] == [1.0]
+    hot = {r["probability"] for r in got if r["source"] == "hot"}
+    assert len(hot) == 1 and 0.2 < hot.pop() < 0.5
+    assert 0.4 * total < sum(r["n_tokens"] for r in got if r["sampled"]) < 0.6 * total
+
+
 def naive_best_fit(counts: dict[int, int], capacity: int) -> list[int]:
     """Room left in each window when pieces go one by one into the tightest that is large enough."""
     rooms: list[int] = []
