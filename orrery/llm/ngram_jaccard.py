@@ -3,23 +3,23 @@
 Documents by n-grams form a sparse 0/1 matrix; the product with its own transpose counts the n-grams that two
 documents share. Only products that can reach the wanted similarity are formed:
 
-1. Documents with equal sets are one row of the matrix (they are linked; none of their pairs is formed).
+1. Documents with equal sets are one row of the matrix (they are linked and counted; none of their pairs is formed).
 2. The matrix is dealt out by blocks of columns, which count in how many rows each n-gram occurs. A row that shares fewer than
    three quarters of its n-grams with any other row can't reach the bound and is left out.
 3. The first block holds, for each row, so many of its n-grams (frequent ones last) that two rows above the bound
-   must share one. In its columns every row is multiplied with one central row; the one with the largest sum is then checked in
-   all columns. Most near copies are linked here, with one pair per row.
-4. Rows are then tried with a central and with a random row of another component, of any size, in the same way.
-5. Entries of the first block whose row can't reach the bound with a row of another component are left out, by
-   the sizes and by how much each row shares at all. The other rows form blocks; blocks with a column in common
-   are multiplied in the first block's columns, and rows whose sums leave a link possible in all columns, one block of columns
-   after the other; the sums are compared with what the two sizes ask for.
+   must share one. Entries whose row can't reach the bound with another row of the same column are left out, by
+   the sizes and by how much each row shares at all.
+4. The other rows form blocks; a row's home is that of the central row it shares the most columns with, so near copies lie
+   in few blocks. Central rows decide only where a row is multiplied, never whether two rows are linked.
+5. Blocks with a column in common are multiplied in the first block's columns, and rows whose sums leave a link possible in
+   all columns, one block of columns after the other; the sums are compared with what the two sizes ask for.
 
-So no link between different components is lost, and pairs within a component are not enumerated. N-grams are held as 64-bit hashes.
+So every link is found by the product and counted, with the number of rows that have the set; of the links in a pair of blocks
+only so many leave the task as connect the same rows. N-grams are held as 64-bit hashes.
 
 Results for odd inputs: a text without words has an empty set, no link and itself as component; a text with
 fewer words than n has one n-gram; rows that share an id are one document, so a link of one counts for all, and so are
-rows without an id; a null id sorts last and its component is null if nothing smaller can be reached; an empty
+rows without an id; links are counted per row, to all other rows, repeated ones as often as they occur; a null id sorts last and its component is null if nothing smaller can be reached; an empty
 table gives no rows; only id and text are read.
 """
 
@@ -45,6 +45,8 @@ MOST_FREQUENT = 1 << 20
 #: Rows and columns of a block of the product.
 BLOCK_ROWS = 1024
 BLOCK_COLUMNS = 1024
+#: Entries of a pair of blocks that are sorted at a time.
+RANGE_ENTRIES = 1 << 19
 
 
 def shingle_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,6 +69,15 @@ def shingle_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return row[new], hashed[new]
 
 
+def _checksums(hashed: np.ndarray, cut: np.ndarray) -> list[np.ndarray]:
+    """Two sums of 64 bits over each set."""
+    sums = []
+    for salt in (0, 0x9E3779B97F4A7C15):
+        total = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashed ^ np.uint64(salt)))])
+        sums.append((total[cut[1:]] - total[cut[:-1]]).view(np.int64))
+    return sums
+
+
 def _describe(n: int):
     """Size and a 128-bit checksum of each set."""
 
@@ -76,10 +87,7 @@ def _describe(n: int):
                 words = find_words(part.column("text"), lower=True)
                 row, hashed = shingle_sets(words, n)
                 cut = np.searchsorted(row, np.arange(words.rows + 1))
-                sums = []
-                for salt in (0, 0x9E3779B97F4A7C15):
-                    total = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashed ^ np.uint64(salt)))])
-                    sums.append((total[cut[1:]] - total[cut[:-1]]).view(np.int64))
+                sums = _checksums(hashed, cut)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(np.diff(cut)), *(pa.array(s) for s in sums)],
                     names=["id", "n", "sum1", "sum2"],
@@ -218,7 +226,7 @@ def _bits(ids: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def _sets(n: int, size: int, bits):
-    """The sets of rows that pass the sieve, as sorted hashes."""
+    """The sets of rows that pass the sieve, as sorted hashes, with their checksums."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,8 +238,11 @@ def _sets(n: int, size: int, bits):
                 # Hashes keep their unsigned order as signed numbers if the top bit is turned.
                 signed = (hashed ^ np.uint64(1 << 63)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.ListArray.from_arrays(pa.array(cut), pa.array(signed))],
-                    names=["id", "grams"],
+                    [
+                        part.column("id"), *(pa.array(s) for s in _checksums(hashed, cut)),
+                        pa.ListArray.from_arrays(pa.array(cut), pa.array(signed)),
+                    ],
+                    names=["rep", "sum1", "sum2", "grams"],
                 )
 
     return sets
@@ -279,18 +290,6 @@ def _overlap_needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil(F.lit(percent) * (a + b) / F.lit(100.0 + percent) - 1e-9)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose exact overlap reaches the bound."""
-    # Few rows are pivots; the other sets need not travel a second time.
-    pivots = sets.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
-    ours = pivots.select(F.col("id").alias("a"), F.col("grams").alias("grams_a"))
-    theirs = sets.select(F.col("id").alias("b"), F.col("grams").alias("grams_b"))
-    both = pairs.select("a", "b").join(theirs, "b").join(ours, "a")
-    overlap = F.size(F.array_intersect("grams_a", "grams_b"))
-    union = F.size("grams_a") + F.size("grams_b") - overlap
-    return both.where(100 * overlap >= percent * union).select("a", "b")
-
-
 def _within_reach(a: str, b: str, percent: int) -> Column:
     """No overlap exceeds what either row shares with any other; the sizes ask for at least so much."""
     needed = _overlap_needed(F.col(f"n_{a}"), F.col(f"n_{b}"), percent)
@@ -339,68 +338,42 @@ def _fullest(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _bridges(entries: DataFrame, order: Column, percent: int) -> DataFrame:
-    """For each row the pivot of another component, of whatever size, with the largest sum over the open columns.
-
-    A column has two pivots: its first row by ``order``, and the first one of any other component.
-    """
-    pivot = F.struct(order.alias("order"), (-F.col("id")).alias("id"), "n", "shared", "label")
-    first = store(entries.groupBy("gram").agg(F.max(pivot).alias("one")), "pivots")
-    second = store(
-        entries.join(first, "gram").groupBy("gram").agg(
-            F.first("one").alias("one"), F.max(F.when(F.col("label") != F.col("one.label"), pivot)).alias("two")
-        ),
-        "pivots",
-    )
-    other = F.when(F.col("label") != F.col("one.label"), F.col("one")).otherwise(F.col("two"))
-    pairs = entries.join(second, "gram").withColumn("other", other).where("other IS NOT NULL").select(
-        (-F.col("other.id")).alias("a"), F.col("other.n").alias("n_a"), F.col("other.shared").alias("shared_a"),
-        F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b"),
-    )
-    return _fullest(pairs.where(_within_reach("a", "b", percent)))
-
-
-def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    return rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-
-
 def _open(block: DataFrame, percent: int) -> DataFrame:
-    """The entries whose row may reach the bound with a row of another component in the same column.
+    """The entries whose row may reach the bound with another row in the same column.
 
     A row that shares s n-grams with any other can only be linked to rows up to a certain size; a column tells
-    the smallest size, and the largest size that any row allows, among rows of other components.
+    the smallest size, and the largest size that any row allows, among the other rows.
     """
     most = F.floor(F.col("shared") * (100.0 + percent) / percent - F.col("n") + 1e-9)
     rows = block.withColumn("most", most)
     first = store(
         rows.groupBy("gram").agg(
-            F.min(F.struct("n", "label")).alias("low"), F.max(F.struct("most", "label")).alias("high"),
-            F.min("label").alias("one"), F.max("label").alias("other"),
-        ).where("one < other").drop("one", "other"),
+            F.min(F.struct("n", "id")).alias("low"), F.max(F.struct("most", "id")).alias("high"),
+        ),
         "columns",
     )
     rows = store(rows.join(first, "gram"), "entries")
     second = store(
         rows.groupBy("gram").agg(
-            F.min(F.when(F.col("label") != F.col("low.label"), F.col("n"))).alias("low2"),
-            F.max(F.when(F.col("label") != F.col("high.label"), F.col("most"))).alias("high2"),
+            F.min(F.when(F.col("id") != F.col("low.id"), F.col("n"))).alias("low2"),
+            F.max(F.when(F.col("id") != F.col("high.id"), F.col("most"))).alias("high2"),
         ),
         "columns",
     )
-    low = F.when(F.col("label") == F.col("low.label"), F.col("low2")).otherwise(F.col("low.n"))
-    high = F.when(F.col("label") == F.col("high.label"), F.col("high2")).otherwise(F.col("high.most"))
+    low = F.when(F.col("id") == F.col("low.id"), F.col("low2")).otherwise(F.col("low.n"))
+    high = F.when(F.col("id") == F.col("high.id"), F.col("high2")).otherwise(F.col("high.most"))
     return store(
         rows.join(second, "gram").where((low <= F.col("most")) & (high >= F.col("n")))
-        .select("gram", "id", "label", "n", "shared", "central"),
+        .select("gram", "id", "n", "shared", "central"),
         "entries",
     )
 
 
 def _blocks(entries: DataFrame, families: DataFrame) -> DataFrame:
     """Rows dealt into blocks of about ``BLOCK_ROWS``, each with the pairs of blocks (p, q) it is needed in:
-    where the other block has a row of another component in one of the row's columns.
+    where the other block has another row in one of the row's columns.
 
-    A row lives with the rows it was multiplied with in the stars, or else with those of its fullest column, so
+    A row lives with the rows that share its central row, or else with those of its fullest column, so
     near copies lie in few blocks; a large family is several blocks.
     """
     known = store(entries.join(families.withColumnRenamed("label", "family"), "id", "left"), "entries")
@@ -409,29 +382,29 @@ def _blocks(entries: DataFrame, families: DataFrame) -> DataFrame:
     )
     homes = store(
         known.join(full, "gram").groupBy("id").agg(
-            F.first("label").alias("label"), F.first("family").alias("family"),
+            F.first("family").alias("family"),
             F.max(F.struct("rows", F.coalesce("near", "gram").alias("near"))).alias("fullest"),
-        ).select("id", "label", F.coalesce("family", "fullest.near").alias("home")),
+        ).select("id", F.coalesce("family", "fullest.near").alias("home")),
         "homes",
     )
     size = store(homes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("parts")), "homes")
     blocks = store(
         homes.join(size, "home").select(
-            "id", "label", F.xxhash64("home", F.pmod(F.xxhash64("id"), F.col("parts"))).alias("block")
+            "id", F.xxhash64("home", F.pmod(F.xxhash64("id"), F.col("parts"))).alias("block")
         ),
         "blocks",
     )
-    placed = store(entries.select("gram", "id", "label").join(blocks.select("id", "block"), "id"), "entries")
+    placed = store(entries.select("gram", "id").join(blocks, "id"), "entries")
     held = store(
-        placed.groupBy("gram", F.col("block").alias("other")).agg(F.min("label").alias("low"), F.max("label").alias("high")),
+        placed.groupBy("gram", F.col("block").alias("other")).agg(F.min("id").alias("low"), F.max("id").alias("high")),
         "held",
     )
     needed = (
-        placed.join(held, "gram").where("low < high OR low <> label").select("id", "label", "block", "other").distinct()
+        placed.join(held, "gram").where("low < high OR low <> id").select("id", "block", "other").distinct()
     )
     return store(
         needed.select(
-            "id", "label", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
+            "id", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
             (F.col("block") <= F.col("other")).alias("left"),
         ),
         "needed",
@@ -444,7 +417,7 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int,
     for batch in batches:
         grams = batch.column("grams")
         cut, flat = grams.offsets.to_numpy(), grams.values.to_numpy()
-        columns = (batch.column(c).to_pylist() for c in ("p", "q", "id", "label", "left", "n", "shared"))
+        columns = (batch.column(c).to_pylist() for c in ("p", "q", "id", "left", "n", "shared", "copies"))
         for i, (p, q, *fields) in enumerate(zip(*columns)):
             if (p, q) != key:
                 if len(rows) > 1:
@@ -455,30 +428,37 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int,
         yield *key, rows
 
 
-def _overlaps(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _overlaps(rows: list[tuple], one_block: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of the rows of either side, and how many columns any two of them share."""
-    left = np.array([r[2] for r in rows])
-    # Rows of the same block are on both sides.
+    left = np.array([r[1] for r in rows])
     ours = np.flatnonzero(left)
-    theirs = np.flatnonzero(~left) if not left.all() else ours
-    row = np.repeat(np.arange(len(rows)), [len(r[-1]) for r in rows])
-    column, times = np.unique(np.concatenate([r[-1] for r in rows]), return_inverse=True, return_counts=True)[1:]
-    several = times[column] > 1
-    row, column = row[several], column[several]
-    names, column = np.unique(column, return_inverse=True)
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
+    # Rows of the same block are on both sides.
+    theirs = ours if one_block else np.flatnonzero(~left)
+    grams = [np.sort(r[-1]) for r in rows]
     overlap = np.zeros((len(ours), len(theirs)), np.float32)
-    for first in range(0, len(names), BLOCK_COLUMNS):
-        a, b = np.searchsorted(column, [first, first + BLOCK_COLUMNS])
-        block = np.zeros((len(rows), BLOCK_COLUMNS), np.float32)
-        block[row[a:b], column[a:b] - first] = 1
-        overlap += block[ours] @ block[theirs].T
-    return ours, theirs, overlap
+    # N-grams are spread evenly, so ranges of them hold about as many entries each.
+    ranges = 1 + sum(map(len, grams)) // RANGE_ENTRIES
+    edges = [((1 << 64) * k // ranges) - (1 << 63) for k in range(1, ranges)]
+    cuts = [np.concatenate([[0], np.searchsorted(g, np.array(edges, np.int64)), [len(g)]]) for g in grams]
+    for k in range(ranges):
+        parts = [g[c[k] : c[k + 1]] for g, c in zip(grams, cuts)]
+        row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(g) for g in parts])
+        flat = np.concatenate(parts)
+        order = np.argsort(flat, kind="stable")
+        row, flat = row[order], flat[order]
+        new = np.append(True, flat[1:] != flat[:-1])[: len(flat)]
+        several = ~(new & np.append(new[1:], True)[: len(flat)])
+        row, column = row[several], np.cumsum(new[several]) - 1
+        for first in range(0, int(column[-1]) + 1 if len(column) else 0, BLOCK_COLUMNS):
+            a, b = np.searchsorted(column, [first, first + BLOCK_COLUMNS])
+            block = np.zeros((len(rows), BLOCK_COLUMNS), np.float32)
+            block[row[a:b], column[a:b] - first] = 1
+            overlap += block[ours] @ block[theirs].T
+    return ours, theirs, overlap.astype(np.int32)
 
 
 def _hopeful(percent: int):
-    """The rows that share enough of the first block with a row of another component on the other side.
+    """The rows that share enough of the first block with a row on the other side.
 
     Two sets above the bound have at least ``needed`` n-grams in common. Of these, at most as many lie outside the
     first block as the larger set has n-grams there; the others are common columns of the first block.
@@ -486,14 +466,15 @@ def _hopeful(percent: int):
 
     def hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p, q, rows in _block_pairs(batches):
-            ours, theirs, overlap = _overlaps(rows)
-            ids, labels, _, size, shared = (np.array([r[k] for r in rows]) for k in range(5))
+            ours, theirs, overlap = _overlaps(rows, p == q)
+            ids, _, size, shared = (np.array([r[k] for r in rows]) for k in range(4))
+            # Half the memory, and 100 times a size still fits.
+            size, shared = size.astype(np.int32), shared.astype(np.int32)
             a, b = size[ours][:, None], size[theirs][None, :]
             needed = -(-percent * (a + b) // (100 + percent))
             outside = -(-percent * np.maximum(a, b) // 100) - 1
             reach = np.minimum(shared[ours][:, None], shared[theirs][None, :])
-            pair = (overlap >= needed - outside) & (reach >= needed)
-            pair &= labels[ours][:, None] != labels[theirs][None, :]
+            pair = (overlap >= needed - outside) & (reach >= needed) & (ids[ours][:, None] != ids[theirs][None, :])
             some = np.zeros(len(rows), bool)
             some[ours[pair.any(axis=1)]] = True
             some[theirs[pair.any(axis=0)]] = True
@@ -501,43 +482,69 @@ def _hopeful(percent: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(at), p)), pa.array(np.full(len(at), q)), pa.array(ids[at]),
-                    pa.array(labels[at]), pa.array([rows[i][2] for i in at], pa.bool_()),
+                    pa.array([rows[i][1] for i in at], pa.bool_()),
                 ],
-                names=["p", "q", "id", "label", "left"],
+                names=["p", "q", "id", "left"],
             )
 
     return hopeful
 
 
 def _product(percent: int):
-    """Links between the rows of two blocks, one for each pair of components."""
+    """For the rows of two blocks the documents they are linked to, and links that connect the same rows as all do."""
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, rows in _block_pairs(batches):
-            ours, theirs, overlap = _overlaps(rows)
-            ids, labels, _, size, _ = (np.array([r[k] for r in rows]) for k in range(5))
+        for p, q, rows in _block_pairs(batches):
+            ours, theirs, overlap = _overlaps(rows, p == q)
+            ids, _, size, _, copies = (np.array([r[k] for r in rows]) for k in range(5))
+            size = size.astype(np.int32)
             union = size[ours][:, None] + size[theirs][None, :] - overlap
-            x, y = np.nonzero(
-                (100 * overlap >= percent * union) & (labels[ours][:, None] != labels[theirs][None, :])
+            linked = (100 * overlap >= percent * union) & (ids[ours][:, None] != ids[theirs][None, :])
+            count = np.zeros(len(rows), np.int64)
+            count[ours] += linked @ copies[theirs]
+            if p != q:
+                count[theirs] += linked.T @ copies[ours]
+            found = _tree(linked, ours, theirs, len(rows))
+            some = np.flatnonzero(count)
+            # A row with its count has no other end.
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([ids[some], ids[found[:, 0]]])),
+                    pa.array(
+                        np.concatenate([np.zeros(len(some), np.int64), ids[found[:, 1]]]),
+                        mask=np.arange(len(some) + len(found)) < len(some),
+                    ),
+                    pa.array(np.concatenate([count[some], np.zeros(len(found), np.int64)])),
+                ],
+                names=["a", "b", "links"],
             )
-            found = {}
-            for i, j in zip(ours[x].tolist(), theirs[y].tolist()):
-                found.setdefault((min(labels[i], labels[j]), max(labels[i], labels[j])), (int(ids[i]), int(ids[j])))
-            yield _pairs(list(found.values()))
 
     return product
 
 
-def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([f[k] for f in found], pa.int64()) for k in range(2)], names=["a", "b"]
-    )
-
-
-def _across(
+def _tree(linked: np.ndarray, ours: np.ndarray, theirs: np.ndarray, rows: int) -> np.ndarray:
+    """Places of the ends of links along which each row is reached once from the first of its component."""
+    side, other = np.full(rows, -1), np.full(rows, -1)
+    side[ours], other[theirs] = np.arange(len(ours)), np.arange(len(theirs))
+    fresh = np.ones(rows, bool)
+    found = [np.zeros((0, 2), np.int64)]
+    for start in range(rows):
+        waiting = [start] if fresh[start] else []
+        fresh[start] = False
+        while waiting:
+            at = waiting.pop()
+            near = theirs[linked[side[at]]] if side[at] >= 0 else ours[linked[:, other[at]]]
+            near = near[fresh[near]]
+            fresh[near] = False
+            waiting += near.tolist()
+            found.append(np.stack([np.full(len(near), at), near], axis=1))
+    return np.concatenate(found)
+
+
+def _multiplied(
     entries: DataFrame, columns: DataFrame, sets: DataFrame, families: DataFrame, percent: int
 ) -> DataFrame:
-    """Links between components among rows that share an open column, from the products of their blocks.
+    """Links among rows that share an open column and their number per row, from the products of the rows' blocks.
 
     The blocks are multiplied in the columns of the first block, and then, for the rows that still can have a link, in all.
     """
@@ -545,24 +552,25 @@ def _across(
     needed = _blocks(entries, families)
 
     def in_blocks(rows: DataFrame) -> DataFrame:
-        rows = rows.select("p", "q", "id", "label", "left", "n", "shared", "grams")
+        rows = rows.select("p", "q", "id", "left", "n", "shared", "copies", "grams")
         return rows.repartition(parts, "p", "q").sortWithinPartitions("p", "q")
 
     ids = entries.select("id").distinct()
     # Columns that only one row has count for no pair and are not among these.
     prefixes = store(
         columns.join(ids, "id", "left_semi").groupBy("id").agg(
-            F.first("n").alias("n"), F.first("shared").alias("shared"), F.collect_list("gram").alias("grams")
+            F.first("n").alias("n"), F.first("shared").alias("shared"), F.lit(0).cast("long").alias("copies"),
+            F.collect_list("gram").alias("grams"),
         ),
         "prefixes",
     )
     hopeful = store(
-        in_blocks(needed.join(prefixes, "id")).mapInArrow(
-            _hopeful(percent), "p long, q long, id long, label long, left boolean"
-        ),
+        in_blocks(needed.join(prefixes, "id")).mapInArrow(_hopeful(percent), "p long, q long, id long, left boolean"),
         "hopeful",
     )
-    return in_blocks(hopeful.join(sets, "id")).mapInArrow(_product(percent), "a long, b long")
+    return store(
+        in_blocks(hopeful.join(sets, "id")).mapInArrow(_product(percent), "a long, b long, links long"), "products"
+    )
 
 
 def _prefix(n: Column, percent: int) -> Column:
@@ -572,18 +580,18 @@ def _prefix(n: Column, percent: int) -> Column:
 
 def jaccard_components(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", *, n: int = 5, percent: int = 75,
-    bucket_entries: int = 1 << 20, part_rows: int = 1 << 16, random_bridges: int = 1,
+    bucket_entries: int = 1 << 20, part_rows: int = 1 << 16,
 ) -> DataFrame:
-    """Per row: id, size of its set, and the smallest id reachable by links of at least ``percent`` Jaccard similarity.
+    """Per row: id, size of its set, the smallest id reachable by links of at least ``percent`` Jaccard similarity, and
+    how many other rows it is linked to.
 
-    ``bucket_entries`` and ``part_rows`` are about what one group holds while columns and then rows are counted;
-    ``random_bridges`` is how often rows are tried with a random row of another component before the blocks.
+    ``bucket_entries`` and ``part_rows`` are about what one group holds while columns and then rows are counted.
     """
     spark = df.sparkSession
     rows = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(text).alias("text"))
     described = store(rows.mapInArrow(_describe(n), "id long, n long, sum1 long, sum2 long"), "sizes")
     same = ["n", "sum1", "sum2"]
-    classes = store(described.where("n > 0").groupBy(*same).agg(F.min("id").alias("rep")), "classes")
+    classes = store(described.where("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
     matrix = classes.agg(F.count("*").alias("rows"), F.sum("n").alias("entries")).first()
     buckets, parts = 1 + (matrix["entries"] or 0) // bucket_entries, 1 + matrix["rows"] // part_rows
     slots = rows.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(MOST_BITS)))
@@ -595,35 +603,49 @@ def jaccard_components(
         dealt.groupBy("bucket").applyInArrow(_shared(parts), "part int, counts binary")
         .groupBy("part").applyInArrow(_total, "id long, shared long")
     )
+    # Classes of different sets may have the same smallest id.
     able = store(
-        classes.join(shared, classes["rep"] == shared["id"]).where(100 * F.col("shared") >= percent * F.col("n"))
-        .groupBy("id").agg(F.max("shared").alias("shared")),
+        classes.join(shared.groupBy("id").agg(F.max("shared").alias("shared")), F.col("rep") == F.col("id"))
+        .where(100 * F.col("shared") >= percent * F.col("n"))
+        .select(F.monotonically_increasing_id().alias("id"), "rep", "n", "sum1", "sum2", "copies", "shared"),
         "able",
     )
-    size, bits = _bits(able)
-    passed = slots.mapInArrow(_sets(n, size, spark.sparkContext.broadcast(bits)), "id long, grams array<long>")
-    sized = passed.join(able, "id").withColumn("n", F.size("grams").cast("long"))
-    sets = store(sized.withColumn("shared", F.least("shared", "n")), "sets")
+    size, bits = _bits(able.select(F.col("rep").alias("id")))
+    passed = slots.mapInArrow(
+        _sets(n, size, spark.sparkContext.broadcast(bits)), "rep long, sum1 long, sum2 long, grams array<long>"
+    )
+    sets = store(
+        passed.join(able, ["rep", "sum1", "sum2"]).where(F.size("grams") == F.col("n"))
+        .select("id", "n", F.least("shared", "n").alias("shared"), "copies", "grams"),
+        "sets",
+    )
+    if sets.count() > able.count():
+        # Repeated rows have the same id and the same set.
+        sets = store(sets.dropDuplicates(["id"]), "sets")
     frequent = spark.sparkContext.broadcast(_frequent(sets))
     block = store(sets.mapInArrow(_first_block(percent, frequent), "id long, n long, shared long, gram long"), "block")
     columns = _shared_columns(block, percent)
-    stars = store(_stars(columns, percent), "stars")
-    labels = connected_components(store(_linked(stars, sets, percent), "links"))
-    entries = _open(_labelled(columns, labels), percent)
-    for order in (F.col("central"), *(F.xxhash64("id", F.lit(k)).cast("double") for k in range(random_bridges))):
-        bridges = store(_bridges(entries, order, percent), "bridges")
-        found = _linked(bridges, sets, percent).union(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
-        labels = connected_components(store(found, "links"))
-        entries = _open(_labelled(entries.drop("label"), labels), percent)
-    more = _across(entries, columns, sets, connected_components(stars), percent)
-    labels = connected_components(
-        store(more.union(labels.select(F.col("id").alias("a"), F.col("label").alias("b"))), "links")
+    families = connected_components(store(_stars(columns, percent), "stars"))
+    products = _multiplied(_open(columns, percent), columns, sets, families, percent)
+    counted = products.groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
+    counted = store(counted.join(able, "id").select(*same, "links"), "counted")
+    members = store(
+        described.join(classes, same, "left").join(counted, same, "left").select(
+            "id", "n", F.coalesce("rep", "id").alias("rep"),
+            F.coalesce(F.coalesce("links", F.lit(0)) + F.col("copies") - 1, F.lit(0)).alias("n_links"),
+        ),
+        "members",
     )
-    members = described.join(classes, same, "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
+    a, b = (able.select(F.col("id").alias(k), F.col("rep").alias(f"rep_{k}")) for k in "ab")
+    links = products.where("b IS NOT NULL").select("a", "b").join(a, "a").join(b, "b").select("rep_a", "rep_b")
+    # An id with several sets is one document.
+    several = members.groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
+    links = links.union(members.join(several, "id").select("id", "rep").distinct())
+    labels = connected_components(store(links.toDF("a", "b"), "links"))
     labels = labels.select(F.col("id").alias("rep"), "label")
     return members.join(labels, "rep", "left").select(
         F.nullif("id", F.lit(LAST_ID)).alias(doc_id), F.col("n").alias("n_shingles"),
-        F.nullif(F.coalesce("label", "rep"), F.lit(LAST_ID)).alias("component_id"),
+        F.nullif(F.coalesce("label", "rep"), F.lit(LAST_ID)).alias("component_id"), "n_links",
     )
 
 

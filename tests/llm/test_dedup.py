@@ -98,6 +98,22 @@ def test_components_of_odd_tables(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2"]
 
 
+@pytest.mark.parametrize("seed", [5, 11])
+def test_links_are_counted_within_components(spark, seed, monkeypatch):
+    monkeypatch.setattr(ngram_jaccard, "BLOCK_ROWS", 8)
+    docs = corpus(seed) + [(500, "p q r s t u v"), (500, "other words that are six here"), (501, "p q r s t u v")]
+    docs += [docs[3], docs[3]]
+    sets = [brute.shingles(t) for _, t in docs]
+    want = sorted(
+        (d, len(s), sum(bool(s and o) and 100 * len(s & o) >= 75 * len(s | o) for o in sets) - bool(s))
+        for (d, _), s in zip(docs, sets)
+    )
+    got = ngram_jaccard.jaccard_components(spark.createDataFrame(docs, SCHEMA).repartition(5)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["n_links"]) for r in got) == want
+    assert max(n for _, _, n in want) > 50
+    assert {r["component_id"] for r in got if r["doc_id"] in (500, 501)} == {500}
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99)], "a long, b long")
     got = {r["id"]: r["label"] for r in connected_components(links).collect()}
