@@ -22,8 +22,10 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays; of its repeated rows one."""
-    return ngram_jaccard.keep_representatives(docs).select(*COLUMNS)
+    """Of each group of near duplicates the document with the smallest id stays; of its repeated rows one. Each
+    distinct text without an id is a document of its own."""
+    named = ngram_jaccard.own_nodes(docs, "doc_id", "text", "_node")
+    return ngram_jaccard.keep_representatives(named, "_node").select(*COLUMNS)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from orrery.llm.components import connected_components, store
 from orrery.llm.text import Words, chunks, find_words, mix, ngram_hashes
+from orrery.operators.keys import number_rows
 
 LAST_ID = (1 << 63) - 1
 #: The bits of the table that says which rows may take part; at most so many.
@@ -649,6 +650,24 @@ def jaccard_components(
     )
 
 
+def own_nodes(df: DataFrame, doc_id: str, text: str, into: str) -> DataFrame:
+    """The id, and for rows without one a number of their text's own outside of all ids; equal texts share it.
+
+    A text is known by 128 bits of its SHA-256; numbers are given in that order.
+    """
+    known = F.substring(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256), 1, 32)
+    unnamed = df.where(F.col(doc_id).isNull()).select(known.alias("_known")).distinct()
+    numbers = number_rows(unnamed, "_nth", ["_known"], unique=True)
+    ids = df.agg(F.min(F.col(doc_id).cast("long")).alias("low"), F.max(F.col(doc_id).cast("long")).alias("high")).first()
+    size, high = numbers.count(), max(ids["high"] or 0, 0)
+    # Ids that are hashes may end near the largest number; then there is room before the smallest.
+    base = high if high + size < LAST_ID else ids["low"] - size - 1
+    key = F.when(F.col(doc_id).isNull(), known)
+    return df.withColumn("_known_", key).join(numbers, F.col("_known_") == F.col("_known"), "left").withColumn(
+        into, F.coalesce(F.col(doc_id).cast("long"), F.col("_nth") + F.lit(base))
+    ).drop("_known_", "_known", "_nth")
+
+
 def keep_representatives(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", *, n: int = 5, percent: int = 75,
 ) -> DataFrame:

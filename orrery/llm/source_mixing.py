@@ -195,10 +195,12 @@ def mix_sources(
     df: DataFrame, doc_id: str = "doc_id", tokens: str = "n_tokens", source: str = "source",
     language: str = "lang", topic: str = "topic", *, by_source: Targets, by_language: Targets, by_topic: Targets,
     expected_tokens: float | None = None, expected_share: float | None = None, seed: int = 0,
+    unnamed: str = "text",
 ) -> DataFrame:
     """All columns of ``df``, the weight per token, the probability and whether the document is sampled.
 
     ``expected_tokens``, or ``expected_share`` of all tokens, is the size of the sample.
+    Rows without an id are drawn by the column ``unnamed``, if there is one.
 
     The table of source factors is joined without a hint: Spark broadcasts it while it is small and
     otherwise shuffles, where the adaptive join splits a large source.
@@ -232,7 +234,10 @@ def mix_sources(
     rows = rows.withColumn("weight", F.coalesce(weight, F.lit(0.0))).drop(
         "_orrery_key", "_orrery_source", "_orrery_factor"
     )
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    key = F.xxhash64(F.lit(seed), F.col(doc_id))
+    if unnamed in df.columns:
+        key = F.when(F.col(doc_id).isNull(), F.xxhash64(F.lit(seed), F.col(unnamed))).otherwise(key)
+    draw = F.pmod(key, F.lit(1 << 40)) / F.lit(float(1 << 40))
     return rows.withColumn("probability", F.least(F.col("weight"), F.lit(1.0))).withColumn(
         "sampled", draw < F.col("probability")
     )

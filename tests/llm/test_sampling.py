@@ -197,6 +197,19 @@ def test_fingerprints_of_odd_tables(spark):
     assert alone["near_next"] == 1.0
 
 
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    clean = [f"text {i} of its own {i * i} says {i * 7} things {i} {i + 1}" for i in range(60)]
+    rows = [(1, "a b c d e f")] + [(None, t) for t in ["A b c d e f", *clean, clean[0]]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "'en' AS lang", "'s' AS source", "length(text) AS n_chars"
+    )
+    kept = corpus_pipeline.one_of_each_group(spark, docs, SF_DIR)
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == sorted(
+        [("1", "a b c d e f"), *(("None", t) for t in clean)]
+    )
+    assert 10 < corpus_pipeline.mix(spark, docs, SF_DIR).count() < 55
+
+
 def test_pipeline_stage_by_stage(spark, tmp_path):
     before = load(spark, SF_DIR, "documents")
     extra = spark.createDataFrame([(10_000, "1234 5678", "en", "src0", 9), (10_001, None, None, None, None)], before.schema)
