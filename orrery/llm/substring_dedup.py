@@ -12,7 +12,7 @@ bucket of the window's own hash. No window is left out.
 
 Results for odd inputs: a null text has no words; a text shorter than a window keeps all of them; rows with a
 null id come last; repeated rows are one document and get equal results; rows that share an id but not a text
-are told apart by a 16-bit checksum of the text, the smaller one first; an empty table gives no rows; only id
+are told apart by a 64-bit checksum of the text, the smaller one first, and so are rows without an id; an empty table gives no rows; only id
 and text are read.
 """
 
@@ -28,6 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orrery.llm.components import store
 from orrery.llm.text import Words, chunks, find_words, join_words, mix, ngram_hashes, split_words
 
 MER = 4
@@ -38,7 +39,7 @@ GATHER = 32 << 20
 LAST_ID = (1 << 63) - 1
 
 PACKED = "bucket int, strings binary, repeats binary"
-SPANS = "id long, tie int, start int, windows int"
+SPANS = "id long, tie long, start int, windows int"
 
 
 def _window_minimisers(hashes: np.ndarray, window: int) -> np.ndarray:
@@ -153,7 +154,7 @@ class _Gathered:
                 press.compress(
                     struct.pack("<q", len(items)) + np.diff(ids, prepend=0).tobytes()
                     + np.array([k[1] for k, _ in items], np.int32).tobytes()
-                    + np.array([k[2] for k, _ in items], np.uint16).tobytes()
+                    + np.array([k[2] for k, _ in items], np.int64).tobytes()
                     + b"\n".join([t for _, t in items])
                 )
             )
@@ -195,8 +196,8 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes
     (n,) = struct.unpack_from("<q", raw)
     ids = np.cumsum(np.frombuffer(raw, np.int64, n, 8))
     starts = np.frombuffer(raw, np.int32, n, 8 + 8 * n)
-    ties = np.frombuffer(raw, np.uint16, n, 8 + 12 * n)
-    return ids, starts, ties, raw[8 + 14 * n :].split(b"\n")
+    ties = np.frombuffer(raw, np.int64, n, 8 + 12 * n)
+    return ids, starts, ties, raw[8 + 20 * n :].split(b"\n")
 
 
 def _repeated(
@@ -250,7 +251,7 @@ def _find(window: int):
             np.concatenate([own, *(s[:, k] for s in sent)]) for k, own in enumerate(found)
         ]
         return pa.table(
-            [pa.array(c.astype(t)) for c, t in zip(columns, ("i8", "i4", "i4", "i4"))],
+            [pa.array(c.astype(t)) for c, t in zip(columns, ("i8", "i8", "i4", "i4"))],
             names=["id", "tie", "start", "windows"],
         )
 
@@ -302,10 +303,16 @@ def dedup_substrings(
     """
     spark = df.sparkSession
     buckets = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"),
-        F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 16)).cast("int").alias("tie"),
-        F.col(text).alias("text"),
+    rows = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(text).alias("text"))
+    # Few ids as a rule; only their rows need a checksum.
+    several = store(
+        rows.where(F.col("id") != LAST_ID).groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1")
+        .select(F.col("id").alias("_several")),
+        "several",
+    )
+    shared = F.col("_several").isNotNull() | (F.col("id") == LAST_ID)
+    rows = rows.join(several, F.col("id") == F.col("_several"), "left").select(
+        "id", F.when(shared, F.xxhash64("text")).otherwise(F.lit(0)).cast("long").alias("tie"), "text"
     )
     hot = spark.sparkContext.broadcast(hot_minimisers(rows, window, buckets, hot_least))
     packed = rows.mapInArrow(_pack(window, buckets, hot), PACKED)

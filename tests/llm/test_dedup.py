@@ -71,6 +71,20 @@ def test_substrings_of_odd_tables(spark):
     assert substring_dedup.dedup_substrings(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("doc_id", [None, 4])
+def test_substrings_of_many_rows_with_one_id(spark, doc_id):
+    """Some thirty pairs of these texts agree in 16 bits of their checksum."""
+    passage = " ".join(f"p{i}" for i in range(25))
+    own = [" ".join(f"o{k}_{i}" for i in range(30)) for k in range(2000)]
+    texts = [f"{passage} {t}" if k % 2 else t for k, t in enumerate(own)]
+    frame = spark.createDataFrame([(doc_id, t) for t in texts], SCHEMA).repartition(5)
+    got = {r["kept_text"]: r["n_removed"] for r in substring_dedup.dedup_substrings(frame).collect()}
+    whole = [t for t, n in got.items() if t.startswith("p0 ")]
+    assert len(whole) == 1 and got[whole[0]] == 0
+    assert set(got) == {whole[0], *(t for t in own if not whole[0].endswith(t))}
+    assert all(n == 25 * (int(t.split("_")[0][1:]) % 2) for t, n in got.items() if t != whole[0])
+
+
 @pytest.mark.parametrize("seed", [5, 11])
 def test_components_equal_plain_version(spark, seed, monkeypatch):
     monkeypatch.setattr(ngram_jaccard, "BLOCK_ROWS", 8)
