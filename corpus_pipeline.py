@@ -10,15 +10,24 @@ from orrery.session import scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+#: How far from even odds (0) to certainty (1) the likeliest language's share must be: 0.35 with four languages.
+CLEAR = 2 / 15
+
 ORACLE_SQL = None
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or of which no language gets a clear share of the likelihood, go."""
+    """Documents without a letter, or of which no language gets a clear share of the likelihood, go; those that name a
+    language of which nothing could be learned stay."""
     model = queries.language_model(docs)
     judged = language_id.identify_language(docs, model, into="_pred", score="_score")
-    kept = judged.where((F.col("_pred") != language_id.UNKNOWN) & (F.col("_score") >= 0.35))
-    return kept.withColumn("lang", F.coalesce("lang", "_pred")).select(*COLUMNS)
+    k = len(model.languages)
+    clear = F.col("_score") >= 1 / k + CLEAR * (1 - 1 / k) - 1e-12 if k else F.lit(True)
+    other = F.coalesce(~F.col("lang").isin(model.languages), F.lit(False)) if k else F.lit(True)
+    kept = judged.where(F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}") & (clear | other))
+    return kept.withColumn(
+        "lang", F.coalesce("lang", F.nullif("_pred", F.lit(language_id.UNKNOWN)))
+    ).select(*COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from orrery.llm.components import store
 from orrery.llm.text import chunks
 
 NGRAMS = (5, 4, 3, 2, 1)
@@ -116,18 +117,22 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train_language_model(
     labelled: DataFrame, text: str = "text", lang: str = "lang", *,
-    sample_rows: int = 6000, max_words: int = 10_000, max_grams: int = 5_000,
+    sample_rows: int = 6000, least_rows: int = 500, max_words: int = 10_000, max_grams: int = 5_000,
 ) -> LanguageModel:
-    """Learn from about ``sample_rows`` labelled rows, chosen by a hash of their text.
+    """Learn from about ``sample_rows`` labelled rows, chosen by a hash of their text, and of a language that has fewer of
+    these from about ``least_rows``, or all it has; each language is learned from one text at least.
 
     The model keeps the ``max_words`` most frequent words and ``max_grams`` most frequent n-grams of each length
     per language, which bounds what reaches the driver and each task.
     """
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
-    size = rows.count()
+    spread = F.pmod(F.xxhash64("text"), F.lit(1 << 31))
+    per_language = store(rows.groupBy("lang").agg(F.count("*").alias("rows"), F.min(spread).alias("first")), "languages")
+    size = per_language.agg(F.sum("rows")).first()[0] or 0
     if size > sample_rows:
-        share = int(sample_rows / size * (1 << 31))
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 31)) < share)
+        share = F.greatest(F.lit(sample_rows / size), F.lit(least_rows) / F.col("rows")) * (1 << 31)
+        edges = per_language.select("lang", F.greatest(share, F.col("first") + 1).alias("edge"))
+        rows = rows.join(edges, "lang").where(spread < F.col("edge")).select("lang", "text")
     counts = (
         rows.mapInArrow(_count, "lang string, n int, gram string, times long")
         .groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))

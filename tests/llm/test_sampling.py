@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orrery.llm import fingerprints, packing, source_mixing
+from orrery.llm import fingerprints, language_id, packing, source_mixing
 from orrery.llm.queries import QUERIES, load, mixed
 from orrery.llm.source_mixing import Targets
 from tests.llm import brute
@@ -197,6 +197,21 @@ def test_fingerprints_of_odd_tables(spark):
     assert alone["near_next"] == 1.0
 
 
+def test_rare_languages_are_learned_and_kept(spark):
+    rows = [(i, f"word{chr(97 + i % 26)} other {chr(97 + i % 7)}", "en" if i % 2 else "de") for i in range(3000)]
+    rows += [(5000 + i, "日本 語の 文章", "ja") for i in range(3)] + [(6000, "Привет мир", "ru")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train_language_model(frame, sample_rows=60, least_rows=20)
+    assert model.languages == ["de", "en", "ja", "ru"]
+    docs = spark.createDataFrame(
+        [(i, "a b c", "en") for i in range(9)] + [(i, "x y z", "de") for i in range(9)]
+        + [(100, "日本", None), (None, "日本 語", "ja"), (102, "12", "en")], "doc_id long, text string, lang string",
+    ).selectExpr("*", "'s' AS source", "length(text) AS n_chars")
+    kept = corpus_pipeline.identify(spark, docs, SF_DIR).collect()
+    assert len(kept) == 19 and [r["text"] for r in kept if r["doc_id"] is None] == ["日本 語"]
+    assert not [r for r in kept if r["doc_id"] in (100, 102)]
+
+
 def test_rows_without_an_id_are_documents_of_their_own(spark):
     clean = [f"text {i} of its own {i * i} says {i * 7} things {i} {i + 1}" for i in range(60)]
     rows = [(1, "a b c d e f")] + [(None, t) for t in ["A b c d e f", *clean, clean[0]]]
