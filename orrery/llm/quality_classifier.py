@@ -4,7 +4,8 @@ Two logistic classifiers (good quality; toxic) read style measures and the evide
 bounded sample of labelled documents. Grouped sums of the probabilities of all documents give each host
 and each path of a host a posterior: a host with few documents is shrunk towards the corpus, a path towards its
 host. A document's score adds to the log odds of its own evidence how far its path's odds lie from the
-corpus's. Toxic documents are dropped whatever their score.
+corpus's. Toxic documents are dropped whatever their score. Documents carry no URL: by default their source stands in
+for the host and their language within the source for the path.
 
 Results for odd inputs: a null or empty text has the measures of an empty text; null hosts and paths are values
 of their own; repeated rows count as often as they occur and score alike; labels that are null or of no

@@ -83,6 +83,7 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents carry no path: the rates of a path are those of a language within a source."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     model = quality_classifier.train_quality_model(docs, load(spark, sf_dir, "labels"))
     return quality_classifier.classify_quality(docs, model)
