@@ -46,6 +46,8 @@ MOST_FREQUENT = 1 << 20
 #: Rows and columns of a block of the product.
 BLOCK_ROWS = 1024
 BLOCK_COLUMNS = 1024
+#: Entries that the rows of a block should have in all, so that blocks of long texts have fewer rows.
+BLOCK_ENTRIES = 1 << 20
 #: Entries of a pair of blocks that are sorted at a time.
 RANGE_ENTRIES = 1 << 19
 
@@ -371,8 +373,8 @@ def _open(block: DataFrame, percent: int) -> DataFrame:
 
 
 def _blocks(entries: DataFrame, families: DataFrame) -> DataFrame:
-    """Rows dealt into blocks of about ``BLOCK_ROWS``, each with the pairs of blocks (p, q) it is needed in:
-    where the other block has another row in one of the row's columns.
+    """Rows dealt into blocks of about ``BLOCK_ROWS`` rows and ``BLOCK_ENTRIES`` n-grams, each with the pairs of
+    blocks (p, q) it is needed in: where the other block has another row in one of the row's columns.
 
     A row lives with the rows that share its central row, or else with those of its fullest column, so
     near copies lie in few blocks; a large family is several blocks.
@@ -385,10 +387,12 @@ def _blocks(entries: DataFrame, families: DataFrame) -> DataFrame:
         known.join(full, "gram").groupBy("id").agg(
             F.first("family").alias("family"),
             F.max(F.struct("rows", F.coalesce("near", "gram").alias("near"))).alias("fullest"),
-        ).select("id", F.coalesce("family", "fullest.near").alias("home")),
+            F.max("n").alias("n"),
+        ).select("id", "n", F.coalesce("family", "fullest.near").alias("home")),
         "homes",
     )
-    size = store(homes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("parts")), "homes")
+    parts = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_ENTRIES))
+    size = store(homes.groupBy("home").agg(parts.alias("parts")), "homes")
     blocks = store(
         homes.join(size, "home").select(
             "id", F.xxhash64("home", F.pmod(F.xxhash64("id"), F.col("parts"))).alias("block")

@@ -20,18 +20,18 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS: list[np.ndarray] = []
+#: Words are hashed in spans of the data, so that tables stay small however long a text is.
+SPAN = 1 << 15
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd base modulo 2^64, and their inverses."""
-    if not _POWERS or len(_POWERS[0]) <= n:
-        size = max(n + 1, 1 << 16)
-        steps = [np.full(size + 1, base, np.uint64) for base in (_BASE, pow(_BASE, -1, 1 << 64))]
-        for step in steps:
-            step[0] = 1
-        _POWERS[:] = [np.cumprod(step, dtype=np.uint64) for step in steps]
-    return _POWERS[0], _POWERS[1]
+def _powers(base: int) -> np.ndarray:
+    """The first powers modulo 2^64, enough for a span and a word that begins in it."""
+    steps = np.full(2 * SPAN + 1, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
+_UP, _DOWN = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -62,10 +62,34 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
-        up, down = _powers(len(self.data))
-        total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[: len(self.data)], out=total[1:])
-        return mix((total[self.end] - total[self.start]) * down[self.start])
+        out = np.zeros(len(self.start), np.uint64)
+        first = 0
+        for last in np.searchsorted(self.start, np.arange(SPAN, len(self.data) + SPAN, SPAN)).tolist():
+            short = last
+            if last > first and self.end[last - 1] - self.start[first] > 2 * SPAN:
+                short -= 1
+                out[short] = _long_word(self.data[self.start[short] : self.end[short]])
+            if short > first:
+                low, high = int(self.start[first]), int(self.end[short - 1])
+                total = np.zeros(high - low + 1, np.uint64)
+                values = self.data[low:high].astype(np.uint64)
+                values += np.uint64(1)
+                values *= _UP[: high - low]
+                np.cumsum(values, out=total[1:])
+                start, end = self.start[first:short] - low, self.end[first:short] - low
+                out[first:short] = (total[end] - total[start]) * _DOWN[start]
+            first = last
+        return mix(out)
+
+
+def _long_word(data: np.ndarray) -> np.uint64:
+    """The sum that a short word's hash is made of, for a word longer than a span."""
+    total, shift = 0, 1
+    for at in range(0, len(data), SPAN):
+        piece = data[at : at + SPAN].astype(np.uint64) + np.uint64(1)
+        total += shift * int((piece * _UP[: len(piece)]).sum(dtype=np.uint64))
+        shift = shift * pow(_BASE, SPAN, 1 << 64) % (1 << 64)
+    return np.uint64(total % (1 << 64))
 
 
 def find_words(texts: pa.Array, lower: bool = False) -> Words:
@@ -84,14 +108,17 @@ def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> W
     if lower:
         data = _LOWER[data]
     inside = ~_IS_SPACE[data]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[offsets] = True
-    before = np.ones(len(data) + 1, bool)
-    before[1:] = ~inside
-    start = np.flatnonzero(inside & (before[:-1] | edge[:-1]))
-    after = np.ones(len(data), bool)
-    after[:-1] = ~inside[1:]
-    end = np.flatnonzero(inside & (after | edge[1:])) + 1
+    marks = inside.copy()
+    np.greater(inside[1:], inside[:-1], out=marks[1:])
+    first = offsets[offsets < len(data)]
+    marks[first] = inside[first]
+    start = np.flatnonzero(marks)
+    marks[-1:] = inside[-1:]
+    np.greater(inside[:-1], inside[1:], out=marks[:-1])
+    last = offsets[offsets > 0] - 1
+    marks[last] = inside[last]
+    end = np.flatnonzero(marks) + 1
+    del inside, marks
     row = np.searchsorted(offsets[1:], start, side="right")
     return Words(data, start, end, row, len(offsets) - 1)
 

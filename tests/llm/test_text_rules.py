@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import subprocess
+import sys
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from orrery.llm import language_id, pii, quality_classifier, quality_rules, url_filter
+from orrery.llm import language_id, pii, quality_classifier, quality_rules, text, url_filter
 from orrery.llm.queries import QUERIES, URL_RULES, load
 from tests.llm import brute
 
@@ -178,3 +181,29 @@ def test_sparse_paths_shrink_to_their_host(spark):
     object.__setattr__(logistic, "spread", __import__("numpy").ones(12))
     rates = {(r["source"], r["lang"]): r for r in quality_classifier.classify_quality(frame, model).collect()}
     assert rates["a", "p"]["path_rate"] == pytest.approx(0.5) and rates["a", "p"]["host_rate"] == pytest.approx(0.5)
+
+
+def test_words_longer_than_a_span_are_hashed_alike_wherever_they_stand():
+    long = "é" * text.SPAN + "x"
+    texts = [f"a {long}", f"{'b ' * 20_000}{long} c", long, f"{long}y", "", None]
+    words = text.find_words(pa.array(texts))
+    hashes = words.hashes()
+    found = {}
+    for start, end, value in zip(words.start, words.end, hashes.tolist()):
+        found.setdefault(words.data[start:end].tobytes(), set()).add(value)
+    assert all(len(v) == 1 for v in found.values())
+    assert len(set().union(*found.values())) == len(found) == 5
+
+
+def test_memory_does_not_grow_for_good_with_one_long_text():
+    program = (
+        "import pyarrow as pa, resource\n"
+        "from orrery.llm import text\n"
+        "peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024\n"
+        "texts = pa.array(['somehow ' * (4 << 20) + 'x' * (32 << 20)])\n"
+        "before = peak()\n"
+        "text.find_words(texts).hashes()\n"
+        "print(peak() - before)\n"
+    )
+    grown = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, check=True).stdout
+    assert float(grown) < 500
