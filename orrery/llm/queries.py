@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orrery.llm import (
     fingerprints, language_id, ngram_jaccard, packing, pii, quality_classifier, quality_rules,
-    source_mixing, substring_dedup, url_filter,
+    source_mixing, substring_dedup, token_alignment, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.written(F.col("pii")).alias("spans"),
         F.transform("pii", lambda s: s["score"]).alias("scores"),
     )
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align_tokenizers(load(spark, sf_dir, "documents"), digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")

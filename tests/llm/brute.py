@@ -130,3 +130,36 @@ def url(value: str | None, rules: list[tuple[str, str]]) -> tuple[str, str, str
         if (host == at or host.endswith("." + at)) and path.startswith(slash + start):
             fitting.append(pattern)
     return host, path, max(fitting, key=len, default=None)
+
+
+def byte_tokenizer():
+    """Ids and bytes of a text's tokens by the JSON file's own library."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    rest = iter(range(256, 512))
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    as_byte = {chr(b if b in printable else next(rest)): b for b in range(256)}
+
+    def encode(text: str) -> tuple[list[int], list[bytes]]:
+        coded = tokenizer.encode(text, add_special_tokens=False)
+        return coded.ids, [bytes(as_byte[c] for c in t) for t in coded.tokens]
+
+    return encode
+
+
+def piece_tokenizer():
+    import public_tokenizers
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+    def encode(text: str) -> tuple[list[int], list[bytes]]:
+        ids = model.encode(text)
+        pieces = [model.id_to_piece(i) for i in ids]
+        as_byte = {f"<0x{b:02X}>": bytes([b]) for b in range(256)}
+        return ids, [as_byte.get(p) or p.replace("▁", " ").encode() for p in pieces]
+
+    return encode
