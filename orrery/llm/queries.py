@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orrery.llm import (
     fingerprints, language_id, ngram_jaccard, packing, pii, quality_classifier, quality_rules,
-    source_mixing, substring_dedup, token_alignment, url_filter,
+    source_mixing, substring_dedup, token_alignment, toxicity, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,6 +145,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are not held out are learned from: their texts, and their labels where they say toxic."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train_toxicity_model(docs, load(spark, sf_dir, "labels"), learn=~held_out(F.col("_id")))
+    return toxicity.score_toxicity(docs.withColumn("held_out", held_out(F.col("doc_id"))), model)
+
+
 @query
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = token_alignment.align_tokenizers(load(spark, sf_dir, "documents"), digest=True)
