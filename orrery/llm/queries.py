@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.llm import (
-    fingerprints, language_id, ngram_jaccard, packing, pii, quality_classifier, quality_rules,
-    source_mixing, substring_dedup, token_alignment, toxicity, url_filter,
+    conversation_trie, fingerprints, language_id, ngram_jaccard, packing, pii, quality_classifier,
+    quality_rules, source_mixing, substring_dedup, token_alignment, toxicity, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,12 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = token_alignment.align_tokenizers(load(spark, sf_dir, "documents"), digest=True)
     return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
+#: Conversations are rebuilt on the first one of a hundred ids, by at most five of its turns.
+GROUP, HEADS = 100, 6
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(load(spark, sf_dir, "conversations"), group=GROUP, heads=HEADS)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -163,3 +165,47 @@ def piece_tokenizer():
         return ids, [as_byte.get(p) or p.replace("▁", " ").encode() for p in pieces]
 
     return encode
+
+
+TRIE = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def trie(rows: list[tuple], group: int | None, heads: int) -> list[tuple]:
+    """All nodes of the trie, walked one by one; rows are (conv_id, turn, role, text)."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append(((turn is not None, turn or 0), role or "", text or ""))
+    own = {c: [t[1:] for t in sorted(turns)] for c, turns in own.items()}
+    built = {}
+    for c, turns in own.items():
+        if group is None:
+            built[c] = turns
+        else:
+            h = zlib.crc32(str(c).encode()) % heads
+            base = c - int(math.fmod(c, group))
+            built[c] = own.get(base, [])[:h] + turns[h:]
+    members, children = defaultdict(list), defaultdict(set)
+    for c, turns in built.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+            if d:
+                children[tuple(turns[: d - 1])].add(tuple(turns[:d]))
+
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = children[node]
+        leaves[node] = sum(leaves[k] for k in below) or 1
+        here = (len(members[node]) - 1) * len(node[-1][1]) if node else 0
+        saved[node] = here + sum(saved[k] for k in below)
+    ends = lambda node: sorted(c for c in members[node] if len(built[c]) == len(node))
+    return sorted(
+        (
+            (
+                min(members[n]), len(n), min(members[n[:-1]]) if n else None, len(members[n]), len(children[n]), leaves[n],
+                saved[n], hashlib.sha256(",".join(map(str, ends(n))).encode()).hexdigest(),
+            )
+            for n in members
+        ),
+        key=str,
+    )
