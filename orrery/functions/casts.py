@@ -1,40 +1,80 @@
-"""Casts that keep what they could not convert."""
+"""Casts that lose nothing unseen: a value that the target type can't hold exactly is a misfit."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Beyond the point of a plain number; a number with an exponent is compared as a decimal instead.
+_EXPONENT = r"^\s*[+-]?[0-9.]+[eE]"
+_ZONE = r"(Z|UTC|GMT|[+-]\d{1,2}(:?\d{2}){0,2}|[A-Za-z]+/[A-Za-z_]+)\s*$"
+
 
 def misfit(name: str, target: T.DataType) -> Column:
-    """True where a value is present but is no value of the target type."""
-    return F.col(name).isNotNull() & F.col(name).try_cast(target).isNull()
+    """True where a text is present but the target type has no value for all that it says."""
+    return F.col(name).isNotNull() & ~exact(F.col(name), target)
+
+
+def changed_by_cast(df: DataFrame, name: str, target: T.DataType) -> Column:
+    """True where a column's value, cast to the target type and back, is no longer the same.
+
+    A text is judged by what it says (``exact``), any other value by the way back.
+    """
+    value, source = F.col(name), df.schema[name].dataType
+    if source == target:
+        return F.lit(False)
+    if isinstance(source, T.StringType):
+        return misfit(name, target)
+    back = value.try_cast(target).try_cast(source)
+    return value.isNotNull() & ~F.coalesce(back == value, F.lit(False))
+
+
+def exact(text: Column, target: T.DataType) -> Column:
+    """True where the target type has a value for the text that keeps all it says.
+
+    Decimals keep every digit but zeros at the end; doubles and floats must print as the same number again; a date has no time of
+    day but midnight, a timestamp nothing below microseconds, and one without a zone names none. Nested values
+    must be JSON of their shape; fields they lack are not looked for.
+    """
+    value = from_text(text, target)
+    kept = F.lit(True)
+    if isinstance(target, T.DecimalType):
+        plain = text.rlike(rf"^\s*[+-]?\d*(\.\d{{0,{target.scale}}}0*)?\s*$")
+        wide = T.DecimalType(38, 38 - (target.precision - target.scale))
+        kept = plain | (text.rlike(_EXPONENT) & (text.try_cast(wide) == value.cast(wide)))
+    elif isinstance(target, T.DoubleType | T.FloatType):
+        digits = T.DecimalType(38, 18)
+        said, printed = text.try_cast(digits), value.cast("string").try_cast(digits)
+        finer = text.rlike(r"\.\d{18}\d*[1-9]")
+        kept = said.isNull() | ((said == printed) & ~finer)
+    elif isinstance(target, T.DateType):
+        kept = text.try_cast("timestamp_ntz") == value.cast("timestamp_ntz")
+    elif isinstance(target, T.TimestampType):
+        kept = ~text.rlike(r"\.\d{6}\d*[1-9]")
+    elif isinstance(target, T.TimestampNTZType):
+        kept = ~text.rlike(r"\.\d{6}\d*[1-9]") & ~text.rlike(r"\d[T ].*" + _ZONE)
+    return value.isNotNull() & F.coalesce(kept, F.lit(False))
 
 
 def from_text(text: Column, target: T.DataType) -> Column:
     """The value a text stands for, null if it stands for none; nested values are JSON."""
     if isinstance(target, T.StructType | T.ArrayType | T.MapType):
-        return F.from_json(text, target.simpleString())
+        return F.try_variant_get(F.try_parse_json(text), "$", target.simpleString())
     return text.try_cast(target)
 
 
-def cast_fields(df: DataFrame, schema: T.StructType, rescued: str) -> DataFrame:
-    """Text fields cast to their types, beside the other columns.
+def cast_fields(df: DataFrame, schema: T.StructType, misfits: str) -> DataFrame:
+    """Text fields cast to their types, beside the other columns; a value that does not fit exactly becomes null.
 
-    ``rescued`` holds the text of the fields that did not fit as one JSON object, else null.
+    ``misfits`` lists the names of the fields that did not fit.
     """
-    cast = [f for f in schema.fields if f.dataType != T.StringType()]
+    cast = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
     raw = {f.name: f"__raw_{f.name}" for f in cast}
-    both = df.withColumnsRenamed(raw).withColumns(
-        {f.name: from_text(F.col(raw[f.name]), f.dataType) for f in cast}
-    )
-    lost = {n: F.col(r).isNotNull() & F.col(n).isNull() for n, r in raw.items()}
-    texts = [F.when(lost[n], F.col(r)).alias(n) for n, r in raw.items()]
-    kept = F.lit(None).cast("string")
-    if cast:
-        kept = F.when(reduce(Column.__or__, lost.values()), F.to_json(F.struct(*texts)))
+    fits = {f.name: F.col(raw[f.name]).isNull() | exact(F.col(raw[f.name]), f.dataType) for f in cast}
+    typed = {f.name: F.when(fits[f.name], from_text(F.col(raw[f.name]), f.dataType)) for f in cast}
+    both = df.withColumnsRenamed(raw).withColumns(typed) if cast else df
+    found = [F.when(~fits[f.name], F.lit(f.name)) for f in cast]
+    listed = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
     others = [c for c in df.columns if c not in schema.names]
-    return both.select(*schema.names, *others, kept.alias(rescued))
+    return both.select(*schema.names, *others, listed.alias(misfits))

@@ -116,3 +116,33 @@ STAR = Star(
         order_by="avg_supplier_balance",
     ),
 )
+LINES = Star(
+    feed=LINEITEM,
+    dimensions=(
+        Dimension("dim_supplier", SUPPLIER, {"s_suppkey": "supplier_key", "s_nationkey": "nation_key"}),
+        Dimension("dim_part", PART, {"p_partkey": "part_key"}),
+    ),
+    hops=(
+        Hop("dim_supplier", {"l_suppkey": "supplier_key"}, {"supplier_key": "supplier_key", "nation_key": "nation_key"}),
+        Hop("dim_part", {"l_partkey": "part_key"}, {"part_key": "part_key", "brand": "p_brand"}),
+    ),
+    silver={
+        "order_key": "l_orderkey",
+        "line_number": "l_linenumber",
+        "supplier_key": "supplier_key",
+        "nation_key": "nation_key",
+        "part_key": "part_key",
+        "brand": "brand",
+        "quantity": "l_quantity",
+        "ship_date": "l_shipdate",
+    },
+    date="ship_date",
+    gold=Band(
+        bridge="dim_supplier",
+        dimension="dim_supplier",
+        key="supplier_key",
+        title="s_name",
+        measures={"avg_quantity": ("fact", "quantity")},
+        order_by="avg_quantity",
+    ),
+)

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.functions.casts import misfit
+from orrery.functions.casts import changed_by_cast
 from orrery.models.table import TEXT, Table
 
 
@@ -31,11 +31,12 @@ def audit_lengths(df: DataFrame, key: tuple[str, ...], limits: dict[str, int]) -
 
 
 def audit_types(df: DataFrame, table: Table) -> DataFrame:
-    """Values of an untyped (text) source that are no values of the declared type."""
+    """Values that the declared type can't hold as they are: no value of it at all, or only after digits, a time of day
+    or a zone are lost. Texts are judged by what they say."""
     return _violations(
         df, table.key,
-        [(f"type:{f.name}", misfit(f.name, f.type), F.col(f.name))
-         for f in table.fields if f.name in df.columns and f.type != TEXT],
+        [(f"type:{f.name}", changed_by_cast(df, f.name, f.type), F.col(f.name))
+         for f in table.fields if f.name in df.columns],
     )
 
 
@@ -61,7 +62,10 @@ def fk_orphans(
 def _violations(
     df: DataFrame, key: tuple[str, ...], rules: list[tuple[str, Column, Column]]
 ) -> DataFrame:
-    row_key = F.concat_ws("/", *[F.col(k).cast("string") for k in key])
+    # One column as it is; several as JSON, in which a null keeps its place.
+    row_key = F.col(key[0]).cast("string")
+    if len(key) > 1:
+        row_key = F.to_json(F.struct(*key), {"ignoreNullFields": "false"})
     found = F.array(
         *[
             F.when(

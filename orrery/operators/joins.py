@@ -48,17 +48,22 @@ def unmatched(fact: DataFrame, dims: list[Dim]) -> DataFrame:
     dimension counts as missing too when that dimension has no row. The dimensions' keys must be
     unique, which ``audits.pk_duplicates`` checks.
     """
+    return flagged(fact, dims).select(*fact.columns, "missing").filter(F.size("missing") > 0)
+
+
+def flagged(fact: DataFrame, dims: list[Dim]) -> DataFrame:
+    """All fact rows with what the joins add, and ``missing``: the positions of the dimensions that lack their key.
+
+    Rows that miss none are those of the inner star join.
+    """
     rows = fact
     for n, dim in enumerate(dims):
         flag = f"__found{n}"
-        flagged = replace(
-            dim, df=dim.df.withColumn(flag, F.lit(True)), keep={**dim.keep, flag: flag}
-        )
-        rows = _join(rows, flagged, "left")
-    missing = F.array_compact(
-        F.array(*[F.when(F.col(f"__found{n}").isNull(), F.lit(n)) for n in range(len(dims))])
-    )
-    return rows.select(*fact.columns, missing.alias("missing")).filter(F.size("missing") > 0)
+        marked = replace(dim, df=dim.df.withColumn(flag, F.lit(True)), keep={**dim.keep, flag: flag})
+        rows = _join(rows, marked, "left")
+    flags = [f"__found{n}" for n in range(len(dims))]
+    missing = F.array_compact(F.array(*[F.when(F.col(f).isNull(), F.lit(n)) for n, f in enumerate(flags)]))
+    return rows.withColumn("missing", missing).drop(*flags)
 
 
 def _join(rows: DataFrame, dim: Dim, how: str) -> DataFrame:

@@ -14,7 +14,9 @@ from orrery.operators.dates import date_dim_extend, date_dim_of
 from orrery.operators.joins import Dim, star_join
 from orrery.operators.keys import number_rows
 from orrery.sinks.catalog import create_database, drop_database, insert_rows, overwrite_table
-from orrery.streaming.medallion import bronze, dims_of, gold, replay, silver
+from orrery.streaming.medallion import (
+    IDENTITY, WaitingRoom, bronze, dims_of, evolve, gold, release, silver, with_identity,
+)
 
 
 def keyed_dimension(df: DataFrame, natural_key: list[str], key: str) -> DataFrame:
@@ -55,6 +57,11 @@ class Lakehouse:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
+    def room(self) -> WaitingRoom:
+        return WaitingRoom(
+            self.table("fact_silver"), self.table("fact_silver_late"), self.table("fact_waiting"), self.checkpoint("late")
+        )
+
     def fresh(self) -> Lakehouse:
         """The same database on an unused folder: outputs and checkpoints start empty."""
         return Lakehouse(self.database, f"{self.root}/{uuid4().hex}")
@@ -107,32 +114,29 @@ def take_in(
     """Bring what has arrived in ``feed`` through bronze to silver; all facts.
 
     Documents come as arrays over many lines or, with ``multi_line=False``, one per line, which
-    lets large files be split and is read about twice as fast. ``max_files`` bounds the files per micro-batch of both streams. ``late`` also tries the bronze
-    rows again that lacked a dimension so far, which reads all of bronze.
+    lets large files be split and is read about twice as fast. ``max_files`` bounds the files per micro-batch of both streams. ``late`` also tries the
+    rows again that lacked a dimension so far, and reads none but those. Fields that the feed has and the schema lacks become
+    columns of bronze with the next run.
     """
-    bronze_table, silver_table = place.table("fact_bronze"), place.table("fact_silver")
-    dims = dims_of(star.hops, tables)
+    bronze_table, room, versions = place.table("fact_bronze"), place.room(), place.checkpoint("versions")
+    dims, columns = dims_of(star.hops, tables), with_identity(star.silver)
     bronze(
         spark, feed, star.feed.schema, bronze_table, place.checkpoint("bronze"),
-        multi_line=multi_line, max_files=max_files,
+        multi_line=multi_line, max_files=max_files, versions=versions,
     )
+    evolve(spark, bronze_table, versions, star.feed.schema)
     silver(
-        spark, bronze_table, dims, star.silver, silver_table, place.checkpoint("silver"),
-        max_files=max_files,
+        spark, bronze_table, dims, columns, room.silver, place.checkpoint("silver"),
+        max_files=max_files, waiting_table=room.waiting,
     )
     if late:
-        key = [name for name, source in star.silver.items() if source in star.feed.key]
-        replay(
-            spark.table(bronze_table), dims, star.silver, key, silver_table,
-            place.table("fact_silver_late"),
-        )
+        release(spark, room, dims, columns)
     return facts(spark, place)
 
 
 def facts(spark: SparkSession, place: Lakehouse) -> DataFrame:
-    """Silver as streamed, together with the rows that were replayed."""
-    streamed, late = spark.table(place.table("fact_silver")), place.table("fact_silver_late")
-    return streamed.unionByName(spark.table(late)) if spark.catalog.tableExists(late) else streamed
+    """Silver as streamed, together with the rows that were complete only later."""
+    return place.room().facts(spark).drop(*IDENTITY)
 
 
 def refresh(

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -71,3 +74,20 @@ def release_scratch(spark: SparkSession) -> None:
 def _scratch_database(spark: SparkSession) -> str:
     application = "".join(c if c.isalnum() else "_" for c in spark.sparkContext.applicationId)
     return f"orrery_scratch_{application}"
+
+
+def append_log(spark: SparkSession, log: str, entry: dict) -> None:
+    """Add an entry to a small log on shared storage: one file, which readers see as a whole or not at all."""
+    line = spark.range(1).select(F.lit(json.dumps(entry)).alias("value"))
+    line.coalesce(1).write.mode("append").text(log)
+
+
+def read_log(spark: SparkSession, log: str) -> list[dict]:
+    """The entries of a log in no particular order; none if it was never written."""
+    try:
+        lines = spark.read.text(log).collect()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return [json.loads(line.value) for line in lines]

@@ -6,6 +6,8 @@ The table format is an argument; parquet is the default because it needs no extr
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FORMAT = "parquet"
 
@@ -85,10 +87,47 @@ def insert_rows(rows: DataFrame, table: str) -> None:
 
 
 def create_table(
-    spark: SparkSession, table: str, like: DataFrame, format: str = FORMAT
+    spark: SparkSession,
+    table: str,
+    like: DataFrame,
+    format: str = FORMAT,
+    partition_by: list[str] | None = None,
+) -> None:
+    """An empty table with the columns and types of ``like``, of which the last ones may partition it."""
+    empty = spark.createDataFrame([], like.schema)
+    empty.write.format(format).partitionBy(*(partition_by or [])).saveAsTable(table)
+
+
+def add_columns(spark: SparkSession, table: str, fields: list[T.StructField]) -> None:
+    """New columns of an existing table; its rows have null there."""
+    if fields:
+        listed = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
+
+
+def overwrite_partition(
+    spark: SparkSession, rows: DataFrame, table: str, values: dict[str, int], format: str = FORMAT
 ) -> None:
-    """An empty table with the columns and types of ``like``."""
-    like.limit(0).write.format(format).saveAsTable(table)
+    """Replace one partition of a table, column by column name; other partitions stay as they are.
+
+    The partition's folder is written on its own, so the rows may come from other partitions of the same table.
+    ``spark`` is the session that is to see it; the rows of a micro-batch belong to one of their own.
+    """
+    kinds = [f for f in spark.table(table).schema.fields if f.name not in values]
+    known = table_properties(spark, table)
+    folder = "/".join([known["Location"].rstrip("/"), *[f"{c}={int(v)}" for c, v in values.items()]])
+    rows.select(*[F.col(f"`{f.name.replace('`', '``')}`").cast(f.dataType).alias(f.name) for f in kinds]).write.format(
+        format
+    ).mode("overwrite").save(folder)
+    if known.get("Partition Provider") == "Catalog":
+        where = ", ".join(f"{c} = {int(v)}" for c, v in values.items())
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({where})")
+    spark.catalog.refreshTable(table)
+
+
+def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    """What the catalog notes of a table besides its columns, such as ``Location``."""
+    return {r["col_name"]: r["data_type"] for r in describe_table(spark, table).collect()}
 
 
 def use_database(spark: SparkSession, database: str) -> None:

@@ -3,21 +3,32 @@
 Each streaming table has its own checkpoint below the shared root. A run with
 ``available_now=True`` takes in what has arrived since the last run and ends; otherwise the query
 keeps running. Either way every file and every bronze row is taken in exactly once.
+
+Bronze writes each micro-batch as a partition of its own, which a repeated attempt replaces. A row is known by its
+batch and its number there (``IDENTITY``) from then on, whatever its fields hold: keys that are null or come twice
+are rows like any other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from orrery.functions.casts import cast_fields
+from orrery.functions.casts import cast_fields, exact, from_text
 from orrery.models.table import Band, Hop
 from orrery.operators.gold import gold_avg_by_group
-from orrery.operators.joins import Dim, star_join, unmatched
-from orrery.sinks.catalog import FORMAT, create_table, overwrite_table
-from orrery.sources.files import as_declared, loose
+from orrery.operators.joins import Dim, flagged, star_join, unmatched
+from orrery.session import append_log, read_log
+from orrery.sinks.catalog import FORMAT, add_columns, create_table, overwrite_partition, overwrite_table
+from orrery.sources.documents import as_text, current_version, left_over, note_new_fields, parse_documents, whole
+
+#: What tells bronze rows apart, in bronze and in silver.
+IDENTITY = ("batch_id", "row_id")
 
 
 def read_feed(
@@ -34,30 +45,30 @@ def read_feed(
     none ages out: copies that keep their times and backfills are taken in. The driver then remembers
     the path of every file it has seen, some hundred bytes each.
 
-    Every field comes as text, whatever its type, so that a wrong value is still there to be
-    kept; ``typed`` casts them. ``malformed`` holds the text of what is not JSON at all.
+    Every field of the schema comes as text, whatever its type, so that a wrong value is still there to be
+    kept; ``typed`` casts them. ``fields`` holds all fields of the document, also those that the schema lacks, and
+    ``malformed`` the text of what is not JSON at all. With ``multi_line`` a file is one array of documents and is
+    parsed as a whole by one task; otherwise each line is a document.
     """
-    whole = loose(schema, multi_line).add("malformed", "string")
-    reader = spark.readStream.format("json").schema(whole).option("multiLine", multi_line)
-    reader = reader.option("maxFileAge", max_file_age)
+    reader = spark.readStream.format("text").option("wholetext", multi_line).option("maxFileAge", max_file_age)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    documents = reader.option("columnNameOfCorruptRecord", "malformed").load(folder)
-    return as_declared(documents, schema, "malformed")
-
-
-def with_lineage(df: DataFrame) -> DataFrame:
-    """Ingestion time and source file of each row read from files."""
-    return df.withColumns(
-        {"ingest_ts": F.current_timestamp(), "source_file": F.col("_metadata.file_path")}
-    )
+    pieces = reader.load(folder).select("value", F.col("_metadata.file_path").alias("source_file"))
+    documents = parse_documents(pieces, "value", multi_line)
+    texts = [as_text(F.col("fields"), f.name).alias(f.name) for f in schema.fields]
+    return documents.select(*texts, "malformed", "fields", "source_file")
 
 
 def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Fields cast to their types; what is malformed or does not fit goes to ``rescued``."""
-    rescued = F.coalesce("malformed", "misfits").alias("rescued")
-    return cast_fields(raw, schema, "misfits").select(
-        *schema.names, rescued, "ingest_ts", "source_file"
+    """Fields cast to their types, the whole document, and when and from which file it came.
+
+    ``rescued`` holds the JSON of the fields that no column takes: values that do not fit their type
+    exactly, and fields that the schema lacks; or the text of what is malformed.
+    """
+    rescued = F.coalesce("malformed", left_over(F.col("fields"), schema.names, F.col("__misfits")))
+    return cast_fields(raw, schema, "__misfits").select(
+        *schema.names, rescued.alias("rescued"), F.current_timestamp().alias("ingest_ts"), "source_file",
+        whole(F.col("fields")).alias("document"),
     )
 
 
@@ -80,6 +91,19 @@ def append_stream(
     return query
 
 
+def each_batch(
+    df: DataFrame, checkpoint: str, take: Callable[[DataFrame, int], None], available_now: bool = True
+) -> StreamingQuery:
+    """Hand each micro-batch to ``take`` with its number. A batch may be handed over again after a failure."""
+    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    query = writer.start()
+    if available_now:
+        query.awaitTermination()
+    return query
+
+
 def bronze(
     spark: SparkSession,
     folder: str,
@@ -89,10 +113,59 @@ def bronze(
     available_now: bool = True,
     multi_line: bool = True,
     max_files: int | None = None,
+    versions: str | None = None,
 ) -> StreamingQuery:
-    """Raw rows with their lineage."""
-    raw = with_lineage(read_feed(spark, folder, schema, multi_line, max_files))
-    return append_stream(typed(raw, schema), table, checkpoint, available_now)
+    """Raw rows with their lineage, their identity and the whole document.
+
+    ``versions`` is the place of a log of schemas, of which ``schema`` is the first: rows are typed by the newest one, and
+    the table gets the columns that it adds. ``evolve`` adds versions to the log.
+    """
+    number = None
+    if versions:
+        version = current_version(spark, versions, schema)
+        number, schema = version.number, version.schema
+    raw = typed(read_feed(spark, folder, schema, multi_line, max_files), schema).select(
+        "*", F.lit(number).cast("int").alias("schema_version")
+    )
+    like = spark.createDataFrame([], raw.schema).select(
+        "*", F.lit(0).cast("long").alias("row_id"), F.lit(0).cast("long").alias("batch_id")
+    )
+    if not spark.catalog.tableExists(table):
+        create_table(spark, table, like, partition_by=["batch_id"])
+    add_columns(spark, table, [f for f in schema.fields if f.name not in spark.table(table).columns])
+
+    def take(rows: DataFrame, batch_id: int) -> None:
+        numbered = rows.withColumn("row_id", F.monotonically_increasing_id())
+        overwrite_partition(spark, numbered, table, {"batch_id": batch_id})
+
+    return each_batch(raw, checkpoint, take, available_now)
+
+
+def evolve(spark: SparkSession, table: str, versions: str, schema: T.StructType) -> T.StructType:
+    """Look through the bronze rows that came since the last look for fields that the schema lacks; the schema from now on.
+
+    Only rows with something left over are read, and only batches not looked through yet.
+    """
+    version = current_version(spark, versions, schema)
+    fresh = spark.table(table).where(F.col("batch_id") > version.through)
+    through = fresh.agg(F.max("batch_id")).first()[0]
+    if through is None:
+        return version.schema
+    odd = fresh.where((F.col("schema_version") == version.number) & F.col("rescued").isNotNull())
+    return note_new_fields(odd, versions, version, through).schema
+
+
+def as_version(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Bronze rows with the columns of a later schema filled from their documents, for rows typed by an earlier one."""
+
+    def filled(field: T.StructField) -> Column:
+        # A version's own rows have it all; a text that does not fit stays rescued in any version.
+        text = F.try_variant_get("document", "$['" + field.name.replace("'", "\\'") + "']", "string")
+        late = F.when(exact(text, field.dataType), from_text(text, field.dataType))
+        held = F.col(field.name) if field.name in rows.columns else F.lit(None).cast(field.dataType)
+        return F.coalesce(held, late).alias(field.name)
+
+    return rows.select(*[filled(f) for f in schema.fields], *[c for c in rows.columns if c not in schema.names])
 
 
 def silver(
@@ -104,16 +177,26 @@ def silver(
     checkpoint: str,
     available_now: bool = True,
     max_files: int | None = None,
+    waiting_table: str | None = None,
 ) -> StreamingQuery:
-    """Bronze rows with all their dimension keys. Rows lacking one: see ``quarantine``.
+    """Bronze rows with all their dimension keys.
 
-    ``max_files`` bounds a micro-batch, for a backlog too large to join at once.
+    ``max_files`` bounds a micro-batch, for a backlog too large to join at once. Rows that lack a dimension go to
+    ``waiting_table``, from which ``release`` takes them later; both tables then have a partition per micro-batch (``part``),
+    which a repeated attempt replaces. Without that table they are left out: see ``quarantine``.
     """
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    joined = silver_rows(reader.table(bronze_table), dims, columns)
-    return append_stream(joined, table, checkpoint, available_now)
+    rows = reader.table(bronze_table)
+    if waiting_table is None:
+        return append_stream(silver_rows(rows, dims, columns), table, checkpoint, available_now)
+    _silver_tables(spark, bronze_table, dims, columns, table, waiting_table)
+
+    def take(batch: DataFrame, part: int) -> None:
+        _split(spark, batch, dims, columns, (table, {"part": part}), (waiting_table, {"run": 0, "part": part}))
+
+    return each_batch(rows, checkpoint, take, available_now)
 
 
 def silver_rows(rows: DataFrame, dims: list[Dim], columns: dict[str, str]) -> DataFrame:
@@ -121,41 +204,116 @@ def silver_rows(rows: DataFrame, dims: list[Dim], columns: dict[str, str]) -> Da
     return joined.select(*[F.col(source).alias(name) for name, source in columns.items()])
 
 
-def dims_of(hops: tuple[Hop, ...], tables: dict[str, DataFrame]) -> list[Dim]:
-    return [Dim(tables[hop.dimension], hop.on, hop.keep) for hop in hops]
+def _silver_tables(
+    spark: SparkSession, bronze_table: str, dims: list[Dim], columns: dict[str, str], table: str, waiting_table: str
+) -> None:
+    rows = spark.table(bronze_table)
+    part, run = (F.lit(0).cast("long").alias(c) for c in ("part", "run"))
+    if not spark.catalog.tableExists(table):
+        create_table(spark, table, silver_rows(rows, dims, columns).select("*", part), partition_by=["part"])
+    if not spark.catalog.tableExists(waiting_table):
+        create_table(spark, waiting_table, _needed(rows, dims, columns).select(
+            "*", F.lit(None).cast("array<int>").alias("missing"), run, part
+        ), partition_by=["run", "part"])
+
+
+def _needed(rows: DataFrame, dims: list[Dim], columns: dict[str, str]) -> DataFrame:
+    """The columns of bronze that the joins and silver read: all that a waiting row must keep."""
+    read = {c for d in dims for c in (*d.on, *d.spread_by)} | set(columns.values()) | set(IDENTITY)
+    return rows.select(*[c for c in rows.columns if c in read])
+
+
+def _split(
+    spark: SparkSession, rows: DataFrame, dims: list[Dim], columns: dict[str, str], complete: tuple[str, dict], waiting: tuple[str, dict]
+) -> None:
+    """Join once; rows with all dimensions go to one partition, the others to another with what they lack."""
+    kept = _needed(rows, dims, columns)
+    joined = flagged(kept, dims).persist()
+    try:
+        found = joined.where(F.size("missing") == 0)
+        overwrite_partition(spark, found.select(*[F.col(s).alias(n) for n, s in columns.items()]), *complete)
+        lacking = joined.where(F.size("missing") > 0)
+        if not lacking.isEmpty():
+            overwrite_partition(spark, lacking.select(*kept.columns, "missing"), *waiting)
+    finally:
+        joined.unpersist()
+
+
+@dataclass(frozen=True)
+class WaitingRoom:
+    """Where rows wait for late dimensions: silver, the rows that completed it later, the rows that wait, the log of runs.
+
+    Run r reads the rows that run r - 1 left and the parts that silver has put aside since; it writes those that
+    are complete now as run r of ``late``, the others as run r of ``waiting``, and notes itself in the log at last. So
+    nothing of a run counts before its note, and a repeated attempt replaces what the failed one wrote.
+    """
 
+    silver: str
+    late: str
+    waiting: str
+    log: str
 
-def quarantine(bronze_rows: DataFrame, dims: list[Dim]) -> DataFrame:
-    """Bronze rows whose keys some dimension still lacks, with the position of that dimension."""
-    return unmatched(bronze_rows, dims)
+    def last_run(self, spark: SparkSession) -> tuple[int, int]:
+        """The last run noted, and the last part of silver's that it took in."""
+        return max([(e["run"], e["part"]) for e in read_log(spark, self.log)], default=(0, -1))
 
+    def facts(self, spark: SparkSession) -> DataFrame:
+        """All of silver: rows as streamed, and those that came late."""
+        streamed = spark.table(self.silver).drop("part")
+        if not spark.catalog.tableExists(self.late):
+            return streamed
+        run, _ = self.last_run(spark)
+        return streamed.unionByName(spark.table(self.late).where(F.col("run") <= run).drop("run"))
+
+    def waiting_rows(self, spark: SparkSession) -> DataFrame:
+        """The rows that wait now, with the positions of the dimensions they lack; earlier runs' partitions are not read."""
+        run, part = self.last_run(spark)
+        of_run = (F.col("run") == run) & (F.col("run") > 0)
+        return spark.table(self.waiting).where(of_run | ((F.col("run") == 0) & (F.col("part") > part)))
+
+
+def release(spark: SparkSession, room: WaitingRoom, dims: list[Dim], columns: dict[str, str]) -> DataFrame:
+    """Complete silver with waiting rows whose dimension has arrived; returns all of silver."""
+    _run(spark, room, room.waiting_rows(spark).drop("run", "part", "missing"), dims, columns)
+    return room.facts(spark)
 
-def replay(
-    rows: DataFrame,
-    dims: list[Dim],
-    columns: dict[str, str],
-    key: str | list[str],
-    silver_table: str,
-    late_table: str,
-) -> DataFrame:
-    """Complete silver with rows whose dimension arrived after them; returns all of silver.
 
-    ``rows`` are bronze rows: all of them, or only those that ``quarantine`` found. Rows already
-    in silver are left out before the joins, by all columns of ``key`` and with nulls equal to each other, so a
-    repeat adds nothing. Late rows go to a table of
-    their own, because readers of a streamed table see only what the stream committed to it.
+def replay(rows: DataFrame, room: WaitingRoom, dims: list[Dim], columns: dict[str, str]) -> DataFrame:
+    """Complete silver with those of the given bronze rows that it lacks, and let the others wait anew; all of silver.
+
+    Rows are told by their identity, so that a repeat adds nothing and no two rows are taken for one another.
+    This reads all of silver: it is for a waiting room that was lost, or never kept.
     """
     spark = rows.sparkSession
-    if not spark.catalog.tableExists(late_table):
-        create_table(spark, late_table, silver_rows(rows, dims, columns))
-    keys = [key] if isinstance(key, str) else list(key)
-    done = spark.table(silver_table).select(*keys).unionByName(spark.table(late_table).select(*keys))
-    done = done.select(*[F.col(k).alias(f"__done_{k}") for k in keys])
-    known = [rows[columns[k]].eqNullSafe(done[f"__done_{k}"]) for k in keys]
-    waiting = rows.join(done, known, "left_anti")
-    # the late table is both read and appended to, which an insert into parquet allows
-    silver_rows(waiting, dims, columns).write.insertInto(late_table)
-    return spark.table(silver_table).unionByName(spark.table(late_table))
+    done = room.facts(spark).select(*[F.col(c).alias(f"__{c}") for c in IDENTITY])
+    missed = rows.join(done, [rows[c] == done[f"__{c}"] for c in IDENTITY], "left_anti")
+    _run(spark, room, missed, dims, columns)
+    return room.facts(spark)
+
+
+def _run(spark: SparkSession, room: WaitingRoom, rows: DataFrame, dims: list[Dim], columns: dict[str, str]) -> None:
+    if not spark.catalog.tableExists(room.late):
+        like = spark.table(room.silver).drop("part").select("*", F.lit(0).cast("long").alias("run"))
+        create_table(spark, room.late, like, partition_by=["run"])
+    part = spark.table(room.waiting).where("run = 0").agg(F.max("part")).first()[0]
+    run, before = room.last_run(spark)
+    run, part = run + 1, before if part is None else max(part, before)
+    _split(spark, rows, dims, columns, (room.late, {"run": run}), (room.waiting, {"run": run, "part": -1}))
+    append_log(spark, room.log, {"run": run, "part": part})
+
+
+def dims_of(hops: tuple[Hop, ...], tables: dict[str, DataFrame]) -> list[Dim]:
+    return [Dim(tables[hop.dimension], hop.on, hop.keep) for hop in hops]
+
+
+def with_identity(columns: dict[str, str]) -> dict[str, str]:
+    """Silver's columns and what tells its rows apart."""
+    return {**columns, **{c: c for c in IDENTITY}}
+
+
+def quarantine(bronze_rows: DataFrame, dims: list[Dim]) -> DataFrame:
+    """Bronze rows whose keys some dimension still lacks, with the position of that dimension."""
+    return unmatched(bronze_rows, dims)
 
 
 def gold_rows(fact: DataFrame, tables: dict[str, DataFrame], band: Band) -> DataFrame:

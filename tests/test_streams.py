@@ -17,6 +17,7 @@ from orrery.sinks.catalog import show_tables
 from orrery.sources.files import hinted_schema
 from orrery.streaming.medallion import (
     append_stream, bronze, dims_of, gold_rows, quarantine, read_feed, replay, silver,
+    with_identity,
 )
 from tests import staff_rows
 
@@ -65,7 +66,8 @@ def test_one_bad_value_spoils_neither_its_row_nor_its_file(spark, place, tmp_pat
     assert sorted(rows) == [1, 2, 3, 4]
     assert (rows[2].hire_date, rows[2].salary, rows[2].last_name) == (None, None, "Fox")
     assert json.loads(rows[2].rescued) == {"hire_date": "31.1.1999", "salary": "lots"}
-    assert rows[3].rescued is None and rows[4].email is None
+    assert json.loads(rows[3].rescued) == {"nickname": "extra"}
+    assert rows[4].rescued is None and rows[4].email is None
 
 
 def test_documents_by_line_are_taken_in_alike(spark, place, tmp_path):
@@ -180,8 +182,7 @@ def test_a_dimension_row_that_came_late(spark, place, hr, tmp_path):
     tables = land_dimensions(spark, STAR, place, hr)
     for _ in range(2):
         everything = replay(
-            spark.table(place.table("fact_bronze")), dims_of(STAR.hops, tables), STAR.silver,
-            "employee_key", place.table("fact_silver"), place.table("fact_silver_late"),
+            spark.table(place.table("fact_bronze")), place.room(), dims_of(STAR.hops, tables), with_identity(STAR.silver)
         )
         assert ids(everything, "employee_key") == [100, 101, 102, 103]
 
@@ -198,7 +199,7 @@ def test_rebuild_reports_the_bands_and_leaves_old_tables_behind(spark, place, hr
     names = {r.tableName for r in show_tables(spark, place.database).collect()}
     assert names == {
         "dim_jobs", "dim_employees", "dim_departments", "dim_locations", "fact_bronze",
-        "fact_silver", "fact_gold", "dim_date",
+        "fact_silver", "fact_waiting", "fact_gold", "dim_date",
     }
 
 
