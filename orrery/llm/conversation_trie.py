@@ -167,8 +167,12 @@ def _steps(blocks: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n"), F.min("conv_id").alias("conv_id"), F.any_value("turns").alias("turns")),
         "distinct",
     )
-    alone = distinct.groupBy("block", "b1", "b2").agg(F.count("*").alias("m")).where("m = 1").drop("m")
-    marked = distinct.join(alone.withColumn("alone", F.lit(True)), ["block", "b1", "b2"], "left")
+    # A block that is alone after its boundary is known by its own digest, so no boundary's blocks meet in a join.
+    alone = (
+        distinct.groupBy("block", "b1", "b2").agg(F.count("*").alias("m"), F.any_value("e1").alias("e1"), F.any_value("e2").alias("e2"))
+        .where("m = 1").select("block", "e1", "e2", F.lit(True).alias("alone"))
+    )
+    marked = distinct.join(alone, ["block", "e1", "e2"], "left")
     step = marked.select("*", F.posexplode("turns").alias("k", "turn")).withColumn("said", F.transform("turns", lambda t: t["said"]))
     after = [F.col(b).bitwiseXOR(x) for b, x in zip(("b1", "b2"), _digests(F.col("block"), F.slice("said", F.lit(1), F.col("k") + 1)))]
     before = [
