@@ -14,8 +14,9 @@ from orrery.operators.dates import date_dim_extend, date_dim_of
 from orrery.operators.joins import Dim, star_join
 from orrery.operators.keys import number_rows
 from orrery.sinks.catalog import create_database, drop_database, insert_rows, overwrite_table
+from orrery.streaming.increments import Facts, GoldState
 from orrery.streaming.medallion import (
-    IDENTITY, WaitingRoom, bronze, dims_of, evolve, gold, release, silver, with_identity,
+    IDENTITY, WaitingRoom, bronze, dims_of, evolve, release, silver, with_identity,
 )
 
 
@@ -62,6 +63,12 @@ class Lakehouse:
             self.table("fact_silver"), self.table("fact_silver_late"), self.table("fact_waiting"), self.checkpoint("late")
         )
 
+    def fact(self) -> Facts:
+        return Facts(self.room(), self.table("fact"), self.checkpoint("fact"))
+
+    def gold_state(self, star: Star) -> GoldState:
+        return GoldState(self.room(), self.table("gold_state"), self.checkpoint("gold_state"), star.gold)
+
     def fresh(self) -> Lakehouse:
         """The same database on an unused folder: outputs and checkpoints start empty."""
         return Lakehouse(self.database, f"{self.root}/{uuid4().hex}")
@@ -147,14 +154,16 @@ def refresh(
     feed: str,
     **intake: bool | int,
 ) -> DataFrame:
-    """Replace the dimensions, take in new facts, recompute dates and gold; the gold report.
+    """Replace the dimensions, take in new facts, number them, extend the dates and add to gold; the gold report.
 
-    ``intake`` holds options of ``take_in``.
+    Fact table, dates and gold read only what silver gained. ``intake`` holds options of ``take_in``.
     """
     tables = land_dimensions(spark, star, place, sources)
-    fact = take_in(spark, star, place, feed, tables, **intake)
-    land_dates(star, place, fact)
-    return gold(fact, tables, star.gold, place.table("fact_gold"))
+    take_in(spark, star, place, feed, tables, **intake)
+    land_dates(star, place, place.fact().extend(spark))
+    table = place.table("fact_gold")
+    overwrite_table(place.gold_state(star).report(spark, tables), table)
+    return spark.table(table).orderBy(star.gold.order_by, star.gold.title)
 
 
 def rebuild(

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from orrery.models import trade
 from orrery.operators.preview import preview_stream
 from orrery.plans.feeds import land_json_arrays
-from orrery.plans.warehouse import Lakehouse, land_dimensions, rebuild, take_in
+from orrery.plans.warehouse import Lakehouse, land_dimensions, rebuild, refresh, take_in
 from orrery.queries.registry import exact_avg, load, new_lakehouse, orders_by_day, query
 from orrery.session import scratch
 from orrery.sinks.catalog import overwrite_table
@@ -241,6 +241,58 @@ def silver_replay_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _grown(spark: SparkSession, sf_dir: str) -> tuple[Lakehouse, list[DataFrame], DataFrame]:
+    """A lakehouse built from the orders before 1998 without one market segment, then refreshed with the later orders, then
+    with that segment's customers; its fact rows after each, and the last report."""
+    place, folder, sources = new_lakehouse(spark, "grown"), scratch(spark, "feed"), _sources(spark, sf_dir)
+    early = {**sources, "customer": sources["customer"].filter("c_mktsegment <> 'MACHINERY'")}
+    orders, facts = orders_by_day(spark, sf_dir), []
+    land_json_arrays(orders.filter("o_orderdate < DATE'1998-01-01'"), folder)
+    place, _ = rebuild(spark, trade.STAR, place, early, folder)
+    facts.append(place.fact().rows(spark))
+    land_json_arrays(orders.filter("coalesce(o_orderdate >= DATE'1998-01-01', true)"), folder)
+    refresh(spark, trade.STAR, place, early, folder, late=True)
+    facts.append(place.fact().rows(spark))
+    report = refresh(spark, trade.STAR, place, sources, folder, late=True)
+    return place, [*facts, place.fact().rows(spark)], report
+
+
+@query(f"""
+    WITH runs AS (
+        SELECT s.*, CASE WHEN c_mktsegment = 'MACHINERY' THEN 3 WHEN order_date < DATE '1998-01-01' THEN 1 ELSE 2 END AS run
+        FROM ({_SILVER_SQL}) s JOIN customer ON customer_key = c_custkey
+    ),
+    sizes AS (SELECT run, count(*) AS n FROM runs GROUP BY run)
+    SELECT order_key, customer_key, nation_key, region_key, order_date, total_price, run,
+           (SELECT cast(coalesce(sum(n), 0) AS bigint) FROM sizes WHERE sizes.run < runs.run) + 1 AS first_key,
+           (SELECT cast(sum(n) AS bigint) FROM sizes WHERE sizes.run <= runs.run) AS last_key,
+           1 AS rows_with_key
+    FROM runs
+""")
+def fact_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows of three runs: the keys of each run follow those before without a gap, and no row's key ever changes.
+
+    Which row of a run gets which of its keys is open.
+    """
+    _, facts, _ = _grown(spark, sf_dir)
+    first, second, rows = facts
+    known = first.select("fact_key", "order_key", F.lit(1).alias("run")).unionByName(
+        second.join(first, "fact_key", "left_anti").select("fact_key", "order_key", F.lit(2).alias("run"))
+    )
+    # A row found again under its key has kept it.
+    marked = rows.join(known, ["fact_key", "order_key"], "left").withColumn("run", F.coalesce("run", F.lit(3)))
+    bounds = marked.groupBy("run").agg(F.min("fact_key").alias("first_key"), F.max("fact_key").alias("last_key"))
+    shared = marked.groupBy("fact_key").agg(F.count("*").cast("int").alias("rows_with_key"))
+    return _plain(marked.join(bounds, "run").join(shared, "fact_key").drop("fact_key"))
+
+
+@query(_GOLD_SQL)
+def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after three runs, each adding the sums of what silver gained."""
+    _, _, report = _grown(spark, sf_dir)
+    return report
+
+
 @query("SELECT 20 AS rows_shown, 20 AS rows_genuine")
 def stream_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which rows a preview shows is open; all of them must be rows of the feed."""

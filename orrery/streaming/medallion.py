@@ -24,7 +24,9 @@ from orrery.models.table import Band, Hop
 from orrery.operators.gold import gold_avg_by_group
 from orrery.operators.joins import Dim, flagged, star_join, unmatched
 from orrery.session import append_log, read_log
-from orrery.sinks.catalog import FORMAT, add_columns, create_table, overwrite_partition, overwrite_table
+from orrery.sinks.catalog import (
+    FORMAT, add_columns, create_table, overwrite_partition, overwrite_table, partition_values,
+)
 from orrery.sources.documents import as_text, current_version, left_over, note_new_fields, parse_documents, whole
 
 #: What tells bronze rows apart, in bronze and in silver.
@@ -265,16 +267,50 @@ class WaitingRoom:
         run, _ = self.last_run(spark)
         return streamed.unionByName(spark.table(self.late).where(F.col("run") <= run).drop("run"))
 
-    def waiting_rows(self, spark: SparkSession) -> DataFrame:
-        """The rows that wait now, with the positions of the dimensions they lack; earlier runs' partitions are not read."""
+    def marks(self, spark: SparkSession) -> tuple[int, int]:
+        """How far silver has come: its last part, and the last run that completed late rows."""
+        return max(partition_values(spark, self.silver, "part"), default=-1), self.last_run(spark)[0]
+
+    def since(
+        self, spark: SparkSession, start: tuple[int, int], stop: tuple[int, int], extra: dict[str, Column] | None = None
+    ) -> DataFrame:
+        """The rows that silver gained between two marks; only their partitions are read.
+
+        ``extra`` adds columns about each row's file, and with them ``__late`` and ``__part`` that say which partition it is in.
+        """
+
+        def between(table: str, column: str, low: int, high: int, late: bool) -> DataFrame:
+            rows = spark.table(table).where((F.col(column) > low) & (F.col(column) <= high))
+            if extra:
+                rows = rows.withColumns(extra).withColumns({"__late": F.lit(late), "__part": F.col(column)})
+            return rows.drop(column)
+
+        rows = between(self.silver, "part", start[0], stop[0], False)
+        if stop[1] == start[1]:
+            return rows
+        return rows.unionByName(between(self.late, "run", start[1], stop[1], True))
+
+    def newest(self, spark: SparkSession) -> int:
+        """The last part that silver has put rows aside in, or that a run took in."""
+        return max([self.last_run(spark)[1], *partition_values(spark, self.waiting, "part")])
+
+    def waiting_rows(self, spark: SparkSession, until: int | None = None) -> DataFrame:
+        """The rows that wait now (of parts ``until`` that one), with the positions of the dimensions they lack.
+
+        Partitions that earlier runs are done with are not read.
+        """
         run, part = self.last_run(spark)
         of_run = (F.col("run") == run) & (F.col("run") > 0)
-        return spark.table(self.waiting).where(of_run | ((F.col("run") == 0) & (F.col("part") > part)))
+        put_aside = (F.col("run") == 0) & (F.col("part") > part)
+        if until is not None:
+            put_aside &= F.col("part") <= until
+        return spark.table(self.waiting).where(of_run | put_aside)
 
 
 def release(spark: SparkSession, room: WaitingRoom, dims: list[Dim], columns: dict[str, str]) -> DataFrame:
     """Complete silver with waiting rows whose dimension has arrived; returns all of silver."""
-    _run(spark, room, room.waiting_rows(spark).drop("run", "part", "missing"), dims, columns)
+    part = room.newest(spark)
+    _run(spark, room, room.waiting_rows(spark, part).drop("run", "part", "missing"), part, dims, columns)
     return room.facts(spark)
 
 
@@ -282,22 +318,22 @@ def replay(rows: DataFrame, room: WaitingRoom, dims: list[Dim], columns: dict[st
     """Complete silver with those of the given bronze rows that it lacks, and let the others wait anew; all of silver.
 
     Rows are told by their identity, so that a repeat adds nothing and no two rows are taken for one another.
-    This reads all of silver: it is for a waiting room that was lost, or never kept.
+    This reads all of silver: it is for a waiting room that was lost, or never kept. Silver's stream must not run meanwhile.
     """
     spark = rows.sparkSession
     done = room.facts(spark).select(*[F.col(c).alias(f"__{c}") for c in IDENTITY])
     missed = rows.join(done, [rows[c] == done[f"__{c}"] for c in IDENTITY], "left_anti")
-    _run(spark, room, missed, dims, columns)
+    _run(spark, room, missed, room.newest(spark), dims, columns)
     return room.facts(spark)
 
 
-def _run(spark: SparkSession, room: WaitingRoom, rows: DataFrame, dims: list[Dim], columns: dict[str, str]) -> None:
+def _run(
+    spark: SparkSession, room: WaitingRoom, rows: DataFrame, part: int, dims: list[Dim], columns: dict[str, str]
+) -> None:
     if not spark.catalog.tableExists(room.late):
         like = spark.table(room.silver).drop("part").select("*", F.lit(0).cast("long").alias("run"))
         create_table(spark, room.late, like, partition_by=["run"])
-    part = spark.table(room.waiting).where("run = 0").agg(F.max("part")).first()[0]
-    run, before = room.last_run(spark)
-    run, part = run + 1, before if part is None else max(part, before)
+    run = room.last_run(spark)[0] + 1
     _split(spark, rows, dims, columns, (room.late, {"run": run}), (room.waiting, {"run": run, "part": -1}))
     append_log(spark, room.log, {"run": run, "part": part})
 

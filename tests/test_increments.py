@@ -1,0 +1,99 @@
+"""Fact table and gold kept up by what silver gained."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from orrery.models import staff
+from orrery.plans.warehouse import facts, land_dimensions, rebuild, refresh, take_in
+from orrery.streaming import increments
+from orrery.streaming.medallion import gold_rows
+from tests import staff_rows
+from tests.test_streams import drop, person
+
+STAR = staff.STAR
+
+
+@pytest.fixture
+def hr(spark):
+    return staff_rows.tables(spark)
+
+
+def keys(spark, place) -> dict[int, int]:
+    return {r.fact_key: r.employee_key for r in place.fact().rows(spark).collect()}
+
+
+def lowest(rows) -> list[tuple]:
+    return sorted((r.job_title, r.avg_min_salary, r.avg_max_salary) for r in rows.collect())
+
+
+def test_five_refreshes_keep_keys_and_equal_a_recompute(spark, place, hr, tmp_path):
+    folder = tmp_path / "in"
+    jobs = hr["jobs"]
+    drop(folder, "0.json", person(100, job_id=1), person(101, job_id=2), person(101, job_id=2))
+    place, _ = rebuild(spark, STAR, place, {**hr, "jobs": jobs.filter("job_id <> 2")}, str(folder))
+    before = keys(spark, place)
+    assert before == {1: 100}
+    for n in range(1, 6):
+        if n != 3:
+            drop(folder, f"{n}.json", person(200 + n, job_id=1 + n % 3), person(None, job_id=3))
+        sources = hr if n > 1 else {**hr, "jobs": jobs.filter("job_id <> 2")}
+        report = refresh(spark, STAR, place, sources, str(folder), late=True)
+        now = keys(spark, place)
+        assert sorted(now) == list(range(1, len(now) + 1)) and before.items() <= now.items()
+        assert len(now) == facts(spark, place).count()
+        before = now
+        tables = {d.name: spark.table(place.table(d.name)) for d in STAR.dimensions}
+        assert lowest(report) == lowest(gold_rows(facts(spark, place), tables, STAR.gold))
+    assert sorted(before.values(), key=str) == sorted([100, 101, 101, 201, 202, 204, 205, *[None] * 4], key=str)
+
+
+def test_new_files_only_are_read(spark, place, hr, tmp_path):
+    folder, tables = tmp_path / "in", land_dimensions(spark, STAR, place, hr)
+    for n in range(3):
+        drop(folder, f"{n}.json", person(n))
+        take_in(spark, STAR, place, str(folder), tables)
+        place.fact().extend(spark)
+    drop(folder, "3.json", person(3))
+    take_in(spark, STAR, place, str(folder), tables)
+    last = increments.Runs(spark, place.fact().log).last()
+    fresh = place.room().since(spark, last.stop, place.room().marks(spark))
+    assert {f.split("/part=")[1].split("/")[0] for f in fresh.inputFiles()} == {"3"}
+    assert place.fact().extend(spark).select("fact_key", "employee_key").collect() == [(4, 3)]
+    assert place.fact().extend(spark).collect() == []
+
+
+@pytest.mark.parametrize("after_reservation", [True, False])
+def test_a_failed_run_is_taken_up_again(spark, place, hr, tmp_path, monkeypatch, after_reservation):
+    folder, tables = tmp_path / "in", land_dimensions(spark, STAR, place, hr)
+    drop(folder, "0.json", person(1), person(2))
+    take_in(spark, STAR, place, str(folder), tables)
+    state = place.gold_state(STAR)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        if after_reservation:
+            broken.setattr(increments, "overwrite_partition", fail)
+        else:
+            broken.setattr(increments.Runs, "finish", fail)
+        for extend in (place.fact().extend, state.extend):
+            with pytest.raises(RuntimeError):
+                extend(spark)
+    assert place.fact().rows(spark).count() == 0
+    # More rows arrive before the run is taken up: they belong to the next one.
+    drop(folder, "1.json", person(3))
+    take_in(spark, STAR, place, str(folder), tables)
+    assert place.fact().extend(spark).count() == 2
+    assert place.fact().extend(spark).select("fact_key").collect() == [(3,)]
+    state.extend(spark)
+    assert state.extend(spark).agg(F.sum("fact_rows")).first()[0] == 3
+    assert sorted(keys(spark, place)) == [1, 2, 3]
+
+
+def test_nothing_came(spark, place, hr, tmp_path):
+    (tmp_path / "in").mkdir()
+    place, report = rebuild(spark, STAR, place, hr, str(tmp_path / "in"))
+    assert report.collect() == [] and place.fact().rows(spark).collect() == []

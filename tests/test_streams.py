@@ -199,7 +199,8 @@ def test_rebuild_reports_the_bands_and_leaves_old_tables_behind(spark, place, hr
     names = {r.tableName for r in show_tables(spark, place.database).collect()}
     assert names == {
         "dim_jobs", "dim_employees", "dim_departments", "dim_locations", "fact_bronze",
-        "fact_silver", "fact_waiting", "fact_gold", "dim_date",
+        "fact_silver", "fact_waiting", "fact_gold", "dim_date", "fact",
+        "gold_state",
     }
 
 
