@@ -205,7 +205,24 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return tuple(np.cumsum(m, dtype=np.int32)[at - 1] for m in marks)
 
 
-_DIGITS = 10
+#: Ids up to seven digits, as the bytes of one number, first digit lowest; and how many digits each has.
+_WRITTEN: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _digits(most: int) -> tuple[np.ndarray, np.ndarray]:
+    if not _WRITTEN or len(_WRITTEN[0][0]) <= most:
+        if most >= 10**7:
+            raise ValueError("ids of more than seven digits")
+        ids = np.arange(most + 1)
+        length = np.maximum(np.searchsorted(10 ** np.arange(8), ids, side="right"), 1)
+        written, rest = np.zeros(most + 1, np.uint64), ids.copy()
+        for _ in range(int(length[-1])):
+            # The last digit so far moves up, the next one comes below it.
+            more = (rest > 0) | ((ids == 0) & (written == 0))
+            written = np.where(more, (written << np.uint64(8)) | (48 + rest % 10).astype(np.uint64), written)
+            rest //= 10
+        _WRITTEN[:] = [(written, length.astype(np.uint64))]
+    return _WRITTEN[0]
 
 
 def written_groups(
@@ -215,23 +232,15 @@ def written_groups(
     size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
     place_a = np.arange(len(a)) + np.repeat(np.cumsum(size_b) - size_b, size_a)
     place_b = np.arange(len(b)) + np.repeat(np.cumsum(size_a), size_b)
-    ids = np.empty(len(a) + len(b), np.int64)
-    after = np.full(len(ids), ord(","), np.uint8)
+    ids = np.empty(len(a) + len(b), np.int32)
+    after = np.full(len(ids), ord(","), np.uint64)
     ids[place_a], ids[place_b] = a, b
     after[place_a[last_a]], after[place_b[last_b]] = ord("|"), ord(";")
-    powers = 10 ** np.arange(_DIGITS)
-    length = np.maximum(np.searchsorted(powers, ids, side="right"), 1)
-    width = int(length.max(initial=1))
-    table = np.zeros((len(ids), width + 1), np.uint8)
-    rows = np.arange(len(ids))
-    rest = ids.copy()
-    for k in range(width):
-        inside = length > k
-        table[rows[inside], (length - 1 - k)[inside]] = 48 + rest[inside] % 10
-        rest //= 10
-    table[rows, length] = after
-    ends = np.cumsum(length + 1)[place_b[last_b]]
-    return table[np.arange(width + 1) <= length[:, None]], ends
+    written, length = _digits(int(ids.max(initial=0)))
+    size = length[ids]
+    text = (written[ids] | (after << (size * np.uint64(8)))).astype("<u8").view(np.uint8).reshape(-1, 8)
+    ends = np.cumsum(size + np.uint64(1))[place_b[last_b]]
+    return text[np.arange(8, dtype=np.uint8) <= size.astype(np.uint8)[:, None]], ends
 
 
 def _aligned(a_path: str, b_path: str, text: str, digest: bool):
