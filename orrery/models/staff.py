@@ -69,6 +69,7 @@ REFERENCES = (
 
 # Warehouse names of the natural keys, silver columns and the gold report.
 STAR = Star(
+    references=REFERENCES,
     feed=EMPLOYEES,
     dimensions=(
         Dimension("dim_jobs", JOBS, {"job_id": "job_key"}),

@@ -98,7 +98,8 @@ class Band:
 class Star:
     """A feed of facts, its dimensions, the joins and columns of silver, and the gold report.
 
-    ``date`` is silver's date column, whose range the date dimension covers.
+    ``date`` is silver's date column, whose range the date dimension covers; ``references`` are those
+    between the sources.
     """
 
     feed: Table
@@ -107,3 +108,4 @@ class Star:
     silver: dict[str, str]
     date: str
     gold: Band
+    references: tuple[Reference, ...] = ()

@@ -68,6 +68,7 @@ REFERENCES = (
     Reference("lineitem", ("l_suppkey",), "supplier", ("s_suppkey",)),
 )
 STAR = Star(
+    references=REFERENCES,
     feed=ORDERS,
     dimensions=(
         Dimension("dim_customer", CUSTOMER, {
@@ -117,6 +118,7 @@ STAR = Star(
     ),
 )
 LINES = Star(
+    references=REFERENCES,
     feed=LINEITEM,
     dimensions=(
         Dimension("dim_supplier", SUPPLIER, {"s_suppkey": "supplier_key", "s_nationkey": "nation_key"}),

@@ -59,27 +59,50 @@ def fk_orphans(
     return held.join(known, [held[c] == known[f"__{c}"] for c in child_key], "left_anti")
 
 
+def broken_rules(df: DataFrame, table: Table) -> tuple[list[str], Column]:
+    """The rules of single rows that a source's columns are held to, and for each row those that it breaks.
+
+    A required column that the source lacks is broken in every row.
+    """
+    there = [n for n in table.required if n in df.columns]
+    rules = [_null(n) for n in there]
+    rules += [(f"required:{n}", F.lit(True), F.lit(None)) for n in table.required if n not in there]
+    rules += [_too_long(n, limit) for n, limit in table.lengths.items() if n in df.columns]
+    rules += [
+        (f"type:{f.name}", changed_by_cast(df, f.name, f.type), F.col(f.name)) for f in table.fields if f.name in df.columns
+    ]
+    return [rule for rule, _, _ in rules], F.array_compact(_listed(table.key, rules))
+
+
+def row_key(key: tuple[str, ...]) -> Column:
+    """A row's key as text: one column as it is, several as JSON, in which a null keeps its place."""
+    if len(key) == 1:
+        return F.col(key[0]).cast("string")
+    return F.to_json(F.struct(*key), {"ignoreNullFields": "false"})
+
+
 def _violations(
     df: DataFrame, key: tuple[str, ...], rules: list[tuple[str, Column, Column]]
 ) -> DataFrame:
-    # One column as it is; several as JSON, in which a null keeps its place.
-    row_key = F.col(key[0]).cast("string")
-    if len(key) > 1:
-        row_key = F.to_json(F.struct(*key), {"ignoreNullFields": "false"})
-    found = F.array(
+    return df.select(F.inline(F.array_compact(_listed(key, rules))))
+
+
+def _listed(key: tuple[str, ...], rules: list[tuple[str, Column, Column]]) -> Column:
+    """Per rule what breaks it, or null."""
+    of = row_key(key)
+    return F.array(
         *[
             F.when(
                 broken,
                 F.struct(
                     F.lit(rule).alias("rule"),
-                    row_key.alias("key"),
+                    of.alias("key"),
                     value.cast("string").alias("value"),
                 ),
             )
             for rule, broken, value in rules
         ]
     )
-    return df.select(F.inline(F.array_compact(found)))
 
 
 def _null(name: str) -> tuple[str, Column, Column]:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from orrery.models.table import Dimension, Table
 
 
-def conform(df: DataFrame, table: Table) -> DataFrame:
-    """The table's columns in order and typed; a column the source lacks is null.
+def conform(df: DataFrame, table: Table, beside: list[str] | None = None) -> DataFrame:
+    """The table's columns in order and typed; a column the source lacks is null. ``beside`` names columns to keep too.
 
     A value that is no value of its type becomes null; ``audit_types`` lists those beforehand.
     """
@@ -18,7 +18,8 @@ def conform(df: DataFrame, table: Table) -> DataFrame:
             (F.col(f.name).try_cast(f.type) if f.name in df.columns else F.lit(None).cast(f.type))
             .alias(f.name)
             for f in table.fields
-        ]
+        ],
+        *(beside or []),
     )
 
 
@@ -27,5 +28,5 @@ def conform_keys(df: DataFrame, renames: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(renames)
 
 
-def dimension(df: DataFrame, spec: Dimension) -> DataFrame:
-    return conform_keys(conform(df, spec.source), spec.renames)
+def dimension(df: DataFrame, spec: Dimension, beside: list[str] | None = None) -> DataFrame:
+    return conform_keys(conform(df, spec.source, beside), spec.renames)

@@ -13,6 +13,7 @@ from orrery.operators.conform import dimension
 from orrery.operators.dates import date_dim_extend, date_dim_of
 from orrery.operators.joins import Dim, star_join
 from orrery.operators.keys import number_rows
+from orrery.plans.landing import Landing, land_audited
 from orrery.sinks.catalog import create_database, drop_database, insert_rows, overwrite_table
 from orrery.streaming.increments import Facts, GoldState
 from orrery.streaming.medallion import (
@@ -63,6 +64,9 @@ class Lakehouse:
             self.table("fact_silver"), self.table("fact_silver_late"), self.table("fact_waiting"), self.checkpoint("late")
         )
 
+    def landing(self, limits: dict[str, int] | None = None) -> Landing:
+        return Landing(self.database, f"{self.root}/dimensions", self.checkpoint("loads"), limits or {})
+
     def fact(self) -> Facts:
         return Facts(self.room(), self.table("fact"), self.checkpoint("fact"))
 
@@ -152,13 +156,15 @@ def refresh(
     place: Lakehouse,
     sources: dict[str, DataFrame],
     feed: str,
+    limits: dict[str, int] | None = None,
     **intake: bool | int,
 ) -> DataFrame:
     """Replace the dimensions, take in new facts, number them, extend the dates and add to gold; the gold report.
 
-    Fact table, dates and gold read only what silver gained. ``intake`` holds options of ``take_in``.
+    Dimensions land under audit: their violations are listed, and beyond ``limits`` the whole refresh is refused before
+    anything has changed. Fact table, dates and gold read only what silver gained. ``intake`` holds options of ``take_in``.
     """
-    tables = land_dimensions(spark, star, place, sources)
+    tables = land_audited(spark, star, place.landing(limits), sources)
     take_in(spark, star, place, feed, tables, **intake)
     land_dates(star, place, place.fact().extend(spark))
     table = place.table("fact_gold")
@@ -172,6 +178,7 @@ def rebuild(
     place: Lakehouse,
     sources: dict[str, DataFrame],
     feed: str,
+    limits: dict[str, int] | None = None,
     **intake: bool | int,
 ) -> tuple[Lakehouse, DataFrame]:
     """Start over: drop the database, move to an unused folder and refresh everything there.
@@ -179,4 +186,4 @@ def rebuild(
     Returns where the lakehouse now lives, which later refreshes need, and the gold report.
     """
     place = open_lakehouse(spark, place, fresh=True)
-    return place, refresh(spark, star, place, sources, feed, **intake)
+    return place, refresh(spark, star, place, sources, feed, limits, **intake)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from orrery.models import trade
 from orrery.models.table import LONG, Field, Table, money
 from orrery.operators import audits, cascade
-from orrery.queries.registry import load, query
+from orrery.plans.landing import LandingRefused, land_audited
+from orrery.queries.registry import load, new_lakehouse, query
 
 
 @query("""
@@ -125,6 +126,56 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: load(spark, sf_dir, name) for name in trade.TABLES}
 
 
+_FAULTY_SQL = """
+    WITH faulty AS (
+        SELECT c_custkey, CASE WHEN c_custkey % 53 = 0 THEN c_name || ' of a much longer name' ELSE c_name END AS c_name,
+               CASE WHEN c_custkey % 50 = 0 THEN NULL WHEN c_custkey % 51 = 0 THEN 99 ELSE c_nationkey END AS c_nationkey,
+               cast(c_acctbal AS decimal(18, 3))
+               + CASE WHEN c_custkey % 57 = 0 THEN 0.001 ELSE 0 END AS c_acctbal
+        FROM customer
+    ),
+    twice AS (SELECT * FROM faulty UNION ALL SELECT * FROM faulty WHERE c_custkey % 59 = 0)
+"""
+
+
+@query(f"""
+    {_FAULTY_SQL}
+    SELECT 'dim_customer' AS table_name, 'required:c_nationkey' AS rule, cast(c_custkey AS varchar) AS key,
+           cast(NULL AS varchar) AS value
+    FROM twice WHERE c_nationkey IS NULL
+    UNION ALL SELECT 'dim_customer', 'length:c_name', cast(c_custkey AS varchar), cast(length(c_name) AS varchar)
+    FROM twice WHERE length(c_name) > 25
+    UNION ALL SELECT 'dim_customer', 'type:c_acctbal', cast(c_custkey AS varchar), cast(c_acctbal AS varchar)
+    FROM twice WHERE c_custkey % 57 = 0
+    UNION ALL SELECT 'dim_customer', 'key:customer_key', cast(c_custkey AS varchar), cast(count(*) AS varchar)
+    FROM twice GROUP BY c_custkey HAVING count(*) > 1
+    UNION ALL SELECT 'dim_customer', 'reference:nation_key', '99', cast(count(*) AS varchar)
+    FROM twice WHERE c_nationkey = 99 HAVING count(*) > 0
+""")
+def land_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything wrong with customers that are landed with faults. A load with more repeated keys than allowed is refused
+    before, and leaves the sound customers of the load before it in place."""
+    place, key = new_lakehouse(spark, "landing"), F.col("c_custkey")
+    sources = {d.source.name: load(spark, sf_dir, d.source.name) for d in trade.STAR.dimensions}
+    land_audited(spark, trade.STAR, place.landing(), sources)
+    sound = sources["customer"]
+    odd = F.when(key % 57 == 0, F.lit("0.001").cast("decimal(18,3)")).otherwise(F.lit(0).cast("decimal(18,3)"))
+    faulty = sound.withColumns({
+        "c_name": F.when(key % 53 == 0, F.concat("c_name", F.lit(" of a much longer name"))).otherwise(F.col("c_name")),
+        "c_nationkey": F.when(key % 51 == 0, F.lit(99)).otherwise(F.col("c_nationkey")),
+        "c_acctbal": (F.col("c_acctbal").cast("decimal(18,3)") + odd).cast("decimal(18,3)"),
+    }).withColumn("c_nationkey", F.when(key % 50 != 0, F.col("c_nationkey")))
+    sources["customer"] = faulty.unionByName(faulty.where(key % 59 == 0))
+    try:
+        land_audited(spark, trade.STAR, place.landing({"key": 0}), sources)
+    except LandingRefused as refused:
+        kept = spark.table(place.table("dim_customer")).count()
+        if kept != sound.count() or not refused.counts:
+            raise
+    land_audited(spark, trade.STAR, place.landing({"key": sound.count()}), sources)
+    return place.landing().violations(spark).where("load = 3").drop("load")
+
+
 _DELETED_SQL = """
     WITH n AS (SELECT * FROM nation WHERE n_name <> 'NATION_3'),
          c AS (SELECT * FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM n)),

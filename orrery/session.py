@@ -91,3 +91,11 @@ def read_log(spark: SparkSession, log: str) -> list[dict]:
             raise
         return []
     return [json.loads(line.value) for line in lines]
+
+
+def remove(spark: SparkSession, path: str, below: str) -> bool:
+    """Delete a folder that lies below another one, and nothing else; whether it was there."""
+    if not path.startswith(below.rstrip("/") + "/") or ".." in path.split("/"):
+        raise ValueError(f"{path} does not lie below {below}")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -125,6 +125,21 @@ def overwrite_partition(
     spark.catalog.refreshTable(table)
 
 
+def point_table(spark: SparkSession, table: str, schema: T.StructType, folder: str, format: str = FORMAT) -> None:
+    """Let a table read another folder from now on. Its files stay: they are the caller's.
+
+    A table with other columns, or one whose files are its own, is dropped and created again.
+    """
+    same = spark.catalog.tableExists(table) and table_properties(spark, table).get("Type") == "EXTERNAL"
+    if same and [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in schema]:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(folder)}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        listed = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+        spark.sql(f"CREATE TABLE {table} ({listed}) USING {format} LOCATION {_text(folder)}")
+    spark.catalog.refreshTable(table)
+
+
 def partition_values(spark: SparkSession, table: str, column: str) -> list[int]:
     """The values of an integer partition column, from the catalog: no file is read."""
     listed = spark.sql(f"SHOW PARTITIONS {table}").collect()

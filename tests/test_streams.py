@@ -200,7 +200,7 @@ def test_rebuild_reports_the_bands_and_leaves_old_tables_behind(spark, place, hr
     assert names == {
         "dim_jobs", "dim_employees", "dim_departments", "dim_locations", "fact_bronze",
         "fact_silver", "fact_waiting", "fact_gold", "dim_date", "fact",
-        "gold_state",
+        "gold_state", "violations",
     }
 
 
