@@ -18,9 +18,9 @@ So every link is found by the product and counted, with the number of rows that
 only so many leave the task as connect the same rows. N-grams are held as 64-bit hashes.
 
 Results for odd inputs: a text without words has an empty set, no link and itself as component; a text with
-fewer words than n has one n-gram; rows that share an id are one document, so a link of one counts for all, and so are
-rows without an id; links are counted per row, to all other rows, repeated ones as often as they occur; a null id sorts last and its component is null if nothing smaller can be reached; an empty
-table gives no rows; only id and text are read.
+fewer words than n has one n-gram; rows that share an id are one document, so a link of one counts for all; each distinct
+text without an id is a document of its own, whose component is null if no id can be reached; links are counted per row, to all
+other rows, repeated ones as often as they occur; an empty table gives no rows; only id and text are read.
 """
 
 from __future__ import annotations
@@ -593,7 +593,8 @@ def jaccard_components(
     ``bucket_entries`` and ``part_rows`` are about what one group holds while columns and then rows are counted.
     """
     spark = df.sparkSession
-    rows = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(text).alias("text"))
+    rows, low, high = _numbered(df, doc_id, text)
+    own = ~F.col("id").between(low, high)
     described = store(rows.mapInArrow(_describe(n), "id long, n long, sum1 long, sum2 long"), "sizes")
     same = ["n", "sum1", "sum2"]
     classes = store(described.where("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
@@ -648,35 +649,82 @@ def jaccard_components(
     links = links.union(members.join(several, "id").select("id", "rep").distinct())
     labels = connected_components(store(links.toDF("a", "b"), "links"))
     labels = labels.select(F.col("id").alias("rep"), "label")
-    return members.join(labels, "rep", "left").select(
-        F.nullif("id", F.lit(LAST_ID)).alias(doc_id), F.col("n").alias("n_shingles"),
-        F.nullif(F.coalesce("label", "rep"), F.lit(LAST_ID)).alias("component_id"), "n_links",
+    found = members.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    if low > high or rows.agg(F.min("id")).first()[0] >= low:
+        smallest = F.when(F.col("label").between(low, high), F.col("label"))
+    else:
+        # Numbers of rows without an id lie below all ids here, and so may labels.
+        named = found.where(~own).groupBy(F.col("label").alias("of")).agg(F.min("id").alias("smallest"))
+        found, smallest = found.join(named, F.col("label") == F.col("of"), "left"), F.col("smallest")
+    return found.select(
+        F.when(~own, F.col("id")).alias(doc_id), F.col("n").alias("n_shingles"), smallest.alias("component_id"), "n_links",
     )
 
 
+def _numbered(df: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int, int]:
+    """(id, text) with a number of its own for each distinct text without an id, and the smallest and largest id."""
+    ids = df.agg(
+        F.min(F.col(doc_id).cast("long")).alias("low"), F.max(F.col(doc_id).cast("long")).alias("high"),
+        F.count_if(F.col(doc_id).isNull()).alias("unnamed"),
+    ).first()
+    low, high = (ids["low"], ids["high"]) if ids["low"] is not None else (0, -1)
+    rows = df.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    if ids["unnamed"]:
+        known = F.when(F.col("id").isNull(), _known(F.col("text")))
+        rows = _own_numbers(rows, known, "id", "node", low, high).select(F.col("node").alias("id"), "text")
+    return rows, low, high
+
+
+def _known(text: Column) -> Column:
+    """128 bits of a text's SHA-256."""
+    return F.substring(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256), 1, 32)
+
+
+def _own_numbers(df: DataFrame, key: Column, doc_id: str, into: str, low: int, high: int) -> DataFrame:
+    """The id as it is where ``key`` is null, else a number of the key's own outside of ``low`` to ``high``, by order of keys."""
+    unused = lambda name: next(n for k in range(len(df.columns) + 1) if (n := f"{name}{k}") not in df.columns)
+    own, key_name, nth = unused("own"), unused("key"), unused("nth")
+    numbers = number_rows(df.select(key.alias(key_name)).dropna().distinct(), nth, [key_name], unique=True)
+    size, top = numbers.count(), max(high, 0)
+    # Ids that are hashes may end near the largest number; then there is room before the smallest.
+    base = top if top + size < LAST_ID else low - size - 1
+    return df.withColumn(own, key).join(numbers, F.col(own) == F.col(key_name), "left").withColumn(
+        into, F.coalesce(F.col(nth) + F.lit(base), F.col(doc_id).cast("long"))
+    ).drop(own, key_name, nth)
+
+
 def own_nodes(df: DataFrame, doc_id: str, text: str, into: str) -> DataFrame:
-    """The id, and for rows without one a number of their text's own outside of all ids; equal texts share it.
+    """A number for each distinct document: its id, or one outside of all ids if it has none or another text took its id.
 
-    A text is known by 128 bits of its SHA-256; numbers are given in that order.
+    Of the texts that share an id the one with the smallest SHA-256 takes it. Rows of one id and one text share a number, and
+    so do equal texts without an id.
     """
-    known = F.substring(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256), 1, 32)
-    unnamed = df.where(F.col(doc_id).isNull()).select(known.alias("_known")).distinct()
-    numbers = number_rows(unnamed, "_nth", ["_known"], unique=True)
+    firsts = (
+        df.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_shared_id"), _known(F.col(text)).alias("_text"))
+        .groupBy("_shared_id").agg(F.min("_text").alias("_first_text"), F.max("_text").alias("_last_text"))
+        .where("_first_text <> _last_text").drop("_last_text")
+    )
     ids = df.agg(F.min(F.col(doc_id).cast("long")).alias("low"), F.max(F.col(doc_id).cast("long")).alias("high")).first()
-    size, high = numbers.count(), max(ids["high"] or 0, 0)
-    # Ids that are hashes may end near the largest number; then there is room before the smallest.
-    base = high if high + size < LAST_ID else ids["low"] - size - 1
-    key = F.when(F.col(doc_id).isNull(), known)
-    return df.withColumn("_known_", key).join(numbers, F.col("_known_") == F.col("_known"), "left").withColumn(
-        into, F.coalesce(F.col(doc_id).cast("long"), F.col("_nth") + F.lit(base))
-    ).drop("_known_", "_known", "_nth")
+    low, high = (ids["low"], ids["high"]) if ids["low"] is not None else (0, -1)
+    known = _known(F.col(text))
+    shared = F.col("_first_text").isNotNull() & (F.col("_first_text") != known)
+    key = F.when(F.col(doc_id).isNull(), known).when(shared, F.concat(F.col("_shared_id").cast("string"), F.lit("/"), known))
+    joined = df.join(firsts, F.col(doc_id) == F.col("_shared_id"), "left")
+    return _own_numbers(joined, key, doc_id, into, low, high).drop("_shared_id", "_first_text")
 
 
 def keep_representatives(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", *, n: int = 5, percent: int = 75,
 ) -> DataFrame:
-    """One document of each component: the row whose id is the component's; of its repeated rows one."""
-    found = jaccard_components(df, doc_id, text, n=n, percent=percent)
-    kept = found.where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(F.col(doc_id).alias("_kept")).distinct()
-    rows = df.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept")), "left_semi")
-    return rows.dropDuplicates([doc_id])
+    """One document of each component: that with the smallest number of ``own_nodes``, which is the smallest id unless
+    ids are null or shared by different texts; of its repeated rows one.
+
+    Each distinct text without an id, and each of several texts that share one, is a document of its own: none goes
+    unless it is linked to another one that stays.
+    """
+    node = next(name for k in range(len(df.columns) + 1) if (name := f"node{k}") not in df.columns)
+    named = store(own_nodes(df, doc_id, text, node), "named")
+    found = jaccard_components(named, node, text, n=n, percent=percent)
+    kept = found.where(F.col(node) == F.col("component_id")).select(F.col(node).alias("_kept")).distinct()
+    rows = named.join(kept, F.col(node) == F.col("_kept"), "left_semi")
+    return rows.dropDuplicates([node]).drop(node)

@@ -104,12 +104,28 @@ def test_components_of_odd_tables(spark):
     )
     got = sorted(ngram_jaccard.jaccard_components(frame).collect(), key=str)
     assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == [
-        ("1", 2, "1"), ("1", 2, "1"), ("2", 0, "2"), ("None", 1, "1"), ("None", 2, "1"),
+        ("1", 2, "1"), ("1", 2, "1"), ("2", 0, "2"), ("None", 1, "None"), ("None", 2, "1"),
     ]
     assert ngram_jaccard.jaccard_components(frame.limit(0)).collect() == []
     kept = ngram_jaccard.keep_representatives(frame)
     assert kept.columns == frame.columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2"]
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.where("text IS NOT NULL").collect())[1:] == [("None", "z")]
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "None"]
+
+
+@pytest.mark.parametrize("top", [50, (1 << 63) - 3])
+def test_unlike_texts_of_one_id_or_none_all_stay(spark, top):
+    texts = [" ".join(f"t{k}_{i}" for i in range(20)) for k in range(6)]
+    near = texts[0] + " one more"
+    frame = spark.createDataFrame(
+        [(7, texts[0]), (7, texts[1]), (7, texts[1]), (None, texts[2]), (None, texts[3]), (None, near), (top, texts[4]), (3, near)],
+        SCHEMA,
+    )
+    kept = ngram_jaccard.keep_representatives(frame).collect()
+    left = [r["text"] for r in kept]
+    assert sorted(t for t in left if t not in (texts[0], near)) == texts[1:5] and len(left) == 5
+    found = {(r["doc_id"], r["n_links"]): r["component_id"] for r in ngram_jaccard.jaccard_components(frame).collect()}
+    assert found[None, 0] is None and found[top, 0] == top and found[None, 2] == 3
 
 
 @pytest.mark.parametrize("seed", [5, 11])
