@@ -119,20 +119,26 @@ def train_language_model(
     labelled: DataFrame, text: str = "text", lang: str = "lang", *,
     sample_rows: int = 6000, least_rows: int = 500, max_words: int = 10_000, max_grams: int = 5_000,
 ) -> LanguageModel:
-    """Learn from about ``sample_rows`` labelled rows, chosen by a hash of their text, and of a language that has fewer of
-    these from about ``least_rows``, or all it has; each language is learned from one text at least.
+    """Learn from about ``sample_rows`` distinct labelled texts, chosen by hash, and of a language that has fewer of
+    these from about ``least_rows``, or all it has; each language is learned from one text at least. A text counts once
+    for a language, however many rows hold it.
 
     The model keeps the ``max_words`` most frequent words and ``max_grams`` most frequent n-grams of each length
     per language, which bounds what reaches the driver and each task.
     """
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
     spread = F.pmod(F.xxhash64("text"), F.lit(1 << 31))
-    per_language = store(rows.groupBy("lang").agg(F.count("*").alias("rows"), F.min(spread).alias("first")), "languages")
+    per_language = store(
+        rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("rows"), F.min(spread).alias("first")),
+        "languages",
+    )
     size = per_language.agg(F.sum("rows")).first()[0] or 0
     if size > sample_rows:
         share = F.greatest(F.lit(sample_rows / size), F.lit(least_rows) / F.col("rows")) * (1 << 31)
         edges = per_language.select("lang", F.greatest(share, F.col("first") + 1).alias("edge"))
         rows = rows.join(edges, "lang").where(spread < F.col("edge")).select("lang", "text")
+    # Repeats meet by their hash, as one row of each task.
+    rows = store(rows.groupBy("lang", F.xxhash64("text").alias("key")).agg(F.any_value("text").alias("text")).drop("key"), "texts")
     counts = (
         rows.mapInArrow(_count, "lang string, n int, gram string, times long")
         .groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))

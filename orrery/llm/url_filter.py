@@ -22,6 +22,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orrery.llm.components import store
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -148,14 +150,16 @@ def train_url_model(
 ) -> UrlModel:
     """Fit on about ``sample_rows`` distinct labelled URLs (label 1: block), chosen by a hash of the URL.
 
-    ``labelled`` has the columns host and path. The rates hold at most ``most_values`` values each.
+    ``labelled`` has the columns host and path. Rows of one URL count once, however many there are, with the larger
+    label. The rates hold at most ``most_values`` values each. The sample is written in parallel and trained on from there.
     """
     rows = labelled.select(url, "host", "path", F.col(label).cast("double").alias("_label")).dropna()
-    size = rows.count()
+    size = rows.agg(F.approx_count_distinct(url)).first()[0]
     if size > sample_rows:
         share = int(sample_rows / size * (1 << 31))
         rows = rows.where(F.pmod(F.xxhash64(url), F.lit(1 << 31)) < share)
-    sample = lexical(rows, url).coalesce(1).cache()
+    once = rows.groupBy(url, "host", "path").agg(F.max("_label").alias("_label"))
+    sample = lexical(store(once, "urls"), url).coalesce(1).cache()
     try:
         n, mean = sample.agg(F.count("*"), F.avg("_label")).first()
         if not n or mean in (0.0, 1.0):
