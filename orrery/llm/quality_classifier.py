@@ -3,8 +3,9 @@
 Two logistic classifiers (good quality; toxic) read style measures and the evidence of words, both learned from a
 bounded sample of labelled documents. Grouped sums of the probabilities of all documents give each host
 and each path of a host a posterior: a host with few documents is shrunk towards the corpus, a path towards its
-host. A document's score adds to the log odds of its own evidence how far its path's odds lie from the
-corpus's. Toxic documents are dropped whatever their score. Documents carry no URL: by default their source stands in
+host. How strongly follows from the documents themselves: by moments, from how far the means of hosts (of paths within their
+hosts) lie apart beyond what the spread of single documents explains. A document's score adds to the log odds of its own evidence how far
+its path's odds lie from the corpus's, both without the document itself. Toxic documents are dropped whatever their score. Documents carry no URL: by default their source stands in
 for the host and their language within the source for the path.
 
 Results for odd inputs: a null or empty text has the measures of an empty text; null hosts and paths are values
@@ -26,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orrery.llm.components import store
 from orrery.llm.text import chunks, find_words
 from orrery.session import scratch
 
@@ -211,11 +213,12 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def classify_quality(
     df: DataFrame, model: QualityModel | None, text: str = "text", host: str = "source", path: str = "lang", *,
-    prior_rows: float = 50.0, min_score: float = 0.5, max_toxic: float = 0.5,
+    prior_rows: tuple[float, float] | None = None, min_score: float = 0.5, max_toxic: float = 0.5,
 ) -> DataFrame:
     """The columns of ``df`` but its text, the evidence, the rates of host and path, ``score`` and ``kept``.
 
-    ``prior_rows``: how many documents the corpus's rate counts for in a host, and a host's in its paths.
+    ``prior_rows``: how many documents the corpus's rate counts for in a host, and a host's in its paths; estimated if
+    not given.
     """
     spark = df.sparkSession
     df = df.drop(*RESULTS)
@@ -239,22 +242,67 @@ def classify_quality(
     rows = spark.read.schema(schema).parquet(at)
     p = lambda odds: 1 / (1 + F.exp(-odds))
     hosts, paths = F.col(host).alias("_host"), F.col(path).alias("_path")
-    per_path = rows.groupBy(hosts, paths).agg(F.count("*").alias("_n"), F.sum(p(F.col("_good"))).alias("_k"))
-    per_host = per_path.groupBy("_host").agg(F.sum("_n").alias("_hn"), F.sum("_k").alias("_hk"))
-    n, k = per_host.agg(F.sum("_hn"), F.sum("_hk")).first()
-    rate = min(max(k / n, 1e-6), 1 - 1e-6) if n else 0.5
-    host_rate = (F.col("_hk") + prior_rows * rate) / (F.col("_hn") + prior_rows)
-    per_host = per_host.select(F.col("_host").alias("_of"), host_rate.alias("host_rate"))
-    path_rate = (F.col("_k") + prior_rows * F.col("host_rate")) / (F.col("_n") + prior_rows)
-    rates = per_path.join(per_host, F.col("_host").eqNullSafe(F.col("_of"))).select(
-        "_host", "_path", "host_rate", path_rate.alias("path_rate")
+    good = p(F.col("_good"))
+    per_path = store(
+        rows.groupBy(hosts, paths).agg(F.count("*").alias("_n"), F.sum(good).alias("_k"), F.sum(good * good).alias("_k2")), "paths"
+    )
+    per_host = store(
+        per_path.groupBy("_host").agg(
+            F.sum("_n").alias("_hn"), F.sum("_k").alias("_hk"), F.sum("_k2").alias("_hk2"), F.count("*").alias("_paths"),
+            F.sum(F.col("_n") * F.col("_n")).alias("_nn"), F.sum(F.col("_k") ** 2 / F.col("_n")).alias("_kk"),
+        ).withColumnRenamed("_host", "_of"),
+        "hosts",
     )
+    n, k = per_host.agg(F.sum("_hn"), F.sum("_hk")).first()
+    n, k = n or 0, k or 0.0
+    host_prior, path_prior = prior_rows or prior_strengths(per_host)
     joined = rows.join(
-        rates, F.col(host).eqNullSafe(F.col("_host")) & F.col(path).eqNullSafe(F.col("_path")), "left"
+        per_path.join(per_host, F.col("_host").eqNullSafe(F.col("_of"))).select("_host", "_path", "_n", "_k", "_hn", "_hk"),
+        F.col(host).eqNullSafe(F.col("_host")) & F.col(path).eqNullSafe(F.col("_path")), "left",
     )
-    shift = F.log(F.col("path_rate") / (1 - F.col("path_rate"))) - math.log(rate / (1 - rate))
-    return joined.withColumns(
-        {"p_good": p(F.col("_good")), "p_toxic": p(F.col("_toxic")), "score": p(F.col("_good") + shift)}
+    # All rates are of the other documents.
+    rate = F.lit(0.5) if n < 2 else (F.lit(k) - good) / (n - 1)
+    rate = F.greatest(F.least(rate, F.lit(1 - 1e-6)), F.lit(1e-6))
+    host_rate = (F.col("_hk") - good + host_prior * rate) / (F.col("_hn") - 1 + host_prior)
+    path_rate = (F.col("_k") - good + path_prior * F.col("host_rate")) / (F.col("_n") - 1 + path_prior)
+    within = lambda c: F.greatest(F.least(c, F.lit(1 - 1e-9)), F.lit(1e-9))
+    rated = joined.withColumn("host_rate", within(host_rate)).withColumn("path_rate", within(path_rate))
+    shift = F.log(F.col("path_rate") / (1 - F.col("path_rate"))) - F.log(rate / (1 - rate))
+    return rated.withColumns(
+        {"p_good": good, "p_toxic": p(F.col("_toxic")), "score": p(F.col("_good") + shift)}
     ).withColumn("kept", (F.col("score") >= min_score) & (F.col("p_toxic") <= max_toxic)).drop(
-        "_good", "_toxic", "_host", "_path"
+        "_good", "_toxic", "_host", "_path", "_n", "_k", "_hn", "_hk"
+    )
+
+
+#: The least and the most documents that a prior may count for.
+PRIORS = (1e-3, 1e9)
+
+
+def prior_strengths(per_host: DataFrame) -> tuple[float, float]:
+    """How many documents the corpus's mean counts for in a host, and a host's mean in its paths, by moments.
+
+    It is the variance of documents within a group over the variance of the groups' true means, which is that of
+    their observed means less what the documents' own spread makes of it. ``per_host`` has for each host documents (_hn), sum (_hk) and sum of
+    squares (_hk2) of their values, paths (_paths), the sum over paths of squared sizes (_nn) and of sum squared by size (_kk).
+    """
+    s = per_host.agg(
+        F.count("*").alias("hosts"), F.sum("_paths").alias("paths"), F.sum("_hn").alias("n"), F.sum("_hk").alias("k"),
+        F.sum("_hk2").alias("k2"), F.sum(F.col("_hn") * F.col("_hn")).alias("nn"), F.sum(F.col("_hk") ** 2 / F.col("_hn")).alias("kk"),
+        F.sum(F.col("_nn") / F.col("_hn")).alias("path_nn"), F.sum("_kk").alias("path_kk"),
+    ).first()
+    if not s["n"]:
+        return PRIORS[1], PRIORS[1]
+
+    def strength(groups: int, parents: int, inside: float, between: float, size: float) -> float:
+        """``inside``, ``between``: squared deviations of documents from their group, of groups from their parent."""
+        spread = max(inside, 0.0) / (s["n"] - groups) if s["n"] > groups else 0.0
+        extra = between - (groups - parents) * spread
+        if extra <= 1e-12 * max(between, 1.0) or size <= 0:
+            return PRIORS[1]
+        return min(max(spread * size / extra, PRIORS[0]), PRIORS[1])
+
+    return (
+        strength(s["hosts"], 1, s["k2"] - s["kk"], s["kk"] - s["k"] ** 2 / s["n"], s["n"] - s["nn"] / s["n"]),
+        strength(s["paths"], s["hosts"], s["k2"] - s["path_kk"], s["path_kk"] - s["kk"], s["n"] - s["path_nn"]),
     )

@@ -209,3 +209,36 @@ def trie(rows: list[tuple], group: int | None, heads: int) -> list[tuple]:
         ),
         key=str,
     )
+
+
+def shrunk(rows: list[tuple], limits: tuple[float, float]) -> list[tuple[float, float, float]]:
+    """(host rate, path rate, score) of each (log odds, host, path), group by group."""
+    p = [1 / (1 + math.exp(-odds)) for odds, _, _ in rows]
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for x, (_, host, path) in zip(p, rows):
+        hosts[host].append(x)
+        paths[host, path].append(x)
+    mean = lambda xs: sum(xs) / len(xs)
+
+    def strength(groups, parent_of, members) -> float:
+        n, parents = len(p), {parent_of(g) for g in groups}
+        inside = sum((x - mean(xs)) ** 2 for xs in groups.values() for x in xs)
+        between = sum(len(xs) * (mean(xs) - mean(members(g))) ** 2 for g, xs in groups.items())
+        spread = inside / (n - len(groups)) if n > len(groups) else 0.0
+        size = n - sum(sum(len(xs) ** 2 for g, xs in groups.items() if parent_of(g) == q) / sum(
+            len(xs) for g, xs in groups.items() if parent_of(g) == q) for q in parents)
+        extra = between - (len(groups) - len(parents)) * spread
+        if extra <= 1e-9 or size <= 0:
+            return limits[1]
+        return min(max(spread * size / extra, limits[0]), limits[1])
+
+    of_host = strength(hosts, lambda g: 0, lambda g: p)
+    of_path = strength(paths, lambda g: g[0], lambda g: hosts[g[0]])
+    found = []
+    for x, (odds, host, path) in zip(p, rows):
+        rate = (sum(p) - x) / (len(p) - 1)
+        host_rate = (sum(hosts[host]) - x + of_host * rate) / (len(hosts[host]) - 1 + of_host)
+        path_rate = (sum(paths[host, path]) - x + of_path * host_rate) / (len(paths[host, path]) - 1 + of_path)
+        logit = lambda q: math.log(q / (1 - q))
+        found.append((host_rate, path_rate, 1 / (1 + math.exp(-(odds + logit(path_rate) - logit(rate))))))
+    return found

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import subprocess
 import sys
 
+import numpy
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -173,14 +175,47 @@ def test_quality_of_odd_rows(spark):
     assert quality_classifier.classify_quality(frame.limit(0), model).collect() == []
 
 
+class Given:
+    """A model that takes a text's number for its log odds."""
+
+    def odds(self, texts):
+        values = numpy.array([float(t) for t in texts.to_pylist()])
+        return values, numpy.full(len(values), -30.0)
+
+
+def given(seed: int, hosts: int, spread: float, sizes: list[int]) -> list[tuple]:
+    rng, rows = random.Random(seed), []
+    for h in range(hosts):
+        of_host = rng.gauss(0, spread)
+        for path in range(rng.choice([1, 3])):
+            of_path = of_host + rng.gauss(0, spread / 2)
+            rows += [(str(of_path + rng.gauss(0, 1)), f"h{h}" if h else None, f"p{path}") for _ in range(rng.choice(sizes))]
+    return rows
+
+
+@pytest.mark.parametrize("seed,hosts,spread,sizes", [(1, 30, 1.5, [1, 2, 50]), (2, 12, 0.0, [40]), (3, 1, 1.0, [30])])
+def test_rates_equal_a_plain_version(spark, seed, hosts, spread, sizes):
+    rows = given(seed, hosts, spread, sizes)
+    frame = spark.createDataFrame(rows, "text string, source string, lang string").withColumn("id", F.monotonically_increasing_id())
+    plain = frame.select("id", "text", "source", "lang").collect()
+    got = {r["id"]: r for r in quality_classifier.classify_quality(frame, Given()).collect()}
+    wanted = brute.shrunk([(float(r["text"]), r["source"], r["lang"]) for r in plain], quality_classifier.PRIORS)
+    for r, (host_rate, path_rate, score) in zip(plain, wanted):
+        found = got[r["id"]]
+        assert (found["host_rate"], found["path_rate"], found["score"]) == pytest.approx((host_rate, path_rate, score), abs=1e-6)
+
+
 def test_sparse_paths_shrink_to_their_host(spark):
-    rows = [("good prose here", "a", "p")] * 3 + [("good prose here", "a", "q")] * 200 + [("x", "b", "p")] * 200
+    rows = [("-2", "a", "p")] * 3 + [(str(1.5 + k % 2), "a", "q") for k in range(200)]
+    rows += [(str(-1.5 + k % 2), "b", "p") for k in range(200)] + [("2", "b", "r")]
     frame = spark.createDataFrame(rows, "text string, source string, lang string")
-    logistic = quality_classifier.Logistic(*(__import__("numpy").zeros(12) for _ in range(3)), 0.0)
-    model = quality_classifier.QualityModel({}, logistic, logistic)
-    object.__setattr__(logistic, "spread", __import__("numpy").ones(12))
-    rates = {(r["source"], r["lang"]): r for r in quality_classifier.classify_quality(frame, model).collect()}
-    assert rates["a", "p"]["path_rate"] == pytest.approx(0.5) and rates["a", "p"]["host_rate"] == pytest.approx(0.5)
+    rates = {(r["source"], r["lang"]): r for r in quality_classifier.classify_quality(frame, Given(), prior_rows=(50.0, 50.0)).collect()}
+    low, high = rates["b", "p"]["path_rate"], rates["a", "q"]["path_rate"]
+    assert low < 0.4 < 0.75 < high
+    # Three poor documents move the path of a good host a little; one good document does not save a path of a poor host.
+    assert rates["a", "q"]["host_rate"] > rates["a", "p"]["path_rate"] > 0.7 and rates["b", "r"]["path_rate"] < 0.45
+    # A document is not evidence for its own path.
+    assert rates["b", "r"]["path_rate"] == pytest.approx(rates["b", "r"]["host_rate"])
 
 
 def test_words_longer_than_a_span_are_hashed_alike_wherever_they_stand():
