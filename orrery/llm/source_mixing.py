@@ -2,20 +2,21 @@
 
 Tokens are counted per source, language and topic. Iterative proportional fitting scales them until the shares of
 every source, every language and every topic meet their targets. The weight of a cell is its tokens times one factor
-per source, language and topic, so only the factors are kept: those of the (bounded) languages and topics in the driver,
-those of the sources in a table. One step sums, per language and topic, the tokens of all sources times
+per source, language and topic, so only the factors are kept: those of languages and topics in the driver while they
+form a small grid, those of the sources in a table. One step sums, per language and topic, the tokens of all sources times
 their factors; nothing else leaves the tasks. A document's probability is the weight per token of its cell, at most one; its draw
 is a hash of its id. The weights are scaled so that the expected tokens of the sample, with probabilities held at one, are the
 wanted ones: a rare cell that is kept whole takes nothing from the others. Without a wanted size they are scaled to the largest
 sample in which no probability exceeds one, which the rarest cell decides.
 
 Results for odd inputs: null sources, languages and topics are values of their own; a document without
-tokens has its cell's probability; repeated rows share one draw; targets of values without tokens are left out and the others scaled up;
+tokens has its cell's probability; rows that share an id, whatever their texts, share one draw; targets of values without tokens are left out and the others scaled up;
 an empty table gives no rows; input columns named like a result are replaced.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.llm.components import store
+from orrery.llm.expressions import shielded
 from orrery.session import scratch
 
 RESULTS = ("n_tokens", "weight", "probability", "sampled")
@@ -65,13 +67,11 @@ def _value(column: str) -> Column:
 
 @dataclass(frozen=True)
 class Factors:
-    """``sources``: a table of source and factor. The grid holds languages by topics."""
+    """Tables of source, language and topic, each with its values' factors (``value``, ``factor``)."""
 
     sources: DataFrame
-    languages: list[str]
-    topics: list[str]
-    language: np.ndarray
-    topic: np.ndarray
+    languages: DataFrame
+    topics: DataFrame
     largest: float
     #: Tokens and weight per token of each cell that has both, and the tokens of all cells.
     cells: DataFrame
@@ -84,7 +84,11 @@ def rake(
     df: DataFrame, tokens: str, source: str, language: str, topic: str, *, by_source: Targets, by_language: Targets,
     by_topic: Targets, max_steps: int = 60, tolerance: float = 1e-6, max_grid: int = 10_000,
 ) -> Factors:
-    """Fit the factors; a step is one pass over the table of sources, whose tokens per language and topic are one array."""
+    """Fit the factors; a step is one pass over the table of sources, whose tokens per language and topic are one array.
+
+    Beyond ``max_grid`` pairs of language and topic all factors are tables, and a step is three grouped sums over the
+    cells; the result is the same. A fit that has not converged after ``max_steps`` is warned of.
+    """
     spark = df.sparkSession
     path = scratch(spark, "cells")
     df.groupBy(
@@ -94,8 +98,10 @@ def rake(
     found = cells.groupBy("language", "topic").agg(F.sum("tokens").alias("tokens")).limit(max_grid + 1).collect()
     languages = sorted({r["language"] for r in found})
     topics = sorted({r["topic"] for r in found})
-    if len(languages) * len(topics) > max_grid:
-        raise ValueError(f"more than {max_grid} pairs of language and topic")
+    if len(found) > max_grid or len(languages) * len(topics) > max_grid:
+        return _rake_tables(
+            cells, {"source": by_source, "language": by_language, "topic": by_topic}, max_steps, tolerance
+        )
     grid = [(a, b) for a in languages for b in topics]
     per_source = cells.groupBy("source").agg(
         F.map_from_entries(
@@ -133,7 +139,9 @@ def rake(
             ratio = np.divide(want, have, out=np.zeros_like(want), where=have > 0)
             factor *= ratio
             g *= ratio[:, None] if axis == 1 else ratio[None, :]
-    sources = table.select("source", _factor(b, c).alias("factor"))
+    if grid:
+        _warn(steps, error, tolerance)
+    sources = table.select(F.col("source").alias("value"), _factor(b, c).alias("factor"))
     pairs = F.array(*[F.lit(float(x)) for x in np.outer(b, c).ravel()]) if grid else F.array(F.lit(0.0))
     weighed = store(
         table.select(_factor(b, c).alias("f"), F.explode(F.arrays_zip("tokens", pairs.alias("p"))).alias("cell")).select(
@@ -144,17 +152,69 @@ def rake(
     largest = weighed.agg(F.max("weight")).first()[0]
     sources.write.parquet(path + "-factors")
     stored = spark.read.schema(sources.schema).parquet(path + "-factors")
-    return Factors(stored, languages, topics, b, c, largest or 0.0, weighed, float(observed.sum()), steps, float(error))
+    small = [
+        spark.createDataFrame([(v, float(f)) for v, f in zip(values, factors)], "value string, factor double")
+        for values, factors in ((languages, b), (topics, c))
+    ]
+    return Factors(stored, *small, largest or 0.0, weighed, float(observed.sum()), steps, float(error))
+
+
+def _warn(steps: int, error: float, tolerance: float) -> None:
+    if error >= tolerance:
+        warnings.warn(f"marginals are off by {error:.2g} of all tokens after {steps} steps", stacklevel=3)
+
+
+def _rake_tables(cells: DataFrame, targets: dict[str, Targets], max_steps: int, tolerance: float) -> Factors:
+    """The same with the factors of all three kinds in tables, for any number of languages and topics."""
+    wanted, factors = {}, {}
+    for axis, of in targets.items():
+        totals = cells.groupBy(F.col(axis).alias("value")).agg(F.sum("tokens").alias("total"))
+        raw = totals.select("value", F.when(F.col("total") > 0, _target(of, "value")).otherwise(0.0).alias("raw"))
+        raw = store(raw, "wanted")
+        whole = raw.agg(F.sum("raw")).first()[0] or 1.0
+        wanted[axis] = raw.select("value", (F.col("raw") / whole).alias("wanted"))
+        factors[axis] = store(wanted[axis].select("value", (F.col("wanted") > 0).cast("double").alias("factor")), "factors")
+
+    def weighed(without: str | None = None) -> DataFrame:
+        rows, weight = cells, F.lit(1.0)
+        for axis, table in factors.items():
+            if axis != without:
+                named = table.select(F.col("value").alias(f"_{axis}"), F.col("factor").alias(f"_f_{axis}"))
+                rows = rows.join(named, F.col(axis) == F.col(f"_{axis}"))
+                weight *= F.col(f"_f_{axis}")
+        return rows.withColumn("weight", weight)
+
+    error, steps = 0.0, 0
+    for steps in range(1, max_steps + 1):
+        error = 0.0
+        for axis in ("source", "language", "topic"):
+            have = weighed(axis).groupBy(F.col(axis).alias("value")).agg(F.sum(F.col("tokens") * F.col("weight")).alias("have"))
+            both = store(wanted[axis].join(have, "value").join(factors[axis], "value"), "sums")
+            now, total = F.col("have") * F.col("factor"), both.agg(F.sum(F.col("have") * F.col("factor"))).first()[0] or 1e-300
+            if steps > 1:
+                error = max(error, both.agg(F.max(F.abs(now - F.col("wanted") * total))).first()[0] / total)
+            ratio = F.when(F.col("have") > 0, F.col("wanted") / F.col("have")).otherwise(0.0)
+            factors[axis] = store(both.select("value", ratio.alias("factor")), "factors")
+        if steps > 1 and error < tolerance:
+            break
+    _warn(steps, error if steps > 1 else 0.0, tolerance)
+    kept = store(weighed().select("tokens", "weight").where("tokens > 0 AND weight > 0"), "cells")
+    largest, total = kept.agg(F.max("weight")).first()[0], cells.agg(F.sum("tokens")).first()[0]
+    return Factors(*factors.values(), largest or 0.0, kept, float(total or 0.0), steps, float(error))
 
 
 def _source_target(targets: Targets) -> Column:
-    """Unscaled: a common scale cancels out."""
+    return _target(targets, "source")
+
+
+def _target(targets: Targets, value: str) -> Column:
+    """The wanted share of a value by its ``total``, unscaled: a common scale cancels out."""
     if targets.shares is None:
         return F.pow("total", F.lit(targets.alpha))
     if not targets.shares:
         return F.lit(0.0)
     items = [F.lit(x) for k, v in targets.shares.items() for x in (NULL if k is None else k, float(v))]
-    return F.coalesce(F.try_element_at(F.create_map(*items), F.col("source")), F.lit(0.0))
+    return F.coalesce(F.try_element_at(F.create_map(*items), F.col(value)), F.lit(0.0))
 
 
 def _factor(b: np.ndarray, c: np.ndarray) -> Column:
@@ -188,9 +248,12 @@ def _scale(fitted: Factors, expected_tokens: float, max_steps: int = 60) -> floa
         if following <= scale * (1 + 1e-12):
             break
         scale = following
+    else:
+        warnings.warn(f"the size of the sample is not met after {max_steps} steps", stacklevel=3)
     return scale
 
 
+@shielded
 def mix_sources(
     df: DataFrame, doc_id: str = "doc_id", tokens: str = "n_tokens", source: str = "source",
     language: str = "lang", topic: str = "topic", *, by_source: Targets, by_language: Targets, by_topic: Targets,
@@ -202,7 +265,7 @@ def mix_sources(
     ``expected_tokens``, or ``expected_share`` of all tokens, is the size of the sample.
     Rows without an id are drawn by the column ``unnamed``, if there is one.
 
-    The table of source factors is joined without a hint: Spark broadcasts it while it is small and
+    The tables of factors are joined without a hint: Spark broadcasts them while they are small and
     otherwise shuffles, where the adaptive join splits a large source.
     """
     df = df.drop(*[c for c in RESULTS if c != tokens])
@@ -216,23 +279,13 @@ def mix_sources(
         scale = _scale(fitted, expected_tokens)
     else:
         scale = 1 / fitted.largest if fitted.largest else 0.0
-    factors = fitted.sources.select(F.col("source").alias("_orrery_source"), F.col("factor").alias("_orrery_factor"))
-
-    def known(values: list[str], factor: np.ndarray, column: str) -> Column:
-        if not values:
-            return F.lit(0.0)
-        items = [F.lit(x) for v, f in zip(values, factor) for x in (v, float(f))]
-        return F.try_element_at(F.create_map(*items), _value(column))
-
-    weight = (
-        F.col("_orrery_factor") * known(fitted.languages, fitted.language, language)
-        * known(fitted.topics, fitted.topic, topic) * scale
-    )
-    rows = df.withColumn("_orrery_key", _value(source)).join(
-        factors, F.col("_orrery_key") == F.col("_orrery_source"), "left"
-    )
+    rows, weight = df, F.lit(scale)
+    for kind, column in (("sources", source), ("languages", language), ("topics", topic)):
+        named = getattr(fitted, kind).select(F.col("value").alias(f"_{kind}"), F.col("factor").alias(f"_f_{kind}"))
+        rows = rows.withColumn(f"_of_{kind}", _value(column)).join(named, F.col(f"_of_{kind}") == F.col(f"_{kind}"), "left")
+        weight *= F.col(f"_f_{kind}")
     rows = rows.withColumn("weight", F.coalesce(weight, F.lit(0.0))).drop(
-        "_orrery_key", "_orrery_source", "_orrery_factor"
+        *[f"{p}{kind}" for p in ("_", "_f_", "_of_") for kind in ("sources", "languages", "topics")]
     )
     key = F.xxhash64(F.lit(seed), F.col(doc_id))
     if unnamed in df.columns:

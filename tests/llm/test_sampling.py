@@ -245,3 +245,40 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
             assert set(after.columns) == set(corpus_pipeline.COLUMNS) and 0 < after.count() < docs.count()
         docs = after
     assert docs.agg(F.max("length")).first()[0] <= 2048
+
+
+def test_many_languages_are_raked_in_tables(spark):
+    frame = spark.createDataFrame(cells(8), "doc_id long, source string, lang string, topic string, n_tokens long")
+    targets = dict(by_source=Targets(alpha=0.5), by_language=Targets({"en": 3, "de": 1, None: 1}), by_topic=Targets())
+    axes = ("n_tokens", "source", "lang", "topic")
+    small = source_mixing.rake(frame, *axes, **targets)
+    large = source_mixing.rake(frame, *axes, **targets, max_grid=2)
+    # A step of the one is not a step of the other; both end at the same weights.
+    weights = [sorted((r["tokens"], r["weight"]) for r in f.cells.collect()) for f in (small, large)]
+    scale = [sum(t * w for t, w in ws) for ws in weights]
+    assert len(weights[0]) == len(weights[1])
+    for (t0, w0), (t1, w1) in zip(*weights):
+        assert (t0, w0 / scale[0]) == pytest.approx((t1, w1 / scale[1]), rel=1e-4)
+
+
+def test_twenty_thousand_languages(spark):
+    frame = spark.range(60_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("source"),
+        (F.col("id") % 20_000).cast("string").alias("lang"), F.lit("x").alias("topic"), F.lit(5).cast("long").alias("n_tokens"),
+        F.lit("y").alias("_f_sources"), F.lit("z").alias("_sources"),
+    )
+    got = source_mixing.mix_sources(
+        frame, by_source=Targets(alpha=0.7), by_language=Targets(alpha=0.9), by_topic=Targets(), expected_share=0.5
+    )
+    assert got.columns[: len(frame.columns)] == frame.columns
+    sums = got.agg(F.count("*").alias("n"), F.sum("probability").alias("p")).first()
+    assert sums["n"] == 60_000 and sums["p"] == pytest.approx(30_000, rel=1e-3)
+
+
+def test_a_fit_that_does_not_converge_is_warned_of(spark):
+    frame = spark.createDataFrame([(1, "a", "x", "t", 5), (2, "b", "y", "t", 5)], "doc_id long, source string, lang string, topic string, n_tokens long")
+    with pytest.warns(UserWarning, match="after 4 steps"):
+        source_mixing.rake(
+            frame, "n_tokens", "source", "lang", "topic", by_source=Targets({"a": 0.9, "b": 0.1}),
+            by_language=Targets({"x": 0.1, "y": 0.9}), by_topic=Targets(), max_steps=4,
+        )
