@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.llm.components import connected_components, store
+from orrery.llm.expressions import shielded
 from orrery.llm.text import Words, chunks, find_words, mix, ngram_hashes
 from orrery.operators.keys import number_rows
 
@@ -693,6 +694,7 @@ def _own_numbers(df: DataFrame, key: Column, doc_id: str, into: str, low: int, h
     ).drop(own, key_name, nth)
 
 
+@shielded
 def own_nodes(df: DataFrame, doc_id: str, text: str, into: str) -> DataFrame:
     """A number for each distinct document: its id, or one outside of all ids if it has none or another text took its id.
 
@@ -713,6 +715,7 @@ def own_nodes(df: DataFrame, doc_id: str, text: str, into: str) -> DataFrame:
     return _own_numbers(joined, key, doc_id, into, low, high).drop("_shared_id", "_first_text")
 
 
+@shielded
 def keep_representatives(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", *, n: int = 5, percent: int = 75,
 ) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.llm.components import store
+from orrery.llm.expressions import shielded
 from orrery.llm.text import chunks, find_words
 from orrery.session import scratch
 
@@ -211,6 +212,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+@shielded
 def classify_quality(
     df: DataFrame, model: QualityModel | None, text: str = "text", host: str = "source", path: str = "lang", *,
     prior_rows: tuple[float, float] | None = None, min_score: float = 0.5, max_toxic: float = 0.5,

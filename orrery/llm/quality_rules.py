@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.expressions import let
+from orrery.llm.expressions import let, shielded
 from orrery.session import scratch
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -128,6 +128,7 @@ def _prior(hosts: DataFrame, min_prior: float) -> tuple[float, float]:
     return mean, max(weight / between - 1, min_prior)
 
 
+@shielded
 def quality_rules(
     df: DataFrame, text: str = "text", host: str = "source", *, min_words: int = 50,
     max_repeat_percent: int = 50, max_rate: float = 0.5,

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.llm.components import store
+from orrery.llm.expressions import shielded
 
 
 @dataclass(frozen=True)
@@ -179,6 +180,7 @@ def train_url_model(
         sample.unpersist()
 
 
+@shielded
 def filter_urls(
     df: DataFrame, rules: Sequence[Rule], url: str = "url", *, model: UrlModel | None = None,
     max_score: float = 0.5, sample_rows: int = 4000,

@@ -242,3 +242,41 @@ def test_memory_does_not_grow_for_good_with_one_long_text():
     )
     grown = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, check=True).stdout
     assert float(grown) < 500
+
+
+def test_input_columns_may_have_the_names_of_helpers(spark):
+    rows = [(i, f"http://a{i % 7}.{'org' if i % 2 else 'com/de'}/p{i}", "good words here " * 30, "h", "p", i) for i in range(60)]
+    names = ["_f_vector", "_good", "_host", "_orrery_host", "_known", "_kept", "kept0"]
+    frame = spark.createDataFrame(rows, "doc_id long, url string, text string, source string, lang string, n int")
+    frame = frame.withColumns({c: F.lit(c) for c in names})
+    model = quality_classifier.train_quality_model(frame, spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int"))
+    from orrery.llm import ngram_jaccard
+
+    for got in (
+        url_filter.filter_urls(frame, URL_RULES), quality_classifier.classify_quality(frame, model),
+        quality_rules.quality_rules(frame), ngram_jaccard.own_nodes(frame, "doc_id", "text", "node"),
+    ):
+        assert [got.first()[c] for c in names] == names and got.count() == 60
+
+
+def test_a_hot_url_and_a_hot_text_do_not_fill_the_samples(spark):
+    urls = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "http://hot.org/x").otherwise(F.concat(F.lit("http://a.com/"), F.col("id").cast("string"))).alias("url"),
+    ).withColumns({"host": F.lit("a.com"), "path": F.lit("/p"), "label": F.when(F.col("url").contains("hot"), 1).otherwise(0)})
+    sizes = []
+    real = url_filter.store
+    url_filter.store = lambda rows, purpose: (kept := real(rows, purpose), sizes.append(kept.count()))[0]
+    try:
+        url_filter.train_url_model(urls, sample_rows=1000)
+    finally:
+        url_filter.store = real
+    assert 600 < sizes[0] < 1400
+    texts = urls.select(F.col("url").alias("text"), F.lit("en").alias("lang"))
+    counts = []
+    real = language_id.store
+    language_id.store = lambda rows, purpose: (kept := real(rows, purpose), counts.append(kept.count()))[0]
+    try:
+        language_id.train_language_model(texts, sample_rows=1000)
+    finally:
+        language_id.store = real
+    assert 600 < counts[-1] < 1400
