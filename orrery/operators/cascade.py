@@ -1,6 +1,6 @@
 """Deletes and key changes carried along references, computed as sets.
 
-Everything is a semi or anti join (delete) or a left join (update) from the changed keys down to
+A delete here is a plan without rounds, for references that form no ring; ``closure.delete_closure`` follows any. Everything is a semi or anti join (delete) or a left join (update) from the changed keys down to
 each child. Both keep the child rows on the streamed side, which the adaptive skew join may split.
 """
 
@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from orrery.models.table import Reference
 
+#: Among what blocks a change of keys: the conflicts of the map itself.
+KEY_MAP = "key_map"
+
 
 def cascade_delete(
     tables: dict[str, DataFrame],
@@ -49,16 +52,20 @@ def cascade_update(
     root: str,
     column: str,
     key_map: DataFrame,
-) -> tuple[dict[str, DataFrame], dict[Reference, DataFrame]]:
-    """Replace values of a root key column by ``key_map`` (old, new) there and in its children.
+) -> tuple[dict[str, DataFrame], dict[Reference | str, DataFrame]]:
+    """Replace values of a root key column by ``key_map`` (old, new) there and in its children; keys may be swapped.
 
-    ``key_conflicts`` says whether the map is fit for it. A reference of several columns with a null among them refers to
+    A map with ``key_conflicts`` changes nothing: the tables come back as they are, and the conflicts are among what blocks,
+    under ``key_map``. A reference of several columns with a null among them refers to
     nothing and stays. Returns the changed tables, and for each blocking reference the rows that
     hold a key about to change.
     """
-    moved = key_map.filter("old <> new")
+    conflicts = key_conflicts(tables[root], column, key_map)
+    if not conflicts.isEmpty():
+        return _unchanged(tables, references, root, column), {KEY_MAP: conflicts}
+    moved = key_map.filter("old <> new").distinct()
     changed: dict[str, DataFrame] = {}
-    blocked: dict[Reference, DataFrame] = {}
+    blocked: dict[Reference | str, DataFrame] = {}
     todo: list[tuple[str, str, list[str]]] = [(root, column, [])]
     seen = set()
     while todo:
@@ -83,7 +90,7 @@ def key_conflicts(rows: DataFrame, column: str, key_map: DataFrame) -> DataFrame
     """What makes a key map unfit for ``cascade_update``: (key, conflict), to be empty before an update.
 
     ``repeated``: an old key with several new ones. ``taken``: a new key that several old ones get, or that a
-    row which keeps its key already has.
+    row which keeps its key already has. ``null``: a key mapped to nothing, or nothing to a key.
     """
     moved = key_map.filter("old <> new").distinct()
     repeated = moved.groupBy(F.col("old").alias("key")).agg(F.count("*").alias("n")).filter("n > 1")
@@ -91,9 +98,24 @@ def key_conflicts(rows: DataFrame, column: str, key_map: DataFrame) -> DataFrame
     staying = rows.select(F.col(column).alias("key")).join(moved.select(F.col("old").alias("key")), "key", "left_anti")
     held = moved.select(F.col("new").alias("key")).join(staying, "key", "left_semi")
     taken = shared.select("key").unionByName(held).distinct()
-    return repeated.select("key", F.lit("repeated").alias("conflict")).unionByName(
-        taken.select("key", F.lit("taken").alias("conflict"))
-    )
+    none = key_map.filter("old IS NULL OR new IS NULL").select(F.coalesce("old", "new").alias("key")).distinct()
+    return reduce(DataFrame.unionByName, [
+        rows.select("key", F.lit(conflict).alias("conflict"))
+        for rows, conflict in ((repeated, "repeated"), (taken, "taken"), (none, "null"))
+    ])
+
+
+def _unchanged(
+    tables: dict[str, DataFrame], references: tuple[Reference, ...], root: str, column: str
+) -> dict[str, DataFrame]:
+    """The tables that a change of the key would reach."""
+    found = [(root, column)]
+    for name, col in found:
+        for r in references:
+            if r.cascade and r.parent == name and col in r.parent_key:
+                step = (r.child, r.child_key[r.parent_key.index(col)])
+                found += [step] if step not in found else []
+    return {name: tables[name] for name, _ in found}
 
 
 def _children_first_seen(references: tuple[Reference, ...], root: str) -> list[str]:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.models import trade
-from orrery.models.table import LONG, Field, Table, money
+from orrery.models.table import LONG, Field, Reference, Table, money
 from orrery.operators import audits, cascade
+from orrery.operators.closure import delete_closure
 from orrery.plans.landing import LandingRefused, land_audited
 from orrery.queries.registry import load, new_lakehouse, query
 
@@ -95,26 +96,26 @@ def fk_orphans_self(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT 'nation.n_regionkey' AS reference, count(*) AS orphans
-    FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region)
+    FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region WHERE r_regionkey % 11 <> 2)
     UNION ALL SELECT 'customer.c_nationkey', count(*)
-    FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation)
+    FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey % 11 <> 2)
     UNION ALL SELECT 'supplier.s_nationkey', count(*)
-    FROM supplier WHERE s_nationkey NOT IN (SELECT n_nationkey FROM nation)
+    FROM supplier WHERE s_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey % 11 <> 2)
     UNION ALL SELECT 'orders.o_custkey', count(*)
-    FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+    FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 11 <> 2)
     UNION ALL SELECT 'lineitem.l_orderkey', count(*)
-    FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+    FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 11 <> 2)
     UNION ALL SELECT 'lineitem.l_partkey', count(*)
-    FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
+    FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 11 <> 2)
     UNION ALL SELECT 'lineitem.l_suppkey', count(*)
-    FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)
+    FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 11 <> 2)
 """)
 def fk_audit_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows without a parent for every reference of the model."""
+    """Rows without a parent for every reference of the model, where every eleventh parent is missing."""
     tables = _tables(spark, sf_dir)
     counted = [
         audits.fk_orphans(
-            tables[r.child], list(r.child_key), tables[r.parent], list(r.parent_key)
+            tables[r.child], list(r.child_key), tables[r.parent].where(F.col(r.parent_key[0]) % 11 != 2), list(r.parent_key)
         ).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("orphans"))
         .select(F.lit(f"{r.child}.{'/'.join(r.child_key)}").alias("reference"), "orphans")
         for r in trade.REFERENCES
@@ -189,7 +190,7 @@ _DELETED_SQL = """
 @query(f"{_DELETED_SQL} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM l")
 def cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items left after one nation goes, with its customers, their orders, its suppliers."""
-    left, _ = cascade.cascade_delete(
+    left, _ = delete_closure(
         _tables(spark, sf_dir), trade.REFERENCES, "nation", "n_name = 'NATION_3'"
     )
     return left["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -205,7 +206,7 @@ def cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def cascade_delete_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows left in every table the delete reaches."""
-    left, _ = cascade.cascade_delete(
+    left, _ = delete_closure(
         _tables(spark, sf_dir), trade.REFERENCES, "nation", "n_name = 'NATION_3'"
     )
     sizes = [
@@ -224,7 +225,7 @@ def cascade_restrict(spark: SparkSession, sf_dir: str) -> DataFrame:
     references = tuple(
         replace(r, cascade=False) if r.parent == "part" else r for r in trade.REFERENCES
     )
-    _, blocked = cascade.cascade_delete(
+    _, blocked = delete_closure(
         _tables(spark, sf_dir), references, "part", "p_size < 5"
     )
     (rows,) = blocked.values()
@@ -265,3 +266,38 @@ def cascade_update(spark: SparkSession, sf_dir: str) -> DataFrame:
             ("supplier", "s_suppkey", "s_nationkey"),
         )
     ])
+
+
+_CHAIN_SQL = """
+    WITH RECURSIVE gone(conv_id, turn) AS (
+        SELECT conv_id, turn FROM conversations WHERE conv_id % 5 = 0 AND turn = 2
+        UNION
+        SELECT c.conv_id, c.turn FROM conversations c JOIN gone g ON c.conv_id = g.conv_id AND c.turn = g.turn + 1
+    )
+"""
+
+
+@query(f"""
+    {_CHAIN_SQL}
+    SELECT conv_id, turn FROM conversations c
+    WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.conv_id = c.conv_id AND g.turn = c.turn)
+""")
+def cascade_delete_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations left when a turn goes with all that follow it: a table that refers to itself, to any depth."""
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", (F.col("turn") - 1).alias("before"))
+    reference = Reference("turns", ("conv_id", "before"), "turns", ("conv_id", "turn"))
+    left, _ = delete_closure({"turns": turns}, (reference,), "turns", "conv_id % 5 = 0 AND turn = 2")
+    return left["turns"].select("conv_id", "turn")
+
+
+@query("""
+    SELECT c.conv_id, c.turn FROM conversations c
+    WHERE c.conv_id % 5 = 0 AND c.turn = 3
+      AND EXISTS (SELECT 1 FROM conversations b WHERE b.conv_id = c.conv_id AND b.turn = 2)
+""")
+def cascade_restrict_self(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same reference where it blocks: the turns that keep those before them from going."""
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", (F.col("turn") - 1).alias("before"))
+    reference = Reference("turns", ("conv_id", "before"), "turns", ("conv_id", "turn"), cascade=False)
+    _, blocked = delete_closure({"turns": turns}, (reference,), "turns", "conv_id % 5 = 0 AND turn = 2")
+    return blocked[reference].select("conv_id", "turn")

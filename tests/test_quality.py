@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from orrery.models import staff
 from orrery.models.table import Reference
 from orrery.operators import audits
-from orrery.operators.cascade import cascade_delete, cascade_update, key_conflicts
+from orrery.operators.cascade import KEY_MAP, cascade_delete, cascade_update, key_conflicts
+from orrery.operators.closure import delete_closure
 from tests import staff_rows
 
 MANAGER = staff.REFERENCES[5]
@@ -170,3 +171,82 @@ def test_a_ring_through_the_root_is_refused(hr):
     ring = (Reference("a", ("x",), "b", ("x",)), Reference("b", ("x",), "a", ("x",)))
     with pytest.raises(ValueError, match="ring"):
         cascade_delete({"a": hr["jobs"], "b": hr["jobs"]}, ring, "a", "true")
+
+
+@pytest.mark.parametrize("root,condition", [
+    ("regions", "region_id = 2"), ("jobs", "job_title = 'Clerk'"), ("jobs", "min_salary > 3500"), ("employees", "employee_id = 100"),
+])
+def test_the_closure_equals_the_plan_without_rounds(hr, root, condition):
+    plain, blocked = cascade_delete(hr, staff.REFERENCES, root, condition)
+    left, held = delete_closure(hr, staff.REFERENCES, root, condition)
+    assert plain.keys() == left.keys() and {r for r in held if not held[r].isEmpty()} == {r for r in blocked if not blocked[r].isEmpty()}
+    for name in plain:
+        assert sorted(map(str, left[name].collect())) == sorted(map(str, plain[name].collect()))
+    for r in blocked:
+        assert sorted(map(str, held[r].collect())) == sorted(map(str, blocked[r].collect()))
+
+
+def plain_closure(rows: list[tuple], start: set) -> list[tuple]:
+    gone, more = set(start), True
+    while more:
+        more = {k for k, boss in rows if boss in gone} - gone
+        gone |= more
+    return sorted((r for r in rows if r[0] not in gone), key=str)
+
+
+def test_a_chain_of_managers_goes_with_the_first(spark):
+    rows = [(k, k - 1 if k % 10 else None) for k in range(40)] + [(100, 100), (101, 102), (102, 101), (103, 100), (104, None)]
+    people = spark.createDataFrame(rows, "employee_id int, manager_id int")
+    own = (Reference("people", ("manager_id",), "people", ("employee_id",)),)
+    for condition, start in (("employee_id IN (3, 25)", {3, 25}), ("employee_id = 101", {101}), ("employee_id = 100", {100}), ("false", set())):
+        left, _ = delete_closure({"people": people}, own, "people", condition)
+        assert sorted((tuple(r) for r in left["people"].collect()), key=str) == plain_closure(rows, start)
+
+
+def test_a_ring_of_tables(spark):
+    a = spark.createDataFrame([(1, 9), (2, 11), (3, None), (4, 12)], "x int, b int")
+    b = spark.createDataFrame([(11, 1), (12, 2), (13, 3), (9, 7)], "y int, a int")
+    ring = (Reference("a", ("b",), "b", ("y",)), Reference("b", ("a",), "a", ("x",)))
+    left, _ = delete_closure({"a": a, "b": b}, ring, "a", "x = 1")
+    # 1 takes 11, 11 takes 2, 2 takes 12, 12 takes 4.
+    assert ids(left["a"], "x") == [3] and ids(left["b"], "y") == [9, 13]
+
+
+def test_tables_are_read_at_most_twice(spark, tmp_path):
+    rows = spark.range(1000).select("id", (F.col("id") - 1).alias("boss"))
+    rows.write.parquet(str(tmp_path / "people"))
+    reads = []
+
+    class Watched(dict):
+        def __getitem__(self, name):
+            reads.append(name)
+            return super().__getitem__(name)
+
+    people = Watched(people=spark.read.parquet(str(tmp_path / "people")))
+    own = (Reference("people", ("boss",), "people", ("id",)),)
+    left, _ = delete_closure(people, own, "people", "id = 990")
+    assert left["people"].count() == 990
+    # The session, the key columns, the first rows, the survivors: none of them within a round.
+    assert len(reads) == 4
+
+
+def test_a_bad_key_map_changes_nothing(spark, hr):
+    keys = spark.createDataFrame([(1, 2), (1, 3)], "old int, new int")
+    changed, blocked = cascade_update(hr, staff.REFERENCES, "departments", "department_id", keys)
+    assert set(changed) == {"departments", "employees"} and set(blocked) == {KEY_MAP}
+    assert ids(changed["departments"], "department_id") == [1, 2, 3]
+    assert {r.conflict for r in blocked[KEY_MAP].collect()} == {"repeated", "taken"}
+    none = spark.createDataFrame([(1, None)], "old int, new int")
+    assert cascade_update(hr, staff.REFERENCES, "departments", "department_id", none)[1][KEY_MAP].collect() == [(1, "null")]
+
+
+def test_keys_are_swapped(spark, hr):
+    keys = spark.createDataFrame([(1, 2), (2, 1), (2, 1)], "old int, new int")
+    changed, blocked = cascade_update(hr, staff.REFERENCES, "departments", "department_id", keys)
+    assert ids(changed["departments"], "department_id") == [1, 2, 3] and not blocked
+    assert {r.employee_id: r.department_id for r in changed["employees"].collect()} == {100: 1, 101: 2, 102: 2, 103: 1, 104: 3, 105: None}
+
+
+def test_keys_with_nulls_do_not_look_alike(spark):
+    rows = spark.createDataFrame([("a", None), (None, "a")], "k string, l string")
+    assert {r.key for r in audits.audit_required(rows, ("k", "l"), ["k", "l"]).collect()} == {'{"k":"a","l":null}', '{"k":null,"l":"a"}'}
