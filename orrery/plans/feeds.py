@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,26 +12,14 @@ MIN_FILES = 4
 def land_json_arrays(df: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> None:
     """Add ``df`` to ``folder`` as files of about ``file_bytes`` that hold one array each.
 
-    Rows are dealt evenly over the files, copies included. The brackets are put around a task's
-    rows as they pass, so a task holds one batch at a time. An array is read by a single task,
+    Rows are dealt evenly over the files, copies included. An array is gathered, and later read, by a single task,
     hence the bound on its size.
     """
-
-    # a nested function travels to the executors whole; they need not have this package
-    def bracket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            if batch.empty:
-                continue
-            lines = batch["value"].tolist()
-            ready = ["[" if held is None else f"{held},", *[f"{line}," for line in lines[:-1]]]
-            held = lines[-1]
-            yield pd.DataFrame({"value": ready})
-        yield pd.DataFrame({"value": ["[]"] if held is None else [held, "]"]})
-
     documents = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
     total = documents.agg(F.sum(F.octet_length("value") + 2)).first()[0] or 0
     files = max(MIN_FILES, -(-total // file_bytes))
-    documents.repartition(files).mapInPandas(bracket, "value string").write.mode("append").text(
-        folder
+    dealt = documents.withColumn("file", F.pmod(F.monotonically_increasing_id(), F.lit(files)))
+    arrays = dealt.groupBy("file").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value")
     )
+    arrays.select("value").write.mode("append").option("maxRecordsPerFile", 1).text(folder)

@@ -296,7 +296,7 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT 20 AS rows_shown, 20 AS rows_genuine")
 def stream_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which rows a preview shows is open; all of them must be rows of the feed."""
-    feed = read_feed(spark, _feed(spark, sf_dir), trade.ORDERS.schema)
+    feed = read_feed(spark, _feed(spark, sf_dir), trade.ORDERS.schema, max_files=1).drop("fields")
     shown = preview_stream(feed, 20).withColumn("o_orderkey", F.col("o_orderkey").cast("long"))
     orders = orders_by_day(spark, sf_dir).select("o_orderkey", F.lit(1).alias("genuine"))
     return shown.join(orders, "o_orderkey", "left").agg(

@@ -241,6 +241,16 @@ def test_stream_preview_shows_some_rows_of_the_feed(spark, hr, tmp_path):
     assert preview_stream(feed, 50).count() == 6
 
 
+def test_a_preview_reads_no_more_files_than_it_takes(spark, tmp_path):
+    for n in range(6):
+        drop(tmp_path / "in", f"{n}.json", person(2 * n), person(2 * n + 1))
+    feed = read_feed(spark, str(tmp_path / "in"), staff.EMPLOYEES.schema, max_files=1)
+    shown = preview_stream(feed, 3)
+    assert shown.count() == 3 and shown.select("source_file").distinct().count() == 2
+    assert len({f.rsplit("/", 2)[1] for f in shown.inputFiles()}) == 2
+    assert preview_stream(feed.where("false"), 3).collect() == []
+
+
 def test_a_view_over_a_stream_stays_a_stream(spark, place, hr, tmp_path):
     read_feed(spark, feed_of(hr, tmp_path), staff.EMPLOYEES.schema).createOrReplaceTempView("raw_v")
     view = spark.sql("SELECT employee_id, last_name AS name FROM raw_v")
