@@ -14,6 +14,7 @@ from orrery.operators.dates import date_dim_extend, date_dim_of
 from orrery.operators.joins import Dim, star_join
 from orrery.operators.keys import number_rows
 from orrery.plans.landing import Landing, land_audited
+from orrery.session import append_log, read_log, remove
 from orrery.sinks.catalog import create_database, drop_database, insert_rows, overwrite_table
 from orrery.streaming.increments import Facts, GoldState
 from orrery.streaming.medallion import (
@@ -73,17 +74,45 @@ class Lakehouse:
     def gold_state(self, star: Star) -> GoldState:
         return GoldState(self.room(), self.table("gold_state"), self.checkpoint("gold_state"), star.gold)
 
+    def base(self) -> Lakehouse:
+        """The place that all generations of this one have in common."""
+        if _GENERATION not in self.root:
+            return self
+        return Lakehouse(self.database.rpartition(_GENERATION.replace("/", "_"))[0], self.root.rpartition(_GENERATION)[0])
+
     def fresh(self) -> Lakehouse:
-        """The same database on an unused folder: outputs and checkpoints start empty."""
-        return Lakehouse(self.database, f"{self.root}/{uuid4().hex}")
+        """The next generation: a database and a folder of its own, beside those of the others."""
+        base, mark = self.base(), uuid4().hex
+        return Lakehouse(
+            f"{base.database}{_GENERATION.replace('/', '_')}{mark}", f"{base.root}{_GENERATION}{mark}"
+        )
+
+    def drop(self, spark: SparkSession) -> None:
+        """Drop the database and delete its files; generations below a base stay."""
+        drop_database(spark, self.database)
+        if self.root != self.base().root:
+            remove(spark, self.root, below=self.base().root)
+        else:
+            for part in ("tables", "checkpoints", "dimensions"):
+                remove(spark, f"{self.root}/{part}", below=self.root)
+
+
+#: What sets a generation's folder (and, with an underscore, its database) apart from its base.
+_GENERATION = "/generation_"
+
+
+def live(spark: SparkSession, place: Lakehouse) -> Lakehouse:
+    """The generation that the last successful rebuild made, or the place itself if there was none."""
+    base = place.base()
+    built = sorted(read_log(spark, f"{base.root}/live"), key=lambda e: e["number"])
+    return Lakehouse(built[-1]["database"], built[-1]["root"]) if built else base
 
 
 def open_lakehouse(
     spark: SparkSession, place: Lakehouse, comment: str = "", fresh: bool = False
 ) -> Lakehouse:
-    """Create the database if needed. ``fresh`` drops it first and moves to an unused folder."""
+    """Create the database if needed. ``fresh`` opens the next generation instead, which leaves this one as it is."""
     if fresh:
-        drop_database(spark, place.database)
         place = place.fresh()
     create_database(
         spark, place.database, f"{place.root}/tables", comment, {"contains_pii": "true"}
@@ -181,9 +210,22 @@ def rebuild(
     limits: dict[str, int] | None = None,
     **intake: bool | int,
 ) -> tuple[Lakehouse, DataFrame]:
-    """Start over: drop the database, move to an unused folder and refresh everything there.
+    """Start over in the next generation and refresh everything there.
 
+    Only when that has succeeded does the new generation become the live one, which ``live`` finds, and the ones before it are
+    deleted with all their tables, files and checkpoints. If it fails, what it made is deleted and the old one lives on.
     Returns where the lakehouse now lives, which later refreshes need, and the gold report.
     """
-    place = open_lakehouse(spark, place, fresh=True)
-    return place, refresh(spark, star, place, sources, feed, limits, **intake)
+    old = live(spark, place)
+    new = open_lakehouse(spark, old, fresh=True)
+    try:
+        report = refresh(spark, star, new, sources, feed, limits, **intake)
+    except BaseException:
+        new.drop(spark)
+        raise
+    log = f"{place.base().root}/live"
+    built = read_log(spark, log)
+    append_log(spark, log, {"number": len(built) + 1, "database": new.database, "root": new.root})
+    for gone in {old, place, place.base()} - {new}:
+        gone.drop(spark)
+    return new, report

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import json
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -11,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
+_owner: ContextVar[str | None] = ContextVar("owner", default=None)
 
 
 def local_session(cores: str = "8", app: str = "orrery", **conf: str) -> SparkSession:
@@ -37,22 +41,24 @@ def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="run-")
-    return _local_roots[context.applicationId]
+    application = spark.sparkContext.applicationId
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="run-")
+    return _local_roots[application]
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A path below the shared folder that no other call uses."""
-    return f"{shared_root(spark)}/orrery-{purpose}-{uuid4().hex}"
+    owner = _owner.get()
+    below = f"{shared_root(spark)}/orrery-owned-{owner}" if owner else shared_root(spark)
+    return f"{below}/orrery-{purpose}-{uuid4().hex}"
 
 
 def scratch_table(spark: SparkSession, purpose: str) -> str:
-    """The name of a table not used yet, in a database of this application's scratch tables."""
-    database = _scratch_database(spark)
+    """The name of a table not used yet, in a database of this application's (or the owner's) scratch tables."""
+    database = _scratch_database(spark, _owner.get())
     spark.sql(
         f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{shared_root(spark)}/{database}'"
     )
@@ -66,14 +72,30 @@ def write_scratch(rows: DataFrame, purpose: str) -> str:
     return table
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Drop all scratch tables, once the results that read them are stored elsewhere."""
-    spark.sql(f"DROP DATABASE IF EXISTS {_scratch_database(spark)} CASCADE")
+@contextmanager
+def owned_scratch() -> Iterator[str]:
+    """Scratch tables and folders made in this block belong to the owner it yields, for ``release_scratch``."""
+    owner = uuid4().hex
+    token = _owner.set(owner)
+    try:
+        yield owner
+    finally:
+        _owner.reset(token)
+
+
+def release_scratch(spark: SparkSession, owner: str | None = None) -> None:
+    """Drop an owner's scratch tables and delete its folders, once the results that read them are stored elsewhere.
+
+    Without an owner the tables that belong to none are dropped; those of owners stay.
+    """
+    spark.sql(f"DROP DATABASE IF EXISTS {_scratch_database(spark, owner)} CASCADE")
+    if owner:
+        remove(spark, f"{shared_root(spark)}/orrery-owned-{owner}", below=shared_root(spark))
 
 
-def _scratch_database(spark: SparkSession) -> str:
+def _scratch_database(spark: SparkSession, owner: str | None = None) -> str:
     application = "".join(c if c.isalnum() else "_" for c in spark.sparkContext.applicationId)
-    return f"orrery_scratch_{application}"
+    return f"orrery_scratch_{application}" + (f"_{owner}" if owner else "")
 
 
 def append_log(spark: SparkSession, log: str, entry: dict) -> None:
