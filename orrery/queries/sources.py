@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orrery.models import trade
 from orrery.models.table import DATE, TEXT, money
 from orrery.plans.feeds import land_json_arrays
 from orrery.queries.registry import load, new_lakehouse, orders_by_day, query
-from orrery.session import scratch
+from orrery.session import remove, scratch
 from orrery.sources.files import hinted_schema, list_files, read_csv
+from orrery.sources.ledger import file_states, note_files
 from orrery.streaming.medallion import bronze
 
 
@@ -75,3 +77,45 @@ def list_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.groupBy(F.regexp_extract("path", "lang=([^/]+)/", 1).alias("lang")).agg(
         F.sum("length").alias("total_bytes")
     )
+
+
+@query("""
+    WITH years AS (SELECT cast(year(o_orderdate) AS integer) AS y, count(*) AS n FROM orders GROUP BY ALL),
+         first AS (SELECT min(y) AS y FROM years)
+    SELECT years.y AS order_year,
+           CASE years.y - first.y WHEN 0 THEN 'rewritten' WHEN 1 THEN 'vanished' ELSE 'taken' END AS state,
+           n AS n_rows, cast(1 AS bigint) AS first_look
+    FROM years, first
+    UNION ALL SELECT 9999, 'skipped', 0, 2
+""")
+def feed_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a feed by year: after they were taken in, the first is rewritten, the second goes and one comes that nothing
+    has taken in yet."""
+    place, folder = new_lakehouse(spark, "ledger"), scratch(spark, "feed")
+    ledger, table = place.table("feed_files"), place.table("fact_bronze")
+    orders = orders_by_day(spark, sf_dir).withColumn("y", F.year("o_orderdate"))
+    orders.repartition("y").write.partitionBy("y").json(folder)
+    note_files(spark, folder, ledger, "*.json")
+    bronze(spark, folder, trade.ORDERS.schema, table, place.checkpoint("bronze"), multi_line=False)
+    first = orders.agg(F.min("y")).first()[0]
+    again = scratch(spark, "again")
+    orders.where(F.col("y") == first).unionByName(orders.where(F.col("y") == first)).drop("y").coalesce(1).write.json(again)
+    _replace(spark, again, f"{folder}/y={first}")
+    remove(spark, f"{folder}/y={first + 1}", below=folder)
+    orders.where(F.col("y") == first).withColumn("y", F.lit(9999)).write.mode("append").partitionBy("y").json(folder)
+    note_files(spark, folder, ledger, "*.json")
+    states = file_states(spark, ledger, spark.table(table))
+    year = F.regexp_extract("path", "y=([0-9]+)/", 1).cast("int").alias("order_year")
+    # The last file may have come as several.
+    return states.select(year, "state", "n_rows", "first_look").groupBy("order_year", "state", "first_look").agg(
+        F.sum("n_rows").alias("n_rows")
+    )
+
+
+def _replace(spark: SparkSession, source: str, target: str) -> None:
+    """Put the one file of a folder in the place of the one file of another, under that one's name."""
+    (new,), (old,) = ([r["path"] for r in list_files(spark, f, "*.json").collect()] for f in (source, target))
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, old))
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(old, False)
+    files.rename(new, old)

@@ -200,3 +200,41 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     spark.sparkContext.master = "yarn"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_root(spark)
+
+
+def test_the_ledger_tells_files_apart(spark, place, tmp_path):
+    import json
+    import os
+    import time
+
+    from orrery.models import staff
+    from orrery.sources.ledger import file_states, note_files
+    from orrery.streaming.medallion import bronze
+    from tests.test_streams import person
+
+    folder, ledger, table = tmp_path / "in", place.table("files"), place.table("fact_bronze")
+    folder.mkdir()
+    write = lambda name, *rows: (folder / name).write_text(json.dumps(list(rows)))
+
+    def states():
+        note_files(spark, str(folder), ledger)
+        found = file_states(spark, ledger, spark.table(table)).collect()
+        return {r["path"].rsplit("/", 1)[1]: (r["state"], r["n_rows"], r["first_look"], r["last_look"]) for r in found}
+
+    write("a.json", person(1), person(2))
+    write("b.json", person(3))
+    write("empty.json")
+    note_files(spark, str(folder), ledger)
+    bronze(spark, str(folder), staff.EMPLOYEES.schema, table, place.checkpoint("bronze"))
+    assert states() == {"a.json": ("taken", 2, 1, 2), "b.json": ("taken", 1, 1, 2), "empty.json": ("skipped", 0, 1, 2)}
+    write("a.json", person(1), person(9), person(10))
+    os.remove(folder / "b.json")
+    write("c.json", person(4))
+    assert states() == {
+        "a.json": ("rewritten", 2, 1, 3), "b.json": ("vanished", 1, 1, 2), "c.json": ("skipped", 0, 3, 3), "empty.json": ("skipped", 0, 1, 3),
+    }
+    bronze(spark, str(folder), staff.EMPLOYEES.schema, table, place.checkpoint("bronze"))
+    write("late.json", person(5))
+    time.sleep(0.01)
+    bronze(spark, str(folder), staff.EMPLOYEES.schema, table, place.checkpoint("bronze"))
+    assert states()["c.json"] == ("taken", 1, 3, 4) and states()["late.json"] == ("taken", 1, 4, 5)
