@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.models.table import Star
+from orrery.operators.audits import pk_duplicates
 from orrery.operators.conform import dimension
 from orrery.operators.dates import date_dim_extend, date_dim_of
 from orrery.operators.joins import Dim, star_join
@@ -23,7 +24,13 @@ from orrery.streaming.medallion import (
 
 
 def keyed_dimension(df: DataFrame, natural_key: list[str], key: str) -> DataFrame:
-    """A dimension, one row per natural key, with a dense surrogate key in natural-key order."""
+    """A dimension, one row per natural key, with a dense surrogate key in natural-key order.
+
+    Natural keys that come twice are refused, since each of their rows would get a key; ``pk_duplicates`` lists them all.
+    """
+    repeated = pk_duplicates(df, natural_key).orderBy(*natural_key).limit(3).collect()
+    if repeated:
+        raise ValueError(f"natural keys {natural_key} come more than once, such as {[tuple(r) for r in repeated]}")
     return number_rows(df, key, natural_key, unique=True)
 
 

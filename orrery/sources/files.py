@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orrery.functions.casts import exact, from_text
+
 
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
@@ -24,7 +26,17 @@ def read_csv(
     if not schema:
         return reader.option("inferSchema", True).csv(path)
     text = reader.csv(path)
-    return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    return text.select(*[_held(f) for f in schema.fields])
+
+
+def _held(field: T.StructField) -> Column:
+    """A text column as the field's type; a text that the type can't hold exactly fails the read, in any mode of Spark's."""
+    text = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return text.alias(field.name)
+    said = F.concat(F.lit(f"column {field.name} is no {field.dataType.simpleString()}: "), text)
+    fits = text.isNull() | exact(text, field.dataType)
+    return F.when(fits, from_text(text, field.dataType)).otherwise(F.raise_error(said).cast(field.dataType)).alias(field.name)
 
 
 def read_json(
@@ -50,16 +62,6 @@ def read_json(
     return as_declared(reader.schema(texts_open).json(path), schema)
 
 
-def loose(schema: T.StructType, multi_line: bool = True) -> T.StructType:
-    """The schema with all its fields open to any JSON value.
-
-    A text field takes any value, but a multi-line file is read again from its start for every
-    number met by a text field. There a variant takes any value in passing and loses no digit.
-    """
-    open_type = T.VariantType() if multi_line else T.StringType()
-    return T.StructType([T.StructField(f.name, open_type) for f in schema.fields])
-
-
 def as_declared(df: DataFrame, schema: T.StructType, *others: str) -> DataFrame:
     """The schema's fields, open ones turned into text, and the other columns named."""
     return df.select(

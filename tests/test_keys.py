@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from orrery.operators import keys
@@ -84,3 +86,12 @@ def test_scratch_tables_can_be_released(spark):
     release_scratch(spark)
     assert not spark.catalog.tableExists(table)
     assert numbers(number_rows(spark.range(3), "k")) == [1, 2, 3]
+
+
+def test_a_dimension_with_a_repeated_key_is_refused(spark):
+    from orrery.plans.warehouse import keyed_dimension
+
+    rows = spark.createDataFrame([(1,), (1,), (2,)], "k int")
+    with pytest.raises(ValueError, match=r"\(1, 2\)"):
+        keyed_dimension(rows, ["k"], "key")
+    assert sorted(tuple(r) for r in keyed_dimension(rows.distinct(), ["k"], "key").collect()) == [(1, 1), (2, 2)]

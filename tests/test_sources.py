@@ -238,3 +238,17 @@ def test_the_ledger_tells_files_apart(spark, place, tmp_path):
     time.sleep(0.01)
     bronze(spark, str(folder), staff.EMPLOYEES.schema, table, place.checkpoint("bronze"))
     assert states()["c.json"] == ("taken", 1, 3, 4) and states()["late.json"] == ("taken", 1, 4, 5)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_csv_value_that_does_not_fit_fails_in_any_mode(spark, conf, tmp_path, ansi):
+    conf(spark__sql__ansi__enabled=ansi)
+    (tmp_path / "a.csv").write_text("day,n\n1999-01-31,1\n1999-01-31T10:00:00,2\n")
+    (tmp_path / "b.csv").write_text("n,day\nNULL,1999-01-31\n")
+    schema = "day date, n int"
+    from orrery.sources.files import read_csv
+    from pyspark.sql.types import StructType
+
+    assert read_csv(spark, str(tmp_path / "b.csv"), StructType.fromDDL(schema)).first().n is None
+    with pytest.raises(Exception, match="column day is no date"):
+        read_csv(spark, str(tmp_path / "a.csv"), StructType.fromDDL(schema)).collect()
