@@ -1,7 +1,8 @@
 """Document fingerprints: Merkle trees over paragraphs and sections.
 
-A leaf is a paragraph: a line, cut at the ends of its sentences and after ``PARAGRAPH`` characters. A section closes
-after a leaf whose digest says so, so that an edit moves the borders around it only. A section's digest covers
+A leaf is a paragraph: a line, cut at the ends of its sentences and after words whose hash says so, one in ``WORDS``; a very
+long word is cut where the hash of its last bytes says so. A section closes
+after a leaf whose digest says so. So an edit moves the borders around it only, whatever the text. A section's digest covers
 its leaves' digests, the root covers the sections'. The written form is the root, then each section's
 digest with its leaves' digests, shortened.
 
@@ -16,7 +17,6 @@ next document; a single row is its own next; an empty table gives no rows; other
 from __future__ import annotations
 
 import hashlib
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,29 +26,59 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PARAGRAPH = 32
+from orrery.llm.text import mix, split_words
+
+#: A leaf ends after one word in so many.
+WORDS = 4
+#: Within a word longer than ``LONG`` bytes it ends after one of ``BYTES`` bytes, by the last ``WINDOW`` of them.
+LONG, BYTES, WINDOW = 64, 24, 8
 #: A section closes after one leaf in so many.
 SECTION = 8
+#: Bytes of a leaf's digest that the written form keeps: two different leaves look alike once in 2^32 pairs.
+KEPT = 4
 
-_LEAVES = re.compile(r"[^.!?\n]{1,%d}[.!?\n]*|[.!?\n]+" % PARAGRAPH)
+_ENDS = np.zeros(256, bool)
+_ENDS[[ord(c) for c in ".!?\n"]] = True
 RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
 )
 
 
+def leaf_ends(data: np.ndarray) -> np.ndarray:
+    """Where the leaves of a text's bytes end: after a run of sentence ends, after chosen words and within long words."""
+    if not len(data):
+        return np.zeros(0, np.int64)
+    words = split_words(data, np.array([0, len(data)]))
+    ends = _ENDS[data]
+    ends[:-1] &= ~ends[1:]
+    chosen = words.hashes() % np.uint64(WORDS) == 0
+    # The words' ends are places between bytes.
+    ends[words.end[chosen] - 1] = True
+    for start, end in zip(*(x[words.end - words.start > LONG].tolist() for x in (words.start, words.end))):
+        wide = data[start:end].astype(np.uint64)
+        window = sum(wide[WINDOW - 1 - k : len(wide) - k] << np.uint64(8 * k) for k in range(WINDOW))
+        # A character is never cut.
+        whole = np.append(data[start + WINDOW : end] & 0xC0 != 0x80, True)
+        ends[start + WINDOW - 1 + np.flatnonzero((mix(window) % np.uint64(BYTES) == 0) & whole)] = True
+    ends[-1] = True
+    return np.flatnonzero(ends) + 1
+
+
 def fingerprint(text: str) -> str:
     """root:section=leaf,leaf;section=leaf..."""
     sections: list[str] = []
     root = hashlib.blake2b(digest_size=16)
     leaves: list[bytes] = []
-    found = _LEAVES.findall(text)
-    for i, leaf in enumerate(found):
-        leaves.append(hashlib.blake2b(leaf.encode("utf-8", "surrogatepass"), digest_size=8).digest())
-        if leaves[-1][7] % SECTION == 0 or i == len(found) - 1:
+    raw = text.encode("utf-8", "surrogatepass")
+    begin, ends = 0, leaf_ends(np.frombuffer(raw, np.uint8)).tolist()
+    for end in ends:
+        leaves.append(hashlib.blake2b(raw[begin:end], digest_size=8).digest())
+        begin = end
+        if leaves[-1][7] % SECTION == 0 or end == len(raw):
             digest = hashlib.blake2b(b"".join(leaves), digest_size=16)
             root.update(digest.digest())
-            sections.append(digest.hexdigest()[:12] + "=" + ",".join([d[:3].hex() for d in leaves]))
+            sections.append(digest.hexdigest()[:12] + "=" + ",".join([d[:KEPT].hex() for d in leaves]))
             leaves = []
     return root.hexdigest() + ":" + ";".join(sections)
 

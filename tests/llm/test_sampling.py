@@ -282,3 +282,21 @@ def test_a_fit_that_does_not_converge_is_warned_of(spark):
             frame, "n_tokens", "source", "lang", "topic", by_source=Targets({"a": 0.9, "b": 0.1}),
             by_language=Targets({"x": 0.1, "y": 0.9}), by_topic=Targets(), max_steps=4,
         )
+
+
+def test_an_inserted_character_moves_few_leaves():
+    rng = random.Random(1)
+    words = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 9))) for _ in range(3000))
+    signs = "".join(rng.choice("漢字仮名交文章作成") for _ in range(4000))
+    for text in (words, signs):
+        tree = fingerprints.fingerprint(text)
+        for other in ("q" + text, text + "q", text[:2000] + "Z" + text[2000:]):
+            assert 0.95 < fingerprints.likeness(tree, fingerprints.fingerprint(other)) < 1
+
+
+@pytest.mark.parametrize("text", ["", "one", "a b. c!\n\nd?? e  f", "word " * 50, "x" * 500, "é" * 300 + " ok " + "漢" * 90 + "。"])
+def test_trees_equal_plain_ones(text):
+    assert fingerprints.fingerprint(text) == brute.tree(text)
+    other = text[1:] + " more of it. and more"
+    a, b = fingerprints.fingerprint(text), fingerprints.fingerprint(other)
+    assert fingerprints.likeness(a, b) == pytest.approx(brute.tree_likeness(a, b))
