@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.llm import (
-    conversation_trie, fingerprints, language_id, ngram_jaccard, packing, pii, quality_classifier,
+    conversation_trie, fingerprints, language_id, ngram_jaccard, oracles, packing, pii, quality_classifier,
     quality_rules, source_mixing, substring_dedup, token_alignment, toxicity, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
