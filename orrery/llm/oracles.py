@@ -99,4 +99,62 @@ OP6 = rf"""
     FROM base b JOIN hosts h ON b.source IS NOT DISTINCT FROM h.host, strength
 """
 
-ORACLES = {"op1_substring_dedup": OP1, "op5_ngram_jaccard": OP5, "op6_quality_rules": OP6}
+# The checksum CRC-32 of a number's digits, bit by bit; 3988292384 is its polynomial (fixed values).
+_CRC32 = """
+    xor(list_reduce(
+        list_concat([4294967295::BIGINT], list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda sum, c: list_reduce(
+            list_concat([xor(sum, c)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+            lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END
+        )
+    ), 4294967295)
+"""
+
+OP13 = f"""
+    WITH turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')
+        ) - 1 AS p
+        FROM conversations WHERE conv_id IS NOT NULL
+    ),
+    ids AS (
+        SELECT conv_id, count(*) AS n, {_CRC32.format("conv_id")} % 6 AS h, conv_id - conv_id % 100 AS base
+        FROM turns GROUP BY conv_id
+    ),
+    built AS (
+        SELECT i.conv_id, p + 1 AS d, role, text FROM ids i JOIN turns t ON t.conv_id = base WHERE p < h
+        UNION ALL
+        SELECT i.conv_id, p - i.h + least(coalesce(b.n, 0), i.h) + 1, role, text
+        FROM ids i JOIN turns t ON t.conv_id = i.conv_id LEFT JOIN ids b ON b.conv_id = i.base WHERE p >= i.h
+    ),
+    paths AS (
+        SELECT conv_id, d, length(text) AS chars,
+               sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (
+                   PARTITION BY conv_id ORDER BY d
+               )) AS node
+        FROM built
+        UNION ALL SELECT conv_id, 0, 0, 'root' FROM ids
+    ),
+    nodes AS (
+        SELECT node, d, count(*) AS n_convs, min(conv_id) AS conv_id, any_value(chars) AS chars FROM paths GROUP BY node, d
+    ),
+    parents AS (
+        SELECT n.node, p.node AS parent FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.d = n.d - 1
+    ),
+    families AS (SELECT parent AS node, count(*) AS n_children FROM parents GROUP BY parent),
+    below AS (
+        SELECT p.node, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((u.n_convs - 1) * u.chars) AS saved
+        FROM nodes u JOIN paths p ON p.conv_id = u.conv_id AND p.d <= u.d LEFT JOIN families f ON f.node = u.node
+        GROUP BY p.node
+    ),
+    ends AS (
+        SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+        FROM (SELECT conv_id, arg_max(node, d) AS node FROM paths GROUP BY conv_id) GROUP BY node
+    )
+    SELECT n.conv_id, n.d::BIGINT AS depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+           n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+    FROM nodes n JOIN below USING (node) LEFT JOIN parents p USING (node) LEFT JOIN nodes q ON q.node = p.parent
+    LEFT JOIN families f ON f.node = n.node LEFT JOIN ends e ON e.node = n.node
+"""
+
+ORACLES = {"op1_substring_dedup": OP1, "op5_ngram_jaccard": OP5, "op6_quality_rules": OP6, "op13_conversation_trie": OP13}
