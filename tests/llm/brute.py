@@ -286,3 +286,52 @@ def tree_likeness(a: str, b: str) -> float:
 
     same = sum((Counter(ours) & Counter(theirs)).values())
     return 2 * same / (len(ours) + len(theirs)) if ours or theirs else 1.0
+
+
+def _letters(text: str | None) -> list[str]:
+    return re.findall(r"[^\W\d_]+", (text or "").lower())
+
+
+def language_scores(learn: list[tuple], most: dict[int, int]) -> tuple[list[str], dict, dict]:
+    """Languages, the known words and n-grams, and the log frequency of each per language, from (text, language) pairs."""
+    counts: dict = defaultdict(lambda: defaultdict(int))
+    for text, lang in set(learn):
+        for word in _letters(text):
+            counts[lang, 0][word] += 1
+            marked = f" {word} "
+            for n in range(1, 6):
+                for i in range(len(marked) - n + 1):
+                    counts[lang, n][marked[i : i + n]] += 1
+    languages = sorted({lang for lang, _ in counts})
+    kept = {
+        key: dict(sorted(found.items(), key=lambda x: (-x[1], x[0].encode()))[: most[key[1]]]) for key, found in counts.items()
+    }
+    known = {n: set().union(*(kept.get((lang, n), {}) for lang in languages)) if languages else set() for n in range(6)}
+    score = {
+        (n, gram): [
+            math.log(kept.get((lang, n), {}).get(gram, 0) + 0.5)
+            - math.log(sum(counts[lang, n].values()) + 0.5 * len(counts[lang, n]) if (lang, n) in counts else 1.0)
+            for lang in languages
+        ]
+        for n in known for gram in known[n]
+    }
+    return languages, known, score
+
+
+def language(text: str | None, languages: list[str], known: dict, score: dict) -> tuple[str, float]:
+    """The likeliest language of a text, word by word, and its share of the likelihood."""
+    total, seen = [0.0] * len(languages), False
+    for word in _letters(text):
+        seen = True
+        rows = [score[0, word]] if word in known[0] else []
+        marked = f" {word} "
+        for n in (5, 4, 3, 2, 1):
+            if rows:
+                break
+            rows = [score[n, g] for i in range(len(marked) - n + 1) if (g := marked[i : i + n]) in known[n]]
+        if rows:
+            total = [t + sum(r[k] for r in rows) / len(rows) for k, t in enumerate(total)]
+    if not seen or not languages:
+        return "und", 0.0
+    best = max(range(len(languages)), key=lambda k: (total[k], -k))
+    return languages[best], 1 / sum(math.exp(t - total[best]) for t in total)

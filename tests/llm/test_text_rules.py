@@ -280,3 +280,24 @@ def test_a_hot_url_and_a_hot_text_do_not_fill_the_samples(spark):
     finally:
         language_id.store = real
     assert 600 < counts[-1] < 1400
+
+
+@pytest.mark.parametrize("seed,words,grams", [(1, 10_000, 5_000), (2, 6, 9)])
+def test_languages_equal_a_plain_version(spark, seed, words, grams):
+    rng = random.Random(seed)
+    letters = {"en": "abcdefgh", "de": "cdefghäöü", "fr": "aéèçfgh"}
+    make = lambda lang: " ".join(
+        "".join(rng.choice(letters[lang]) for _ in range(rng.randrange(1, 8))) for _ in range(rng.randrange(1, 12))
+    )
+    learn = [(make(lang), lang) for lang in letters for _ in range(8)]
+    learn += learn[:3]
+    texts = [make(rng.choice(list(letters))) + rng.choice(["", " Zzz!", "-12-", " ÄÖ"]) for _ in range(40)] + ["", None, "12", "жук"]
+    model = language_id.train_language_model(
+        spark.createDataFrame(learn, "text string, lang string"), max_words=words, max_grams=grams
+    )
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    got = {r["id"]: r for r in language_id.identify_language(frame, model).collect()}
+    plain = brute.language_scores(learn, {0: words, **{n: grams for n in range(1, 6)}})
+    for i, text in enumerate(texts):
+        lang, score = brute.language(text, *plain)
+        assert got[i]["score"] == pytest.approx(score, abs=1e-9) and (got[i]["lang_pred"] == lang or score < 0.34)
