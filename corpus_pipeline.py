@@ -1,11 +1,17 @@
-"""From raw documents to packed training sequences: five stages, each written and read again by the next."""
+"""From raw documents to packed training sequences: five stages, each written and read again by the next.
+
+Results for odd inputs: null, empty and letterless texts go in the first stage; rows without an id, or sharing it with other
+texts, are documents of their own in the second and are drawn by id, or by text without one, in the fourth; null languages and
+sources are values of their own; very long texts pass whole and are cut by packing only; columns beside those of documents
+are dropped; an empty table gives no rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import language_id, ngram_jaccard, packing, pii, queries, source_mixing
+from orrery.llm import language_id, ngram_jaccard, packing, pii, queries
 from orrery.session import scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
