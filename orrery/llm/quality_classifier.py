@@ -17,7 +17,6 @@ an empty table gives no rows; input columns named like a result are replaced.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
