@@ -300,3 +300,23 @@ def test_trees_equal_plain_ones(text):
     other = text[1:] + " more of it. and more"
     a, b = fingerprints.fingerprint(text), fingerprints.fingerprint(other)
     assert fingerprints.likeness(a, b) == pytest.approx(brute.tree_likeness(a, b))
+
+
+def test_stages_of_the_pipeline_on_odd_tables(spark):
+    words = " ".join(f"wort{i}" for i in range(60))
+    rows = [
+        (1, words, "de", "s", 1), (1, "ganz andere worte " * 20, "de", "s", 1), (None, words + " mehr", None, None, None),
+        (None, "noch etwas anderes " * 30, "de", "hot", 2), (2, None, "de", "s", 0), (3, "", "de", "s", 0), (4, "12 34", "de", "s", 5),
+        (5, "sehr lang " * 50_000, "de", "hot", 9), (5, "sehr lang " * 50_000, "de", "hot", 9),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    frame = spark.createDataFrame(rows, schema).withColumns({"_node": F.lit("x"), "label": F.lit(1)})
+    for docs in (frame, frame.where("false")):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, "")
+            assert docs.columns == list(corpus_pipeline.COLUMNS)
+            left = docs.collect()
+            docs = spark.createDataFrame(left, schema)
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() >= len(left)
+    named = corpus_pipeline.one_of_each_group(spark, frame, "")
+    assert named.where("text IS NOT NULL AND length(text) > 10").count() == 4
