@@ -27,12 +27,11 @@ def parse_documents(pieces: DataFrame, text: str, multi_line: bool) -> DataFrame
     one = F.from_json(value, _FIELDS)
     if not multi_line:
         found = some.select(*others, one.alias("fields"), F.col(text).alias("__text"))
-    else:
-        listed = F.coalesce(F.from_json(value, f"array<{_FIELDS}>"), F.array(one))
-        found = some.where(F.length(F.trim(value)) > 0).select(
-            *others, F.explode_outer(listed).alias("fields"), F.col(text).alias("__text"), F.size(listed).alias("__n")
-        ).where("__n > 0").drop("__n")
-    return found.select(*others, "fields", F.when(F.col("fields").isNull(), F.col("__text")).alias("malformed"))
+        return found.select(*others, "fields", F.when(F.col("fields").isNull(), F.col("__text")).alias("malformed"))
+    listed = F.coalesce(F.from_json(value, f"array<{_FIELDS}>"), F.array(one))
+    # Only what is malformed keeps the text: with a copy beside each document a file's cost would be the square of its size.
+    each = F.transform(listed, lambda f: F.struct(f.alias("fields"), F.when(f.isNull(), F.col(text)).alias("malformed")))
+    return some.where(F.length(F.trim(value)) > 0).select(*others, F.inline(each))
 
 
 def as_text(fields: Column, name: str) -> Column:

@@ -252,3 +252,20 @@ def test_a_csv_value_that_does_not_fit_fails_in_any_mode(spark, conf, tmp_path,
     assert read_csv(spark, str(tmp_path / "b.csv"), StructType.fromDDL(schema)).first().n is None
     with pytest.raises(Exception, match="column day is no date"):
         read_csv(spark, str(tmp_path / "a.csv"), StructType.fromDDL(schema)).collect()
+
+
+def _generates(plan):
+    below = [g for i in range(plan.children().size()) for g in _generates(plan.children().apply(i))]
+    return [plan, *below] if plan.nodeName() == "Generate" else below
+
+
+def test_only_malformed_texts_go_along_with_the_documents_of_an_array(spark):
+    from orrery.sources.documents import parse_documents
+
+    texts = ['[{"a": 1}, null, {"a": 2}]', "[]", "", '{"a": 3}', '[{"a": 4}']
+    pieces = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "value string, file int")
+    found = parse_documents(pieces, "value", multi_line=True)
+    rows = sorted((r.file, r.f or "", r.malformed or "") for r in found.selectExpr("file", "to_json(fields) AS f", "malformed").collect())
+    assert rows == [(0, "", texts[0]), (0, '{"a":1}', ""), (0, '{"a":2}', ""), (3, '{"a":3}', ""), (4, "", texts[4])]
+    (made,) = _generates(found._jdf.queryExecution().optimizedPlan())
+    assert [made.output().apply(i).name() for i in range(made.output().size())] == ["file", "fields", "malformed"]
