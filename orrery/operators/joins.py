@@ -3,7 +3,8 @@
 No side carries a broadcast hint. Spark broadcasts a dimension only while its size stays below
 ``spark.sql.autoBroadcastJoinThreshold``, from file statistics when planning and from shuffle
 statistics when running. A larger dimension is joined by shuffle, where the adaptive skew join
-splits a hot key's partition; ``salts`` splits it without relying on run-time statistics.
+splits a hot key's partition; ``salts`` splits it without relying on run-time statistics. A salted
+dimension is always joined by shuffle: file statistics know nothing of its copies.
 """
 
 from __future__ import annotations
@@ -81,5 +82,6 @@ def _join(rows: DataFrame, dim: Dim, how: str) -> DataFrame:
         right = right.withColumn(
             "__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(dim.salts - 1).cast("long")))
         )
+        right = right.hint("merge")
         condition.append(rows["__salt"] == right["__copy"])
     return rows.join(right, condition, how).drop(*keys.values(), "__salt", "__copy")

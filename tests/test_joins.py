@@ -91,3 +91,11 @@ def test_a_large_dimension_is_shuffled_and_its_hot_key_split(spark, conf):
     assert len(joined.collect()) == 60_000
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_copies_of_a_salted_dimension_are_not_broadcast(frames):
+    fact, shops, _ = frames
+    joined = star_join(fact, [Dim(shops, {"shop": "shop"}, {"town_key": "town"}, 16, ("id",))])
+    assert sorted(r.id for r in joined.collect()) == [1, 2, 5]
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
