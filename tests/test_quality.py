@@ -250,3 +250,21 @@ def test_keys_are_swapped(spark, hr):
 def test_keys_with_nulls_do_not_look_alike(spark):
     rows = spark.createDataFrame([("a", None), (None, "a")], "k string, l string")
     assert {r.key for r in audits.audit_required(rows, ("k", "l"), ["k", "l"]).collect()} == {'{"k":"a","l":null}', '{"k":null,"l":"a"}'}
+
+
+def test_the_model_audit_looks_for_every_parent(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    rows = {
+        "region": ["2 AS r_regionkey"],
+        "nation": ["13 AS n_nationkey", "2 AS n_regionkey"],
+        "customer": ["2L AS c_custkey", "13 AS c_nationkey"],
+        "supplier": ["24L AS s_suppkey", "13 AS s_nationkey"],
+        "part": ["35L AS p_partkey"],
+        "orders": ["46L AS o_orderkey", "2L AS o_custkey"],
+        "lineitem": ["46L AS l_orderkey", "35L AS l_partkey", "explode(array(24L, 25L)) AS l_suppkey"],
+    }
+    for name, columns in rows.items():
+        spark.range(1).selectExpr(*columns).write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = {r.reference: r.orphans for r in queries()["fk_audit_model"](spark, str(tmp_path)).collect()}
+    assert found.pop("lineitem.l_suppkey") == 1 and len(found) == 6 and not any(found.values())
