@@ -89,33 +89,38 @@ def list_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 9999, 'skipped', 0, 2
 """)
 def feed_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of a feed by year: after they were taken in, the first is rewritten, the second goes and one comes that nothing
-    has taken in yet."""
+    """Files of a feed by year: after they were taken in, those of the first are rewritten, those of the second go and some
+    come that nothing has taken in yet. A year comes as more files the larger it is."""
     place, folder = new_lakehouse(spark, "ledger"), scratch(spark, "feed")
     ledger, table = place.table("feed_files"), place.table("fact_bronze")
     orders = orders_by_day(spark, sf_dir).withColumn("y", F.year("o_orderdate"))
-    orders.repartition("y").write.partitionBy("y").json(folder)
+    orders.hint("rebalance", "y").write.partitionBy("y").json(folder)
     note_files(spark, folder, ledger, "*.json")
     bronze(spark, folder, trade.ORDERS.schema, table, place.checkpoint("bronze"), multi_line=False)
     first = orders.agg(F.min("y")).first()[0]
     again = scratch(spark, "again")
-    orders.where(F.col("y") == first).unionByName(orders.where(F.col("y") == first)).drop("y").coalesce(1).write.json(again)
+    twice = orders.where(F.col("y") == first).unionByName(orders.where(F.col("y") == first)).drop("y")
+    twice.repartition(len(_files(spark, f"{folder}/y={first}"))).write.json(again)
     _replace(spark, again, f"{folder}/y={first}")
     remove(spark, f"{folder}/y={first + 1}", below=folder)
     orders.where(F.col("y") == first).withColumn("y", F.lit(9999)).write.mode("append").partitionBy("y").json(folder)
     note_files(spark, folder, ledger, "*.json")
     states = file_states(spark, ledger, spark.table(table))
     year = F.regexp_extract("path", "y=([0-9]+)/", 1).cast("int").alias("order_year")
-    # The last file may have come as several.
+    # A year may have come as several files.
     return states.select(year, "state", "n_rows", "first_look").groupBy("order_year", "state", "first_look").agg(
         F.sum("n_rows").alias("n_rows")
     )
 
 
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    return sorted(r["path"] for r in list_files(spark, folder, "*.json").select("path").collect())
+
+
 def _replace(spark: SparkSession, source: str, target: str) -> None:
-    """Put the one file of a folder in the place of the one file of another, under that one's name."""
-    (new,), (old,) = ([r["path"] for r in list_files(spark, f, "*.json").collect()] for f in (source, target))
-    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, old))
-    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(old, False)
-    files.rename(new, old)
+    """Put the files of a folder in the place of as many files of another, under their names."""
+    for new, old in zip(_files(spark, source), _files(spark, target), strict=True):
+        new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, old))
+        files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.delete(old, False)
+        files.rename(new, old)

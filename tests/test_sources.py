@@ -269,3 +269,30 @@ def test_only_malformed_texts_go_along_with_the_documents_of_an_array(spark):
     assert rows == [(0, "", texts[0]), (0, '{"a":1}', ""), (0, '{"a":2}', ""), (3, '{"a":3}', ""), (4, "", texts[4])]
     (made,) = _generates(found._jdf.queryExecution().optimizedPlan())
     assert [made.output().apply(i).name() for i in range(made.output().size())] == ["file", "fields", "malformed"]
+
+
+def test_a_large_year_of_a_feed_comes_as_several_files(spark, conf, tmp_path, monkeypatch):
+    from __spark_entry__ import queries
+
+    conf(
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="2k",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    days = "timestamp_ntz'1996-01-01' + make_dt_interval(cast(id % 1000 AS int)) AS o_orderdate"
+    orders = spark.range(0, 4000, 1, 4).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "'F' AS o_orderstatus", "1.5D AS o_totalprice", days, "'1-URGENT' AS o_orderpriority"
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    folders = {}
+
+    def noted(spark, purpose):
+        folders[purpose] = scratch(spark, purpose)
+        return folders[purpose]
+
+    monkeypatch.setattr("orrery.queries.sources.scratch", noted)
+    states = {(r.order_year, r.state, r.n_rows, r.first_look) for r in queries()["feed_ledger"](spark, str(tmp_path)).collect()}
+    assert states == {
+        (1996, "rewritten", 1464, 1), (1997, "vanished", 1460, 1), (1998, "taken", 1076, 1), (9999, "skipped", 0, 2)
+    }
+    for year in (1996, 1998):
+        assert len([f for f in files.list_files(spark, folders["feed"], "*.json").collect() if f"y={year}/" in f.path]) > 1
