@@ -21,9 +21,10 @@ def parse_documents(pieces: DataFrame, text: str, multi_line: bool) -> DataFrame
     ``text`` holds one document, or with ``multi_line`` an array of them (a single one also counts). What is no
     JSON document is one row with its text in ``malformed``. A field that comes twice is there twice.
     """
-    value = F.regexp_replace(F.col(text), "^﻿", "")
+    marked = F.col(text).startswith("\ufeff")
+    value = F.when(marked, F.expr(f"substring(`{text}`, 2)")).otherwise(F.col(text))
     others = [c for c in pieces.columns if c != text]
-    some = pieces.where(F.length(F.trim(F.regexp_replace(value, r"\s+", " "))) > 0) if not multi_line else pieces
+    some = pieces.where(value.rlike(r"\S")) if not multi_line else pieces
     one = F.from_json(value, _FIELDS)
     if not multi_line:
         found = some.select(*others, one.alias("fields"), F.col(text).alias("__text"))
@@ -36,7 +37,7 @@ def parse_documents(pieces: DataFrame, text: str, multi_line: bool) -> DataFrame
 
 def as_text(fields: Column, name: str) -> Column:
     """A field as text: a number with all its digits, nested values as JSON, null if it is null or not there."""
-    return F.get(F.transform(F.array(F.element_at(fields, name)), lambda v: v.cast("string")), F.lit(0))
+    return F.element_at(fields, name).cast("string")
 
 
 def repeated(fields: Column) -> Column:

@@ -198,7 +198,8 @@ def silver(
     def take(batch: DataFrame, part: int) -> None:
         _split(spark, batch, dims, columns, (table, {"part": part}), (waiting_table, {"run": 0, "part": part}))
 
-    return each_batch(rows, checkpoint, take, available_now)
+    # A micro-batch is handed over as it was read: columns that silver does not need are left out before.
+    return each_batch(_needed(rows, dims, columns), checkpoint, take, available_now)
 
 
 def silver_rows(rows: DataFrame, dims: list[Dim], columns: dict[str, str]) -> DataFrame:

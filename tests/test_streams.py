@@ -283,3 +283,18 @@ def test_old_dated_files_are_taken_in(spark, tmp_path):
         query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out"))
         query.option("checkpointLocation", str(tmp_path / "at")).trigger(availableNow=True).start().awaitTermination()
     assert sorted(r["n"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["1", "2", "3"]
+
+
+def test_silver_is_handed_only_the_columns_it_needs(spark, place, hr, tmp_path, monkeypatch):
+    from orrery.streaming import medallion
+
+    handed, split = [], medallion._split
+
+    def noted(session, rows, *rest):
+        handed.append(set(rows.columns))
+        split(session, rows, *rest)
+
+    monkeypatch.setattr(medallion, "_split", noted)
+    rows = take_in(spark, STAR, place, feed_of(hr, tmp_path), land_dimensions(spark, STAR, place, hr))
+    assert rows.count() == hr["employees"].count() and len(handed) == 1
+    assert {"batch_id", "row_id", "job_id"} <= handed[0] and not handed[0] & {"document", "rescued", "email"}
