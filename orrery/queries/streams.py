@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from orrery.models import trade
 from orrery.operators.preview import preview_stream
-from orrery.plans.feeds import land_json_arrays
+from orrery.plans.feeds import land_json_arrays, land_json_lines
 from orrery.plans.warehouse import Lakehouse, land_dimensions, rebuild, refresh, take_in
 from orrery.queries.registry import exact_avg, load, new_lakehouse, orders_by_day, query
 from orrery.session import scratch
@@ -225,7 +225,7 @@ def silver_replay_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines whose supplier came late, some with the key of another line: each arrives exactly once, however often late
     rows are looked for, out of the waiting room or by their identity in bronze."""
     place, folder = new_lakehouse(spark, "lines_late"), scratch(spark, "feed")
-    load(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate")).write.json(folder)
+    land_json_lines(load(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate")), folder)
     sources = {d.source.name: load(spark, sf_dir, d.source.name) for d in trade.LINES.dimensions}
     early = {**sources, "supplier": sources["supplier"].where("s_suppkey % 3 <> 0")}
     take_in(spark, trade.LINES, place, folder, land_dimensions(spark, trade.LINES, place, early), multi_line=False)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
 _owner: ContextVar[str | None] = ContextVar("owner", default=None)
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: str = "8", app: str = "orrery", **conf: str) -> SparkSession:
@@ -72,6 +73,37 @@ def write_scratch(rows: DataFrame, purpose: str) -> str:
     return table
 
 
+@contextmanager
+def stored(rows: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """The rows, written once and read from there within this block; the files go at its end.
+
+    Unlike persisted rows these take no memory, are there even if none of their partitions was read yet, and outlive their
+    executor.
+    """
+    spark = rows.sparkSession
+    path = scratch(spark, purpose)
+    try:
+        with freed_shuffles(spark):
+            rows.write.option("compression", "zstd").parquet(path)
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        remove(spark, path, below=shared_root(spark))
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query run in this block go as soon as it has ended.
+
+    Otherwise they stay until the driver happens to collect its garbage, and those of one step after another fill the disks.
+    """
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, True)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_FREE_SHUFFLES) if before is None else spark.conf.set(_FREE_SHUFFLES, before)
+
+
 @contextmanager
 def owned_scratch() -> Iterator[str]:
     """Scratch tables and folders made in this block belong to the owner it yields, for ``release_scratch``."""

@@ -23,7 +23,7 @@ from orrery.functions.casts import cast_fields, exact, from_text
 from orrery.models.table import Band, Hop
 from orrery.operators.gold import gold_avg_by_group
 from orrery.operators.joins import Dim, flagged, star_join, unmatched
-from orrery.session import append_log, read_log
+from orrery.session import append_log, read_log, stored
 from orrery.sinks.catalog import (
     FORMAT, add_columns, create_table, overwrite_partition, overwrite_table, partition_values,
 )
@@ -231,15 +231,13 @@ def _split(
 ) -> None:
     """Join once; rows with all dimensions go to one partition, the others to another with what they lack."""
     kept = _needed(rows, dims, columns)
-    joined = flagged(kept, dims).persist()
-    try:
+    read = dict.fromkeys([*kept.columns, *columns.values(), "missing"])
+    with stored(flagged(kept, dims).select(*read), "joined") as joined:
         found = joined.where(F.size("missing") == 0)
         overwrite_partition(spark, found.select(*[F.col(s).alias(n) for n, s in columns.items()]), *complete)
         lacking = joined.where(F.size("missing") > 0)
         if not lacking.isEmpty():
             overwrite_partition(spark, lacking.select(*kept.columns, "missing"), *waiting)
-    finally:
-        joined.unpersist()
 
 
 @dataclass(frozen=True)

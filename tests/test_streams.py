@@ -11,7 +11,7 @@ from orrery.models import staff
 from orrery.operators.gold import gold_avg_by_group
 from orrery.operators.joins import Dim
 from orrery.operators.preview import preview_stream
-from orrery.plans.feeds import land_json_arrays
+from orrery.plans.feeds import land_json_arrays, land_json_lines
 from orrery.plans.warehouse import land_dates, land_dimensions, rebuild, take_in
 from orrery.sinks.catalog import show_tables
 from orrery.sources.files import hinted_schema
@@ -298,3 +298,50 @@ def test_silver_is_handed_only_the_columns_it_needs(spark, place, hr, tmp_path,
     rows = take_in(spark, STAR, place, feed_of(hr, tmp_path), land_dimensions(spark, STAR, place, hr))
     assert rows.count() > 0 and len(handed) == 1
     assert {"batch_id", "row_id", "job_id"} <= handed[0] and not handed[0] & {"document", "rescued", "email"}
+
+
+def test_a_feed_of_lines_lands_compressed_in_bounded_files(spark, place, hr, tmp_path):
+    folder, people = tmp_path / "in", hr["employees"].crossJoin(spark.range(500).select((F.col("id") * 1000).alias("more")))
+    people = people.withColumn("employee_id", (F.col("employee_id") + F.col("more")).cast("int")).drop("more").coalesce(1)
+    land_json_lines(people, str(folder), file_rows=1100)
+    sizes = [spark.read.text(str(f)).count() for f in folder.glob("part-*")]
+    assert sum(sizes) == people.count() and len(sizes) >= 3 and max(sizes) <= 1100
+    plain = spark.read.text(str(folder)).agg(F.sum(F.octet_length("value") + 1)).first()[0]
+    assert sum(f.stat().st_size for f in folder.glob("part-*")) < plain / 4
+    rows = run_bronze(spark, place, folder, multi_line=False)
+    assert ids(rows) == ids(people)
+
+
+def test_the_feed_of_late_lines_takes_less_disk_than_its_text(spark, tmp_path, monkeypatch):
+    """``silver_replay_lines`` over rows of its own: each arrives once, and its feed is stored compressed."""
+    from pathlib import Path
+
+    from orrery.queries import streams
+
+    lines = spark.range(4000).selectExpr(
+        "id AS l_orderkey", "id % 7 AS l_partkey", "id % 6 AS l_suppkey", "cast(id % 3 AS int) AS l_linenumber",
+        "cast(id % 50 AS double) AS l_quantity", "id * 1.25D AS l_extendedprice", "0.01D AS l_discount", "0.02D AS l_tax",
+        "'N' AS l_returnflag", "'O' AS l_linestatus", "timestamp_ntz'1996-09-13 00:00:00' AS l_shipdate",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(6).selectExpr(
+        "id AS s_suppkey", "concat('s', id) AS s_name", "cast(id AS int) AS s_nationkey", "1.0D AS s_acctbal"
+    ).write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(7).selectExpr(
+        "id AS p_partkey", "concat('p', id) AS p_name", "'b' AS p_brand", "'t' AS p_type", "1 AS p_size", "1.0D AS p_retailprice"
+    ).write.parquet(f"{tmp_path}/part.parquet")
+    feeds, take = set(), streams.take_in
+
+    def noted(session, star, place, feed, *rest, **options):
+        feeds.add(feed)
+        return take(session, star, place, feed, *rest, **options)
+
+    monkeypatch.setattr(streams, "take_in", noted)
+    rows = streams.silver_replay_lines(spark, str(tmp_path)).groupBy("came_late").agg(
+        F.count("*"), F.countDistinct("order_key")
+    ).collect()
+    late = sum(n % 6 % 3 == 0 for n in range(4000))
+    assert {tuple(r) for r in rows} == {(True, late, late), (False, 4000 - late, 4000 - late)}
+    (feed,) = feeds
+    text = spark.read.text(feed).agg(F.sum(F.octet_length("value") + 1)).first()[0]
+    assert sum(f.stat().st_size for f in Path(feed).glob("part-*")) < text / 4

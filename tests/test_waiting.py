@@ -202,3 +202,59 @@ def test_types_are_audited_by_the_way_back(spark):
     found = sorted((r.rule, r.key) for r in audit_types(frame, table).collect())
     assert found == [("type:day", '{"k":"a","l":null}'), ("type:pay", '{"k":"a","l":null}')]
     assert frame.select(changed_by_cast(frame, "k", TEXT)).distinct().count() == 1
+
+
+def test_a_run_leaves_no_shuffle_files_and_keeps_no_rows(spark, place, late_jobs, conf):
+    """What the joins of one step have shuffled must be gone before the next one fills the disks."""
+    import time
+    from pathlib import Path
+
+    disks = [Path(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+
+    def shuffled() -> set[str]:
+        return {p.name for d in disks for p in d.rglob("shuffle_*.data")}
+
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    tables, room = late_jobs[1](), place.room()
+    # A table of one small file is joined without a shuffle.
+    rows = spark.table(place.table("fact_bronze")).repartition(3)
+    before, kept = shuffled(), spark.sparkContext._jsc.getPersistentRDDs().size()
+    everything = replay(rows, room, dims_of(STAR.hops, tables), with_identity(STAR.silver))
+    until = time.monotonic() + 5
+    while shuffled() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    assert held(everything) == WANTED
+
+
+def test_stored_rows_are_there_for_one_block(spark, place, tmp_path):
+    from pathlib import Path
+
+    from orrery.session import shared_root, stored
+
+    def files() -> set[str]:
+        return {p.name for p in Path(shared_root(spark)).iterdir() if "-halves-" in p.name}
+
+    option = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    known = spark.conf.get(option, None)
+    with pytest.raises(RuntimeError), stored(spark.range(4).selectExpr("id / 2 AS half"), "halves") as rows:
+        assert sorted(r.half for r in rows.collect()) == [0.0, 0.5, 1.0, 1.5]
+        assert len(files()) == 1 and spark.conf.get(option, None) == known
+        raise RuntimeError("lost")
+    assert files() == set()
+
+
+@pytest.mark.parametrize("text, expected", [
+    ('{"a": 1, "b": 2}', None), ('{"b": 2, "a": 1}', None), ('{"a": 1}', None), ("{}", None),
+    ('{"a": 1, "c": 3}', {"c": 3}), ('{"A": 1}', {"A": 1}), ('{"b": 2, "c": null}', {"c": None}),
+])
+def test_fields_left_over_do_not_depend_on_order(spark, text, expected):
+    from orrery.sources.documents import left_over
+
+    fields = F.from_json(F.lit(text), "map<string,variant>")
+    for misfits in ([], ["b"]):
+        listed = F.array(*[F.lit(m) for m in misfits]).cast("array<string>")
+        got = spark.range(1).select(left_over(fields, ["a", "b"], listed)).first()[0]
+        told = {k: v for k, v in json.loads(text).items() if k in misfits}
+        assert (got and json.loads(got)) == ({**(expected or {}), **told} or None)
